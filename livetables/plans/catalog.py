@@ -21,7 +21,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from livetables.operators import flights, ticks
+from livetables.operators import changes, contracts, feeds, flights, ticks
+from livetables.session import scratch_path, unique_name
+from livetables.sinks import tables as sinks
+from livetables.sources import changelog, generators
+from livetables.sources import tables as sources
 
 TICK_DAY = "2024-01-02"
 
@@ -96,6 +100,150 @@ def q_top_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
                               k=20, **_FLIGHT_ARGS)
 
 
+# ---------------------------------------------------------------------------
+# Tables and contracts
+# ---------------------------------------------------------------------------
+
+def _path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
+def q_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.external_table(spark, unique_name("lt_staging_nation"), _path(sf_dir, "nation"))
+
+
+def q_rename_reserved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contracts.rename_reserved(table(spark, sf_dir, "nation"), reserved=("n_nationkey",))
+
+
+def q_varchar_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contracts.varchar_violations(table(spark, sf_dir, "customer"),
+                                        {"c_name": 17, "c_mktsegment": 30})
+
+
+def _split_events(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two disjoint parts of events that together are the whole table."""
+    is_click = F.coalesce(F.col("event_type") == "click", F.lit(False))
+    return e.where(is_click), e.where(~is_click)
+
+
+def q_ctas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staging = unique_name("lt_staging_events")
+    sources.external_table(spark, staging, _path(sf_dir, "events"))
+    return sinks.ctas(spark, unique_name("lt_ctas_events"), f"SELECT * FROM {staging}")
+
+
+def q_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    name = unique_name("lt_append_events")
+    sinks.create_table(spark, name, e.schema)
+    first, rest = _split_events(e)
+    sinks.append(first, name, by="name")
+    sinks.append(rest.select(*e.columns), name, by="position")
+    return spark.table(name)
+
+
+def q_create_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    name = unique_name("lt_bucketed_events")
+    sinks.create_table(spark, name, e.schema, bucket_by="user_id", buckets=11)
+    first, rest = _split_events(e)
+    sinks.append(first, name, by="position")
+    sinks.append(rest, name, by="name")
+    return spark.table(name)
+
+
+def q_csv_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "events_csv")
+    sinks.csv_export(e, path)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in e.schema.fields)
+    return sources.csv_import(spark, path, ddl)
+
+
+def q_bulk_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remote = sources.read_format(spark, "parquet", path=_path(sf_dir, "events"))
+    return sinks.bulk_copy(spark, remote, unique_name("lt_copy_events"), partition_by="user_id",
+                           buckets=11)
+
+
+# ---------------------------------------------------------------------------
+# Generators, driven by the ids of an existing table
+# ---------------------------------------------------------------------------
+
+def q_gen_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
+    return users.select("user_id", generators.symbol_name("user_id").alias("value"))
+
+
+def q_gen_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
+    return generators.quotes_from_ids(ids)
+
+
+def q_gen_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
+    return generators.trades_from_ids(ids)
+
+
+# ---------------------------------------------------------------------------
+# JSON feed and change feed
+# ---------------------------------------------------------------------------
+
+def q_json_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _rejects = feeds.json_ingest(table(spark, sf_dir, "events"), "k int", value_col="props",
+                                       keep=("event_id",))
+    return good
+
+
+def q_json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _good, rejects = feeds.json_ingest(table(spark, sf_dir, "events"), "k int", value_col="props",
+                                       keep=("event_id",))
+    return rejects
+
+
+KEYSPACE = "shop"
+
+
+def events_change_log(events: DataFrame) -> DataFrame:
+    """events written as change records: one table per event_type, key user_id,
+    clustering event_id, segment user_id % 4, position event_id."""
+    return changelog.change_log_from_rows(
+        events.select("user_id", "event_id", "ts", "value", "event_type"),
+        keyspace=KEYSPACE, table=F.col("event_type"), pk=["user_id"], ck=["event_id"],
+        segment=F.col("user_id") % 4, position=F.col("event_id"))
+
+
+EVENT_CELLS = "ts timestamp_ntz, value double, event_type string"
+
+
+def q_cdc_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = events_change_log(table(spark, sf_dir, "events"))
+    replayed = log.unionByName(log)            # the same change files delivered twice
+    target = changes.cdc_target(replayed, KEYSPACE, "CLICK")
+    rows = changes.cdc_flatten(changes.cdc_replay_guard(target), "ts timestamp_ntz, value double")
+    return rows.select("event_id", "user_id", "ts", "value")
+
+
+def q_cdc_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changes.cdc_positions(events_change_log(table(spark, sf_dir, "events")))
+
+
+def q_cdc_unknown_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = spark.createDataFrame([("click",), ("VIEW",)], "table_name string")
+    return changes.cdc_unknown_tables(events_change_log(table(spark, sf_dir, "events")), known,
+                                      by=("table_name",))
+
+
+def q_cdc_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    base = e.select("user_id", "event_type", "event_id", "value")      # the bulk copy
+    log = events_change_log(e)
+    rows = changes.cdc_flatten(log, "value double, event_type string", keep=("position", "row_no"))
+    return changes.cdc_compact(base, rows, keys=["user_id", "event_type"]).select(
+        "user_id", "event_type", "event_id", "value")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "last_quote_by_symbol": q_last_quote_by_symbol,
     "last_price_by_symbol_exchange": q_last_price_by_symbol_exchange,
@@ -104,6 +252,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "max_bid_by_symbol": q_max_bid_by_symbol,
     "delay_by_carrier": q_delay_by_carrier,
     "top_delays": q_top_delays,
+    "external_table": q_external_table,
+    "rename_reserved": q_rename_reserved,
+    "varchar_violations": q_varchar_violations,
+    "ctas": q_ctas,
+    "append": q_append,
+    "create_table": q_create_table,
+    "csv_import": q_csv_import,
+    "bulk_copy": q_bulk_copy,
+    "gen_symbols": q_gen_symbols,
+    "gen_quotes": q_gen_quotes,
+    "gen_trades": q_gen_trades,
+    "json_ingest": q_json_ingest,
+    "json_rejects": q_json_rejects,
+    "cdc_sync": q_cdc_sync,
+    "cdc_positions": q_cdc_positions,
+    "cdc_unknown_tables": q_cdc_unknown_tables,
+    "cdc_compact": q_cdc_compact,
 }
 
 # ---------------------------------------------------------------------------
@@ -143,3 +308,101 @@ ORACLE_SQL: dict[str, str] = {
         "where l.l_partkey = p.p_partkey and l.l_returnflag like '%A%' and l.l_tax > 0 "
         "group by p.p_name order by total_delay desc, description limit 20"),
 }
+
+
+# Generator oracles: the same seeded draws written in DuckDB SQL.
+
+def _duck_draw(tag: str, window: int, id_col: str = "event_id") -> str:
+    return (f"cast('0x' || substr(md5(concat('{tag}', cast({id_col} as varchar))), "
+            f"{1 + 8 * window}, 8) as bigint)")
+
+
+def _duck_symbol(idx: str) -> str:
+    return (f"case when {idx} < 100 then 'SY' || lpad(cast({idx} as varchar), 2, '0') "
+            f"else 'S' || cast({idx} as varchar) end")
+
+
+def _duck_time(tag_a: str, tag_b: str) -> str:
+    parts = [(_duck_draw(tag_a, 3), 8, 2), (_duck_draw(tag_b, 0), 60, 2),
+             (_duck_draw(tag_b, 1), 60, 2), (_duck_draw(tag_b, 2), 1000, 3)]
+    p = [f"lpad(cast({d} % {m} as varchar), {w}, '0')" for d, m, w in parts]
+    return f"{p[0]} || ':' || {p[1]} || ':' || {p[2]} || '.' || {p[3]}"
+
+
+def _duck_decimal_text(unscaled: str, scale: int = 4) -> str:
+    return (f"cast(({unscaled}) // {10 ** scale} as varchar) || '.' || "
+            f"lpad(cast(({unscaled}) % {10 ** scale} as varchar), {scale}, '0')")
+
+
+def _duck_exchange(idx: str) -> str:
+    names = ", ".join(f"'{x}'" for x in generators.EXCHANGES)
+    return f"[{names}][{idx} + 1]"
+
+
+def _gen_quotes_sql() -> str:
+    a, b = "qa:", "qb:"
+    inner = (f"select event_id as seq, {_duck_symbol(_duck_draw(a, 0) + ' % 400')} as sym, "
+             f"{_duck_exchange(_duck_draw(a, 1) + ' % 9')} as ex, "
+             f"{_duck_draw(a, 2)} / 4294967296.0::double * 100000.0::double as bid, "
+             f"{_duck_time(a, b)} as time, '{generators.BASE_DAY}' as date from events")
+    stamp = "concat_ws(' + ', sym, ex, date || ' ' || time, date)"
+    comments = ", ".join(f"'Comment{k} : Quote Table : ' || {stamp} as comment{k}"
+                         for k in range(1, generators.QUOTE_COMMENTS + 1))
+    return f"select seq, sym, ex, bid, time, date, {comments} from ({inner}) q"
+
+
+def _gen_trades_sql() -> str:
+    a, b = "ta:", "tb:"
+    price_u = f"{_duck_draw(a, 2)} % 100000000"
+    size_u = f"{_duck_draw(b, 3)} % 10000000"
+    inner = (f"select event_id as seq, {_duck_symbol(_duck_draw(a, 0) + ' % 400')} as sym, "
+             f"{_duck_exchange(_duck_draw(a, 1) + ' % 9')} as ex, "
+             f"{_duck_decimal_text(price_u)} as price, {_duck_time(a, b)} as time, "
+             f"'{generators.BASE_DAY}' as date, ({size_u}) / 10000.0::double as size, "
+             f"{_duck_decimal_text(size_u)} as size_text from events")
+    stamp = "concat_ws(' + ', sym, ex, price, date || ' ' || time, date, size_text)"
+    comments = ", ".join(f"'Comment{k} : Trade Table : ' || {stamp} as comment{k}"
+                         for k in range(1, generators.TRADE_COMMENTS + 1))
+    return f"select seq, sym, ex, price, time, date, size, {comments} from ({inner}) t"
+
+
+_JSON_REASON = (
+    "case when props is null then 'empty message' "
+    "when not coalesce(json_valid(props), false) or json_type(props) != 'OBJECT' then 'not a JSON object' "
+    "when json_type(props, '$.k') not in ('BIGINT', 'UBIGINT', 'NULL') then 'field of the wrong type' "
+    "when len(list_filter(json_keys(props), lambda x: x != 'k')) > 0 then 'unknown field: ' || "
+    "array_to_string(list_sort(list_filter(json_keys(props), lambda x: x != 'k')), ',') end")
+
+_EVENTS_STAR = "select * from events"
+
+ORACLE_SQL.update({
+    "external_table": "select * from nation",
+    "rename_reserved": "select n_nationkey as n_nationkey_, n_name, n_regionkey from nation",
+    "varchar_violations": (
+        "select count(*) filter (where length(c_name) > 17) as c_name_too_long, "
+        "count(*) filter (where c_name is null) as c_name_null, "
+        "count(*) filter (where length(c_mktsegment) > 30) as c_mktsegment_too_long, "
+        "count(*) filter (where c_mktsegment is null) as c_mktsegment_null from customer"),
+    "ctas": _EVENTS_STAR,
+    "append": _EVENTS_STAR,
+    "create_table": _EVENTS_STAR,
+    "csv_import": _EVENTS_STAR,
+    "bulk_copy": _EVENTS_STAR,
+    "gen_symbols": (f"select user_id, {_duck_symbol('user_id')} as value "
+                    "from (select distinct user_id from events) u"),
+    "gen_quotes": _gen_quotes_sql(),
+    "gen_trades": _gen_trades_sql(),
+    "json_ingest": (f"select event_id, cast(props->>'$.k' as int) as k from events "
+                    f"where ({_JSON_REASON}) is null"),
+    "json_rejects": (f"select event_id, props, {_JSON_REASON} as reject_reason "
+                     f"from events where ({_JSON_REASON}) is not null"),
+    "cdc_sync": "select event_id, user_id, ts, value from events where event_type = 'click'",
+    "cdc_positions": ("select user_id % 4 as segment, max(event_id) as position "
+                      "from events group by user_id % 4"),
+    "cdc_unknown_tables": ("select event_type as table_name, count(*) as n from events "
+                           "where lower(event_type) not in ('click', 'view') "
+                           "or event_type is null group by event_type"),
+    "cdc_compact": ("select user_id, event_type, event_id, value from (select user_id, event_type, "
+                    "event_id, value, row_number() over (partition by user_id, event_type "
+                    "order by event_id desc) as rn from events) t where rn = 1"),
+})
