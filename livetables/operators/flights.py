@@ -27,13 +27,17 @@ def delay_by_carrier(flights: DataFrame, carriers: DataFrame, *,
                      origin_pattern: str = "%SFO%", delay: str = "WeatherDelay",
                      code: str = "CODE", description: str = "DESCRIPTION",
                      out_total: str = "total_delay", out_description: str = "description",
-                     limit: int | None = None,
+                     limit: int | None = None, sum_scale: int = 2,
                      max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Total delay per carrier description; `limit` keeps any n groups (no order)."""
+    """Total delay per carrier description; `limit` keeps any n groups (no order).
+
+    The sum runs as decimal(18, sum_scale) (delays carry at most that many
+    decimals), so it is exact and the same whatever the partitioning.
+    """
     per_code = (flights
                 .where(F.col(origin).like(origin_pattern) & (F.col(delay) > 0))
                 .groupBy(F.col(carrier).alias("__code"))
-                .agg(exact_sum(delay).alias("__delay")))
+                .agg(exact_sum(delay, 18, sum_scale).alias("__delay")))
     dim = bounded_broadcast(
         carriers.select(F.col(code).alias("__code"), F.col(description).alias(out_description)),
         max_rows)

@@ -96,16 +96,18 @@ def hourly_avg_size(trades: DataFrame, symbols: DataFrame, *, sym: str = "sym",
                     day_col: str | None = "date", day: str | None = "2016-06-06",
                     out_sym: str = "sym", out_hour: str = "hr", out_value: str = "avg_size",
                     max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, join_type: str = "inner",
-                    exact: bool = True) -> DataFrame:
+                    exact_scale: int | None = None) -> DataFrame:
     """Average trade size per listed symbol and hour of day on one day.
 
     A time text that does not parse gives hour NULL (its own group) instead
-    of failing the query. `exact=True` sums as decimal(18,2) so the result
-    does not depend on the order rows are added in.
+    of failing the query. With `exact_scale=s` (sizes carry at most s
+    decimals) the sum runs as decimal(18+s, s), so the result does not depend
+    on the order rows are added in; None is a plain double `avg`.
     """
     f = _day_symbols(trades, symbols, sym=sym, symbol_key=symbol_key, day_col=day_col, day=day,
                      max_rows=max_rows, join_type=join_type)
-    avg = exact_avg(size) if exact else F.avg(F.col(size))
+    avg = (exact_avg(size, 18 + exact_scale, exact_scale) if exact_scale is not None
+           else F.avg(F.col(size)))
     return (f.groupBy(F.col(sym).alias(out_sym), hour_of(f, time_col).alias(out_hour))
             .agg(avg.alias(out_value)))
 

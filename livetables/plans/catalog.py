@@ -64,7 +64,8 @@ def q_hourly_avg_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     args = _tick_args(e)
     args.pop("order")
-    return ticks.hourly_avg_size(e, symbol_dimension(e), time_col="ts", size="value", **args)
+    return ticks.hourly_avg_size(e, symbol_dimension(e), time_col="ts", size="value",
+                                 exact_scale=2, **args)
 
 
 def q_hour_of_text_time(spark: SparkSession, sf_dir: str) -> DataFrame:
