@@ -32,9 +32,13 @@ def rename_reserved_schema(schema: T.StructType, reserved=RESERVED_NAMES,
 
 
 def rename_reserved(df: DataFrame, reserved=RESERVED_NAMES, suffix: str = RESERVED_SUFFIX) -> DataFrame:
-    """Rename reserved columns (exact-case match) in place."""
-    mapping = {c: c + suffix for c in df.columns if c in reserved}
-    return df.withColumnsRenamed(mapping) if mapping else df
+    """Rename reserved columns (exact-case match) in place.
+
+    Positional (toDF): a name-based rename would also hit `year` when the
+    session is case-insensitive.
+    """
+    names = [c + suffix if c in reserved else c for c in df.columns]
+    return df.toDF(*names) if names != df.columns else df
 
 
 def varchar_limits(schema: T.StructType, marker: str = LONG_TEXT_MARKER,
