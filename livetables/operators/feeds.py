@@ -1,45 +1,63 @@
 """JSON messages -> typed rows, with rejected messages kept aside.
 
 Each message is one JSON document. A message is rejected (with a reason)
-when it is not a JSON object, when a field has the wrong type, or when it
-names a column the table does not have; a missing field gives NULL. Text with
-quotes or apostrophes is data, never pasted into SQL, so it cannot break an
-insert.
+when it is not a JSON object, when a field's value does not convert to the
+column type, or when it names a column the table does not have; a missing
+field gives NULL. As in a store's JSON insert, a number may also come as a
+string ("12" for an int column). Text with quotes or apostrophes is data,
+never pasted into SQL, so it cannot break an insert.
+
+Plan: the document is parsed once, into map<string,string> (non-string
+values keep their raw JSON text); keys, conversions and the reject reason
+all read that map. Wrapping the map in a one-element `explode` pins it in
+its own operator, so the filter that splits good rows from rejects does not
+re-parse the document.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from livetables.sources.changelog import JSON_OPTIONS
-
-CORRUPT = "_corrupt_record"
-
 
 def _schema(schema: T.StructType | str) -> T.StructType:
     return T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
+def _convert(raw: Column, dtype: T.DataType) -> Column:
+    """Raw JSON text of one field -> the column type (NULL if it does not fit)."""
+    if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
+        return F.from_json(raw, dtype)
+    if isinstance(dtype, T.StringType):
+        return raw
+    return raw.try_cast(dtype)
+
+
 def parse_messages(df: DataFrame, schema: T.StructType | str, value_col: str = "value",
                    keep: tuple[str, ...] = (), reject_unknown_keys: bool = True) -> DataFrame:
     """All messages with parsed fields plus a `reject_reason` (NULL = good)."""
     st = _schema(schema)
-    with_corrupt = T.StructType(st.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    opts = dict(JSON_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
     v = F.col(value_col)
-    parsed = F.from_json(v, with_corrupt, opts)
-    keys = F.json_object_keys(v)
-    unknown = F.array_except(keys, F.array(*[F.lit(f.name) for f in st.fields]).cast("array<string>"))
+    rows = df.select(*keep, v.alias("__message"),
+                     F.explode(F.array(F.from_json(v, "map<string,string>"))).alias("__map"))
+    m = F.col("__map")
+    values = [_convert(m[f.name], f.dataType).alias(f.name) for f in st.fields]
+    wrong = reduce(lambda a, b: a | b,
+                   [m[f.name].isNotNull() & _convert(m[f.name], f.dataType).isNull() for f in st.fields],
+                   F.lit(False))
+    unknown = F.array_except(F.map_keys(m), F.array(*[F.lit(f.name) for f in st.fields]).cast("array<string>"))
     reason: Column = (
-        F.when(v.isNull(), F.lit("empty message"))
-        .when(keys.isNull(), F.lit("not a JSON object"))
-        .when(parsed[CORRUPT].isNotNull(), F.lit("field of the wrong type")))
+        F.when(F.col("__message").isNull(), F.lit("empty message"))
+        .when(m.isNull(), F.lit("not a JSON object"))
+        .when(wrong, F.lit("field of the wrong type")))
     if reject_unknown_keys:
         reason = reason.when(F.size(unknown) > 0,
-                             F.concat(F.lit("unknown field: "), F.array_join(F.array_sort(unknown), ",")))
-    return df.select(*keep, v.alias("__message"), parsed.alias("__parsed"), reason.alias("reject_reason"))
+                             F.concat(F.lit("unknown field: "), F.array_join(F.sort_array(unknown), ",")))
+    return rows.select(*keep, "__message", F.struct(*values).alias("__parsed"),
+                       reason.alias("reject_reason"))
 
 
 def split_messages(parsed: DataFrame, schema: T.StructType | str,

@@ -25,13 +25,17 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      materialize: bool = False) -> DataFrame:
+                      materialize: bool = False, known_rows: int | None = None) -> DataFrame:
     """Return `dim` with a broadcast hint if it has at most `max_rows` rows.
 
+    `known_rows` is a row count recorded when the dimension was written
+    (see `sinks.tables.replicated_table`); it replaces the counting job.
     With `materialize=True` the dimension is written once to the shared
     checkpoint folder first, so the check and the join read the same rows
     and an expensive derivation (e.g. a distinct over a fact) runs once.
     """
+    if known_rows is not None:
+        return F.broadcast(dim) if known_rows <= max_rows else dim
     if materialize:
         dim = dim.checkpoint(eager=True)
     return F.broadcast(dim) if has_at_most(dim, max_rows) else dim
@@ -39,13 +43,14 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
 
 def membership_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                     how: str = "inner", max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                    materialize: bool = False) -> DataFrame:
+                    materialize: bool = False, known_rows: int | None = None) -> DataFrame:
     """Join a fact to a one-column key dimension that supplies no output.
 
     The dimension acts as a membership filter. `inner` keeps the semantics as
     written (a duplicated dimension key duplicates fact rows); `left_semi`
     gives the same rows when the key is unique and never duplicates.
     """
-    d = bounded_broadcast(dim.select(F.col(dim_key).alias("__member_key")), max_rows, materialize)
+    d = bounded_broadcast(dim.select(F.col(dim_key).alias("__member_key")), max_rows, materialize,
+                          known_rows)
     joined = fact.join(d, fact[fact_key] == d["__member_key"], how)
     return joined.drop("__member_key") if how != "left_semi" else joined

@@ -55,10 +55,11 @@ def latest_by(df: DataFrame, keys: list[str], value: str, order: str, alias: str
 
 def _day_symbols(fact: DataFrame, symbols: DataFrame, *, sym: str, symbol_key: str,
                  day_col: str | None, day: str | None, max_rows: int,
-                 join_type: str) -> DataFrame:
+                 join_type: str, symbol_rows: int | None) -> DataFrame:
     if day_col is not None and day is not None:
         fact = fact.where(day_predicate(fact, day_col, day))
-    return membership_join(fact, symbols, sym, symbol_key, how=join_type, max_rows=max_rows)
+    return membership_join(fact, symbols, sym, symbol_key, how=join_type, max_rows=max_rows,
+                           known_rows=symbol_rows)
 
 
 def last_quote_by_symbol(quotes: DataFrame, symbols: DataFrame, *, sym: str = "sym",
@@ -66,10 +67,14 @@ def last_quote_by_symbol(quotes: DataFrame, symbols: DataFrame, *, sym: str = "s
                          day_col: str | None = "date", day: str | None = "2016-06-06",
                          out_sym: str = "sym", out_value: str = "last_bid",
                          max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                         join_type: str = "inner") -> DataFrame:
-    """Last bid per listed symbol on one day."""
+                         join_type: str = "inner", symbol_rows: int | None = None) -> DataFrame:
+    """Last bid per listed symbol on one day.
+
+    `symbol_rows`: the symbol table's recorded row count, if known (saves
+    the counting job of the broadcast size check).
+    """
     f = _day_symbols(quotes, symbols, sym=sym, symbol_key=symbol_key, day_col=day_col, day=day,
-                     max_rows=max_rows, join_type=join_type)
+                     max_rows=max_rows, join_type=join_type, symbol_rows=symbol_rows)
     return (f.groupBy(F.col(sym).alias(out_sym))
             .agg(F.max_by(F.col(bid), F.col(order)).alias(out_value)))
 
@@ -80,13 +85,14 @@ def last_price_by_symbol_exchange(trades: DataFrame, symbols: DataFrame, *, sym:
                                   day: str | None = "2016-06-06", out_sym: str = "sym",
                                   out_ex: str = "ex", out_value: str = "last_price",
                                   max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                                  join_type: str = "inner") -> DataFrame:
+                                  join_type: str = "inner",
+                                  symbol_rows: int | None = None) -> DataFrame:
     """Last trade price per listed symbol and exchange on one day.
 
     The price keeps its stored type (the generator writes decimal text).
     """
     f = _day_symbols(trades, symbols, sym=sym, symbol_key=symbol_key, day_col=day_col, day=day,
-                     max_rows=max_rows, join_type=join_type)
+                     max_rows=max_rows, join_type=join_type, symbol_rows=symbol_rows)
     return (f.groupBy(F.col(sym).alias(out_sym), F.col(ex).alias(out_ex))
             .agg(F.max_by(F.col(price), F.col(order)).alias(out_value)))
 
@@ -96,7 +102,7 @@ def hourly_avg_size(trades: DataFrame, symbols: DataFrame, *, sym: str = "sym",
                     day_col: str | None = "date", day: str | None = "2016-06-06",
                     out_sym: str = "sym", out_hour: str = "hr", out_value: str = "avg_size",
                     max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, join_type: str = "inner",
-                    exact_scale: int | None = None) -> DataFrame:
+                    exact_scale: int | None = None, symbol_rows: int | None = None) -> DataFrame:
     """Average trade size per listed symbol and hour of day on one day.
 
     A time text that does not parse gives hour NULL (its own group) instead
@@ -105,7 +111,7 @@ def hourly_avg_size(trades: DataFrame, symbols: DataFrame, *, sym: str = "sym",
     on the order rows are added in; None is a plain double `avg`.
     """
     f = _day_symbols(trades, symbols, sym=sym, symbol_key=symbol_key, day_col=day_col, day=day,
-                     max_rows=max_rows, join_type=join_type)
+                     max_rows=max_rows, join_type=join_type, symbol_rows=symbol_rows)
     avg = (exact_avg(size, 18 + exact_scale, exact_scale) if exact_scale is not None
            else F.avg(F.col(size)))
     return (f.groupBy(F.col(sym).alias(out_sym), hour_of(f, time_col).alias(out_hour))

@@ -10,11 +10,14 @@ table that the queries broadcast after a size check.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from livetables.operators.contracts import schema_ddl
+from livetables.session import scratch_path
 from livetables.sources.tables import TS_FORMAT, TS_NTZ_FORMAT, quote_name, sql_string
 
 # Table property that records a bucket count given without a key.
@@ -124,6 +127,40 @@ def append(df: DataFrame, name: str, by: str = "name",
     df.write.insertInto(name)
 
 
+def analyze_rows(spark: SparkSession, name: str) -> int:
+    """Compute table statistics (`ANALYZE TABLE`) and return the row count.
+
+    The statistics stay in the catalog: Catalyst's own broadcast threshold
+    reads them too, and `recorded_rows` returns the count without a job.
+    """
+    spark.sql(f"ANALYZE TABLE {quote_name(name)} COMPUTE STATISTICS")
+    rows = recorded_rows(spark, name)
+    assert rows is not None
+    return rows
+
+
+def recorded_rows(spark: SparkSession, name: str) -> int | None:
+    """Row count stored by ANALYZE TABLE, or None if never analyzed."""
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(name)}").collect():
+        if r["col_name"] == "Statistics":
+            m = re.search(r"(\d+) rows", r["data_type"])
+            return int(m.group(1)) if m else None
+    return None
+
+
+def replicated_table(spark: SparkSession, df: DataFrame, label: str = "dimension") -> tuple[DataFrame, int]:
+    """Write a (small) dimension once to the shared checkpoint folder.
+
+    Returns the dimension read back and its row count, counted once here so
+    later joins can decide on a broadcast without another job. Writing it
+    also cuts its lineage: an expensive derivation is not re-run per query.
+    """
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    out = spark.read.parquet(path)
+    return out, out.count()
+
+
 def ctas(spark: SparkSession, name: str, select_sql: str, fmt: str = "parquet") -> DataFrame:
     """`CREATE TABLE name USING fmt AS <select>`."""
     spark.sql(f"CREATE TABLE {quote_name(name)} USING {fmt} AS {select_sql}")
