@@ -2,7 +2,7 @@
 
     change files --file source--> keep one table --foreachBatch-->
         de-duplicate by identity, drop identities already in the copy,
-        flatten, overwrite <target>/run_id=<r>/batch_id=<n>
+        flatten, overwrite <target>/seg_group=<g>/run_id=<r>/batch_id=<n>
 
 Exactly-once without a transactional sink:
 
@@ -15,6 +15,13 @@ Exactly-once without a transactional sink:
   "already present" check, so the retry rewrites the same rows.
 * `run_id` is stored in the checkpoint folder: a new checkpoint restarts batch
   ids at 0 and gets a new run id, so it never overwrites an older run's rows.
+
+Scale: the copy is partitioned by `seg_group = segment div segments_per_folder`
+(segment ids grow with time, so one group holds consecutive segments). The
+"already present" check reads only the groups the batch touches (static
+partition pruning), and only the identity columns of those; the batch keys
+are broadcast after a size check. Cells that are not valid JSON go to a
+rejects folder instead of becoming empty rows.
 """
 
 from __future__ import annotations
@@ -27,12 +34,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from livetables.operators.changes import cdc_flatten, cdc_replay_guard, cdc_target, cdc_unknown_tables
-from livetables.operators.joins import bounded_broadcast
+from livetables.operators.joins import bounded_broadcast, has_at_most
 from livetables.sources.changelog import IDENTITY, cdc_stream
 
 # Identities per micro-batch up to which the batch keys are broadcast to find
 # rows already in the copy; above it the check is a shuffled anti join.
 MAX_BATCH_KEYS_BROADCAST = 2_000_000
+# Consecutive segments sharing one folder of the copy.
+SEGMENTS_PER_FOLDER = 1024
+# Folder groups a batch may touch for the check to prune by a literal list.
+MAX_PRUNED_GROUPS = 1000
 
 
 def run_id_for(spark: SparkSession, checkpoint: str) -> str:
@@ -47,46 +58,77 @@ def run_id_for(spark: SparkSession, checkpoint: str) -> str:
 
 
 def batch_folder(target_path: str, run_id: str, batch_id: int) -> str:
+    """Folder of one batch's output (used by the JSON feed)."""
     return f"{target_path.rstrip('/')}/run_id={run_id}/batch_id={batch_id}"
 
 
+BOOKKEEPING = ("seg_group", "run_id", "batch_id")
+
+
 def read_copy(spark: SparkSession, target_path: str) -> DataFrame:
     """The synced rows (bookkeeping partition columns dropped)."""
-    return spark.read.parquet(target_path).drop("run_id", "batch_id")
+    return spark.read.parquet(target_path).drop(*BOOKKEEPING)
+
+
+def _seg_group(segment: str, segments_per_folder: int):
+    return F.floor(F.col(segment) / F.lit(segments_per_folder)).cast("bigint")
 
 
 def _existing_identities(spark: SparkSession, target_path: str, run_id: str, batch_id: int,
-                         batch: DataFrame, identity: tuple[str, ...]) -> DataFrame | None:
+                         batch: DataFrame, identity: tuple[str, ...],
+                         segments_per_folder: int) -> DataFrame | None:
     try:
         copy = spark.read.parquet(target_path)
     except AnalysisException:
         return None
     own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
-    copy = copy.where(~own).select(*identity)
+    copy = copy.where(~own)
+    groups = batch.select(_seg_group(identity[0], segments_per_folder).alias("g")).distinct()
+    if has_at_most(groups, MAX_PRUNED_GROUPS):
+        # a handful of ints (the folders this batch touches): prune by literal
+        copy = copy.where(F.col("seg_group").isin([r.g for r in groups.collect()]))
     keys = bounded_broadcast(batch.select(*identity), MAX_BATCH_KEYS_BROADCAST)
     # Rows of the copy that share an identity with this batch: a semi join
-    # that streams the copy past the (broadcast) batch keys.
-    return copy.join(keys, list(identity), "left_semi")
+    # that streams the pruned copy past the (broadcast) batch keys.
+    return copy.select(*identity).join(keys, list(identity), "left_semi")
 
 
 def sync_batch(batch: DataFrame, batch_id: int, *, target_path: str, run_id: str,
                cells_schema: str, identity: tuple[str, ...] = IDENTITY,
                report_path: str | None = None, known_tables: DataFrame | None = None,
-               keyspace: str | None = None, table: str | None = None) -> None:
+               keyspace: str | None = None, table: str | None = None,
+               reject_path: str | None = None,
+               segments_per_folder: int = SEGMENTS_PER_FOLDER) -> None:
+    """Apply one micro-batch of change records to the copy (idempotent)."""
     spark = batch.sparkSession
     batch = batch.persist()
+    dedup = None
     try:
         if report_path is not None and known_tables is not None:
             (cdc_unknown_tables(batch, known_tables).write.mode("overwrite")
              .parquet(batch_folder(report_path, run_id, batch_id)))
         rows = batch if keyspace is None else cdc_target(batch, keyspace, table)
-        rows = cdc_replay_guard(rows, identity)
-        present = _existing_identities(spark, target_path, run_id, batch_id, rows, identity)
+        dedup = cdc_replay_guard(rows, identity).persist()
+        rows = dedup
+        present = _existing_identities(spark, target_path, run_id, batch_id, dedup, identity,
+                                       segments_per_folder)
         if present is not None:
             rows = rows.join(present, list(identity), "left_anti")
+        bad_cells = F.col("cells").isNotNull() & F.json_object_keys("cells").isNull()
+        if reject_path is not None:
+            (rows.where(bad_cells).write.mode("overwrite")
+             .parquet(batch_folder(reject_path, run_id, batch_id)))
+            rows = rows.where(~bad_cells)
         flat = cdc_flatten(rows, cells_schema, keep=identity)
-        flat.write.mode("overwrite").parquet(batch_folder(target_path, run_id, batch_id))
+        out = flat.select("*", _seg_group(identity[0], segments_per_folder).alias("seg_group"),
+                          F.lit(run_id).alias("run_id"), F.lit(batch_id).alias("batch_id"))
+        # dynamic overwrite: replaces only this batch's folders, so a retry
+        # rewrites exactly what it wrote before
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*BOOKKEEPING).parquet(target_path))
     finally:
+        if dedup is not None:
+            dedup.unpersist()
         batch.unpersist()
 
 
@@ -94,7 +136,8 @@ def cdc_sync(spark: SparkSession, log_dir: str, target_path: str, checkpoint: st
              log_schema: str, cells_schema: str, keyspace: str, table: str,
              fmt: str = "parquet", trigger_seconds: float = 5.0, available_now: bool = False,
              max_files_per_trigger: int | None = None, report_path: str | None = None,
-             known_tables: DataFrame | None = None) -> StreamingQuery:
+             known_tables: DataFrame | None = None, reject_path: str | None = None,
+             segments_per_folder: int = SEGMENTS_PER_FOLDER) -> StreamingQuery:
     """Start the sync stream. `available_now=True` takes what is there and stops.
 
     With `report_path` and `known_tables`, records of tables not in the list
@@ -112,7 +155,8 @@ def cdc_sync(spark: SparkSession, log_dir: str, target_path: str, checkpoint: st
     def handle(batch: DataFrame, batch_id: int) -> None:
         sync_batch(batch, batch_id, target_path=target_path, run_id=run_id,
                    cells_schema=cells_schema, report_path=report_path,
-                   known_tables=known_tables, keyspace=ks, table=tb)
+                   known_tables=known_tables, keyspace=ks, table=tb, reject_path=reject_path,
+                   segments_per_folder=segments_per_folder)
 
     writer = src.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = (writer.trigger(availableNow=True) if available_now

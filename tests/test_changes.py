@@ -160,3 +160,22 @@ def test_stream_unknown_table_report(spark, scratch):
             .agg(F.count(F.lit(1)).alias("n")))
     assert _same(rep, want)
     assert _same(_synced(spark, f"{scratch}/copy"), _expected(e))
+
+
+def test_stream_rejects_cells_that_are_not_json(spark, scratch):
+    e, log = _event_log(spark)
+    bad = log.where("event_type = 'click'").limit(3).select(
+        *[F.lit("{broken").alias("cells") if c == "cells" else F.col(c) for c in log.columns]
+    ).withColumn("position", F.col("position") + 10_000_000)
+    log.unionByName(bad).write.parquet(f"{scratch}/log")
+    _run(spark, f"{scratch}/log", f"{scratch}/copy", f"{scratch}/ckpt", reject_path=f"{scratch}/rej")
+    assert spark.read.parquet(f"{scratch}/rej").count() == 3
+    assert _same(_synced(spark, f"{scratch}/copy"), _expected(e))
+
+
+def test_copy_folders_group_segments(spark, scratch):
+    e, log = _event_log(spark)
+    log.write.parquet(f"{scratch}/log")
+    _run(spark, f"{scratch}/log", f"{scratch}/copy", f"{scratch}/ckpt", segments_per_folder=2)
+    groups = {r.seg_group for r in spark.read.parquet(f"{scratch}/copy").select("seg_group").distinct().collect()}
+    assert groups == {0, 1}
