@@ -28,10 +28,18 @@ def digest(tag: str, id_col: ColumnOrName) -> Column:
 
 
 def hash_window(hex_digest: Column, window: int) -> Column:
-    """Unsigned 32-bit integer from the `window`-th (0..3) 8-digit slice."""
+    """Unsigned 32-bit integer from the `window`-th (0..3) 8-digit slice.
+
+    Each 16-digit half is converted once (as a signed 64-bit number, base
+    -10) and split with shifts and masks; the same half used by two windows
+    is one common subexpression, so a digest costs two conversions.
+    """
     if not 0 <= window <= 3:
         raise ValueError("window must be 0..3")
-    return F.conv(F.substring(hex_digest, 1 + 8 * window, 8), 16, 10).cast("bigint")
+    half = F.conv(F.substring(hex_digest, 1 + 16 * (window // 2), 16), 16, -10).cast("bigint")
+    if window % 2 == 0:
+        return F.shiftrightunsigned(half, 32)
+    return half.bitwiseAND(F.lit(0xFFFFFFFF))
 
 
 def uniform(hex_digest: Column, window: int, scale: float) -> Column:
