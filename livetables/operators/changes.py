@@ -6,6 +6,7 @@
                       then clustering columns
 * cdc_positions:      furthest position per segment
 * cdc_unknown_tables: records whose table is not known, counted per table
+* cdc_latest:         newest raw record per key (before parsing cells)
 * cdc_compact:        bulk copy + change rows -> one row per key, newest wins
 
 Replay guard. A per-segment high-water mark is only right when one reader
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from livetables.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from livetables.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, has_at_most
 from livetables.sources.changelog import IDENTITY, JSON_OPTIONS
 
 
@@ -89,37 +90,59 @@ def cdc_unknown_tables(log: DataFrame, known: DataFrame, by: tuple[str, ...] = (
             .groupBy(*by).agg(F.count(F.lit(1)).alias("n")))
 
 
+def cdc_latest(log: DataFrame, keys: list, order: tuple[str, ...] = ("position", "row_no")) -> DataFrame:
+    """The newest raw record per key (keys may be columns of pk/ck, e.g. "pk.id").
+
+    Run before `cdc_flatten`, so only the winning records' cells are parsed.
+    One `max_by(record, order)` per key: the partial aggregate keeps one
+    record per key per task before the shuffle (hot keys collapse map-side).
+    """
+    key_cols = [F.col(k).alias(k.replace(".", "_")) if isinstance(k, str) else k for k in keys]
+    names = [c for c in log.columns]
+    rank = F.struct(*[F.col(c) for c in order])
+    return (log.groupBy(*key_cols)
+            .agg(F.max_by(F.struct(*[F.col(c) for c in names]), rank).alias("__rec"))
+            .select(*[F.col(f"__rec.{c}").alias(c) for c in names]))
+
+
 def cdc_compact(base: DataFrame | None, changes: DataFrame, keys: list[str],
                 order: tuple[str, ...] = ("position", "row_no"), op_col: str | None = None,
-                delete_ops: tuple[str, ...] = ("delete",)) -> DataFrame:
-    """One row per key: the newest change wins; bulk-copied rows lose to any change.
+                delete_ops: tuple[str, ...] = ("delete",),
+                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Merge flattened change rows into a bulk copy: one row per changed key,
+    the newest change wins, unchanged base rows are kept as they are.
 
     `changes` holds flattened change rows plus the `order` columns (positions
     must be comparable across segments, e.g. a global sequence). When
     `op_col` is given, a key whose newest change is a delete is removed.
 
-    Plan: one aggregate `max_by(row, (source, order...))` per key; the
-    partial aggregate keeps one row per key per task before the shuffle, so a
-    key holding a third of all changes does not land whole on one task.
+    Plan: (1) newest change per key, `max_by(row, order)` with a partial
+    aggregate (a key holding a third of all changes is collapsed inside each
+    task); (2) base rows whose key changed are removed by an anti join. When
+    the changes have at most `max_rows` rows (a bounded count), their keys are
+    broadcast and the base is streamed past them without any shuffle; above
+    the bound the anti join shuffles. (3) the surviving upserts are added.
     """
     value_cols = [c for c in changes.columns if c not in keys and c not in order and c != op_col]
     if base is not None:
         value_cols += [c for c in base.columns if c not in keys and c not in value_cols]
-    rank_fields = [F.lit(1).alias("__src")] + [F.col(c).alias(c) for c in order]
-    ch = changes.select(*keys, *[F.col(c) if c in changes.columns else F.lit(None).alias(c) for c in value_cols],
-                        (F.col(op_col) if op_col else F.lit(None).cast("string")).alias("__op"),
-                        F.struct(*rank_fields).alias("__rank"))
-    parts = [ch]
-    if base is not None:
-        base_rank = F.struct(F.lit(0).alias("__src"),
-                             *[F.lit(None).cast(changes.schema[c].dataType).alias(c) for c in order])
-        parts.append(base.select(*keys, *[F.col(c) if c in base.columns else F.lit(None).alias(c)
-                                          for c in value_cols],
-                                 F.lit(None).cast("string").alias("__op"),
-                                 base_rank.alias("__rank")))
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    latest = (rows.groupBy(*keys)
-              .agg(F.max_by(F.struct(*value_cols, "__op"), F.col("__rank")).alias("__row")))
+    payload = [F.col(c) if c in changes.columns else F.lit(None).alias(c) for c in value_cols]
+    op = F.col(op_col) if op_col else F.lit(None).cast("string")
+    latest = (changes.groupBy(*keys)
+              .agg(F.max_by(F.struct(*payload, op.alias("__op")),
+                            F.struct(*[F.col(c) for c in order])).alias("__row")))
+    upserts = latest
     if op_col:
-        latest = latest.where(~F.coalesce(F.lower(F.col("__row.__op")).isin(*delete_ops), F.lit(False)))
-    return latest.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in value_cols])
+        upserts = upserts.where(~F.coalesce(F.lower(F.col("__row.__op")).isin(*delete_ops), F.lit(False)))
+    upserts = upserts.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in value_cols])
+    if base is None:
+        return upserts
+    # The changed keys are at most as many as the change rows, so a bounded
+    # count of the changes proves the broadcast side small.
+    touched = latest.select(*keys)
+    if has_at_most(changes, max_rows):
+        touched = F.broadcast(touched)
+    kept = base.select(*keys, *[F.col(c) if c in base.columns else F.lit(None).alias(c)
+                                for c in value_cols])
+    kept = kept.join(touched, keys, "left_anti")
+    return kept.unionByName(upserts)

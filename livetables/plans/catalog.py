@@ -266,8 +266,9 @@ def q_cdc_unknown_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_cdc_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     base = e.select("user_id", "event_type", "event_id", "value")      # the bulk copy
-    log = events_change_log(e)
-    rows = changes.cdc_flatten(log, "value double, event_type string", keep=("position", "row_no"))
+    # newest record per (user, table) first, so only winners' cells are parsed
+    latest = changes.cdc_latest(events_change_log(e), keys=["pk.user_id", "table_name"])
+    rows = changes.cdc_flatten(latest, "value double, event_type string", keep=("position", "row_no"))
     return changes.cdc_compact(base, rows, keys=["user_id", "event_type"]).select(
         "user_id", "event_type", "event_id", "value")
 

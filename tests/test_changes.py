@@ -179,3 +179,27 @@ def test_copy_folders_group_segments(spark, scratch):
     _run(spark, f"{scratch}/log", f"{scratch}/copy", f"{scratch}/ckpt", segments_per_folder=2)
     groups = {r.seg_group for r in spark.read.parquet(f"{scratch}/copy").select("seg_group").distinct().collect()}
     assert groups == {0, 1}
+
+
+def test_latest_raw_record_then_flatten(spark):
+    log = _log(spark, [
+        _rec(1, 10, 0, "airline", (2001, "west"), (7,), '{"delay": 5}'),
+        _rec(1, 12, 0, "airline", (2001, "west"), (7,), '{"delay": 9}'),
+        _rec(2, 3, 0, "airline", (2001, "east"), (7,), '{"delay": 1}'),
+    ])
+    latest = changes.cdc_latest(log, keys=["pk.year", "pk.region", "ck.flight"])
+    assert latest.columns == log.columns
+    flat = changes.cdc_flatten(latest, "delay int")
+    assert sorted(flat.collect()) == [(1, 2001, "east", 7), (9, 2001, "west", 7)]
+
+
+def test_compact_keeps_unchanged_base_rows_and_bound_paths_agree(spark):
+    base = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, 3.0), (3, 3.5)], "k int, v double")
+    ch = spark.createDataFrame([(1, 10.0, 5, 0), (1, 11.0, 6, 0), (4, 4.0, 1, 0)],
+                               "k int, v double, position bigint, row_no int")
+    small = changes.cdc_compact(base, ch, keys=["k"])
+    big = changes.cdc_compact(base, ch, keys=["k"], max_rows=1)       # over the bound: shuffled
+    want = [(1, 11.0), (2, 2.0), (3, 3.0), (3, 3.5), (4, 4.0)]
+    assert sorted(small.collect()) == want and sorted(big.collect()) == want
+    from livetables.plans import inspect
+    assert "BroadcastHashJoin" in inspect.tree(small) and "LeftAnti" in inspect.plan_text(small)
