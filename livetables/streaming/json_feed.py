@@ -55,8 +55,16 @@ def json_feed(spark: SparkSession, messages: DataFrame, schema: str, good_path:
     return writer.start()
 
 
-def run_for(query: StreamingQuery, timeout_s: float) -> None:
-    """Let a stream run up to `timeout_s` seconds (the reference's cap on a
-    feed session), then stop it."""
-    if not query.awaitTermination(timeout_s):
-        query.stop()
+def run_for(query: StreamingQuery, timeout_s: float, max_batches: int | None = None,
+            poll_s: float = 1.0) -> None:
+    """Let a stream run up to `timeout_s` seconds or `max_batches` completed
+    micro-batches (the reference's caps on a feed session), then stop it."""
+    import time
+    deadline = time.monotonic() + timeout_s
+    while time.monotonic() < deadline:
+        if query.awaitTermination(min(poll_s, max(0.0, deadline - time.monotonic()))):
+            return
+        progress = query.lastProgress
+        if max_batches is not None and progress and progress.get("batchId", -1) + 1 >= max_batches:
+            break
+    query.stop()

@@ -58,3 +58,15 @@ def test_stream_from_folder_is_idempotent(spark, scratch):
                             ckpt, available_now=True)
     json_feed.run_for(q, 300)
     assert spark.read.parquet(good).drop("run_id", "batch_id").count() == 3
+
+
+def test_run_for_stops_after_max_batches(spark, scratch):
+    src = f"{scratch}/in"
+    os.makedirs(src)
+    with open(f"{src}/a.json", "w") as f:
+        f.write('{"flight": "UA1", "alt": 1}\n')
+    q = json_feed.json_feed(spark, json_feed.message_stream(spark, "text", src), SCHEMA,
+                            f"{scratch}/good", f"{scratch}/rej", f"{scratch}/ckpt", trigger_seconds=0.5)
+    json_feed.run_for(q, timeout_s=120, max_batches=1)
+    assert not q.isActive
+    assert spark.read.parquet(f"{scratch}/good").count() == 1

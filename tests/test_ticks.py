@@ -157,3 +157,19 @@ def test_generate_load_and_query(spark, scratch):
     want_lp = {(a, b): c for a, b, c in zip(last_price["sym"], last_price["ex"], last_price["price"])}
     got_lp = {(r.sym, r.ex): r.last_price for r in res["last_price_by_symbol_exchange"].collect()}
     assert got_lp == want_lp
+
+
+def test_day_advances_every_10000_rows(spark):
+    q = generators.gen_quotes(spark, rows=35000, partitions=3, days=3)
+    days = {r.seq // 10000: r.date for r in q.select("seq", "date").collect()}
+    assert days == {0: "2016-06-06", 1: "2016-06-07", 2: "2016-06-08", 3: "2016-06-06"}
+
+
+def test_day_partitioned_load_prunes_folders(spark, scratch):
+    from livetables.plans import inspect
+    generators.generate_to(spark, f"{scratch}/ticks", scale=0.01, partitions=2)
+    load_ticks(spark, f"{scratch}/ticks", buckets=4, prefix="t2_", day_partitions=True)
+    res = tick_queries(spark, prefix="t2_")
+    df = res["last_quote_by_symbol"]
+    assert "PartitionFilters: [isnotnull(date" in inspect.plan_text(df)
+    assert df.count() > 0
