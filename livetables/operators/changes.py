@@ -108,7 +108,8 @@ def cdc_latest(log: DataFrame, keys: list, order: tuple[str, ...] = ("position",
 def cdc_compact(base: DataFrame | None, changes: DataFrame, keys: list[str],
                 order: tuple[str, ...] = ("position", "row_no"), op_col: str | None = None,
                 delete_ops: tuple[str, ...] = ("delete",),
-                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                changes_rows: int | None = None, materialize: bool = True) -> DataFrame:
     """Merge flattened change rows into a bulk copy: one row per changed key,
     the newest change wins, unchanged base rows are kept as they are.
 
@@ -122,6 +123,11 @@ def cdc_compact(base: DataFrame | None, changes: DataFrame, keys: list[str],
     the changes have at most `max_rows` rows (a bounded count), their keys are
     broadcast and the base is streamed past them without any shuffle; above
     the bound the anti join shuffles. (3) the surviving upserts are added.
+    `changes_rows` is a known upper bound on the change rows (e.g. the row
+    count of the log they come from); without it a bounded count is taken.
+    `materialize=True` writes the newest-per-key rows once to the shared
+    checkpoint folder: they feed both the anti join and the upserts, and
+    column pruning would otherwise make the two branches compute them twice.
     """
     value_cols = [c for c in changes.columns if c not in keys and c not in order and c != op_col]
     if base is not None:
@@ -131,6 +137,10 @@ def cdc_compact(base: DataFrame | None, changes: DataFrame, keys: list[str],
     latest = (changes.groupBy(*keys)
               .agg(F.max_by(F.struct(*payload, op.alias("__op")),
                             F.struct(*[F.col(c) for c in order])).alias("__row")))
+    if materialize and base is not None:
+        latest = latest.checkpoint(eager=True)
+        if changes_rows is None:
+            changes_rows = latest.count()          # now a read of the written rows
     upserts = latest
     if op_col:
         upserts = upserts.where(~F.coalesce(F.lower(F.col("__row.__op")).isin(*delete_ops), F.lit(False)))
@@ -140,7 +150,8 @@ def cdc_compact(base: DataFrame | None, changes: DataFrame, keys: list[str],
     # The changed keys are at most as many as the change rows, so a bounded
     # count of the changes proves the broadcast side small.
     touched = latest.select(*keys)
-    if has_at_most(changes, max_rows):
+    small = changes_rows <= max_rows if changes_rows is not None else has_at_most(changes, max_rows)
+    if small:
         touched = F.broadcast(touched)
     kept = base.select(*keys, *[F.col(c) if c in base.columns else F.lit(None).alias(c)
                                 for c in value_cols])

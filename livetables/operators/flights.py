@@ -28,11 +28,14 @@ def delay_by_carrier(flights: DataFrame, carriers: DataFrame, *,
                      code: str = "CODE", description: str = "DESCRIPTION",
                      out_total: str = "total_delay", out_description: str = "description",
                      limit: int | None = None, sum_scale: int = 2,
-                     max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                     max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                     carrier_rows: int | None = None) -> DataFrame:
     """Total delay per carrier description; `limit` keeps any n groups (no order).
 
     The sum runs as decimal(18, sum_scale) (delays carry at most that many
     decimals), so it is exact and the same whatever the partitioning.
+    `carrier_rows`: the carrier table's recorded row count, if known (saves
+    the counting job of the broadcast size check).
     """
     per_code = (flights
                 .where(F.col(origin).like(origin_pattern) & (F.col(delay) > 0))
@@ -40,7 +43,7 @@ def delay_by_carrier(flights: DataFrame, carriers: DataFrame, *,
                 .agg(exact_sum(delay, 18, sum_scale).alias("__delay")))
     dim = bounded_broadcast(
         carriers.select(F.col(code).alias("__code"), F.col(description).alias(out_description)),
-        max_rows)
+        max_rows, known_rows=carrier_rows)
     out = (per_code.join(dim, "__code", "inner")
            .groupBy(out_description)
            .agg(F.sum("__delay").cast("double").alias(out_total))

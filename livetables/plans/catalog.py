@@ -48,6 +48,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 _REGISTERED: set = set()
 _DIMENSIONS: dict = {}
+_ROWS: dict = {}
+
+
+def source_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Row count of a source table, counted once per session (from Parquet
+    footers: the count reads no column data)."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _ROWS:
+        _ROWS[key] = table(spark, sf_dir, name).count()
+    return _ROWS[key]
 
 
 def symbol_dimension(events: DataFrame) -> DataFrame:
@@ -120,12 +130,12 @@ _FLIGHT_ARGS = dict(carrier="l_partkey", origin="l_returnflag", origin_pattern="
 
 def q_delay_by_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flights.delay_by_carrier(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"),
-                                    **_FLIGHT_ARGS)
+                                    carrier_rows=source_rows(spark, sf_dir, "part"), **_FLIGHT_ARGS)
 
 
 def q_top_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flights.top_delays(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"),
-                              k=20, **_FLIGHT_ARGS)
+                              k=20, carrier_rows=source_rows(spark, sf_dir, "part"), **_FLIGHT_ARGS)
 
 
 # ---------------------------------------------------------------------------
@@ -269,7 +279,9 @@ def q_cdc_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     # newest record per (user, table) first, so only winners' cells are parsed
     latest = changes.cdc_latest(events_change_log(e), keys=["pk.user_id", "table_name"])
     rows = changes.cdc_flatten(latest, "value double, event_type string", keep=("position", "row_no"))
-    return changes.cdc_compact(base, rows, keys=["user_id", "event_type"]).select(
+    # the change rows are at most the log's rows, i.e. the rows of events
+    return changes.cdc_compact(base, rows, keys=["user_id", "event_type"],
+                               changes_rows=source_rows(spark, sf_dir, "events")).select(
         "user_id", "event_type", "event_id", "value")
 
 
