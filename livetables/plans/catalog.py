@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from livetables.operators import changes, contracts, feeds, flights, ticks
-from livetables.session import scratch_path, unique_name
+from livetables.session import scratch_path, session_key, unique_name
 from livetables.sinks import tables as sinks
 from livetables.sources import changelog, generators
 from livetables.sources import tables as sources
@@ -39,7 +39,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     view = "lt_src_" + hashlib.md5(path.encode()).hexdigest()[:12]
-    key = (spark.sparkContext.applicationId, view)
+    key = (session_key(spark), view)
     if key not in _REGISTERED or not spark.catalog.tableExists(view):
         spark.read.parquet(path).createOrReplaceTempView(view)
         _REGISTERED.add(key)
@@ -54,7 +54,7 @@ _ROWS: dict = {}
 def source_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
     """Row count of a source table, counted once per session (from Parquet
     footers: the count reads no column data)."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (session_key(spark), sf_dir, name)
     if key not in _ROWS:
         _ROWS[key] = table(spark, sf_dir, name).count()
     return _ROWS[key]
@@ -69,7 +69,7 @@ def symbol_dimension(events: DataFrame) -> DataFrame:
 def listed_symbols(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     """The symbol dimension, written once per session to the shared folder
     with its row count (the reference loads its symbol table once too)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _DIMENSIONS:
         _DIMENSIONS[key] = sinks.replicated_table(
             spark, symbol_dimension(table(spark, sf_dir, "events")), "symbols")
@@ -205,6 +205,29 @@ def q_bulk_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
                            buckets=11)
 
 
+def q_save_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "events_saved")
+    sinks.save_dir(table(spark, sf_dir, "events"), path)
+    return sources.read_default(spark, path)
+
+
+def q_sql_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.sql_external_table(spark, unique_name("lt_sql_part"), "parquet",
+                                      path=_path(sf_dir, "part"))
+
+
+def q_bucketed_last_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tick load path: the fact appended into a table bucketed on the
+    symbol, then the last-quote rollup over that table."""
+    e = table(spark, sf_dir, "events")
+    name = unique_name("lt_quotes_bucketed")
+    sinks.create_table(spark, name, e.schema, bucket_by="user_id", buckets=16)
+    sinks.append(e, name)
+    symbols, args = _tick_args(spark, sf_dir)
+    return ticks.last_quote_by_symbol(spark.table(name), symbols, bid="value",
+                                      out_value="last_bid", **args)
+
+
 # ---------------------------------------------------------------------------
 # Generators, driven by the ids of an existing table
 # ---------------------------------------------------------------------------
@@ -263,6 +286,11 @@ def q_cdc_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", "user_id", "ts", "value")
 
 
+def q_cdc_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changes.cdc_flatten(events_change_log(table(spark, sf_dir, "events")),
+                               "ts timestamp_ntz, value double, event_type string")
+
+
 def q_cdc_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.cdc_positions(events_change_log(table(spark, sf_dir, "events")))
 
@@ -301,12 +329,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "create_table": q_create_table,
     "csv_import": q_csv_import,
     "bulk_copy": q_bulk_copy,
+    "save_dir": q_save_dir,
+    "sql_external_table": q_sql_external_table,
+    "bucketed_last_quote": q_bucketed_last_quote,
     "gen_symbols": q_gen_symbols,
     "gen_quotes": q_gen_quotes,
     "gen_trades": q_gen_trades,
     "json_ingest": q_json_ingest,
     "json_rejects": q_json_rejects,
     "cdc_sync": q_cdc_sync,
+    "cdc_flatten": q_cdc_flatten,
     "cdc_positions": q_cdc_positions,
     "cdc_unknown_tables": q_cdc_unknown_tables,
     "cdc_compact": q_cdc_compact,
@@ -319,6 +351,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _S = "(select distinct user_id as value from events where user_id % 4 = 0) s"
 
 ORACLE_SQL: dict[str, str] = {
+    "bucketed_last_quote": (
+        "select e.user_id as sym, arg_max(e.value, e.event_id) as last_bid "
+        f"from events e join {_S} on e.user_id = s.value "
+        f"where cast(e.ts as date) = date '{TICK_DAY}' group by e.user_id"),
     "last_quote_by_symbol": (
         "select e.user_id as sym, arg_max(e.value, e.event_id) as last_bid "
         f"from events e join {_S} on e.user_id = s.value "
@@ -430,6 +466,9 @@ ORACLE_SQL.update({
     "create_table": _EVENTS_STAR,
     "csv_import": _EVENTS_STAR,
     "bulk_copy": _EVENTS_STAR,
+    "save_dir": _EVENTS_STAR,
+    "sql_external_table": "select * from part",
+    "cdc_flatten": "select ts, value, event_type, user_id, event_id from events",
     "gen_symbols": (f"select user_id, {_duck_symbol('user_id')} as value "
                     "from (select distinct user_id from events) u"),
     "gen_quotes": _gen_quotes_sql(),

@@ -54,11 +54,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         # Core settings cannot be changed on a running session; register the
         # folder with the context instead.
         configured = os.path.join(tempfile.gettempdir(), "livetables-checkpoints")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(configured)
+    try:
+        sc = spark.sparkContext
+    except Exception:          # a Spark Connect session has no context here
+        return configured
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
     return configured
 
 
+def session_key(spark: SparkSession) -> str:
+    """An id of the running application (per-session caches key on it)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder, unique per call."""
     base = ensure_checkpoint_dir(spark)
