@@ -1,0 +1,31 @@
+"""Parallelism guard for CPU-heavy per-row work.
+
+A scan yields one task per file split. When the input is a handful of
+splits (a small or unsplittable file), per-row work such as hashing or JSON
+encoding runs on that many cores only. `spread` redistributes such an input
+round-robin over the cluster's cores; an input that already has at least
+that many partitions (any large table) is returned untouched, so at scale
+no shuffle is added.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def default_parallelism(df: DataFrame) -> int:
+    spark = df.sparkSession
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:          # Spark Connect: fall back to the shuffle width
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """`df`, redistributed over `min_partitions` (default: all cores) if narrower."""
+    target = min_partitions or default_parallelism(df)
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:
+        return df
+    return df.repartition(target) if current < target else df
