@@ -41,3 +41,15 @@ def pushed_filters(df: DataFrame) -> list[str]:
 
 def read_schemas(df: DataFrame) -> list[str]:
     return re.findall(r"ReadSchema: (struct<.*>)", plan_text(df))
+
+
+def summary(df: DataFrame) -> dict[str, int]:
+    """Counts of the plan features that matter at scale."""
+    return {
+        "shuffles": shuffle_exchanges(df),
+        "broadcast_joins": count_nodes(df, "BroadcastHashJoin"),
+        "sort_merge_joins": count_nodes(df, "SortMergeJoin"),
+        "hash_aggregates": count_nodes(df, "HashAggregate"),
+        "sort_aggregates": count_nodes(df, "SortAggregate"),
+        "python_evals": len(re.findall(r"(BatchEvalPython|ArrowEvalPython)", plan_text(df))),
+    }
