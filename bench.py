@@ -5,6 +5,11 @@ the mean of 5 timed runs. Each run builds the plan (including any broadcast
 size check) and writes every result row to the `noop` sink, so the whole
 plan executes without collecting rows to the driver.
 
+The reference's own workload is timed too: ticks are generated once at
+scale = sf (untimed, like its generator step), then `load_ticks` (drop,
+stage, create bucketed tables, append) and its three tick queries on the
+loaded tables, each 1 warm-up + mean of 5.
+
 Prints one JSON line: {"metric", "value" (sum of per-query means, sec),
 "unit", "queries": {name: sec}, "sf"}.
 """
@@ -19,8 +24,12 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import tempfile  # noqa: E402
+
 from livetables.plans.catalog import QUERIES  # noqa: E402
-from livetables.session import local_session  # noqa: E402
+from livetables.plans.loads import load_ticks, tick_query  # noqa: E402
+from livetables.session import local_session, scratch_path  # noqa: E402
+from livetables.sources.generators import generate_to  # noqa: E402
 
 HEADLINE = [
     "last_quote_by_symbol",
@@ -38,28 +47,49 @@ HEADLINE = [
 RUNS = 5
 
 
-def run_once(spark, name: str, sf_dir: str) -> float:
-    t0 = time.perf_counter()
+def run_once(spark, name: str, sf_dir: str) -> None:
     QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - t0
+
+
+def timed(fn) -> float:
+    fn()                                                    # warm-up
+    total = 0.0
+    for _ in range(RUNS):
+        t0 = time.perf_counter()
+        fn()
+        total += time.perf_counter() - t0
+    return round(total / RUNS, 4)
+
+
+def reference_workload(spark, scale: float) -> dict[str, float]:
+    path = scratch_path(spark, "bench_ticks")
+    generate_to(spark, path, scale=scale, partitions=max(8, spark.sparkContext.defaultParallelism))
+    out = {"load_ticks": timed(lambda: load_ticks(spark, path, buckets=16, prefix="bench_"))}
+    for key, name in (("ticks_q1_last_bid", "last_quote_by_symbol"),
+                      ("ticks_q2_last_price", "last_price_by_symbol_exchange"),
+                      ("ticks_q3_avg_size", "hourly_avg_size")):
+        out[key] = timed(lambda name=name: tick_query(spark, name, prefix="bench_")
+                         .write.format("noop").mode("overwrite").save())
+    return out
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * int(cpus) if cpus.isdigit() else 16))
-    results = {}
-    for name in names:
-        run_once(spark, name, sf_dir)                      # warm-up
-        results[name] = round(sum(run_once(spark, name, sf_dir) for _ in range(RUNS)) / RUNS, 4)
+    spark = local_session(cpus, shuffle_partitions=max(8, 2 * int(cpus) if cpus.isdigit() else 16),
+                          extra_conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="lt-bench-")})
+    results = {name: timed(lambda name=name: run_once(spark, name, sf_dir)) for name in names}
     m = re.search(r"sf([0-9.]+)", sf_dir)
+    sf = float(m.group(1)) if m else None
+    if not sys.argv[1:]:
+        results.update(reference_workload(spark, sf or 0.1))
     print(json.dumps({
         "metric": "sum of mean query time (1 warm-up + mean of 5, noop sink)",
         "value": round(sum(results.values()), 4),
         "unit": "sec",
         "queries": results,
-        "sf": float(m.group(1)) if m else sf_dir,
+        "sf": sf if sf is not None else sf_dir,
     }))
     spark.stop()
 

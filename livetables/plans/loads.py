@@ -68,16 +68,27 @@ def load_ticks(spark: SparkSession, path: str, provider: str = "column", buckets
     return times
 
 
+def tick_query(spark: SparkSession, name: str, prefix: str = "", day: str = "2016-06-06",
+               symbol_rows: int | None = None) -> DataFrame:
+    """One of the three rollups over loaded tick tables."""
+    s = spark.table(prefix + TICK_TABLES["symbols"])
+    n = symbol_rows if symbol_rows is not None else recorded_rows(spark, prefix + TICK_TABLES["symbols"])
+    if name == "last_quote_by_symbol":
+        return ticks.last_quote_by_symbol(spark.table(prefix + TICK_TABLES["quotes"]), s, day=day,
+                                          symbol_rows=n)
+    trades = spark.table(prefix + TICK_TABLES["trades"])
+    if name == "last_price_by_symbol_exchange":
+        return ticks.last_price_by_symbol_exchange(trades, s, day=day, symbol_rows=n)
+    if name == "hourly_avg_size":
+        return ticks.hourly_avg_size(trades, s, day=day, symbol_rows=n)
+    raise KeyError(name)
+
+
 def tick_queries(spark: SparkSession, prefix: str = "", day: str = "2016-06-06") -> dict[str, DataFrame]:
     """The three rollups over loaded tick tables."""
-    q, t, s = (spark.table(prefix + TICK_TABLES[k]) for k in ("quotes", "trades", "symbols"))
     n = recorded_rows(spark, prefix + TICK_TABLES["symbols"])
-    return {
-        "last_quote_by_symbol": ticks.last_quote_by_symbol(q, s, day=day, symbol_rows=n),
-        "last_price_by_symbol_exchange": ticks.last_price_by_symbol_exchange(t, s, day=day,
-                                                                             symbol_rows=n),
-        "hourly_avg_size": ticks.hourly_avg_size(t, s, day=day, symbol_rows=n),
-    }
+    return {q: tick_query(spark, q, prefix, day, n)
+            for q in ("last_quote_by_symbol", "last_price_by_symbol_exchange", "hourly_avg_size")}
 
 
 def load_flights(spark: SparkSession, airline_path: str, airlineref_path: str,

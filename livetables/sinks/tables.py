@@ -78,19 +78,23 @@ def bucket_spec(spark: SparkSession, name: str) -> tuple[list[str], int] | None:
 
 def distribute_for_buckets(df: DataFrame, bucket_cols: list[str], buckets: int,
                            files_per_bucket: int) -> DataFrame:
-    """Shuffle rows so each write task holds (about) one bucket.
-
-    Without this every input task writes up to one file per bucket. Each
-    bucket is spread over `files_per_bucket` tasks by a row hash, so a key
-    holding a third of all rows is written by that many tasks, not one. The
-    spread hash is deterministic, so a retried task sends rows to the same
-    place.
+    """Shuffle rows so each write task holds one bucket (or a slice of one).
+
+    Without this every input task writes up to one file per bucket. With one
+    file per bucket, hash partitioning on the bucket columns into `buckets`
+    partitions is exact: Spark's partition id and bucket id are the same
+    Murmur3 hash modulo the count. With more, each bucket is split into
+    `files_per_bucket` slots by a hash of the whole row, so a key holding a
+    third of all rows is written by that many tasks, not one. Both hashes are
+    deterministic, so a retried task sends rows to the same place.
     """
     f = max(1, int(files_per_bucket))
+    if f == 1:
+        return df.repartition(buckets, *[F.col(c) for c in bucket_cols])
     bucket_id = F.pmod(F.hash(*[F.col(c) for c in bucket_cols]), F.lit(buckets))
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(f))
     return (df.withColumn("__write_slot", bucket_id * f + spread)
-            .repartitionByRange(buckets * f, "__write_slot")
+            .repartition(buckets * f, "__write_slot")
             .drop("__write_slot"))
 
 
