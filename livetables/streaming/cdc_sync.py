@@ -70,6 +70,13 @@ def read_copy(spark: SparkSession, target_path: str) -> DataFrame:
     return spark.read.parquet(target_path).drop(*BOOKKEEPING)
 
 
+def unknown_tables_report(spark: SparkSession, report_path: str) -> DataFrame:
+    """Each unknown table once, with its record count over all batches."""
+    rep = spark.read.parquet(report_path)
+    keys = [c for c in rep.columns if c not in ("n", "run_id", "batch_id")]
+    return rep.groupBy(*keys).agg(F.sum("n").alias("n"))
+
+
 def _seg_group(segment: str, segments_per_folder: int):
     return F.floor(F.col(segment) / F.lit(segments_per_folder)).cast("bigint")
 
