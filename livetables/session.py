@@ -26,6 +26,34 @@ RECOMMENDED_CONF = {
 }
 
 
+# Starting points for a large cluster (about 1000 executors, 100 TB inputs).
+# Scans: 256 MB splits keep the task count near 400k for 100 TB while each
+# task's input still fits executor memory comfortably. Shuffles: start wide
+# (AQE coalesces small partitions to the advisory size after each stage), so
+# a 20 TB shuffle still lands near 256 MB per reducer; skewed partitions
+# larger than 5x the median and 512 MB are split by AQE. Broadcast threshold
+# stays at Spark's default; the operators broadcast explicitly only after a
+# bounded row count.
+CLUSTER_CONF = {
+    **RECOMMENDED_CONF,
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+}
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str] = CLUSTER_CONF) -> None:
+    """Apply the runtime-changeable settings of `conf` to a running session."""
+    for k, v in conf.items():
+        if k.startswith("spark.sql."):          # core settings are fixed at start-up
+            spark.conf.set(k, v)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "livetables",
                   extra_conf: dict[str, str] | None = None) -> SparkSession:
