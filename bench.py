@@ -7,8 +7,8 @@ plan executes without collecting rows to the driver.
 
 The reference's own workload is timed too: ticks are generated once at
 scale = sf (untimed, like its generator step), then `load_ticks` (drop,
-stage, create bucketed tables, append) and its three tick queries on the
-loaded tables, each 1 warm-up + mean of 5.
+stage, create day-partitioned tables, append) and its three tick queries on
+the loaded tables, each 1 warm-up + mean of 5.
 
 Prints one JSON line: {"metric", "value" (sum of per-query means, sec),
 "unit", "queries": {name: sec}, "sf"}.
@@ -64,7 +64,7 @@ def timed(fn) -> float:
 def reference_workload(spark, scale: float) -> dict[str, float]:
     path = scratch_path(spark, "bench_ticks")
     generate_to(spark, path, scale=scale, partitions=max(8, spark.sparkContext.defaultParallelism))
-    out = {"load_ticks": timed(lambda: load_ticks(spark, path, buckets=16, prefix="bench_"))}
+    out = {"load_ticks": timed(lambda: load_ticks(spark, path, prefix="bench_"))}
     for key, name in (("ticks_q1_last_bid", "last_quote_by_symbol"),
                       ("ticks_q2_last_price", "last_price_by_symbol_exchange"),
                       ("ticks_q3_avg_size", "hourly_avg_size")):

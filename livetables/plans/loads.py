@@ -30,15 +30,23 @@ def enforce_not_null(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[guard(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def load_ticks(spark: SparkSession, path: str, provider: str = "column", buckets: int = 128,
-               prefix: str = "", day_partitions: bool = False) -> dict[str, float]:
+def load_ticks(spark: SparkSession, path: str, provider: str = "column", prefix: str = "",
+               day_partitions: bool = True, bucket_by_symbol: bool = False,
+               buckets: int = 128) -> dict[str, float]:
     """Load generated ticks under `path`; return load times in ms per table.
 
     provider="row" gives the row-table contract: text as VARCHAR(30), or
     VARCHAR(400) for comment columns, all NOT NULL. Length is enforced by
     Spark on write; NOT NULL by a guard inside the write.
-    day_partitions=True also partitions the facts by `date` (one folder per
-    day), so the rollups' day filter prunes folders instead of row groups.
+
+    Layout. day_partitions=True partitions the facts by `date` (one folder
+    per day), so the rollups' day filter prunes folders. bucket_by_symbol=True
+    also buckets them on `sym` (the reference's partitioning by symbol):
+    joins and group-bys on the symbol then need no exchange, but a bucketed
+    scan reads each bucket in one task, so at 100 TB every task would read
+    total/buckets bytes and a symbol holding a third of the rows would be a
+    third of the table in one task. The rollups only shuffle partial
+    aggregates, so by default the facts are not bucketed.
     """
     names = {k: prefix + v for k, v in TICK_TABLES.items()}
     staging = {k: prefix + "STAGING_" + v for k, v in TICK_TABLES.items()}
@@ -52,7 +60,9 @@ def load_ticks(spark: SparkSession, path: str, provider: str = "column", buckets
             # partition columns go last in a Spark table
             schema = type(schema)([f for f in schema.fields if f.name != "date"]
                                   + [f for f in schema.fields if f.name == "date"])
-        create_table(spark, names[k], schema, bucket_by="sym", buckets=buckets,
+        create_table(spark, names[k], schema,
+                     bucket_by="sym" if bucket_by_symbol else None,
+                     buckets=buckets if bucket_by_symbol else None,
                      partition_by="date" if day_partitions else None)
     create_table(spark, names["symbols"], as_varchar(dfs["symbols"].schema))
     for k in ("trades", "quotes", "symbols"):

@@ -134,7 +134,8 @@ def test_scale_row_counts(spark):
 
 def test_generate_load_and_query(spark, scratch):
     paths = generators.generate_to(spark, f"{scratch}/ticks", scale=0.02, partitions=4)
-    times = load_ticks(spark, scratch + "/ticks", provider="row", buckets=4, prefix="t1_")
+    times = load_ticks(spark, scratch + "/ticks", provider="row", bucket_by_symbol=True, buckets=4,
+                       day_partitions=False, prefix="t1_")
     assert set(times) == {"trades", "quotes", "symbols"}
     assert spark.table("t1_QUOTES").count() == 15829
     assert spark.table("t1_S").count() == 100
@@ -168,7 +169,7 @@ def test_day_advances_every_10000_rows(spark):
 def test_day_partitioned_load_prunes_folders(spark, scratch):
     from livetables.plans import inspect
     generators.generate_to(spark, f"{scratch}/ticks", scale=0.01, partitions=2)
-    load_ticks(spark, f"{scratch}/ticks", buckets=4, prefix="t2_", day_partitions=True)
+    load_ticks(spark, f"{scratch}/ticks", prefix="t2_")
     res = tick_queries(spark, prefix="t2_")
     df = res["last_quote_by_symbol"]
     assert "PartitionFilters: [isnotnull(date" in inspect.plan_text(df)
