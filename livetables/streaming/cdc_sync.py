@@ -100,6 +100,20 @@ def _existing_identities(spark: SparkSession, target_path: str, run_id: str, bat
     return copy.select(*identity).join(keys, list(identity), "left_semi")
 
 
+def cdc_append(rows: DataFrame, target_path: str, run_id: str, batch_id: int,
+               segment: str = "segment", segments_per_folder: int = SEGMENTS_PER_FOLDER) -> None:
+    """Append one batch of flattened change rows to the copy in one bulk write.
+
+    Dynamic partition overwrite replaces only this batch's folders
+    (seg_group=*/run_id=<r>/batch_id=<n>), so a retried batch rewrites
+    exactly what it wrote before and never adds rows twice.
+    """
+    out = rows.select("*", _seg_group(segment, segments_per_folder).alias("seg_group"),
+                      F.lit(run_id).alias("run_id"), F.lit(batch_id).alias("batch_id"))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*BOOKKEEPING).parquet(target_path))
+
+
 def sync_batch(batch: DataFrame, batch_id: int, *, target_path: str, run_id: str,
                cells_schema: str, identity: tuple[str, ...] = IDENTITY,
                report_path: str | None = None, known_tables: DataFrame | None = None,
@@ -127,12 +141,7 @@ def sync_batch(batch: DataFrame, batch_id: int, *, target_path: str, run_id: str
              .parquet(batch_folder(reject_path, run_id, batch_id)))
             rows = rows.where(~bad_cells)
         flat = cdc_flatten(rows, cells_schema, keep=identity)
-        out = flat.select("*", _seg_group(identity[0], segments_per_folder).alias("seg_group"),
-                          F.lit(run_id).alias("run_id"), F.lit(batch_id).alias("batch_id"))
-        # dynamic overwrite: replaces only this batch's folders, so a retry
-        # rewrites exactly what it wrote before
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*BOOKKEEPING).parquet(target_path))
+        cdc_append(flat, target_path, run_id, batch_id, identity[0], segments_per_folder)
     finally:
         if dedup is not None:
             dedup.unpersist()
