@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from livetables.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, has_at_most
+from livetables.session import ensure_checkpoint_dir
 from livetables.sources.changelog import IDENTITY, JSON_OPTIONS
 
 
@@ -138,6 +139,7 @@ def cdc_compact(base: DataFrame | None, changes: DataFrame, keys: list[str],
               .agg(F.max_by(F.struct(*payload, op.alias("__op")),
                             F.struct(*[F.col(c) for c in order])).alias("__row")))
     if materialize and base is not None:
+        ensure_checkpoint_dir(changes.sparkSession)
         latest = latest.checkpoint(eager=True)
         if changes_rows is None:
             changes_rows = latest.count()          # now a read of the written rows

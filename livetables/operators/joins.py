@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from livetables.session import ensure_checkpoint_dir
+
 # Rows a broadcast side may hold. A symbol or carrier dimension is thousands of
 # rows; 2M narrow rows stay well under Spark's 8 GB broadcast limit.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
@@ -37,6 +39,7 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     if known_rows is not None:
         return F.broadcast(dim) if known_rows <= max_rows else dim
     if materialize:
+        ensure_checkpoint_dir(dim.sparkSession)
         dim = dim.checkpoint(eager=True)
     return F.broadcast(dim) if has_at_most(dim, max_rows) else dim
 
