@@ -1,6 +1,5 @@
 """Property tests: replays, order and skew never change the result."""
 
-import random
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
