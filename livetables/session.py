@@ -23,6 +23,11 @@ RECOMMENDED_CONF = {
     "spark.sql.sources.bucketing.autoBucketedScan.enabled": "true",
     # remove reliable-checkpoint files once their DataFrame is garbage collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # No broadcast on planner estimates (file sizes, guesses for aggregates):
+    # the operators broadcast explicitly after a bounded count, and AQE may
+    # still broadcast a side whose measured shuffle output is under 64 MB.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
 }
 
 
@@ -32,8 +37,8 @@ RECOMMENDED_CONF = {
 # (AQE coalesces small partitions to the advisory size after each stage), so
 # a 20 TB shuffle still lands near 256 MB per reducer; skewed partitions
 # larger than 5x the median and 512 MB are split by AQE. Broadcast threshold
-# stays at Spark's default; the operators broadcast explicitly only after a
-# bounded row count.
+# is off for planner estimates (see RECOMMENDED_CONF); the operators broadcast
+# explicitly only after a bounded row count.
 CLUSTER_CONF = {
     **RECOMMENDED_CONF,
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),

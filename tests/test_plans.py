@@ -53,6 +53,7 @@ def test_bucketed_join_and_group_by_need_no_exchange(spark):
     for n in (a, b):
         sinks.create_table(spark, n, e.schema, bucket_by="user_id", buckets=8)
         sinks.append(e, n)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         joined = (spark.table(a).join(spark.table(b), "user_id")
@@ -60,10 +61,11 @@ def test_bucketed_join_and_group_by_need_no_exchange(spark):
         assert inspect.shuffle_exchanges(joined) == 0
         assert joined.count() > 0
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_max_bid_join_reuses_aggregate_partitioning(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
@@ -71,7 +73,7 @@ def test_max_bid_join_reuses_aggregate_partitioning(spark):
         # one exchange per aggregate; none added for the join
         assert inspect.shuffle_exchanges(df) == 2
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
@@ -84,6 +86,7 @@ def test_no_python_udfs_in_registered_queries(spark):
 def test_over_bound_dimension_is_not_broadcast(spark):
     li = spark.read.parquet(f"{SF01}/lineitem.parquet")
     part = spark.read.parquet(f"{SF01}/part.parquet")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = flights.delay_by_carrier(li, part, carrier="l_partkey", origin="l_returnflag",
@@ -91,4 +94,4 @@ def test_over_bound_dimension_is_not_broadcast(spark):
                                       description="p_name", max_rows=100)
         assert inspect.count_nodes(df, "BroadcastHashJoin") == 0
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
