@@ -422,8 +422,8 @@ def _gen_quotes_sql() -> str:
              f"{_duck_exchange(_duck_draw(a, 1) + ' % 9')} as ex, "
              f"{_duck_draw(a, 2)} / 4294967296.0::double * 100000.0::double as bid, "
              f"{_duck_time(a, b)} as time, '{generators.BASE_DAY}' as date from events")
-    stamp = "concat_ws(' + ', sym, ex, date || ' ' || time, date)"
-    comments = ", ".join(f"'Comment{k} : Quote Table : ' || {stamp} as comment{k}"
+    stamp = f"concat_ws('{generators.COMMENT_FIELD_SEPARATOR}', sym, ex, date || ' ' || time, date)"
+    comments = ", ".join(f"'{generators.QUOTE_COMMENT_PREFIX.format(k=k)}' || {stamp} as comment{k}"
                          for k in range(1, generators.QUOTE_COMMENTS + 1))
     return f"select seq, sym, ex, bid, time, date, {comments} from ({inner}) q"
 
@@ -437,8 +437,8 @@ def _gen_trades_sql() -> str:
              f"{_duck_decimal_text(price_u)} as price, {_duck_time(a, b)} as time, "
              f"'{generators.BASE_DAY}' as date, ({size_u}) / 10000.0::double as size, "
              f"{_duck_decimal_text(size_u)} as size_text from events")
-    stamp = "concat_ws(' + ', sym, ex, price, date || ' ' || time, date, size_text)"
-    comments = ", ".join(f"'Comment{k} : Trade Table : ' || {stamp} as comment{k}"
+    stamp = f"concat_ws('{generators.COMMENT_FIELD_SEPARATOR}', sym, ex, price, date || ' ' || time, date, size_text)"
+    comments = ", ".join(f"'{generators.TRADE_COMMENT_PREFIX.format(k=k)}' || {stamp} as comment{k}"
                          for k in range(1, generators.TRADE_COMMENTS + 1))
     return f"select seq, sym, ex, price, time, date, size, {comments} from ({inner}) t"
 

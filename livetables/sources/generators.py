@@ -41,6 +41,9 @@ SIZE_SCALE = 4                       # size = unscaled / 10^4, in [0, 1000)
 PRICE_UNSCALED_LIMIT = 100_000_000   # price = unscaled / 10^4, decimal(10,4)
 ROWS_PER_DAY_STEP = 10_000
 DEFAULT_PARTITIONS = 200
+QUOTE_COMMENT_PREFIX = "Comment{k} : Quote Table : "
+TRADE_COMMENT_PREFIX = "Comment{k} : Trade Table : "
+COMMENT_FIELD_SEPARATOR = " + "
 
 # Hash tags: one md5 per tag gives four 32-bit draws.
 _TAGS = {"quote": ("qa:", "qb:"), "trade": ("ta:", "tb:")}
@@ -94,8 +97,8 @@ def quotes_from_ids(ids: DataFrame, id_col: str = "id", days: int = 1,
         time_text(d["hour"], d["minute"], d["second"], d["millis"]).alias("time"),
         _day(i, days).alias("date"),
     )
-    stamp = F.concat_ws(" + ", "sym", "ex", F.concat_ws(" ", "date", "time"), "date")
-    comments = [F.concat(F.lit(f"Comment{k} : Quote Table : "), stamp).alias(f"comment{k}")
+    stamp = F.concat_ws(COMMENT_FIELD_SEPARATOR, "sym", "ex", F.concat_ws(" ", "date", "time"), "date")
+    comments = [F.concat(F.lit(QUOTE_COMMENT_PREFIX.format(k=k)), stamp).alias(f"comment{k}")
                 for k in range(1, QUOTE_COMMENTS + 1)]
     out = base.select("seq", "sym", "ex", "bid", "time", "date", *comments)
     return out if keep_id else out.drop("seq")
@@ -119,9 +122,9 @@ def trades_from_ids(ids: DataFrame, id_col: str = "id", days: int = 1,
         (_size_unscaled(d["value_b"]) / F.lit(10.0 ** SIZE_SCALE)).alias("size"),
         decimal_text(_size_unscaled(d["value_b"]), 10, SIZE_SCALE).alias("__size_text"),
     )
-    stamp = F.concat_ws(" + ", "sym", "ex", "price", F.concat_ws(" ", "date", "time"), "date",
-                        "__size_text")
-    comments = [F.concat(F.lit(f"Comment{k} : Trade Table : "), stamp).alias(f"comment{k}")
+    stamp = F.concat_ws(COMMENT_FIELD_SEPARATOR, "sym", "ex", "price",
+                        F.concat_ws(" ", "date", "time"), "date", "__size_text")
+    comments = [F.concat(F.lit(TRADE_COMMENT_PREFIX.format(k=k)), stamp).alias(f"comment{k}")
                 for k in range(1, TRADE_COMMENTS + 1)]
     out = base.select("seq", "sym", "ex", "price", "time", "date", "size", *comments)
     return out if keep_id else out.drop("seq")
