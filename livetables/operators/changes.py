@@ -74,15 +74,22 @@ def cdc_positions(log: DataFrame, segment: str = "segment", position: str = "pos
     return log.groupBy(segment).agg(F.max(position).alias("position"))
 
 
-def cdc_unknown_tables(log: DataFrame, known: DataFrame, by: tuple[str, ...] = ("keyspace_name", "table_name"),
+def cdc_unknown_tables(log: DataFrame, known: DataFrame | list[tuple],
+                       by: tuple[str, ...] = ("keyspace_name", "table_name"),
                        max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Count records per table for tables not in `known` (same columns as `by`).
 
-    Names compare case-insensitively. The known-table list is broadcast after
-    a size check; the records are counted with a partial aggregate.
+    `known` is a DataFrame or a list of name tuples (a list's length is its
+    size bound, so no counting job runs). Names compare case-insensitively.
+    The known-table list is broadcast after the size check; the records are
+    counted with a partial aggregate.
     """
+    known_rows = None
+    if not isinstance(known, DataFrame):
+        known_rows = len(known)
+        known = log.sparkSession.createDataFrame(list(known), ", ".join(f"`{c}` string" for c in by))
     lk = known.select(*[F.lower(F.col(c)).alias(f"__k{i}") for i, c in enumerate(by)])
-    lk = bounded_broadcast(lk.distinct(), max_rows)
+    lk = bounded_broadcast(lk, max_rows, known_rows=known_rows)
     cond = None
     for i, c in enumerate(by):
         e = F.lower(F.col(c)) == lk[f"__k{i}"]

@@ -296,9 +296,8 @@ def q_cdc_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_cdc_unknown_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = spark.createDataFrame([("click",), ("VIEW",)], "table_name string")
-    return changes.cdc_unknown_tables(events_change_log(table(spark, sf_dir, "events")), known,
-                                      by=("table_name",))
+    return changes.cdc_unknown_tables(events_change_log(table(spark, sf_dir, "events")),
+                                      [("click",), ("VIEW",)], by=("table_name",))
 
 
 def q_cdc_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
