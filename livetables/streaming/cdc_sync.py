@@ -153,14 +153,20 @@ def cdc_sync(spark: SparkSession, log_dir: str, target_path: str, checkpoint: st
              fmt: str = "parquet", trigger_seconds: float = 5.0, available_now: bool = False,
              max_files_per_trigger: int | None = None, report_path: str | None = None,
              known_tables: DataFrame | None = None, reject_path: str | None = None,
-             segments_per_folder: int = SEGMENTS_PER_FOLDER) -> StreamingQuery:
+             segments_per_folder: int = SEGMENTS_PER_FOLDER,
+             clean_source: str | None = None,
+             source_archive_dir: str | None = None) -> StreamingQuery:
     """Start the sync stream. `available_now=True` takes what is there and stops.
 
     With `report_path` and `known_tables`, records of tables not in the list
     are counted per batch into `report_path` (unknown-table report).
+    `clean_source="delete"` (or "archive" with `source_archive_dir`) removes
+    change files once the batch that read them is committed, as for an
+    overflow folder that is emptied after a clean read.
     """
     run_id = run_id_for(spark, checkpoint)
-    src = cdc_stream(spark, log_dir, log_schema, fmt, max_files_per_trigger)
+    src = cdc_stream(spark, log_dir, log_schema, fmt, max_files_per_trigger,
+                     clean_source=clean_source, source_archive_dir=source_archive_dir)
     if report_path is None:
         # Without a report only the target table matters: filter before the batch.
         src = cdc_target(src, keyspace, table)

@@ -211,3 +211,18 @@ def test_json_change_files_read_like_parquet(spark, scratch):
     back = changelog.cdc_read(spark, f"{scratch}/jlog", EVENT_LOG_DDL, fmt="json")
     flat = changes.cdc_flatten(changes.cdc_target(back, "shop", "click"), CELLS)
     assert _same(flat.select("event_id", "user_id", "ts", "value"), _expected(e))
+
+
+def test_stream_can_delete_files_after_a_clean_read(spark, scratch):
+    import glob
+    import time
+    e, log = _event_log(spark)
+    log.repartition(3).write.parquet(f"{scratch}/log")
+    _run(spark, f"{scratch}/log", f"{scratch}/copy", f"{scratch}/ckpt", clean_source="delete")
+    assert _same(_synced(spark, f"{scratch}/copy"), _expected(e))
+    deadline = time.time() + 30
+    while glob.glob(f"{scratch}/log/*.parquet") and time.time() < deadline:
+        time.sleep(0.5)
+    # the source removes files of committed batches (the last batch's files are
+    # removed when the next batch commits, so at most one trigger's files stay)
+    assert len(glob.glob(f"{scratch}/log/*.parquet")) <= 2
