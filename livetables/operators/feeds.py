@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from livetables.operators.partitioning import spread
+
 
 def _schema(schema: T.StructType | str) -> T.StructType:
     return T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -41,6 +43,7 @@ def parse_messages(df: DataFrame, schema: T.StructType | str, value_col: str = "
     """All messages with parsed fields plus a `reject_reason` (NULL = good)."""
     st = _schema(schema)
     v = F.col(value_col)
+    df = spread(df)               # parsing is CPU-bound: use every core on a narrow input
     rows = df.select(*keep, v.alias("__message"),
                      F.explode(F.array(F.from_json(v, "map<string,string>"))).alias("__map"))
     m = F.col("__map")
