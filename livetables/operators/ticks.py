@@ -48,11 +48,6 @@ def hour_of(df: DataFrame, time_col: str) -> Column:
     return F.hour(F.col(time_col)).cast("bigint")
 
 
-def latest_by(df: DataFrame, keys: list[str], value: str, order: str, alias: str) -> DataFrame:
-    """One row per key with the value of the row that is greatest in `order`."""
-    return df.groupBy(*keys).agg(F.max_by(F.col(value), F.col(order)).alias(alias))
-
-
 def _day_symbols(fact: DataFrame, symbols: DataFrame, *, sym: str, symbol_key: str,
                  day_col: str | None, day: str | None, max_rows: int,
                  join_type: str, symbol_rows: int | None) -> DataFrame:
