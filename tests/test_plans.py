@@ -95,3 +95,31 @@ def test_over_bound_dimension_is_not_broadcast(spark):
         assert inspect.count_nodes(df, "BroadcastHashJoin") == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_membership_join_over_bound_is_not_broadcast_and_agrees(spark):
+    e = spark.read.parquet(f"{SF01}/events.parquet")
+    syms = e.where("user_id % 4 = 0").select(F.col("user_id").alias("value")).distinct()
+    args = dict(sym="user_id", bid="value", order="event_id", day_col="ts", day="2024-01-02")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        big = ticks.last_quote_by_symbol(e, syms, max_rows=1, **args)
+        assert inspect.count_nodes(big, "BroadcastHashJoin") == 0
+        small = ticks.last_quote_by_symbol(e, syms, **args)
+        assert inspect.count_nodes(small, "BroadcastHashJoin") == 1
+        assert sorted(big.collect()) == sorted(small.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_unknown_tables_over_bound_agrees(spark):
+    from livetables.operators import changes
+    log = spark.read.parquet(f"{SF01}/events.parquet").select(
+        F.lit("ks").alias("keyspace_name"), F.col("event_type").alias("table_name"))
+    known = [("ks", "click"), ("KS", "View")]
+    a = changes.cdc_unknown_tables(log, known)
+    b = changes.cdc_unknown_tables(log, known, max_rows=1)
+    assert sorted(a.collect()) == sorted(b.collect())
