@@ -76,30 +76,21 @@ def bucket_spec(spark: SparkSession, name: str) -> tuple[list[str], int] | None:
     return cols, int(info["Num Buckets"])
 
 
-def distribute_for_buckets(df: DataFrame, bucket_cols: list[str], buckets: int,
-                           files_per_bucket: int) -> DataFrame:
+def distribute_for_buckets(df: DataFrame, bucket_cols: list[str], buckets: int) -> DataFrame:
     """Shuffle rows so each write task holds one bucket (or a slice of one).
 
-    Without this every input task writes up to one file per bucket. With one
-    file per bucket, hash partitioning on the bucket columns into `buckets`
-    partitions is exact: Spark's partition id and bucket id are the same
-    Murmur3 hash modulo the count. With more, each bucket is split into
-    `files_per_bucket` slots by a hash of the whole row, so a key holding a
-    third of all rows is written by that many tasks, not one. Both hashes are
-    deterministic, so a retried task sends rows to the same place.
+    Without this every input task writes up to one file per bucket. The
+    REBALANCE hint with the bucket count hash-partitions on the bucket columns,
+    so partition id and bucket id are the same Murmur3 hash modulo the count;
+    AQE then splits partitions above the advisory size (a bucket holding a
+    third of all rows is written by many tasks, one file each) and merges
+    small neighbours. The hash is deterministic, so a retried task sends rows
+    to the same place.
     """
-    f = max(1, int(files_per_bucket))
-    if f == 1:
-        return df.repartition(buckets, *[F.col(c) for c in bucket_cols])
-    bucket_id = F.pmod(F.hash(*[F.col(c) for c in bucket_cols]), F.lit(buckets))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(f))
-    return (df.withColumn("__write_slot", bucket_id * f + spread)
-            .repartition(buckets * f, "__write_slot")
-            .drop("__write_slot"))
-
-
-def append(df: DataFrame, name: str, by: str = "name",
-           files_per_bucket: int | None = None) -> None:
+    return df.hint("rebalance", buckets, *bucket_cols)
+
+
+def append(df: DataFrame, name: str, by: str = "name") -> None:
     """Append rows to an existing table.
 
     by="name": columns are matched to the target by name (and reordered);
@@ -125,9 +116,7 @@ def append(df: DataFrame, name: str, by: str = "name",
         cols, n = spec
         if by == "position":
             df = df.toDF(*target_cols)
-        if files_per_bucket is None:
-            files_per_bucket = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // n)
-        df = distribute_for_buckets(df, cols, n, files_per_bucket)
+        df = distribute_for_buckets(df, cols, n)
     df.write.insertInto(name)
 
 

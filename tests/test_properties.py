@@ -71,12 +71,22 @@ def test_compact_matches_brute_force(spark, records, base_rows, rnd):
 
 
 def test_bucketed_append_spreads_a_hot_key(spark):
-    # a third of the rows share one key; the write still splits its bucket
-    df = spark.range(0, 30000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    # a third of the rows share one key; AQE splits its bucket over several
+    # write tasks (files), and every file still holds a single bucket
+    df = spark.range(0, 300000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"),
+        F.repeat(F.lit("x"), 50).alias("pad"))
     name = unique_name("lt_hot")
     sinks.create_table(spark, name, df.schema, bucket_by="k", buckets=4)
-    sinks.append(df, name, files_per_bucket=4)
-    files = (spark.table(name).where("k = 7").select(F.input_file_name().alias("f")).distinct().count())
-    assert files >= 3
-    assert spark.table(name).count() == 30000
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(1024 * 1024))
+    try:
+        sinks.append(df, name)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    t = spark.table(name)
+    assert t.where("k = 7").select(F.input_file_name()).distinct().count() >= 2
+    per_file = (t.select(F.input_file_name().alias("f"), F.pmod(F.hash("k"), F.lit(4)).alias("b"))
+                .groupBy("f").agg(F.countDistinct("b").alias("n")))
+    assert per_file.where("n > 1").count() == 0
+    assert t.count() == 300000
