@@ -110,6 +110,8 @@ def cdc_append(rows: DataFrame, target_path: str, run_id: str, batch_id: int,
     """
     out = rows.select("*", _seg_group(segment, segments_per_folder).alias("seg_group"),
                       F.lit(run_id).alias("run_id"), F.lit(batch_id).alias("batch_id"))
+    # one task per folder (AQE splits a large one), not one file per task per folder
+    out = out.hint("rebalance", "seg_group")
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*BOOKKEEPING).parquet(target_path))
 
