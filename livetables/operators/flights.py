@@ -6,11 +6,15 @@ The reference query is
   GROUP BY DESCRIPTION LIMIT 20
 
 Plan: the filters reach the Parquet scan (LIKE '%x%' becomes a pushed
-StringContains, `> 0` a pushed comparison); the fact is summed per carrier
-code *before* the join (sum is decomposable), so the join sees one row per
-code instead of one per flight; the carrier table is broadcast only when a
-bounded count shows it is small, and otherwise joins the pre-aggregated side,
-which is already hash-partitioned on the code.
+StringContains, `> 0` a pushed comparison). Then one of two plans, chosen by
+a bounded count of the carrier table:
+
+* carriers small enough to broadcast: each flight looks its carrier up in
+  the broadcast table inside the scan's task, and the sum is partial per
+  description before the only shuffle (a handful of rows per task);
+* otherwise: the fact is summed per carrier code *before* the join (sum is
+  decomposable), so the shuffled join sees one row per code instead of one
+  per flight, and the summed side is already hash-partitioned on the code.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from livetables.functions.expressions import exact_sum
-from livetables.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from livetables.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, has_at_most
 
 
 def delay_by_carrier(flights: DataFrame, carriers: DataFrame, *,
@@ -37,17 +41,21 @@ def delay_by_carrier(flights: DataFrame, carriers: DataFrame, *,
     `carrier_rows`: the carrier table's recorded row count, if known (saves
     the counting job of the broadcast size check).
     """
-    per_code = (flights
-                .where(F.col(origin).like(origin_pattern) & (F.col(delay) > 0))
-                .groupBy(F.col(carrier).alias("__code"))
-                .agg(exact_sum(delay, 18, sum_scale).alias("__delay")))
-    dim = bounded_broadcast(
-        carriers.select(F.col(code).alias("__code"), F.col(description).alias(out_description)),
-        max_rows, known_rows=carrier_rows)
-    out = (per_code.join(dim, "__code", "inner")
-           .groupBy(out_description)
-           .agg(F.sum("__delay").cast("double").alias(out_total))
-           .select(out_total, out_description))
+    flown = flights.where(F.col(origin).like(origin_pattern) & (F.col(delay) > 0))
+    dim = carriers.select(F.col(code).alias("__code"), F.col(description).alias(out_description))
+    small = carrier_rows <= max_rows if carrier_rows is not None else has_at_most(dim, max_rows)
+    if small:
+        out = (flown.select(F.col(carrier).alias("__code"), F.col(delay).alias("__d"))
+               .join(F.broadcast(dim), "__code", "inner")
+               .groupBy(out_description)
+               .agg(exact_sum("__d", 18, sum_scale).cast("double").alias(out_total)))
+    else:
+        per_code = (flown.groupBy(F.col(carrier).alias("__code"))
+                    .agg(exact_sum(delay, 18, sum_scale).alias("__delay")))
+        out = (per_code.join(dim, "__code", "inner")
+               .groupBy(out_description)
+               .agg(F.sum("__delay").cast("double").alias(out_total)))
+    out = out.select(out_total, out_description)
     return out.limit(limit) if limit is not None else out
 
 

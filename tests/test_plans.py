@@ -22,14 +22,35 @@ def test_tick_rollup_broadcasts_symbols_and_pushes_day_filter(spark):
     assert "partial_max_by" in text and "SortAggregate" not in text
 
 
-def test_flight_query_pushes_like_and_aggregates_before_join(spark):
+def test_flight_query_pushes_like_and_joins_in_the_scan_task(spark):
     df = E.queries()["delay_by_carrier"](spark, SF01)
     filters = " ".join(inspect.pushed_filters(df))
     assert "StringContains(l_returnflag,A)" in filters and "GreaterThan(l_tax,0.0)" in filters
     assert inspect.count_nodes(df, "BroadcastHashJoin") == 1
+    # carriers broadcast: lookup inside the scan task, one shuffle of partial sums
+    assert inspect.shuffle_exchanges(df) == 1
     tree = inspect.tree(df)
-    # the partial sum sits below the join
-    assert tree.index("BroadcastHashJoin") < tree.rindex("HashAggregate")
+    assert tree.index("HashAggregate") < tree.index("BroadcastHashJoin")
+
+
+def test_flight_query_over_bound_aggregates_before_the_join(spark):
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet")
+    part = spark.read.parquet(f"{SF01}/part.parquet")
+    args = dict(carrier="l_partkey", origin="l_returnflag", origin_pattern="%A%", delay="l_tax",
+                code="p_partkey", description="p_name")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = flights.delay_by_carrier(li, part, max_rows=10, **args)
+        tree = inspect.tree(df)
+        assert "SortMergeJoin" in tree
+        # the partial sum per code sits below the join
+        assert tree.index("SortMergeJoin") < tree.rindex("HashAggregate")
+        assert sorted(df.collect()) == sorted(flights.delay_by_carrier(li, part, **args).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_top_delays_is_take_ordered(spark):
