@@ -52,7 +52,9 @@ def run_id_for(spark: SparkSession, checkpoint: str) -> str:
     try:
         return spark.read.text(marker).first()[0]
     except AnalysisException:
-        rid = uuid.uuid4().hex[:16]
+        # a letter first: partition discovery must read it as text, never as
+        # a number (a hex string such as "12e45..." would parse as a double)
+        rid = "r" + uuid.uuid4().hex[:16]
         spark.createDataFrame([(rid,)], "value string").coalesce(1).write.text(marker)
         return spark.read.text(marker).first()[0]
 

@@ -226,3 +226,9 @@ def test_stream_can_delete_files_after_a_clean_read(spark, scratch):
     # the source removes files of committed batches (the last batch's files are
     # removed when the next batch commits, so at most one trigger's files stay)
     assert len(glob.glob(f"{scratch}/log/*.parquet")) <= 2
+
+
+def test_run_ids_are_read_back_as_text(spark, scratch):
+    for i in range(5):
+        rid = sync.run_id_for(spark, f"{scratch}/ck{i}")
+        assert rid.startswith("r") and not rid[1:].isdigit()
