@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from livetables.operators.changes import cdc_flatten, cdc_replay_guard, cdc_target, cdc_unknown_tables
-from livetables.operators.joins import bounded_broadcast, has_at_most
+from livetables.operators.joins import bounded_broadcast
 from livetables.sources.changelog import IDENTITY, cdc_stream
 
 # Identities per micro-batch up to which the batch keys are broadcast to find
@@ -85,7 +85,7 @@ def _seg_group(segment: str, segments_per_folder: int):
 
 def _existing_identities(spark: SparkSession, target_path: str, run_id: str, batch_id: int,
                          batch: DataFrame, identity: tuple[str, ...],
-                         segments_per_folder: int) -> DataFrame | None:
+                         segments_per_folder: int, batch_rows: int) -> DataFrame | None:
     try:
         copy = spark.read.parquet(target_path)
     except AnalysisException:
@@ -93,10 +93,11 @@ def _existing_identities(spark: SparkSession, target_path: str, run_id: str, bat
     own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
     copy = copy.where(~own)
     groups = batch.select(_seg_group(identity[0], segments_per_folder).alias("g")).distinct()
-    if has_at_most(groups, MAX_PRUNED_GROUPS):
-        # a handful of ints (the folders this batch touches): prune by literal
-        copy = copy.where(F.col("seg_group").isin([r.g for r in groups.collect()]))
-    keys = bounded_broadcast(batch.select(*identity), MAX_BATCH_KEYS_BROADCAST)
+    # at most MAX_PRUNED_GROUPS + 1 small ints: the folders this batch touches
+    touched = [r.g for r in groups.limit(MAX_PRUNED_GROUPS + 1).collect()]
+    if len(touched) <= MAX_PRUNED_GROUPS:
+        copy = copy.where(F.col("seg_group").isin(touched))
+    keys = bounded_broadcast(batch.select(*identity), MAX_BATCH_KEYS_BROADCAST, known_rows=batch_rows)
     # Rows of the copy that share an identity with this batch: a semi join
     # that streams the pruned copy past the (broadcast) batch keys.
     return copy.select(*identity).join(keys, list(identity), "left_semi")
@@ -134,9 +135,12 @@ def sync_batch(batch: DataFrame, batch_id: int, *, target_path: str, run_id: str
              .parquet(batch_folder(report_path, run_id, batch_id)))
         rows = batch if keyspace is None else cdc_target(batch, keyspace, table)
         dedup = cdc_replay_guard(rows, identity).persist()
+        n = dedup.count()                 # fills the cache; the broadcast bound of the keys
+        if n == 0:
+            return
         rows = dedup
         present = _existing_identities(spark, target_path, run_id, batch_id, dedup, identity,
-                                       segments_per_folder)
+                                       segments_per_folder, n)
         if present is not None:
             rows = rows.join(present, list(identity), "left_anti")
         bad_cells = F.col("cells").isNotNull() & F.json_object_keys("cells").isNull()
