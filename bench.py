@@ -8,7 +8,9 @@ plan executes without collecting rows to the driver.
 The reference's own workload is timed too: ticks are generated once at
 scale = sf (untimed, like its generator step), then `load_ticks` (drop,
 stage, create day-partitioned tables, append) and its three tick queries on
-the loaded tables, each 1 warm-up + mean of 5.
+the loaded tables, each 1 warm-up + mean of 5. The change-log stream is timed
+as well (`stream_cdc_sync`: availableNow over the sf change log in 4 files,
+2 per trigger, fresh copy each run).
 
 Prints one JSON line: {"metric", "value" (sum of per-query means, sec),
 "unit", "queries": {name: sec}, "sf"}.
@@ -26,10 +28,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import tempfile  # noqa: E402
 
-from livetables.plans.catalog import QUERIES  # noqa: E402
+from livetables.plans.catalog import QUERIES, events_change_log, table  # noqa: E402
 from livetables.plans.loads import load_ticks, tick_query  # noqa: E402
 from livetables.session import local_session, scratch_path  # noqa: E402
+from livetables.sources.changelog import change_log_schema  # noqa: E402
 from livetables.sources.generators import generate_to  # noqa: E402
+from livetables.streaming.cdc_sync import cdc_sync  # noqa: E402
 
 HEADLINE = [
     "last_quote_by_symbol",
@@ -73,6 +77,22 @@ def reference_workload(spark, scale: float) -> dict[str, float]:
     return out
 
 
+def stream_workload(spark, sf_dir: str) -> dict[str, float]:
+    """The change-log stream: the sf change log as 4 files, 2 per trigger, into
+    a fresh copy and checkpoint each run (so every run does the same work)."""
+    log_dir = scratch_path(spark, "bench_log")
+    events_change_log(table(spark, sf_dir, "events")).repartition(4).write.parquet(log_dir)
+    ddl = change_log_schema("user_id bigint", "event_id bigint")
+
+    def once() -> None:
+        run = scratch_path(spark, "bench_sync")
+        q = cdc_sync(spark, log_dir, f"{run}/copy", f"{run}/ckpt", log_schema=ddl,
+                     cells_schema="ts timestamp_ntz, value double", keyspace="shop", table="click",
+                     available_now=True, max_files_per_trigger=2)
+        q.awaitTermination()
+    return {"stream_cdc_sync": timed(once)}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -84,6 +104,7 @@ def main() -> None:
     sf = float(m.group(1)) if m else None
     if not sys.argv[1:]:
         results.update(reference_workload(spark, sf or 0.1))
+        results.update(stream_workload(spark, sf_dir))
     print(json.dumps({
         "metric": "sum of mean query time (1 warm-up + mean of 5, noop sink)",
         "value": round(sum(results.values()), 4),
