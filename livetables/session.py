@@ -1,8 +1,8 @@
 """Session helpers: build a session for local runs and find shared folders.
 
 On a cluster the caller owns the session. The library only reads settings
-from it; it sets `spark.checkpoint.dir` itself only when that is unset (local
-runs and tests).
+from it; when `spark.checkpoint.dir` is unset it registers a temp folder for
+local masters only (local runs and tests) and refuses on a cluster.
 """
 
 from __future__ import annotations
@@ -84,8 +84,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            # a machine-local folder is not shared by executors on a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         # Core settings cannot be changed on a running session; register the
-        # folder with the context instead.
+        # folder with the context instead (local runs and tests only).
         configured = os.path.join(tempfile.gettempdir(), "livetables-checkpoints")
     try:
         sc = spark.sparkContext
