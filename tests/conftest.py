@@ -28,10 +28,19 @@ def scratch():
     return tempfile.mkdtemp(prefix="lt-test-")
 
 
-@pytest.fixture(scope="session")
-def duck():
+def _duck(sf_dir):
     import duckdb
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"create view {t} as select * from read_parquet('{SF01}/{t}.parquet')")
+        con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
     return con
+
+
+@pytest.fixture(scope="session")
+def duck():
+    return _duck(SF01)
+
+
+@pytest.fixture(scope="session")
+def duck_small():
+    return _duck(SF001)

@@ -40,6 +40,16 @@ def test_query_matches_oracle(spark, duck, name):
     assert _rows(df.columns, got) == _rows(cols, want)
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_oracle_at_smallest_scale(spark, duck_small, name):
+    df = E.queries()[name](spark, SF001)
+    got = [r.asDict() for r in df.collect()]
+    res = duck_small.execute(ORACLES[name])
+    cols = [d[0] for d in res.description]
+    want = [dict(zip(cols, r)) for r in res.fetchall()]
+    assert _rows(df.columns, got) == _rows(cols, want)
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
