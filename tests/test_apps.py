@@ -11,3 +11,34 @@ def test_generate_load_query_programs(spark, scratch, capsys):
     assert "Load time- Trades:" in out
     assert out.count("Time taken:") == 3
     assert spark.table("QUOTES").count() == 7914
+
+
+def test_flights_bulk_copy_and_feed_programs(spark, scratch, capsys):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tests.conftest import SF001
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    li.select(F.year("l_shipdate").alias("Year"), F.month("l_shipdate").alias("Month"),
+              F.col("l_partkey").cast("string").alias("UniqueCarrier"),
+              F.lit("SFO").alias("Origin"), (F.col("l_tax") * 100).cast("int").alias("WeatherDelay")
+              ).write.parquet(f"{scratch}/airline")
+    spark.read.parquet(f"{SF001}/part.parquet").select(
+        F.col("p_partkey").cast("string").alias("CODE"), F.col("p_name").alias("DESCRIPTION")
+    ).write.parquet(f"{scratch}/ref")
+    apps.main(["flights", f"{scratch}/airline", f"{scratch}/ref"])
+    assert "total_delay" in capsys.readouterr().out
+    assert spark.table("airline").columns[:2] == ["Year_", "Month_"]
+
+    apps.main(["bulk-copy", "parquet", "nation_src", "n_regionkey", "--option",
+               f"path={SF001}/nation.parquet"])
+    assert spark.table("copy_nation_src").count() == 25
+
+    os.makedirs(f"{scratch}/msgs")
+    with open(f"{scratch}/msgs/a.json", "w") as f:
+        f.write('{"k": 1}\n{"k": "x"}\n')
+    apps.main(["json-feed", f"{scratch}/msgs", f"{scratch}/good", f"{scratch}/rej", f"{scratch}/ck",
+               "--schema", "k int", "--timeout", "60", "--max-batches", "1"])
+    assert spark.read.parquet(f"{scratch}/good").count() == 1
+    assert spark.read.parquet(f"{scratch}/rej").count() == 1
