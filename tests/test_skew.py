@@ -1,7 +1,6 @@
 """Hot keys: one key holds a third (or more) of all rows. Results stay exact,
 and every aggregate is partial before its shuffle."""
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
