@@ -42,3 +42,23 @@ def test_flights_bulk_copy_and_feed_programs(spark, scratch, capsys):
                "--schema", "k int", "--timeout", "60", "--max-batches", "1"])
     assert spark.read.parquet(f"{scratch}/good").count() == 1
     assert spark.read.parquet(f"{scratch}/rej").count() == 1
+
+
+def test_cdc_sync_program(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from livetables.sources import changelog
+    from livetables.streaming.cdc_sync import read_copy
+    from tests.conftest import SF001
+    e = spark.read.parquet(f"{SF001}/events.parquet")
+    log = changelog.change_log_from_rows(
+        e.select("user_id", "event_id", "ts", "value", "event_type"), keyspace="shop",
+        table=F.col("event_type"), pk=["user_id"], ck=["event_id"],
+        segment=F.col("user_id") % 4, position=F.col("event_id"))
+    log.unionByName(log).write.parquet(f"{scratch}/log")          # delivered twice
+    apps.main(["cdc-sync", f"{scratch}/log", f"{scratch}/copy", f"{scratch}/ck", "shop", "VIEW",
+               "--log-schema", changelog.change_log_schema("user_id bigint", "event_id bigint"),
+               "--cells-schema", "ts timestamp_ntz, value double", "--available-now"])
+    got = read_copy(spark, f"{scratch}/copy").select("event_id", "user_id", "ts", "value")
+    want = e.where("event_type = 'view'").select("event_id", "user_id", "ts", "value")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
