@@ -117,7 +117,8 @@ def cdc_compact(base: DataFrame | None, changes: DataFrame, keys: list[str],
                 order: tuple[str, ...] = ("position", "row_no"), op_col: str | None = None,
                 delete_ops: tuple[str, ...] = ("delete",),
                 max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                changes_rows: int | None = None, materialize: bool = True) -> DataFrame:
+                changes_rows: int | None = None, materialize: bool = True,
+                one_per_key: bool = False) -> DataFrame:
     """Merge flattened change rows into a bulk copy: one row per changed key,
     the newest change wins, unchanged base rows are kept as they are.
 
@@ -136,15 +137,20 @@ def cdc_compact(base: DataFrame | None, changes: DataFrame, keys: list[str],
     `materialize=True` writes the newest-per-key rows once to the shared
     checkpoint folder: they feed both the anti join and the upserts, and
     column pruning would otherwise make the two branches compute them twice.
+    `one_per_key=True` says the changes already hold at most one row per key
+    (e.g. `cdc_latest` then `cdc_flatten`), so step (1) is skipped.
     """
     value_cols = [c for c in changes.columns if c not in keys and c not in order and c != op_col]
     if base is not None:
         value_cols += [c for c in base.columns if c not in keys and c not in value_cols]
     payload = [F.col(c) if c in changes.columns else F.lit(None).alias(c) for c in value_cols]
     op = F.col(op_col) if op_col else F.lit(None).cast("string")
-    latest = (changes.groupBy(*keys)
-              .agg(F.max_by(F.struct(*payload, op.alias("__op")),
-                            F.struct(*[F.col(c) for c in order])).alias("__row")))
+    if one_per_key:
+        latest = changes.select(*keys, F.struct(*payload, op.alias("__op")).alias("__row"))
+    else:
+        latest = (changes.groupBy(*keys)
+                  .agg(F.max_by(F.struct(*payload, op.alias("__op")),
+                                F.struct(*[F.col(c) for c in order])).alias("__row")))
     if materialize and base is not None:
         ensure_checkpoint_dir(changes.sparkSession)
         latest = latest.checkpoint(eager=True)

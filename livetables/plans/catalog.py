@@ -307,7 +307,7 @@ def q_cdc_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = changes.cdc_latest(events_change_log(e), keys=["pk.user_id", "table_name"])
     rows = changes.cdc_flatten(latest, "value double, event_type string", keep=("position", "row_no"))
     # the change rows are at most the log's rows, i.e. the rows of events
-    return changes.cdc_compact(base, rows, keys=["user_id", "event_type"],
+    return changes.cdc_compact(base, rows, keys=["user_id", "event_type"], one_per_key=True,
                                changes_rows=source_rows(spark, sf_dir, "events")).select(
         "user_id", "event_type", "event_id", "value")
 

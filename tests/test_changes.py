@@ -232,3 +232,20 @@ def test_run_ids_are_read_back_as_text(spark, scratch):
     for i in range(5):
         rid = sync.run_id_for(spark, f"{scratch}/ck{i}")
         assert rid.startswith("r") and not rid[1:].isdigit()
+
+
+def test_compact_one_per_key_shortcut_agrees(spark):
+    log = _log(spark, [
+        _rec(1, 10, 0, "airline", (2001, "west"), (7,), '{"delay": 5}'),
+        _rec(1, 12, 0, "airline", (2001, "west"), (7,), '{"delay": 9}'),
+        _rec(2, 3, 0, "airline", (2002, "east"), (8,), '{"delay": 1}'),
+    ])
+    flat = changes.cdc_flatten(changes.cdc_latest(log, keys=["pk.year", "pk.region", "ck.flight"]),
+                               "delay int", keep=("position", "row_no"))
+    base = spark.createDataFrame([(2001, "west", 7, 0), (2003, "north", 9, 4)],
+                                 "year int, region string, flight int, delay int")
+    keys = ["year", "region", "flight"]
+    a = changes.cdc_compact(base, flat, keys=keys)
+    b = changes.cdc_compact(base, flat, keys=keys, one_per_key=True)
+    assert sorted(a.collect()) == sorted(b.collect()) == [(2001, "west", 7, 9), (2002, "east", 8, 1),
+                                                          (2003, "north", 9, 4)]
