@@ -90,3 +90,13 @@ def test_bucketed_append_spreads_a_hot_key(spark):
                 .groupBy("f").agg(F.countDistinct("b").alias("n")))
     assert per_file.where("n > 1").count() == 0
     assert t.count() == 300000
+
+
+@settings(max_examples=6, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+@given(st.integers(1, 3000), st.integers(1, 40), st.integers(1, 40))
+def test_generator_rows_do_not_depend_on_partitioning(spark, rows, p1, p2):
+    from livetables.sources import generators
+    a = generators.gen_trades(spark, rows=rows, partitions=p1)
+    b = generators.gen_trades(spark, rows=rows, partitions=p2)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
