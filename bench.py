@@ -7,8 +7,8 @@ plan executes without collecting rows to the driver.
 
 The reference's own workload is timed too: ticks are generated once at
 scale = sf (untimed, like its generator step), then `load_ticks` (drop,
-stage, create day-partitioned tables, append) and its three tick queries on
-the loaded tables, each 1 warm-up + mean of 5. The change-log stream is timed
+stage, create day-partitioned tables, append; column and row layouts) and
+its three tick queries on the loaded tables, each 1 warm-up + mean of 5. The change-log stream is timed
 as well (`stream_cdc_sync`: availableNow over the sf change log in 4 files,
 2 per trigger, fresh copy each run).
 
@@ -68,7 +68,9 @@ def timed(fn) -> float:
 def reference_workload(spark, scale: float) -> dict[str, float]:
     path = scratch_path(spark, "bench_ticks")
     generate_to(spark, path, scale=scale, partitions=max(8, spark.sparkContext.defaultParallelism))
-    out = {"load_ticks": timed(lambda: load_ticks(spark, path, prefix="bench_"))}
+    out = {"load_ticks": timed(lambda: load_ticks(spark, path, prefix="bench_")),
+           # the row layout: VARCHAR lengths checked by Spark, NOT NULL by a guard in the write
+           "load_ticks_row": timed(lambda: load_ticks(spark, path, provider="row", prefix="bench_row_"))}
     for key, name in (("ticks_q1_last_bid", "last_quote_by_symbol"),
                       ("ticks_q2_last_price", "last_price_by_symbol_exchange"),
                       ("ticks_q3_avg_size", "hourly_avg_size")):
