@@ -47,6 +47,12 @@ HEADLINE = [
     "cdc_sync",
     "cdc_compact",
     "gen_quotes",
+    "bucketed_last_quote",
+    "hour_of_text_time",
+    "cdc_flatten",
+    "cdc_positions",
+    "cdc_unknown_tables",
+    "gen_trades",
 ]
 RUNS = 5
 
