@@ -108,8 +108,10 @@ def main(argv: list[str] | None = None) -> None:
         load_flights(spark, args.airline_path, args.airlineref_path).show(20, truncate=False)
     elif args.cmd == "bulk-copy":
         opts = dict(o.split("=", 1) for o in args.option)
-        copy = bulk_copy(spark, read_format(spark, args.format, **opts), f"copy_{args.table}",
-                         partition_by=args.partition_col)
+        source = read_format(spark, args.format, **opts)
+        source.show()                 # rows and schema of the source, then the copy
+        source.printSchema()
+        copy = bulk_copy(spark, source, f"copy_{args.table}", partition_by=args.partition_col)
         copy.show()
     elif args.cmd == "cdc-sync":
         q = cdc_sync(spark, args.log_dir, args.target, args.checkpoint, log_schema=args.log_schema,
