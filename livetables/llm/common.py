@@ -2,10 +2,27 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from livetables.session import scratch_path
+import livetables
+from livetables.session import scratch_path, session_key
+
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, once per application (as --py-files would)."""
+    key = session_key(spark)
+    if key not in _SHIPPED:
+        folder = tempfile.TemporaryDirectory()
+        top = os.path.dirname(os.path.dirname(os.path.abspath(livetables.__file__)))
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder.name}/livetables", "zip", top, "livetables"))
+        _SHIPPED[key] = folder           # Spark serves the file as long as the application runs
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
