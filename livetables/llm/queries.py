@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from livetables.llm import bpe, chat_format, exact_dedup, mixing, pii, token_store, topk, url_filter
+from livetables.llm import bpe, chat_format, exact_dedup, mixing, pii, token_store, topk, toxicity, url_filter
 from livetables.llm.common import hex_sha256, read
 from livetables.session import scratch_path
 
@@ -37,6 +37,18 @@ def op2_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.span_list(F.col("spans")).alias("spans"))
 
 
+#: A document scored this high or higher counts as toxic.
+TOXIC_AT = 0.3
+
+
+def op4_tfidf_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, columns=["doc_id"]).select("row.doc_id", "score", "evidence")
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"), "evidence")
+
+
 def op5_plane_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = scratch_path(spark, "token-store")
     token_store.write_store(read(spark, sf_dir, "documents"), store, public_tokenizers.path("byte_bpe_50k.json"))
@@ -75,6 +87,7 @@ def op10_sentencepiece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_templates": op1_url_templates,
     "op2_pii_weak_supervision": op2_pii_weak_supervision,
+    "op4_tfidf_neighbours": op4_tfidf_neighbours,
     "op5_plane_store": op5_plane_store,
     "op6_prefix_targets": op6_prefix_targets,
     "op7_threshold_topk": op7_threshold_topk,
