@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from livetables.llm import bpe, chat_format, exact_dedup, mixing, pii, token_store, topk, toxicity, url_filter
+from livetables.llm import bpe, chat_format, exact_dedup, mixing, near_dup, pii, token_store, topk, toxicity, url_filter
 from livetables.llm.common import hex_sha256, read
 from livetables.session import scratch_path
 
@@ -37,6 +37,10 @@ def op2_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.span_list(F.col("spans")).alias("spans"))
 
 
+def op3_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes_of(read(spark, sf_dir, "documents"))
+
+
 #: A document scored this high or higher counts as toxic.
 TOXIC_AT = 0.3
 
@@ -87,6 +91,7 @@ def op10_sentencepiece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_templates": op1_url_templates,
     "op2_pii_weak_supervision": op2_pii_weak_supervision,
+    "op3_weighted_minhash": op3_weighted_minhash,
     "op4_tfidf_neighbours": op4_tfidf_neighbours,
     "op5_plane_store": op5_plane_store,
     "op6_prefix_targets": op6_prefix_targets,
