@@ -155,19 +155,22 @@ def decode_rows(df: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id
         StructField(id_col, rows.schema[0].dataType), StructField("decoded", BinaryType())]))
 
 
-def round_trip(df: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, ids_sha256, decoded_sha256: each text encoded and its ids decoded, in one pass."""
+def round_trip(df: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text",
+               with_ids: bool = False) -> DataFrame:
+    """id, n_tokens, ids_sha256, decoded_sha256 (and ids): each text encoded and its ids decoded, in one pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for ids, texts in _rows(batches):
             packed = own.encode(texts)
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(p) // 4 for p in packed], pa.int64()),
-                 pa.array([hashlib.sha256(p).hexdigest() for p in packed]),
-                 pa.array([hashlib.sha256(own.decode(p)).hexdigest() for p in packed])],
-                names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+            columns = {id_col: ids, "n_tokens": pa.array([len(p) // 4 for p in packed], pa.int64()),
+                       "ids_sha256": pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
+                       "decoded_sha256": pa.array([hashlib.sha256(own.decode(p)).hexdigest() for p in packed], pa.string())}
+            if with_ids:
+                columns["ids"] = pa.array([own.np.frombuffer(p, dtype="<i4") for p in packed], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_pydict(columns)
     ship_package(df.sparkSession)
     rows = df.select(col(id_col), text_or_empty(text_col).alias("t"))
     return rows.mapInArrow(run, StructType([
         StructField(id_col, rows.schema[0].dataType), StructField("n_tokens", LongType()),
-        StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())]))
+        StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType()),
+        *[StructField("ids", ArrayType(IntegerType()))] * with_ids]))

@@ -1,0 +1,160 @@
+"""Near duplicates and toxicity against brute force and held-out labels."""
+
+import random
+import zlib
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from livetables.llm import near_dup, toxicity
+from livetables.llm.components import components
+from livetables.llm.queries import op4_tfidf_neighbours
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute_classes(rows, weights, p):
+    """Components over all pairs; rows: (id, text)."""
+    root = {i: i for i, _ in rows if i is not None}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    def join(a, b):
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    known = []
+    for i, t in rows:
+        if i is not None:
+            words = near_dup.words_of(t or "")
+            found, counts = near_dup.shingles(words, p.words)
+            known.append((i, words, (found, weights.of(found, counts))))
+    for x, (i, words, a) in enumerate(known):
+        for j, other, b in known[:x]:
+            if words == other or near_dup.similarity(a, b) >= p.threshold:
+                join(i, j)
+    return {i: find(i) for i in root}
+
+
+def corpus():
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    passage = " ".join(word() for _ in range(60))
+    texts = [None, "", " .", "one", "One!", "two words", "x " * 5000]
+    for _ in range(25):
+        base = [word() for _ in range(rng.randint(20, 300))]
+        texts.append(" ".join(base))
+        for _ in range(rng.randint(0, 4)):
+            copy = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 60))):
+                copy[rng.randrange(len(copy))] = word()
+            texts.append(" ".join(copy) + rng.choice(["", "!", " " + word()]))
+    texts += [passage + " " + " ".join(word() for _ in range(20)) for _ in range(30)]
+    crowd = [word() for _ in range(200)]
+    for _ in range(60):                        # a group that holds much of the corpus
+        copy = list(crowd)
+        copy[rng.randrange(200)] = word()
+        texts.append(" ".join(copy))
+    texts += texts[10:14]
+    return texts
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, "k", 1.0, 2) for i, t in rows], "doc_id long, text string, key string, total double, band int")
+
+
+def test_classes_equal_brute_force(spark):
+    rows = list(enumerate(corpus())) + [(None, "lost one"), (None, None), (3, "one")]
+    random.Random(2).shuffle(rows)
+    p = near_dup.Params(bands=40, rows=3)                     # so many bands that no pair above the threshold is missed
+    df = docs(spark, rows)
+    weights = near_dup.common_shingles(df.select(F.coalesce("text", F.lit("")).alias("t")), p)
+    got = near_dup.classes_of(df, p=p).collect()
+    assert len(got) == len(rows)
+    want = brute_classes(rows, weights, p)
+    assert {r.doc_id: r.class_id for r in got if r.doc_id is not None} == want
+    assert all(r.class_id is None and r.kept for r in got if r.doc_id is None)
+    assert all(r.kept == (r.class_id == r.doc_id) for r in got if r.doc_id is not None)
+    # without star rounds the members of each bucket are compared directly: same classes
+    alone = near_dup.classes_of(df, p=p, star_rounds=0).collect()
+    assert {r.doc_id: r.class_id for r in alone if r.doc_id is not None} == want
+
+
+def test_common_shingles_are_counted_exactly(spark):
+    rows = [(i, f"the same five words here and number {i}") for i in range(200)] + [(i, None) for i in range(200, 300)]
+    w = near_dup.common_shingles(docs(spark, rows).select(F.coalesce("text", F.lit("")).alias("t")), near_dup.Params())
+    found = near_dup.shingles(near_dup.words_of("the same five words here and number"), 5)[0]
+    assert set(found.tolist()) <= set(w.hashes.tolist())
+    assert np.allclose(w.of(found, np.ones(len(found), int)), 0.8)           # every document with words has them
+    rare = near_dup.shingles(near_dup.words_of("words here and number 7"), 5)[0]
+    assert np.allclose(w.of(rare, np.ones(1, int)), 1)
+
+
+def test_samples_agree_as_often_as_the_similarity():
+    rng = np.random.default_rng(0)
+    ids = np.unique(rng.integers(0, 2 ** 63, 400, dtype=np.uint64))
+    w = rng.uniform(0.5, 3, len(ids))
+    a, b = slice(0, 330), slice(60, len(ids))
+    s = np.mean([np.mean(near_dup.sample(ids[a], w[a], 64, seed) == near_dup.sample(ids[b], w[b], 64, seed)) for seed in range(4)])
+    assert abs(s - near_dup.similarity((ids[a], w[a]), (ids[b], w[b]))) < 0.1
+
+
+def test_nothing_to_compare(spark):
+    assert near_dup.classes_of(docs(spark, [])).count() == 0
+    assert near_dup.classes_of(docs(spark, [(1, "a b c")])).collect()[0].class_id == 1
+
+
+def test_components_of_a_path_a_star_and_a_cycle(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 180)] + [(200, 201), (201, 202), (202, 200), (5, 5)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 180)}, 200: 200, 201: 200, 202: 200}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10 ** 6), st.integers(1, 200), st.integers(1, 12))
+def test_block_max_search_is_exact(seed, size, k):
+    rng = np.random.default_rng(seed)
+    made = []
+    for _ in range(size):
+        f = np.unique(rng.integers(0, 30, rng.integers(0, 6)))
+        made.append((f, rng.integers(1, 4, len(f)).astype(float)))
+    index = toxicity.BlockMaxIndex.build(made, 30, block=8)
+    f = np.unique(rng.integers(0, 30, 5))
+    q = rng.integers(1, 4, len(f)).astype(float)
+    scores = np.array([sum(w for x, w in zip(*m) for y, v in zip(f, q) if x == y for w in [w * v]) for m in made])
+    want = [i for i in np.lexsort((np.arange(size), -scores)) if scores[i] > 0][:k]
+    best, found = index.nearest(f, q, k)
+    assert best.tolist() == want and np.allclose(found, scores[want])
+
+
+def test_held_out_accuracy_and_no_peeking(spark):
+    rows = {r.doc_id: r for r in op4_tfidf_neighbours(spark, SF).collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows.values())
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in rows.items())
+    own = [(labels[i], r.predicted) for i, r in rows.items() if i in labels and r.held_out]
+    assert np.mean([a == b for a, b in own]) > 0.9
+
+
+def test_odd_rows_and_labels(spark):
+    rng = random.Random(0)
+    texts = [("bad " if i % 3 == 0 else "") + " ".join(rng.choice(["lorem", "ipsum", "dolor", "amet"]) for _ in range(6)) for i in range(200)]
+    rows = list(enumerate(texts)) + [(500, None), (501, ""), (None, "bad bad"), (502, "bad " * 50_000), (3, texts[3])]
+    df = spark.createDataFrame([(i, t, 0.5, "e") for i, t in rows], "doc_id long, text string, score double, evidence string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), 1) for i in range(200)] + [(None, 1, 1), (500, None, 1), (0, 0, 1)],
+                                   "doc_id long, toxic int, quality int")
+    model = toxicity.fit(df, labels)
+    got = toxicity.score(df, model).select("row.doc_id", "row.text", "score", "evidence").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.score >= 0.3) == ("bad" in (r.text or ""))
+        assert all(e.cosine <= 1 + 1e-9 for e in r.evidence)
+    empty = toxicity.fit(df, labels.limit(0))
+    assert {r.score for r in toxicity.score(df, empty).collect()} == {0.0}
+    assert toxicity.score(df.limit(0), model).count() == 0
