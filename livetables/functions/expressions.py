@@ -71,13 +71,19 @@ def time_text(hour: Column, minute: Column, second: Column, millis: Column) -> C
                     F.lpad(millis.cast("string"), 3, "0"))
 
 
-def hour_of_text(time_col: ColumnOrName, fmt: str = "HH:mm:ss.SSS") -> Column:
-    """Hour of a time-of-day string; NULL (not a failed query) for bad text.
+# Time-of-day texts: seconds and their fraction may be missing, the hour may have one digit.
+_TIME_OF_DAY = r"^\s*([01]?[0-9]|2[0-3]):[0-5]?[0-9](?::[0-5]?[0-9](?:[.][0-9]{0,9})?)?\s*$"
+
+
+def hour_of_text(time_col: ColumnOrName) -> Column:
+    """Hour of a time-of-day or timestamp text; NULL (not a failed query) for any other text.
 
     `hour('12:00:00.000')` relies on an implicit cast that raises under ANSI
-    mode for one bad row; `try_to_timestamp` returns NULL instead.
+    mode for one bad row; here texts that are no time give NULL instead.
     """
-    return F.hour(F.try_to_timestamp(_col(time_col), F.lit(fmt)))
+    c = _col(time_col)
+    digits = F.regexp_extract(c, _TIME_OF_DAY, 1)
+    return F.when(digits != "", digits.cast("int")).otherwise(F.hour(c.try_cast("timestamp_ntz")))
 
 
 def decimal_text(unscaled: ColumnOrName, precision: int = 10, scale: int = 4) -> Column:

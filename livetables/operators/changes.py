@@ -1,31 +1,58 @@
 """Change-feed operators (batch form; the stream applies them per micro-batch).
 
 * cdc_target:         keep changes of one keyspace.table (case-insensitive)
-* cdc_replay_guard:   drop repeated records by identity (segment, position, row_no)
+* cdc_replay_guard:   drop repeated records
+* cdc_split:          (records that fit the table, the others with a reason)
 * cdc_flatten:        one row per change: simple cells, then partition key,
                       then clustering columns
 * cdc_positions:      furthest position per segment
 * cdc_unknown_tables: records whose table is not known, counted per table
 * cdc_latest:         newest raw record per key (before parsing cells)
-* cdc_compact:        bulk copy + change rows -> one row per key, newest wins
+* cdc_compact:        bulk copy + change rows -> one row per key, newest wins,
+                      cell by cell
+
+Order. A position is a place inside its segment, so records are ordered by
+(segment, position, row_no). `order_key` makes one decimal of them: maxima of it
+are hash aggregates of a fixed width.
 
 Replay guard. A per-segment high-water mark is only right when one reader
-walks each segment in order; Spark reads files in no set order, so records
-are de-duplicated by identity instead. `dropDuplicates` plans as a partial +
-final aggregate, so a record repeated a million times is collapsed inside
-each task before the shuffle.
+walks each segment in order; Spark reads files in no set order, so repeated
+records are dropped instead. A replay repeats a record as it was, so `distinct`
+over whole records does it: a hash aggregate that folds a record repeated a
+million times inside each task, before the shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from livetables.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, has_at_most
-from livetables.session import ensure_checkpoint_dir
+from livetables.operators.feeds import object_faults, parse_object
+from livetables.session import scratch_path
 from livetables.sources.changelog import IDENTITY, JSON_OPTIONS
 
+_DIGITS = 19          # of the largest bigint
+
+
+def order_key(order: tuple[str, ...] = IDENTITY) -> Column:
+    """Up to three non-negative integer columns as one decimal that sorts like them.
+
+    The last two of three have to be below 2^32 and 2^31 (a position in a log
+    segment and a row number); larger ones fail the query, they never misorder.
+    """
+    if not 1 <= len(order) <= 3:
+        raise ValueError("order by one to three columns")
+    cols = [F.col(c).cast("decimal(19,0)") for c in order]
+    if len(cols) == 3:
+        fine = F.col(order[1]).between(0, 2 ** 32 - 1) & F.col(order[2]).between(0, 2 ** 31 - 1)
+        pair = F.col(order[1]).cast("bigint") * F.lit(2 ** 31) + F.col(order[2]).cast("bigint")
+        cols = [cols[0], F.when(fine | F.col(order[1]).isNull() | F.col(order[2]).isNull(), pair)
+                .otherwise(F.raise_error(F.lit("order columns out of range"))).cast("decimal(19,0)")]
+    if len(cols) == 1:
+        return cols[0].cast("decimal(38,0)")
+    return (cols[0] * F.lit(str(10 ** _DIGITS)).cast("decimal(20,0)") + cols[1]).cast("decimal(38,0)")
+
 
 def cdc_target(log: DataFrame, keyspace: str, table: str, keyspace_col: str = "keyspace_name",
                table_col: str = "table_name") -> DataFrame:
@@ -33,8 +60,8 @@ def cdc_target(log: DataFrame, keyspace: str, table: str, keyspace_col: str = "k
                      & (F.lower(F.col(table_col)) == table.lower()))
 
 
-def cdc_replay_guard(log: DataFrame, identity: tuple[str, ...] = IDENTITY) -> DataFrame:
-    return log.dropDuplicates(list(identity))
+def cdc_replay_guard(log: DataFrame) -> DataFrame:
+    return log.distinct()
 
 
 def _struct_fields(df: DataFrame, name: str) -> list[str]:
@@ -49,24 +76,56 @@ def simple_cells_schema(schema: T.StructType | str) -> T.StructType:
                          if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))])
 
 
+def _cells_and_keys(log: DataFrame, cells_schema: T.StructType | str, pk: str, ck: str) -> tuple[T.StructType, set[str]]:
+    st = T.DataType.fromDDL(cells_schema) if isinstance(cells_schema, str) else cells_schema
+    keys = set(_struct_fields(log, pk)) | set(_struct_fields(log, ck))
+    return T.StructType([f for f in st.fields if f.name not in keys]), keys
+
+
+def cdc_faults(log: DataFrame, cells_schema: T.StructType | str, pk: str = "pk", ck: str = "ck",
+               cells: str = "cells") -> Column:
+    """Why a record's cells don't fit the table; NULL if they do.
+
+    Cells that aren't one JSON object, a value of the wrong type, a repeated
+    cell, or a cell that is neither a column (collections included) nor a key.
+    """
+    st, keys = _cells_and_keys(log, cells_schema, pk, ck)
+    known = T.StructType([*st.fields, *(T.StructField(k, T.StringType()) for k in sorted(keys))])
+    return F.when(F.col(cells).isNotNull(), object_faults(parse_object(F.col(cells)), known))
+
+
+def cdc_split(log: DataFrame, cells_schema: T.StructType | str, pk: str = "pk", ck: str = "ck",
+              cells: str = "cells") -> tuple[DataFrame, DataFrame]:
+    """(records that fit the table, the other records with `reject_reason`)."""
+    judged = log.withColumn("reject_reason", F.explode(F.array(cdc_faults(log, cells_schema, pk, ck, cells))))
+    return judged.where(F.col("reject_reason").isNull()).drop("reject_reason"), judged.where(F.col("reject_reason").isNotNull())
+
+
 def cdc_flatten(log: DataFrame, cells_schema: T.StructType | str, pk: str = "pk", ck: str = "ck",
-                cells: str = "cells", keep: tuple[str, ...] = (), drop_complex: bool = True) -> DataFrame:
+                cells: str = "cells", keep: tuple[str, ...] = (), drop_complex: bool = True,
+                strict: bool = True, present: str | None = None) -> DataFrame:
     """One row per change record: cells, then pk columns, then ck columns.
 
     A record without cells gives a key-only row. A cell named like a key
-    column is left to the key.
+    column is left to the key. A record that doesn't fit the table fails the
+    query (take `cdc_split` first); with strict=False what doesn't fit is NULL.
+    `present` names a column to add: the names of the cells that the record holds.
     """
-    st = T.DataType.fromDDL(cells_schema) if isinstance(cells_schema, str) else cells_schema
+    st, _ = _cells_and_keys(log, cells_schema, pk, ck)
     if drop_complex:
         st = simple_cells_schema(st)
-    key_names = set(_struct_fields(log, pk)) | set(_struct_fields(log, ck))
-    st = T.StructType([f for f in st.fields if f.name not in key_names])
-    parsed = F.from_json(F.col(cells), st, JSON_OPTIONS)
-    out = log.select(*keep, parsed.alias("__cells"), pk, ck)
+    text = F.col(cells)
+    if strict:
+        fault = cdc_faults(log, cells_schema, pk, ck, cells)
+        text = F.when(fault.isNotNull(), F.raise_error(fault)).otherwise(text)
+    parsed = F.from_json(text, st, JSON_OPTIONS)
+    names = F.coalesce(F.json_object_keys(F.col(cells)), F.array().cast("array<string>"))
+    out = log.select(*keep, *([names.alias(present)] if present else []), parsed.alias("__cells"), pk, ck)
     cols = ([F.col(c) for c in keep]
             + [F.col(f"__cells.{f.name}").alias(f.name) for f in st.fields]
             + [F.col(f"{pk}.{n}").alias(n) for n in _struct_fields(log, pk)]
-            + [F.col(f"{ck}.{n}").alias(n) for n in _struct_fields(log, ck)])
+            + [F.col(f"{ck}.{n}").alias(n) for n in _struct_fields(log, ck)]
+            + ([F.col(present)] if present else []))
     return out.select(*cols)
 
 
@@ -75,100 +134,130 @@ def cdc_positions(log: DataFrame, segment: str = "segment", position: str = "pos
 
 
 def cdc_unknown_tables(log: DataFrame, known: DataFrame | list[tuple],
-                       by: tuple[str, ...] = ("keyspace_name", "table_name"),
-                       max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                       by: tuple[str, ...] = ("keyspace_name", "table_name")) -> DataFrame:
     """Count records per table for tables not in `known` (same columns as `by`).
 
-    `known` is a DataFrame or a list of name tuples (a list's length is its
-    size bound, so no counting job runs). Names compare case-insensitively.
-    The known-table list is broadcast after the size check; the records are
-    counted with a partial aggregate.
+    `known` is a DataFrame or a list of name tuples. Names compare
+    case-insensitively. The records are counted with a partial aggregate.
     """
-    known_rows = None
+    return cdc_unknown(log, known, by).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+
+
+def cdc_unknown(log: DataFrame, known: DataFrame | list[tuple],
+                by: tuple[str, ...] = ("keyspace_name", "table_name")) -> DataFrame:
+    """The records of tables not in `known`."""
     if not isinstance(known, DataFrame):
-        known_rows = len(known)
         known = log.sparkSession.createDataFrame(list(known), ", ".join(f"`{c}` string" for c in by))
     lk = known.select(*[F.lower(F.col(c)).alias(f"__k{i}") for i, c in enumerate(by)])
-    lk = bounded_broadcast(lk, max_rows, known_rows=known_rows)
     cond = None
     for i, c in enumerate(by):
         e = F.lower(F.col(c)) == lk[f"__k{i}"]
         cond = e if cond is None else cond & e
-    return (log.join(lk, cond, "left_anti")
-            .groupBy(*by).agg(F.count(F.lit(1)).alias("n")))
+    return log.join(lk, cond, "left_anti")
 
 
-def cdc_latest(log: DataFrame, keys: list, order: tuple[str, ...] = ("position", "row_no")) -> DataFrame:
+def cdc_latest(log: DataFrame, keys: list, order: tuple[str, ...] = IDENTITY) -> DataFrame:
     """The newest raw record per key (keys may be columns of pk/ck, e.g. "pk.id").
 
     Run before `cdc_flatten`, so only the winning records' cells are parsed.
-    One `max_by(record, order)` per key: the partial aggregate keeps one
-    record per key per task before the shuffle (hot keys collapse map-side).
+    The newest order per key comes from a hash aggregate over two narrow columns
+    (a hot key is one row per task); the records are then fetched by a join.
     """
-    key_cols = [F.col(k).alias(k.replace(".", "_")) if isinstance(k, str) else k for k in keys]
-    names = [c for c in log.columns]
-    rank = F.struct(*[F.col(c) for c in order])
-    return (log.groupBy(*key_cols)
-            .agg(F.max_by(F.struct(*[F.col(c) for c in names]), rank).alias("__rec"))
-            .select(*[F.col(f"__rec.{c}").alias(c) for c in names]))
+    names = [f"__key{i}" for i in range(len(keys))]
+    ranked = log.select("*", *[(F.col(k) if isinstance(k, str) else k).alias(n) for k, n in zip(keys, names)],
+                        order_key(order).alias("__order"))
+    newest = ranked.groupBy(*names).agg(F.max("__order").alias("__newest"))
+    newest = newest.select(*[F.col(n).alias(f"{n}n") for n in names], "__newest")
+    same = F.col("__order") == F.col("__newest")
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"{n}n"))
+    return ranked.join(newest, same).select(*log.columns).distinct()
 
 
 def cdc_compact(base: DataFrame | None, changes: DataFrame, keys: list[str],
-                order: tuple[str, ...] = ("position", "row_no"), op_col: str | None = None,
-                delete_ops: tuple[str, ...] = ("delete",),
-                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                changes_rows: int | None = None, materialize: bool = True,
-                one_per_key: bool = False) -> DataFrame:
-    """Merge flattened change rows into a bulk copy: one row per changed key,
-    the newest change wins, unchanged base rows are kept as they are.
-
-    `changes` holds flattened change rows plus the `order` columns (positions
-    must be comparable across segments, e.g. a global sequence). When
-    `op_col` is given, a key whose newest change is a delete is removed.
-
-    Plan: (1) newest change per key, `max_by(row, order)` with a partial
-    aggregate (a key holding a third of all changes is collapsed inside each
-    task); (2) base rows whose key changed are removed by an anti join. When
-    the changes have at most `max_rows` rows (a bounded count), their keys are
-    broadcast and the base is streamed past them without any shuffle; above
-    the bound the anti join shuffles. (3) the surviving upserts are added.
-    `changes_rows` is a known upper bound on the change rows (e.g. the row
-    count of the log they come from); without it a bounded count is taken.
-    `materialize=True` writes the newest-per-key rows once to the shared
-    checkpoint folder: they feed both the anti join and the upserts, and
-    column pruning would otherwise make the two branches compute them twice.
-    `one_per_key=True` says the changes already hold at most one row per key
-    (e.g. `cdc_latest` then `cdc_flatten`), so step (1) is skipped.
+                order: tuple[str, ...] = IDENTITY, op_col: str | None = None,
+                delete_ops: tuple[str, ...] = ("delete",), present_col: str | None = None) -> DataFrame:
+    """Merge flattened change rows into a bulk copy: one row per key.
+
+    `changes` holds flattened change rows plus the `order` columns. With
+    `present_col` (the cells each change holds, see `cdc_flatten`) each column
+    takes the newest change that holds it, an explicit null included, and keeps
+    the base value where none does; without it a change is a whole row. A key
+    whose newest change is a delete (`op_col`) is removed; changes and base
+    values from before a delete don't show through later changes. Unchanged base
+    rows are kept as they are. Column order: keys, then the change columns, then
+    further base columns.
+
+    Plan: (1) one hash aggregate over the changes finds per key the order of the
+    newest change of each column and of the newest delete: numbers only, a hot
+    key is one row per task; (2) the winning changes are fetched by a join and
+    their values put into one row per key, written to the shared folder; (3) the
+    base is joined to that table, which Spark broadcasts if it is small, so a
+    large base is streamed past few changed keys without a shuffle; (4) new rows
+    are added. Whole-row changes replace every base row of their key; with
+    `present_col` the base is expected to hold a key once.
     """
-    value_cols = [c for c in changes.columns if c not in keys and c not in order and c != op_col]
-    if base is not None:
-        value_cols += [c for c in base.columns if c not in keys and c not in value_cols]
-    payload = [F.col(c) if c in changes.columns else F.lit(None).alias(c) for c in value_cols]
-    op = F.col(op_col) if op_col else F.lit(None).cast("string")
-    if one_per_key:
-        latest = changes.select(*keys, F.struct(*payload, op.alias("__op")).alias("__row"))
-    else:
-        latest = (changes.groupBy(*keys)
-                  .agg(F.max_by(F.struct(*payload, op.alias("__op")),
-                                F.struct(*[F.col(c) for c in order])).alias("__row")))
-    if materialize and base is not None:
-        ensure_checkpoint_dir(changes.sparkSession)
-        latest = latest.checkpoint(eager=True)
-        if changes_rows is None:
-            changes_rows = latest.count()          # now a read of the written rows
-    upserts = latest
-    if op_col:
-        upserts = upserts.where(~F.coalesce(F.lower(F.col("__row.__op")).isin(*delete_ops), F.lit(False)))
-    upserts = upserts.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in value_cols])
+    spark = changes.sparkSession
+    value_cols = [c for c in changes.columns if c not in (*keys, *order, op_col, present_col)]
+    by_cell = present_col is not None
+    deleted = F.coalesce(F.lower(F.col(op_col)).isin(*delete_ops), F.lit(False)) if op_col else F.lit(False)
+    ranked = changes.withColumn("__order", order_key(order)).withColumn("__deleted", deleted)
+
+    def held(c: str) -> Column:
+        return ~F.col("__deleted") & (F.array_contains(present_col, c) if by_cell else F.lit(True))
+    newest = [F.max(F.when(held(c), F.col("__order"))).alias(f"__at{i}") for i, c in enumerate(value_cols)] if by_cell else []
+    marks = ranked.groupBy(*keys).agg(
+        F.max(F.when(~F.col("__deleted"), F.col("__order"))).alias("__kept"),
+        F.max(F.when(F.col("__deleted"), F.col("__order"))).alias("__gone"), *newest)
+    at = [F.col(f"__at{i}") if by_cell else F.col("__kept") for i in range(len(value_cols))]
+    wins = F.col("__order") == F.col("__kept")
+    for a in at if by_cell else ():
+        wins = wins | (F.col("__order") == a)
+    key_marks = marks.select(*[F.col(k).alias(f"__m{i}") for i, k in enumerate(keys)], *[c for c in marks.columns if c not in keys])
+    winners = ranked.where(~F.col("__deleted")).join(key_marks, _all_same(keys, "__m") & F.coalesce(wins, F.lit(False)))
+    values = [F.max_by(F.col(c), F.when(F.col("__order") == a, F.col("__order"))).alias(f"__v{i}")
+              for i, (c, a) in enumerate(zip(value_cols, at))]
+    rows = marks if not value_cols else marks.join(
+        winners.groupBy(*keys).agg(*values).select(*[F.col(k).alias(f"__w{i}") for i, k in enumerate(keys)],
+                                                   *[f"__v{i}" for i in range(len(value_cols))]),
+        _all_same(keys, "__w"), "left").drop(*[f"__w{i}" for i in range(len(keys))])
+    path = scratch_path(spark, "compact")
+    alive = F.col("__kept").isNotNull() & (F.col("__gone").isNull() | (F.col("__kept") > F.col("__gone")))
+    rows = rows.withColumn("__alive", F.coalesce(alive, F.lit(False)))
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    nothing = F.lit(None)
+
+    def merged(i: int, c: str, old: Column) -> Column:
+        if not by_cell:
+            return F.col(f"__v{i}").alias(c)
+        told = F.col(f"__at{i}").isNotNull() & (F.col("__gone").isNull() | (F.col(f"__at{i}") > F.col("__gone")))
+        return F.when(told, F.col(f"__v{i}")).when(F.col("__gone").isNull(), old).alias(c)
+    upserts = rows.where("__alive")
     if base is None:
-        return upserts
-    # The changed keys are at most as many as the change rows, so a bounded
-    # count of the changes proves the broadcast side small.
-    touched = latest.select(*keys)
-    small = changes_rows <= max_rows if changes_rows is not None else has_at_most(changes, max_rows)
-    if small:
-        touched = F.broadcast(touched)
-    kept = base.select(*keys, *[F.col(c) if c in base.columns else F.lit(None).alias(c)
-                                for c in value_cols])
-    kept = kept.join(touched, keys, "left_anti")
-    return kept.unionByName(upserts)
+        return upserts.select(*keys, *[merged(i, c, nothing) for i, c in enumerate(value_cols)])
+    extra = [c for c in base.columns if c not in keys and c not in value_cols]
+    blank = [nothing.cast(base.schema[c].dataType).alias(c) for c in extra]
+    old = base.select(*[F.col(k).alias(f"__b{i}") for i, k in enumerate(keys)],
+                      *[F.col(c).alias(f"__o{c}") for c in base.columns if c not in keys])
+    of_base = _all_same(keys, "__b")
+    old_keys = [F.col(f"__b{i}").alias(k) for i, k in enumerate(keys)]
+    old_value = {c: F.col(f"__o{c}") if c in base.columns else nothing for c in [*value_cols, *extra]}
+    if by_cell:
+        kept = (old.join(rows, of_base, "left").where(F.col("__alive").isNull() | F.col("__alive"))
+                .select(*old_keys, *[merged(i, c, old_value[c]) for i, c in enumerate(value_cols)],
+                        *[F.when(F.col("__gone").isNull(), old_value[c]).alias(c) for c in extra]))
+        touched = old.select(*[f"__b{i}" for i in range(len(keys))]).join(rows.select(*keys), of_base, "left_semi")
+        upserts = upserts.join(touched, of_base, "left_anti")
+    else:
+        kept = (old.join(rows.select(*keys), of_base, "left_anti")
+                .select(*old_keys, *[old_value[c].alias(c) for c in [*value_cols, *extra]]))
+    added = upserts.select(*keys, *[merged(i, c, nothing) for i, c in enumerate(value_cols)], *blank)
+    return kept.unionByName(added)
+
+
+def _all_same(keys: list[str], prefix: str) -> Column:
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"{prefix}{i}"))
+    return same

@@ -1,20 +1,13 @@
 """Flight rollups: delay per carrier for flights leaving one airport.
 
-The reference query is
-  SELECT sum(WeatherDelay), DESCRIPTION FROM airline, airlineref
-  WHERE UniqueCarrier = CODE AND Origin LIKE '%SFO%' AND WeatherDelay > 0
-  GROUP BY DESCRIPTION LIMIT 20
+Flights whose origin matches a pattern and that had a delay are added up per
+carrier, and carriers are named by their description.
 
 Plan: the filters reach the Parquet scan (LIKE '%x%' becomes a pushed
-StringContains, `> 0` a pushed comparison). Then one of two plans, chosen by
-a bounded count of the carrier table:
-
-* carriers small enough to broadcast: each flight looks its carrier up in
-  the broadcast table inside the scan's task, and the sum is partial per
-  description before the only shuffle (a handful of rows per task);
-* otherwise: the fact is summed per carrier code *before* the join (sum is
-  decomposable), so the shuffled join sees one row per code instead of one
-  per flight, and the summed side is already hash-partitioned on the code.
+StringContains, `> 0` a pushed comparison). The fact is summed per carrier code
+*before* the join (a sum can be split), so whatever the size of the carrier
+table the join sees one row per code instead of one per flight, and a carrier
+with a third of all flights costs one row per task.
 """
 
 from __future__ import annotations
@@ -22,8 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from livetables.functions.expressions import exact_sum
-from livetables.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, has_at_most
 
 
 def delay_by_carrier(flights: DataFrame, carriers: DataFrame, *,
@@ -31,30 +25,26 @@ def delay_by_carrier(flights: DataFrame, carriers: DataFrame, *,
                      origin_pattern: str = "%SFO%", delay: str = "WeatherDelay",
                      code: str = "CODE", description: str = "DESCRIPTION",
                      out_total: str = "total_delay", out_description: str = "description",
-                     limit: int | None = None, sum_scale: int = 2,
-                     max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                     carrier_rows: int | None = None) -> DataFrame:
+                     limit: int | None = None, sum_scale: int | None = None) -> DataFrame:
     """Total delay per carrier description; `limit` keeps any n groups (no order).
 
-    The sum runs as decimal(18, sum_scale) (delays carry at most that many
-    decimals), so it is exact and the same whatever the partitioning.
-    `carrier_rows`: the carrier table's recorded row count, if known (saves
-    the counting job of the broadcast size check).
+    Integer and decimal delays are added exactly, doubles as doubles. With
+    `sum_scale` (delays known to carry at most that many decimals) the sum runs
+    as decimal(18, sum_scale), so it does not depend on the order of addition.
+    The total is returned as a double.
     """
     flown = flights.where(F.col(origin).like(origin_pattern) & (F.col(delay) > 0))
     dim = carriers.select(F.col(code).alias("__code"), F.col(description).alias(out_description))
-    small = carrier_rows <= max_rows if carrier_rows is not None else has_at_most(dim, max_rows)
-    if small:
-        out = (flown.select(F.col(carrier).alias("__code"), F.col(delay).alias("__d"))
-               .join(F.broadcast(dim), "__code", "inner")
-               .groupBy(out_description)
-               .agg(exact_sum("__d", 18, sum_scale).cast("double").alias(out_total)))
+    kind = flights.schema[delay].dataType
+    if sum_scale is not None:
+        total = exact_sum(delay, 18, sum_scale)
+    elif isinstance(kind, T.IntegralType):
+        total = F.sum(F.col(delay).cast("decimal(19,0)"))
     else:
-        per_code = (flown.groupBy(F.col(carrier).alias("__code"))
-                    .agg(exact_sum(delay, 18, sum_scale).alias("__delay")))
-        out = (per_code.join(dim, "__code", "inner")
-               .groupBy(out_description)
-               .agg(F.sum("__delay").cast("double").alias(out_total)))
+        total = F.sum(F.col(delay))
+    per_code = flown.groupBy(F.col(carrier).alias("__code")).agg(total.alias("__delay"))
+    out = (per_code.join(dim, "__code", "inner")
+           .groupBy(out_description).agg(F.sum("__delay").cast("double").alias(out_total)))
     out = out.select(out_total, out_description)
     return out.limit(limit) if limit is not None else out
 

@@ -1,8 +1,10 @@
-"""Join helpers: broadcast only behind a size check.
+"""Join helpers.
 
-A dimension is broadcast only after a bounded count proves it small. Beyond
-the bound the join is left to the planner (sort-merge or shuffled hash join,
-with AQE skew handling), so the query still runs when the dimension grows.
+No broadcast is forced here. A side is broadcast when Spark knows its bytes to
+be small: from a table's or file's size when the query is planned, or from what
+a shuffle stage wrote when it runs (AQE). Dimensions that are expensive to derive
+are written first (`sinks.tables.replicated_table`), so that their size is known.
+Beyond the threshold joins are shuffled and AQE splits hot keys.
 """
 
 from __future__ import annotations
@@ -10,50 +12,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from livetables.session import ensure_checkpoint_dir
-
-# Rows a broadcast side may hold. A symbol or carrier dimension is thousands of
-# rows; 2M narrow rows stay well under Spark's 8 GB broadcast limit.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when `df` has at most `max_rows` rows.
-
-    `limit(max_rows + 1).count()` stops each scan task after max_rows + 1
-    rows, so the check never reads more than that from any split.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      materialize: bool = False, known_rows: int | None = None) -> DataFrame:
-    """Return `dim` with a broadcast hint if it has at most `max_rows` rows.
-
-    `known_rows` is a row count recorded when the dimension was written
-    (see `sinks.tables.replicated_table`); it replaces the counting job.
-    With `materialize=True` the dimension is written once to the shared
-    checkpoint folder first, so the check and the join read the same rows
-    and an expensive derivation (e.g. a distinct over a fact) runs once.
-    """
-    if known_rows is not None:
-        return F.broadcast(dim) if known_rows <= max_rows else dim
-    if materialize:
-        ensure_checkpoint_dir(dim.sparkSession)
-        dim = dim.checkpoint(eager=True)
-    return F.broadcast(dim) if has_at_most(dim, max_rows) else dim
-
 
 def membership_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                    how: str = "inner", max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                    materialize: bool = False, known_rows: int | None = None) -> DataFrame:
+                    how: str = "inner") -> DataFrame:
     """Join a fact to a one-column key dimension that supplies no output.
 
     The dimension acts as a membership filter. `inner` keeps the semantics as
     written (a duplicated dimension key duplicates fact rows); `left_semi`
     gives the same rows when the key is unique and never duplicates.
     """
-    d = bounded_broadcast(dim.select(F.col(dim_key).alias("__member_key")), max_rows, materialize,
-                          known_rows)
+    d = dim.select(F.col(dim_key).alias("__member_key"))
     joined = fact.join(d, fact[fact_key] == d["__member_key"], how)
     return joined.drop("__member_key") if how != "left_semi" else joined

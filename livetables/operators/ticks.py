@@ -8,9 +8,9 @@ small symbol dimension, and aggregate per symbol:
 * average trade size per symbol and hour of the trade time (`avg(size)`)
 
 `last()` in SQL returns whichever row the scan met last, which is not defined
-on a distributed scan. Here "last" is `max_by(value, order)` with an explicit
-order column (a sequence number, or a timestamp plus a unique tie-break), which
-plans as a partial + final hash aggregate: each task collapses its rows to one
+on a distributed scan. Here "last" is `max_by(value, order)`: by date and time of
+the row unless other order columns are named (a sequence number, or a timestamp),
+which plans as a partial + final hash aggregate: each task collapses its rows to one
 per group before the shuffle, so a hot symbol costs no more than a cold one.
 
 Column names are parameters: the same code runs on the tick schema
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from livetables.functions.expressions import exact_avg, hour_of_text
-from livetables.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, membership_join
+from livetables.operators.joins import membership_join
 
 
 def day_predicate(df: DataFrame, day_col: str, day: str) -> Column:
@@ -49,55 +49,78 @@ def hour_of(df: DataFrame, time_col: str) -> Column:
 
 
 def _day_symbols(fact: DataFrame, symbols: DataFrame, *, sym: str, symbol_key: str,
-                 day_col: str | None, day: str | None, max_rows: int,
-                 join_type: str, symbol_rows: int | None) -> DataFrame:
+                 day_col: str | None, day: str | None, join_type: str) -> DataFrame:
     if day_col is not None and day is not None:
         fact = fact.where(day_predicate(fact, day_col, day))
-    return membership_join(fact, symbols, sym, symbol_key, how=join_type, max_rows=max_rows,
-                           known_rows=symbol_rows)
+    return membership_join(fact, symbols, sym, symbol_key, how=join_type)
+
+
+def _moment(df: DataFrame, day_col: str, time_col: str, tie: Column) -> Column:
+    """Day and time of day of a row as one number, so that `max_by` stays a hash aggregate.
+
+    Texts that are no date or time come first. The last 18 digits are a hash of
+    `tie`: rows at the same moment have a fixed order.
+    """
+    if isinstance(df.schema[time_col].dataType, T.StringType):
+        stamp = F.concat(F.lit("1970-01-01 "), F.trim(F.col(time_col))).try_cast("timestamp_ntz")
+        micros = F.unix_micros(stamp.cast("timestamp")) + 86_400_000_000      # the session's zone may lie ahead
+    else:
+        micros = F.unix_micros(F.col(time_col).cast("timestamp")) % 86_400_000_000
+    day = F.unix_date(F.col(day_col).try_cast("date")) + 1_000_000
+    number = [F.coalesce(c, F.lit(0)).cast("decimal(18,0)") for c in (day, micros, F.pmod(F.xxhash64(tie), F.lit(10 ** 18)))]
+    scaled = number[0] * F.lit(10 ** 12).cast("decimal(13,0)") + number[1]
+    return (scaled.cast("decimal(19,0)") * F.lit(10 ** 18).cast("decimal(19,0)") + number[2]).cast("decimal(38,0)")
+
+
+def _last(df: DataFrame, value: Column, order: str | tuple[str, str]) -> Column:
+    """The value of the last row: by one column, or by (day, time) with a fixed order of ties."""
+    by = F.col(order) if isinstance(order, str) else _moment(df, *order, tie=value)
+    return F.max_by(value, by)
 
 
 def last_quote_by_symbol(quotes: DataFrame, symbols: DataFrame, *, sym: str = "sym",
-                         bid: str = "bid", order: str = "seq", symbol_key: str = "value",
+                         bid: str = "bid", order: str | tuple[str, str] = ("date", "time"), symbol_key: str = "value",
                          day_col: str | None = "date", day: str | None = "2016-06-06",
                          out_sym: str = "sym", out_value: str = "last_bid",
-                         max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                         join_type: str = "inner", symbol_rows: int | None = None) -> DataFrame:
+                         join_type: str = "inner") -> DataFrame:
     """Last bid per listed symbol on one day.
 
-    `symbol_rows`: the symbol table's recorded row count, if known (saves
-    the counting job of the broadcast size check).
+    `order` says which row is last: the day and time columns, or one column
+    such as a sequence number. Rows at the same moment go by a hash of their
+    bid, so that reruns agree.
     """
     f = _day_symbols(quotes, symbols, sym=sym, symbol_key=symbol_key, day_col=day_col, day=day,
-                     max_rows=max_rows, join_type=join_type, symbol_rows=symbol_rows)
+                     join_type=join_type)
     return (f.groupBy(F.col(sym).alias(out_sym))
-            .agg(F.max_by(F.col(bid), F.col(order)).alias(out_value)))
+            .agg(_last(f, F.col(bid), order).alias(out_value)))
 
 
 def last_price_by_symbol_exchange(trades: DataFrame, symbols: DataFrame, *, sym: str = "sym",
-                                  ex: str = "ex", price: str = "price", order: str = "seq",
+                                  ex: str = "ex", price: str = "price",
+                                  order: str | tuple[str, str] = ("date", "time"),
                                   symbol_key: str = "value", day_col: str | None = "date",
                                   day: str | None = "2016-06-06", out_sym: str = "sym",
                                   out_ex: str = "ex", out_value: str = "last_price",
-                                  max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                                   join_type: str = "inner",
-                                  symbol_rows: int | None = None) -> DataFrame:
+                                  text_price: str = "decimal(10,4)") -> DataFrame:
     """Last trade price per listed symbol and exchange on one day.
 
-    The price keeps its stored type (the generator writes decimal text).
+    The price keeps its stored type. Text prices are aggregated as
+    `text_price`, a fixed width, and returned as text of that type.
     """
     f = _day_symbols(trades, symbols, sym=sym, symbol_key=symbol_key, day_col=day_col, day=day,
-                     max_rows=max_rows, join_type=join_type, symbol_rows=symbol_rows)
+                     join_type=join_type)
+    text = isinstance(f.schema[price].dataType, T.StringType)
+    last = _last(f, F.col(price).try_cast(text_price) if text else F.col(price), order)
     return (f.groupBy(F.col(sym).alias(out_sym), F.col(ex).alias(out_ex))
-            .agg(F.max_by(F.col(price), F.col(order)).alias(out_value)))
+            .agg((last.cast("string") if text else last).alias(out_value)))
 
 
 def hourly_avg_size(trades: DataFrame, symbols: DataFrame, *, sym: str = "sym",
                     time_col: str = "time", size: str = "size", symbol_key: str = "value",
                     day_col: str | None = "date", day: str | None = "2016-06-06",
                     out_sym: str = "sym", out_hour: str = "hr", out_value: str = "avg_size",
-                    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, join_type: str = "inner",
-                    exact_scale: int | None = None, symbol_rows: int | None = None) -> DataFrame:
+                    join_type: str = "inner", exact_scale: int | None = None) -> DataFrame:
     """Average trade size per listed symbol and hour of day on one day.
 
     A time text that does not parse gives hour NULL (its own group) instead
@@ -106,7 +129,7 @@ def hourly_avg_size(trades: DataFrame, symbols: DataFrame, *, sym: str = "sym",
     on the order rows are added in; None is a plain double `avg`.
     """
     f = _day_symbols(trades, symbols, sym=sym, symbol_key=symbol_key, day_col=day_col, day=day,
-                     max_rows=max_rows, join_type=join_type, symbol_rows=symbol_rows)
+                     join_type=join_type)
     avg = (exact_avg(size, 18 + exact_scale, exact_scale) if exact_scale is not None
            else F.avg(F.col(size)))
     return (f.groupBy(F.col(sym).alias(out_sym), hour_of(f, time_col).alias(out_hour))

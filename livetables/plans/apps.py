@@ -6,9 +6,11 @@
     python -m livetables.plans.apps flights AIRLINE_PATH AIRLINEREF_PATH
     python -m livetables.plans.apps bulk-copy FORMAT TABLE PARTITION_COL [--option k=v ...]
     python -m livetables.plans.apps cdc-sync LOG_DIR TARGET CHECKPOINT KEYSPACE TABLE
-            --log-schema DDL --cells-schema DDL [--format parquet] [--available-now]
+            --log-schema DDL --cells-schema DDL --rejects DIR [--format parquet] [--available-now]
+            [--report DIR --known-table KEYSPACE.TABLE ...] [--max-files N]
+            [--clean-source archive|delete] [--archive-dir DIR]
     python -m livetables.plans.apps json-feed SOURCE_DIR GOOD REJECTS CHECKPOINT --schema DDL
-            [--timeout 50000] [--max-batches N]
+            [--source-format text] [--option k=v ...] [--timeout 50000] [--max-batches N]
 
 Run them with spark-submit on a cluster (the session comes from the
 environment) or locally (`--local N` builds a local session).
@@ -85,11 +87,19 @@ def main(argv: list[str] | None = None) -> None:
     cs.add_argument("--cells-schema", required=True)
     cs.add_argument("--format", default="parquet")
     cs.add_argument("--available-now", action="store_true")
+    cs.add_argument("--rejects", required=True, help="folder for records that don't fit the table")
+    cs.add_argument("--report", help="folder for records of unknown tables")
+    cs.add_argument("--known-table", action="append", default=[], help="keyspace.table that is known")
+    cs.add_argument("--max-files", type=int, help="change files per batch")
+    cs.add_argument("--clean-source", choices=["archive", "delete"])
+    cs.add_argument("--archive-dir")
 
     jf = sub.add_parser("json-feed", help="take JSON messages from a folder into a table")
     for a in ("source_dir", "good", "rejects", "checkpoint"):
         jf.add_argument(a)
     jf.add_argument("--schema", required=True)
+    jf.add_argument("--source-format", default="text", help="any streaming source; SOURCE_DIR '-' for none")
+    jf.add_argument("--option", action="append", default=[], help="source option k=v")
     jf.add_argument("--timeout", type=float, default=50_000.0)
     jf.add_argument("--max-batches", type=int, default=None)
 
@@ -100,14 +110,14 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "load-ticks":
         times = load_ticks(spark, args.path, provider=args.provider,
                            bucket_by_symbol=args.bucket_by_symbol)
-        print(f"Load time- Trades: {times['trades']:.0f} millis. Quotes: {times['quotes']:.0f} millis.")
+        print("loaded " + ", ".join(f"{k} in {times[k]:.0f} ms" for k in ("trades", "quotes")))
     elif args.cmd == "query-ticks":
         for i, (name, ms) in enumerate(query_ticks(spark, args.runs).items()):
-            print(f"Query {i} ({name})- Time taken: {ms:.0f}")
+            print(f"{i} {name}: mean {ms:.0f} ms")
     elif args.cmd == "flights":
         load_flights(spark, args.airline_path, args.airlineref_path).show(20, truncate=False)
     elif args.cmd == "bulk-copy":
-        opts = dict(o.split("=", 1) for o in args.option)
+        opts = {"table": args.table, **dict(o.split("=", 1) for o in args.option)}
         source = read_format(spark, args.format, **opts)
         source.show()                 # rows and schema of the source, then the copy
         source.printSchema()
@@ -116,10 +126,15 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "cdc-sync":
         q = cdc_sync(spark, args.log_dir, args.target, args.checkpoint, log_schema=args.log_schema,
                      cells_schema=args.cells_schema, keyspace=args.keyspace, table=args.table,
-                     fmt=args.format, available_now=args.available_now)
+                     fmt=args.format, available_now=args.available_now, reject_path=args.rejects,
+                     report_path=args.report, known_tables=[tuple(t.split(".", 1)) for t in args.known_table] or None,
+                     max_files_per_trigger=args.max_files, clean_source=args.clean_source,
+                     source_archive_dir=args.archive_dir)
         q.awaitTermination()
     elif args.cmd == "json-feed":
-        q = json_feed(spark, message_stream(spark, "text", args.source_dir), args.schema,
+        source = message_stream(spark, args.source_format, None if args.source_dir == "-" else args.source_dir,
+                                **dict(o.split("=", 1) for o in args.option))
+        q = json_feed(spark, source, args.schema,
                       args.good, args.rejects, args.checkpoint)
         run_for(q, args.timeout, args.max_batches)
 

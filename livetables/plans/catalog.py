@@ -17,18 +17,26 @@ the reference's data:
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from livetables.operators import changes, contracts, feeds, flights, ticks
+from livetables.plans.loads import enforce_not_null, load_ticks, tick_query
 from livetables.session import scratch_path, session_key, unique_name
 from livetables.sinks import tables as sinks
 from livetables.sources import changelog, generators
 from livetables.sources import tables as sources
+from livetables.streaming.cdc_sync import cdc_sync, read_copy, unknown_tables_report
+from livetables.streaming.json_feed import json_feed, message_stream
 
 TICK_DAY = "2024-01-02"
+# Days that generated ticks are spread over (10,000 ids a day), and the second of them.
+TICK_DAYS = 4
+TICK_ID_STEP = 7
+SECOND_TICK_DAY = "2016-06-07"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,17 +55,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _REGISTERED: set = set()
-_DIMENSIONS: dict = {}
-_ROWS: dict = {}
-
-
-def source_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Row count of a source table, counted once per session (from Parquet
-    footers: the count reads no column data)."""
-    key = (session_key(spark), sf_dir, name)
-    if key not in _ROWS:
-        _ROWS[key] = table(spark, sf_dir, name).count()
-    return _ROWS[key]
+_BUCKETED: dict = {}
 
 
 def symbol_dimension(events: DataFrame) -> DataFrame:
@@ -66,20 +64,9 @@ def symbol_dimension(events: DataFrame) -> DataFrame:
             .select(F.col("user_id").alias("value")).distinct())
 
 
-def listed_symbols(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    """The symbol dimension, written once per session to the shared folder
-    with its row count (the reference loads its symbol table once too)."""
-    key = (session_key(spark), sf_dir)
-    if key not in _DIMENSIONS:
-        _DIMENSIONS[key] = sinks.replicated_table(
-            spark, symbol_dimension(table(spark, sf_dir, "events")), "symbols")
-    return _DIMENSIONS[key]
-
-
 def _tick_args(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
-    symbols, rows = listed_symbols(spark, sf_dir)
-    return symbols, dict(sym="user_id", order="event_id", symbol_key="value", day_col="ts",
-                         day=TICK_DAY, symbol_rows=rows)
+    symbols = symbol_dimension(table(spark, sf_dir, "events"))
+    return symbols, dict(sym="user_id", order="event_id", symbol_key="value", day_col="ts", day=TICK_DAY)
 
 
 # ---------------------------------------------------------------------------
@@ -125,17 +112,22 @@ def q_max_bid_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 _FLIGHT_ARGS = dict(carrier="l_partkey", origin="l_returnflag", origin_pattern="%A%",
-                    delay="l_tax", code="p_partkey", description="p_name")
+                    delay="l_tax", code="p_partkey", description="p_name", sum_scale=2)
 
 
 def q_delay_by_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flights.delay_by_carrier(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"),
-                                    carrier_rows=source_rows(spark, sf_dir, "part"), **_FLIGHT_ARGS)
+    return flights.delay_by_carrier(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"), **_FLIGHT_ARGS)
 
 
 def q_top_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flights.top_delays(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"),
-                              k=20, carrier_rows=source_rows(spark, sf_dir, "part"), **_FLIGHT_ARGS)
+                              k=20, **_FLIGHT_ARGS)
+
+
+def q_delay_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LIMIT 20 without an order: which groups come is not fixed, so the answer is how many did."""
+    some = flights.delay_by_carrier(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"), limit=20, **_FLIGHT_ARGS)
+    return some.agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---------------------------------------------------------------------------
@@ -150,6 +142,36 @@ def q_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.external_table(spark, unique_name("lt_staging_nation"), _path(sf_dir, "nation"))
 
 
+def q_external_table_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events written as one folder per event_type, registered in both ways; each supplies half of the rows."""
+    path = scratch_path(spark, "events_by_type")
+    e = table(spark, sf_dir, "events")
+    e.hint("rebalance", "event_type").write.partitionBy("event_type").parquet(path)
+    first = sources.external_table(spark, unique_name("lt_staging_parts"), path)
+    second = sources.sql_external_table(spark, unique_name("lt_sql_parts"), "parquet", path=path)
+    even = F.col("event_id") % 2 == 0
+    return first.where(even).unionByName(second.where(~even)).select(*e.columns)
+
+
+def q_varchar_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer in a row-layout table: text columns as VARCHAR(n) NOT NULL, the limits enforced by the write."""
+    c = table(spark, sf_dir, "customer")
+    name = unique_name("lt_row_customer")
+    sinks.create_table(spark, name, contracts.as_varchar(c.schema))
+    sinks.append(enforce_not_null(c, list(contracts.varchar_limits(c.schema))), name)
+    return _handed_over(spark, name)
+
+
+def q_allow_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Creating a table that is there: allowed with the flag, and its rows stay."""
+    n = table(spark, sf_dir, "nation")
+    name = unique_name("lt_nation")
+    sinks.create_table(spark, name, n.schema)
+    sinks.append(n, name)
+    sinks.create_table(spark, name, n.schema, if_not_exists=True)
+    return _handed_over(spark, name)
+
+
 def q_rename_reserved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contracts.rename_reserved(table(spark, sf_dir, "nation"), reserved=("n_nationkey",))
 
@@ -165,10 +187,28 @@ def _split_events(e: DataFrame) -> tuple[DataFrame, DataFrame]:
     return e.where(is_click), e.where(~is_click)
 
 
+def _handed_over(spark: SparkSession, name: str) -> DataFrame:
+    """The rows of a table made for a query, after dropping what the last call of the query left.
+
+    The result reads the table lazily, so it can only be dropped by a later call.
+    """
+    label = re.sub(r"_[0-9a-f]{10}$", "", name)
+    key = (session_key(spark), label)
+    if key in _LEFT:
+        sinks.drop_table(spark, _LEFT[key])
+    _LEFT[key] = name
+    return spark.table(name)
+
+
+_LEFT: dict = {}
+
+
 def q_ctas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staging = unique_name("lt_staging_events")
+    staging, name = unique_name("lt_staging_events"), unique_name("lt_ctas_events")
     sources.external_table(spark, staging, _path(sf_dir, "events"))
-    return sinks.ctas(spark, unique_name("lt_ctas_events"), f"SELECT * FROM {staging}")
+    sinks.ctas(spark, name, f"SELECT * FROM {staging}")
+    sinks.drop_table(spark, staging)          # unmanaged: the files stay
+    return _handed_over(spark, name)
 
 
 def q_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,17 +218,17 @@ def q_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, rest = _split_events(e)
     sinks.append(first, name, by="name")
     sinks.append(rest.select(*e.columns), name, by="position")
-    return spark.table(name)
+    return _handed_over(spark, name)
 
 
 def q_create_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     name = unique_name("lt_bucketed_events")
-    sinks.create_table(spark, name, e.schema, bucket_by="user_id", buckets=11)
+    sinks.create_table(spark, name, e.schema, bucket_by="user_id", buckets=sinks.buckets_for(e.count()))
     first, rest = _split_events(e)
     sinks.append(first, name, by="position")
     sinks.append(rest, name, by="name")
-    return spark.table(name)
+    return _handed_over(spark, name)
 
 
 def q_csv_import(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,8 +241,38 @@ def q_csv_import(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_bulk_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     remote = sources.read_format(spark, "parquet", path=_path(sf_dir, "events"))
-    return sinks.bulk_copy(spark, remote, unique_name("lt_copy_events"), partition_by="user_id",
-                           buckets=11)
+    name = unique_name("lt_copy_events")
+    sinks.bulk_copy(spark, remote, name, partition_by="user_id")
+    return _handed_over(spark, name)
+
+
+def q_csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Real text through CSV and back: line breaks, quotes, blanks at the ends, commas."""
+    c = table(spark, sf_dir, "conversations")
+    path = scratch_path(spark, "conversations_csv")
+    sinks.csv_export(c, path)
+    return sources.csv_import(spark, path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in c.schema.fields))
+
+
+def _tick_id():
+    """Ids far enough apart that even the small tables reach several days."""
+    return F.col("event_id") * TICK_ID_STEP
+
+
+def q_load_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged load of generated ticks (one quote and trade per event, several days, staged in
+    folders by day), then the last-quote rollup of the second day on the loaded tables."""
+    events = table(spark, sf_dir, "events")
+    ids = events.select(_tick_id().alias("id"))
+    path = scratch_path(spark, "staged_ticks")
+    generators.quotes_from_ids(ids, days=TICK_DAYS).write.partitionBy("date").parquet(f"{path}/quotes")
+    generators.trades_from_ids(ids, days=TICK_DAYS).write.partitionBy("date").parquet(f"{path}/trades")
+    symbols = (events.where(F.col("event_id") < generators.LISTED_SYMBOLS)
+               .select(generators.symbol_name("event_id").alias("value")))
+    symbols.write.parquet(f"{path}/symbols")
+    load_ticks(spark, path, prefix="lt_staged_")
+    return (tick_query(spark, "last_quote_by_symbol", prefix="lt_staged_", day=SECOND_TICK_DAY, order="seq")
+            .withColumn("last_bid", F.round("last_bid", 6)))
 
 
 def q_save_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,16 +287,21 @@ def q_sql_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bucketed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events loaded once per session into a table bucketed on the symbol
-    (the reference's partitioned fact; later queries reuse the table)."""
-    key = (session_key(spark), sf_dir, "bucketed_events")
-    if key not in _DIMENSIONS or not spark.catalog.tableExists(_DIMENSIONS[key]):
-        e = table(spark, sf_dir, "events")
+    """events in a table bucketed on the symbol (the reference's partitioned fact).
+
+    Loaded once and loaded anew when the source's row count (from its footers) has changed.
+    """
+    key = (session_key(spark), sf_dir)
+    rows = spark.read.parquet(_path(sf_dir, "events")).count()
+    if key not in _BUCKETED or _BUCKETED[key][0] != rows or not spark.catalog.tableExists(_BUCKETED[key][1]):
+        if key in _BUCKETED:
+            sinks.drop_table(spark, _BUCKETED[key][1])
+        e = spark.read.parquet(_path(sf_dir, "events"))
         name = unique_name("lt_quotes_bucketed")
-        sinks.create_table(spark, name, e.schema, bucket_by="user_id", buckets=16)
+        sinks.create_table(spark, name, e.schema, bucket_by="user_id", buckets=sinks.buckets_for(rows))
         sinks.append(e, name)
-        _DIMENSIONS[key] = name
-    return spark.table(_DIMENSIONS[key])
+        _BUCKETED[key] = rows, name
+    return spark.table(_BUCKETED[key][1])
 
 
 def q_bucketed_last_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,6 +331,12 @@ def q_gen_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generators.trades_from_ids(ids)
 
 
+def q_gen_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates of ticks generated over several days, with their counts."""
+    ids = table(spark, sf_dir, "events").select(_tick_id().alias("id"))
+    return generators.trades_from_ids(ids, days=TICK_DAYS).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---------------------------------------------------------------------------
 # JSON feed and change feed
 # ---------------------------------------------------------------------------
@@ -266,12 +347,41 @@ def q_json_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good
 
 
+FEED_SCHEMA = "event_id bigint, k int, ok boolean, at struct<x:int>"
+
+
+def feed_messages(events: DataFrame) -> DataFrame:
+    """A JSON message per event; by the last digit of the id it is good or broken in some way."""
+    i = F.col("event_id").cast("string")
+    shapes = ['"k":12', '"k":"foo"', '"k":7} trailing', '"k":1,"z":1', '"k":', '"k":12.0', '"ok":true', '"k":1,"k":2', '"ok":"yes"',
+              '"at":{"x":"foo"}']
+    body = F.element_at(F.array(*[F.lit(s) for s in shapes]), (F.col("event_id") % 10 + 1).cast("int"))
+    return events.select("event_id", F.concat(F.lit('{"event_id":'), i, F.lit(","), body, F.lit("}")).alias("value"))
+
+
 def q_json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _good, rejects = feeds.json_ingest(table(spark, sf_dir, "events"), "k int", value_col="props",
-                                       keep=("event_id",))
+    _good, rejects = feeds.json_ingest(feed_messages(table(spark, sf_dir, "events")), FEED_SCHEMA, keep=("event_id",))
     return rejects
 
 
+def q_json_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _rejects = feeds.json_ingest(feed_messages(table(spark, sf_dir, "events")), FEED_SCHEMA)
+    return good.select("event_id", "k", "ok")
+
+
+def q_stream_json_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages as text files taken by the live feed: good rows and counted rejects, read back."""
+    run = scratch_path(spark, "json_feed")
+    feed_messages(table(spark, sf_dir, "events")).select("value").repartition(3).write.text(f"{run}/in")
+    q = json_feed(spark, message_stream(spark, "text", f"{run}/in", max_files_per_trigger=2), FEED_SCHEMA,
+                  f"{run}/good", f"{run}/rejects", f"{run}/ckpt", available_now=True)
+    q.awaitTermination()
+    good = spark.read.parquet(f"{run}/good").select(F.lit("good").alias("reason"), "event_id")
+    bad = spark.read.parquet(f"{run}/rejects").select(
+        F.col("reject_reason").alias("reason"), F.regexp_extract("value", "[0-9]+", 0).cast("bigint").alias("event_id"))
+    return good.unionByName(bad).groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
 KEYSPACE = "shop"
 
 
@@ -291,7 +401,7 @@ def q_cdc_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = events_change_log(table(spark, sf_dir, "events"))
     replayed = log.unionByName(log)            # the same change files delivered twice
     target = changes.cdc_target(replayed, KEYSPACE, "CLICK")
-    rows = changes.cdc_flatten(changes.cdc_replay_guard(target), "ts timestamp_ntz, value double")
+    rows = changes.cdc_flatten(changes.cdc_replay_guard(target), EVENT_CELLS)
     return rows.select("event_id", "user_id", "ts", "value")
 
 
@@ -314,13 +424,82 @@ def q_cdc_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = e.select("user_id", "event_type", "event_id", "value")      # the bulk copy
     # newest record per (user, table) first, so only winners' cells are parsed
     latest = changes.cdc_latest(events_change_log(e), keys=["pk.user_id", "table_name"])
-    rows = changes.cdc_flatten(latest, "value double, event_type string", keep=("position", "row_no"))
-    # the change rows are at most the log's rows, i.e. the rows of events
-    return changes.cdc_compact(base, rows, keys=["user_id", "event_type"], one_per_key=True,
-                               changes_rows=source_rows(spark, sf_dir, "events")).select(
+    rows = changes.cdc_flatten(latest, EVENT_CELLS, keep=changelog.IDENTITY).drop("ts")
+    return changes.cdc_compact(base, rows, keys=["user_id", "event_type"]).select(
         "user_id", "event_type", "event_id", "value")
 
 
+ORDER_CELLS = "o_totalprice double, o_orderstatus string, o_orderpriority string"
+
+
+def order_changes(orders: DataFrame) -> DataFrame:
+    """A change log of every third order over four segments, positions counted anew in each.
+
+    Segment 1 sets the price, segment 2 (at lower positions) the status alone and
+    for some a null priority, segment 3 deletes some, segment 4 brings some of
+    those back with a price only and adds orders that the base doesn't have.
+    """
+    k = F.col("o_orderkey")
+    o = orders.where(k % 3 == 0).select("o_orderkey")
+
+    def records(rows: DataFrame, segment: int, position, cells: str, op: str = "upsert") -> DataFrame:
+        return rows.select(F.lit(segment).cast("bigint").alias("segment"), position.cast("bigint").alias("position"),
+                           F.lit(0).alias("row_no"), F.struct("o_orderkey").alias("pk"), F.struct().alias("ck"),
+                           F.lit(cells).alias("cells"), F.lit(op).alias("op"))
+    parts = [records(o, 1, 1_000_000 + k % 1000, '{"o_totalprice":1.5}'),
+             records(o, 1, 2_000_000 + k % 1000, '{"o_totalprice":2.5,"o_orderstatus":"old"}'),
+             records(o, 2, k % 1000, '{"o_orderstatus":"new"}'),
+             records(o.where(k % 15 == 0), 2, 2000 + k % 1000, '{"o_orderpriority":null}'),
+             records(o.where(k % 9 == 0), 3, k % 1000, "{}", "delete"),
+             records(o.where(k % 27 == 0), 4, k % 1000, '{"o_totalprice":5.5}'),
+             records(o.where((k % 6 == 0) & (k > 0)).select((-k).alias("o_orderkey")), 4, 5000 - k % 1000, '{"o_orderpriority":"added"}')]
+    log = parts[0]
+    for part in parts[1:]:
+        log = log.unionByName(part)
+    return log
+
+
+def q_cdc_compact_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders brought up to date cell by cell; two of three orders have no change and stay as they are."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority", "o_custkey")
+    log = order_changes(o)
+    replayed = changes.cdc_replay_guard(log.unionByName(log))
+    rows = changes.cdc_flatten(replayed, ORDER_CELLS, keep=(*changelog.IDENTITY, "op"), present="held")
+    return changes.cdc_compact(o, rows, keys=["o_orderkey"], op_col="op", present_col="held")
+
+
+def q_stream_cdc_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change-log stream over the events' log: several files, delivered twice, stopped in the middle
+    and started again from its checkpoint; the copy, read back."""
+    run = scratch_path(spark, "cdc_sync")
+    log = events_change_log(table(spark, sf_dir, "events"))
+    schema = changelog.change_log_schema("user_id bigint", "event_id bigint")
+
+    def sync() -> None:
+        q = cdc_sync(spark, f"{run}/log", f"{run}/copy", f"{run}/ckpt", log_schema=schema, cells_schema=EVENT_CELLS,
+                     keyspace=KEYSPACE, table="CLICK", reject_path=f"{run}/rejects", report_path=f"{run}/report",
+                     known_tables=[(KEYSPACE, "click"), (KEYSPACE, "view")], available_now=True, max_files_per_trigger=2)
+        q.awaitTermination()
+    half = F.col("position") % 2 == 0
+    log.where(half).repartition(2).write.mode("append").parquet(f"{run}/log")
+    sync()
+    log.repartition(2).write.mode("append").parquet(f"{run}/log")       # the rest, and the first half again
+    sync()
+    copy = read_copy(spark, f"{run}/copy").select(F.lit("copy").alias("kind"), "event_id", "user_id", "ts", "value")
+    told = unknown_tables_report(spark, f"{run}/report").select(
+        F.concat(F.lit("unknown "), "table_name").alias("kind"), F.col("n").alias("event_id"),
+        F.lit(None).cast("bigint").alias("user_id"), F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(None).cast("double").alias("value"))
+    return copy.unionByName(told)
+
+
+def q_changelog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change log written as JSON files and scanned: one row per record, cells read back."""
+    path = scratch_path(spark, "change_log")
+    events_change_log(table(spark, sf_dir, "events")).write.json(path)
+    log = changelog.cdc_read(spark, path, changelog.change_log_schema("user_id bigint", "event_id bigint"), "json")
+    return changes.cdc_flatten(log, EVENT_CELLS, keep=("segment", "position", "table_name"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "last_quote_by_symbol": q_last_quote_by_symbol,
     "last_price_by_symbol_exchange": q_last_price_by_symbol_exchange,
@@ -329,7 +508,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "max_bid_by_symbol": q_max_bid_by_symbol,
     "delay_by_carrier": q_delay_by_carrier,
     "top_delays": q_top_delays,
+    "delay_limit": q_delay_limit,
     "external_table": q_external_table,
+    "external_table_partitioned": q_external_table_partitioned,
+    "varchar_schema": q_varchar_schema,
+    "allow_existing": q_allow_existing,
+    "csv_text": q_csv_text,
+    "load_ticks": q_load_ticks,
+    "gen_days": q_gen_days,
+    "json_checked": q_json_checked,
+    "stream_json_feed": q_stream_json_feed,
+    "changelog_scan": q_changelog_scan,
+    "cdc_compact_cells": q_cdc_compact_cells,
+    "stream_cdc_sync": q_stream_cdc_sync,
     "rename_reserved": q_rename_reserved,
     "varchar_violations": q_varchar_violations,
     "ctas": q_ctas,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from livetables.operators import flights, ticks
 from livetables.operators.contracts import as_varchar, rename_reserved_schema
-from livetables.sinks.tables import analyze_rows, append, create_table, drop_table, recorded_rows
+from livetables.sinks.tables import analyze_rows, append, buckets_for, create_table, drop_table
 from livetables.sources import generators
 from livetables.sources.tables import external_table, read_default
 
@@ -33,7 +33,7 @@ def enforce_not_null(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def load_ticks(spark: SparkSession, path: str, provider: str = "column", prefix: str = "",
                day_partitions: bool = True, bucket_by_symbol: bool = False,
-               buckets: int = 128) -> dict[str, float]:
+               buckets: int | None = None) -> dict[str, float]:
     """Load generated ticks under `path`; return load times in ms per table.
 
     provider="row" gives the row-table contract: text as VARCHAR(30), or
@@ -63,7 +63,7 @@ def load_ticks(spark: SparkSession, path: str, provider: str = "column", prefix:
                                   + [f for f in schema.fields if f.name == "date"])
         create_table(spark, names[k], schema,
                      bucket_by="sym" if bucket_by_symbol else None,
-                     buckets=buckets if bucket_by_symbol else None,
+                     buckets=(buckets or buckets_for(dfs[k].count())) if bucket_by_symbol else None,
                      partition_by="date" if day_partitions else None)
     create_table(spark, names["symbols"], as_varchar(dfs["symbols"].schema))
     for k in ("trades", "quotes", "symbols"):
@@ -75,32 +75,29 @@ def load_ticks(spark: SparkSession, path: str, provider: str = "column", prefix:
         t0 = time.perf_counter()
         append(df, names[k], by="name")
         times[k] = (time.perf_counter() - t0) * 1000.0
-    analyze_rows(spark, names["symbols"])       # the broadcast check reads this count
+    analyze_rows(spark, names["symbols"])       # Spark's broadcast check reads its size
     return times
 
 
 def tick_query(spark: SparkSession, name: str, prefix: str = "", day: str = "2016-06-06",
-               symbol_rows: int | None = None) -> DataFrame:
+               order: str | tuple[str, str] = ("date", "time")) -> DataFrame:
     """One of the three rollups over loaded tick tables."""
     s = spark.table(prefix + TICK_TABLES["symbols"])
-    n = symbol_rows if symbol_rows is not None else recorded_rows(spark, prefix + TICK_TABLES["symbols"])
     if name == "last_quote_by_symbol":
-        return ticks.last_quote_by_symbol(spark.table(prefix + TICK_TABLES["quotes"]), s, day=day,
-                                          symbol_rows=n)
+        return ticks.last_quote_by_symbol(spark.table(prefix + TICK_TABLES["quotes"]), s, day=day, order=order)
     trades = spark.table(prefix + TICK_TABLES["trades"])
     if name == "last_price_by_symbol_exchange":
-        return ticks.last_price_by_symbol_exchange(trades, s, day=day, symbol_rows=n)
+        return ticks.last_price_by_symbol_exchange(trades, s, day=day, order=order)
     if name == "hourly_avg_size":
         # generated sizes sit on a 10^-4 grid: an exact decimal sum is partition-proof
-        return ticks.hourly_avg_size(trades, s, day=day, symbol_rows=n,
+        return ticks.hourly_avg_size(trades, s, day=day,
                                      exact_scale=generators.SIZE_SCALE)
     raise KeyError(name)
 
 
 def tick_queries(spark: SparkSession, prefix: str = "", day: str = "2016-06-06") -> dict[str, DataFrame]:
     """The three rollups over loaded tick tables."""
-    n = recorded_rows(spark, prefix + TICK_TABLES["symbols"])
-    return {q: tick_query(spark, q, prefix, day, n)
+    return {q: tick_query(spark, q, prefix, day)
             for q in ("last_quote_by_symbol", "last_price_by_symbol_exchange", "hourly_avg_size")}
 
 
@@ -121,6 +118,5 @@ def load_flights(spark: SparkSession, airline_path: str, airlineref_path: str,
     ref = read_default(spark, airlineref_path)
     create_table(spark, row_table, ref.schema)
     append(ref, row_table, by="name")
-    carriers = analyze_rows(spark, row_table)     # replicated dimension: count recorded once
-    return flights.delay_by_carrier(spark.table(col_table), spark.table(row_table), limit=20,
-                                    carrier_rows=carriers)
+    analyze_rows(spark, row_table)                # Spark's broadcast check reads its size
+    return flights.delay_by_carrier(spark.table(col_table), spark.table(row_table), limit=20)

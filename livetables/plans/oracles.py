@@ -7,7 +7,7 @@ generated rows are checked value by value.
 
 from __future__ import annotations
 
-from livetables.plans.catalog import TICK_DAY
+from livetables.plans.catalog import TICK_DAY, TICK_DAYS, TICK_ID_STEP
 from livetables.sources import generators
 
 _S = "(select distinct user_id as value from events where user_id % 4 = 0) s"
@@ -106,12 +106,33 @@ def _gen_trades_sql() -> str:
 
 
 _JSON_REASON = (
-    "case when props is null then 'empty message' "
-    "when not coalesce(json_valid(props), false) or json_type(props) != 'OBJECT' then 'not a JSON object' "
-    "when json_extract_string(props, '$.k') is not null "
-    "and try_cast(trim(json_extract_string(props, '$.k')) as integer) is null then 'field of the wrong type' "
-    "when len(list_filter(json_keys(props), lambda x: x != 'k')) > 0 then 'unknown field: ' || "
-    "array_to_string(list_sort(list_filter(json_keys(props), lambda x: x != 'k')), ',') end")
+    "case event_id % 10 when 1 then 'field of the wrong type: k' when 2 then 'not a JSON object' "
+    "when 3 then 'unknown field: z' when 4 then 'not a JSON object' when 7 then 'repeated field' "
+    "when 8 then 'field of the wrong type: ok' when 9 then 'field of the wrong type: at' end")
+_JSON_MESSAGE = (
+    "'{\"event_id\":' || event_id || ',' || ['\"k\":12', '\"k\":\"foo\"', '\"k\":7} trailing', '\"k\":1,\"z\":1', '\"k\":', "
+    "'\"k\":12.0', '\"ok\":true', '\"k\":1,\"k\":2', '\"ok\":\"yes\"', '\"at\":{\"x\":\"foo\"}'][event_id % 10 + 1] || '}'")
+
+def _load_ticks_sql() -> str:
+    tick = f"(event_id * {TICK_ID_STEP})"
+    day = f"{tick} // {generators.ROWS_PER_DAY_STEP} % {TICK_DAYS} = 1"
+    quotes = (f"select event_id, {_duck_symbol(_duck_draw('qa:', 0, tick) + ' % 400')} as sym, "
+              f"{_duck_draw('qa:', 2, tick)} / 4294967296.0::double * 100000.0::double as bid from events where {day}")
+    listed = f"select {_duck_symbol('event_id')} as value from events where event_id < {generators.LISTED_SYMBOLS}"
+    return f"select sym, round(arg_max(bid, event_id), 6) as last_bid from ({quotes}) q join ({listed}) s on sym = value group by sym"
+
+
+# The last cell of every column, worked out by hand from the log's rules.
+_COMPACT_CELLS = """
+    select o_orderkey,
+           case when o_orderkey % 27 = 0 then 5.5 when o_orderkey % 3 = 0 then 2.5 else o_totalprice end as o_totalprice,
+           case when o_orderkey % 27 = 0 then null when o_orderkey % 3 = 0 then 'new' else o_orderstatus end as o_orderstatus,
+           case when o_orderkey % 27 = 0 or o_orderkey % 15 = 0 then null else o_orderpriority end as o_orderpriority,
+           case when o_orderkey % 27 = 0 then null else o_custkey end as o_custkey
+    from orders where o_orderkey % 9 <> 0 or o_orderkey % 27 = 0
+    union all
+    select -o_orderkey, null, null, 'added', null from orders where o_orderkey % 6 = 0 and o_orderkey > 0
+"""
 
 _EVENTS_STAR = "select * from events"
 
@@ -135,10 +156,31 @@ ORACLE_SQL.update({
                     "from (select distinct user_id from events) u"),
     "gen_quotes": _gen_quotes_sql(),
     "gen_trades": _gen_trades_sql(),
-    "json_ingest": (f"select event_id, cast(props->>'$.k' as int) as k from events "
-                    f"where ({_JSON_REASON}) is null"),
-    "json_rejects": (f"select event_id, props, {_JSON_REASON} as reject_reason "
+    "json_ingest": ("select event_id, cast(props->>'$.k' as int) as k from events where json_type(props) = 'OBJECT' "
+                    "and len(list_filter(json_keys(props), lambda x: x != 'k')) = 0 "
+                    "and (props->>'$.k' is null or try_cast(props->>'$.k' as int) is not null)"),
+    "json_rejects": (f"select event_id, {_JSON_MESSAGE} as value, {_JSON_REASON} as reject_reason "
                      f"from events where ({_JSON_REASON}) is not null"),
+    "json_checked": ("select event_id, case when event_id % 10 in (0, 5) then 12 end as k, "
+                     f"case when event_id % 10 = 6 then true end as ok from events where ({_JSON_REASON}) is null"),
+    "stream_json_feed": (f"select coalesce({_JSON_REASON}, 'good') as reason, count(*) as n, "
+                         "cast(sum(event_id) as bigint) as ids from events group by 1"),
+    "external_table_partitioned": _EVENTS_STAR,
+    "varchar_schema": "select * from customer",
+    "allow_existing": "select * from nation",
+    "csv_text": "select * from conversations",
+    "delay_limit": ("select least(20, count(distinct p.p_name)) as n from lineitem l, part p "
+                    "where l.l_partkey = p.p_partkey and l.l_returnflag like '%A%' and l.l_tax > 0"),
+    "gen_days": (f"select cast(date '{generators.BASE_DAY}' + cast(event_id * {TICK_ID_STEP} // {generators.ROWS_PER_DAY_STEP} % {TICK_DAYS} as int) "
+                 "as varchar) as date, count(*) as n from events group by 1"),
+    "load_ticks": _load_ticks_sql(),
+    "changelog_scan": ("select user_id % 4 as segment, event_id as position, event_type as table_name, ts, value, event_type, "
+                       "user_id, event_id from events"),
+    "cdc_compact_cells": _COMPACT_CELLS,
+    "stream_cdc_sync": (
+        "select 'copy' as kind, event_id, user_id, ts, value from events where event_type = 'click' union all "
+        "select 'unknown ' || event_type, count(*), null, null, null from events "
+        "where event_type not in ('click', 'view') group by event_type"),
     "cdc_sync": "select event_id, user_id, ts, value from events where event_type = 'click'",
     "cdc_positions": ("select user_id % 4 as segment, max(event_id) as position "
                       "from events group by user_id % 4"),

@@ -23,10 +23,10 @@ RECOMMENDED_CONF = {
     "spark.sql.sources.bucketing.autoBucketedScan.enabled": "true",
     # remove reliable-checkpoint files once their DataFrame is garbage collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    # No broadcast on planner estimates (file sizes, guesses for aggregates):
-    # the operators broadcast explicitly after a bounded count, and AQE may
-    # still broadcast a side whose measured shuffle output is under 64 MB.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # Spark broadcasts a side only if its bytes are known to be small: 10 MB of
+    # files when planning, 64 MB of measured shuffle output at run time. No
+    # operator forces a broadcast.
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
 }
 
@@ -36,9 +36,8 @@ RECOMMENDED_CONF = {
 # task's input still fits executor memory comfortably. Shuffles: start wide
 # (AQE coalesces small partitions to the advisory size after each stage), so
 # a 20 TB shuffle still lands near 256 MB per reducer; skewed partitions
-# larger than 5x the median and 512 MB are split by AQE. Broadcast threshold
-# is off for planner estimates (see RECOMMENDED_CONF); the operators broadcast
-# explicitly only after a bounded row count.
+# larger than 5x the median and 512 MB are split by AQE. Broadcasts: see
+# RECOMMENDED_CONF.
 CLUSTER_CONF = {
     **RECOMMENDED_CONF,
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
@@ -83,6 +82,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     under the system temp directory is chosen and registered.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        try:
+            set_by_caller = spark.sparkContext.getCheckpointDir()
+        except Exception:          # a Spark Connect session has no context here
+            set_by_caller = None
+        if set_by_caller:          # setCheckpointDir adds a folder of its own per application
+            return set_by_caller
     if not configured:
         master = spark.conf.get("spark.master", "") or ""
         if not master.startswith("local"):

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from livetables.operators.contracts import schema_ddl
 from livetables.session import scratch_path
-from livetables.sources.tables import TS_FORMAT, TS_NTZ_FORMAT, quote_name, sql_string
+from livetables.sources.tables import CSV_NULL, CSV_OPTIONS, quote_name, sql_string
 
 # Table property that records a bucket count given without a key.
 BUCKETS_PROPERTY = "livetables.buckets"
@@ -50,7 +50,9 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType | str, *,
     props = dict(properties or {})
     if bucket_by:
         bcols = [bucket_by] if isinstance(bucket_by, str) else list(bucket_by)
-        n = buckets or 128
+        if not buckets:
+            raise ValueError("bucket_by needs a bucket count (see buckets_for)")
+        n = buckets
         clause = "CLUSTERED BY (" + ", ".join(quote_name(c) for c in bcols) + ")"
         if sort_by:
             scols = [sort_by] if isinstance(sort_by, str) else list(sort_by)
@@ -117,14 +119,18 @@ def append(df: DataFrame, name: str, by: str = "name") -> None:
         if by == "position":
             df = df.toDF(*target_cols)
         df = distribute_for_buckets(df, cols, n)
+    else:
+        folders = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+        if folders:                  # one task per folder (AQE splits a large one), not a file per task and folder
+            df = df.toDF(*target_cols).hint("rebalance", *folders)
     df.write.insertInto(name)
 
 
 def analyze_rows(spark: SparkSession, name: str) -> int:
     """Compute table statistics (`ANALYZE TABLE`) and return the row count.
 
-    The statistics stay in the catalog: Catalyst's own broadcast threshold
-    reads them too, and `recorded_rows` returns the count without a job.
+    The statistics stay in the catalog, where Catalyst's broadcast threshold
+    reads the size.
     """
     spark.sql(f"ANALYZE TABLE {quote_name(name)} COMPUTE STATISTICS")
     rows = recorded_rows(spark, name)
@@ -141,17 +147,15 @@ def recorded_rows(spark: SparkSession, name: str) -> int | None:
     return None
 
 
-def replicated_table(spark: SparkSession, df: DataFrame, label: str = "dimension") -> tuple[DataFrame, int]:
-    """Write a (small) dimension once to the shared checkpoint folder.
+def replicated_table(spark: SparkSession, df: DataFrame, label: str = "dimension") -> DataFrame:
+    """Write a (small) dimension once to the shared checkpoint folder and read it back.
 
-    Returns the dimension read back and its row count, counted once here so
-    later joins can decide on a broadcast without another job. Writing it
-    also cuts its lineage: an expensive derivation is not re-run per query.
+    Spark then knows its bytes, so joins with it are broadcast if it is small.
+    Writing it also cuts its lineage: an expensive derivation is not re-run.
     """
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    out = spark.read.parquet(path)
-    return out, out.count()
+    return spark.read.parquet(path)
 
 
 def ctas(spark: SparkSession, name: str, select_sql: str, fmt: str = "parquet") -> DataFrame:
@@ -167,26 +171,36 @@ def save_dir(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errori
 
 def csv_export(df: DataFrame, path: str, header: bool = True, single_file: bool = False,
                mode: str = "errorifexists") -> None:
-    """CSV with header and microsecond timestamps.
+    """CSV with header and microsecond timestamps that `csv_import` reads back exactly.
 
-    `single_file=True` funnels all rows through one task (as the one-file
+    A text equal to the NULL marker fails the write rather than come back as
+    NULL. `single_file=True` funnels all rows through one task (as the one-file
     export in the reference); keep it for small outputs only.
     """
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    df = df.select(*[F.when(F.col(f"`{c}`") == CSV_NULL, F.raise_error(F.lit(f"the NULL marker as text in {c}")))
+                     .otherwise(F.col(f"`{c}`")).alias(c) if c in texts else F.col(f"`{c}`") for c in df.columns])
     out = df.coalesce(1) if single_file else df
-    (out.write.mode(mode).option("header", str(header).lower())
-     .option("timestampNTZFormat", TS_NTZ_FORMAT).option("timestampFormat", TS_FORMAT)
-     .csv(path))
+    out.write.mode(mode).options(**CSV_OPTIONS, header=str(header).lower(), quoteAll="true").csv(path)
+
+
+def buckets_for(rows: int, per_bucket: int = 5_000_000) -> int:
+    """A bucket count that keeps buckets near `per_bucket` rows (one task scans a bucket)."""
+    return max(8, -(-rows // per_bucket))
 
 
 def bulk_copy(spark: SparkSession, source: DataFrame, target: str,
-              partition_by: str | list[str] | None = None, buckets: int = 128,
+              partition_by: str | list[str] | None = None, buckets: int | None = None,
               if_not_exists: bool = True) -> DataFrame:
     """Copy a (remote) table into an analytic table and return the copy.
 
     Drop the target, create it with the source schema (bucketed on the
     partition column when one is given), insert by position, read back.
+    Without `buckets` the source is counted first and the count sizes them.
     """
     drop_table(spark, target)
+    if partition_by and buckets is None:
+        buckets = buckets_for(source.count())
     create_table(spark, target, source.schema, bucket_by=partition_by,
                  buckets=buckets if partition_by else None, if_not_exists=if_not_exists)
     append(source, target, by="position")

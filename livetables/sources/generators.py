@@ -23,7 +23,6 @@ from livetables.functions.expressions import (
     time_text,
     uniform,
 )
-from livetables.operators.partitioning import spread
 
 # Fixed values of the tick data set.
 QUOTES_PER_SCALE = 791_465
@@ -84,9 +83,8 @@ def quotes_from_ids(ids: DataFrame, id_col: str = "id", days: int = 1,
     """One quote per id: sym, ex, bid, time, date, comment1..comment15.
 
     bid is uniform in [0, 100000); time is HH:mm:ss.SSS in hours 0-7.
-    An id source narrower than the cluster is spread over all cores first.
+    Parallelism is the id source's: repartition a narrow one first.
     """
-    ids = spread(ids)
     i = F.col(id_col)
     d = _draws("quote", i)
     base = ids.select(
@@ -109,7 +107,6 @@ def trades_from_ids(ids: DataFrame, id_col: str = "id", days: int = 1,
     """One trade per id: sym, ex, price (decimal(10,4) text), time, date, size,
     comment1..comment9. size is uniform in [0, 1000) on a 10^-4 grid, so its
     text form in the comments is exact."""
-    ids = spread(ids)
     i = F.col(id_col)
     d = _draws("trade", i)
     base = ids.select(

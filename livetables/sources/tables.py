@@ -19,6 +19,23 @@ def quote_name(name: str) -> str:
     return ".".join(f"`{p.replace('`', '``')}`" for p in name.split("."))
 
 
+# Text that stands for NULL in CSV files; an empty text is a quoted empty field.
+CSV_NULL = "\\N"
+# Options that writer and reader share, so that any text comes back as it was:
+# every field quoted, quotes doubled, blanks kept, one line separator. A quoted
+# field may hold line breaks, so a file can't be split: one task reads a file.
+CSV_OPTIONS = {"nullValue": CSV_NULL, "emptyValue": "", "quote": '"', "escape": '"', "lineSep": "\n",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+               "timestampNTZFormat": TS_NTZ_FORMAT, "timestampFormat": TS_FORMAT}
+
+
+def _with_partitions(spark: SparkSession, name: str) -> DataFrame:
+    """The table, its partition folders registered (a new table over such folders has none yet)."""
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+    return spark.table(name)
+
+
 def external_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
                    replace: bool = False, **options: str) -> DataFrame:
     """Register files at `path` as table `name` (unmanaged) and return it.
@@ -27,7 +44,8 @@ def external_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
     """
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {quote_name(name)}")
-    return spark.catalog.createTable(name, path=path, source=fmt, **options)
+    spark.catalog.createTable(name, path=path, source=fmt, **options)
+    return _with_partitions(spark, name)
 
 
 def read_default(spark: SparkSession, path: str) -> DataFrame:
@@ -56,13 +74,16 @@ def sql_external_table(spark: SparkSession, name: str, fmt: str, if_not_exists:
     ine = "IF NOT EXISTS " if if_not_exists else ""
     spark.sql(f"CREATE TABLE {ine}{quote_name(name)} USING {fmt}"
               + (f" OPTIONS ({opts})" if opts else ""))
-    return spark.table(name)
+    return _with_partitions(spark, name)
 
 
 def csv_import(spark: SparkSession, path: str, schema: str, header: bool = True,
                **options: str) -> DataFrame:
-    """Read CSV with an explicit column list (no inference pass over the data)."""
-    opts = {"header": str(header).lower(), "timestampNTZFormat": TS_NTZ_FORMAT,
-            "timestampFormat": TS_FORMAT, "mode": "FAILFAST"}
+    """Read CSV with an explicit column list (no inference pass over the data).
+
+    Reads what `csv_export` writes. For splittable reading of files without
+    line breaks inside fields pass multiLine="false".
+    """
+    opts = {**CSV_OPTIONS, "header": str(header).lower(), "multiLine": "true", "mode": "FAILFAST"}
     opts.update(options)
     return spark.read.schema(schema).options(**opts).csv(path)

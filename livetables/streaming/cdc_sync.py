@@ -1,62 +1,83 @@
 """Keep an analytic copy current from a change log (Structured Streaming).
 
-    change files --file source--> keep one table --foreachBatch-->
-        de-duplicate by identity, drop identities already in the copy,
-        flatten, overwrite <target>/seg_group=<g>/run_id=<r>/batch_id=<n>
+    change files --file source--> foreachBatch:
+        records of the table  -> drop repeats, judge the cells
+                                   good   -> flatten -> copy
+                                   others -> rejects, with the reason
+        records of tables that aren't known -> report, whole records
 
-Exactly-once without a transactional sink:
+Each of the three outputs is a folder tree
+<path>/seg_group=<g>/run_id=<r>/batch_id=<n>, keyed by the records' identity.
+
+Exactly-once without a transactional sink, for every output:
 
 * The file source records taken files in the checkpoint; a restart resumes.
 * A record delivered again (same file twice, a replayed segment, files in any
   order) has an identity already seen: it is dropped inside the batch and
-  against the copy, so nothing is lost and nothing repeats.
+  against what the output holds, so nothing is lost, repeated or counted twice.
 * A retried batch (failure after the write, before the commit) runs with the
-  same batch id and overwrites its own folder; that folder is left out of the
+  same batch id and overwrites its own folders; those are left out of the
   "already present" check, so the retry rewrites the same rows.
 * `run_id` is stored in the checkpoint folder: a new checkpoint restarts batch
   ids at 0 and gets a new run id, so it never overwrites an older run's rows.
 
-Scale: the copy is partitioned by `seg_group = segment div segments_per_folder`
-(segment ids grow with time, so one group holds consecutive segments). The
-"already present" check reads only the groups the batch touches (static
-partition pruning), and only the identity columns of those; the batch keys
-are broadcast after a size check. Cells that are not valid JSON go to a
-rejects folder instead of becoming empty rows.
+Scale: `seg_group = segment div segments_per_folder` (segment ids grow with
+time, so one group holds consecutive segments). The number is kept with the copy;
+another one is refused, as it would look for old records in the wrong folders.
+The "already present" check opens only the folders of the groups that the batch
+touches: neither listing nor reading grows with the stream's other batches.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from livetables.operators.changes import cdc_flatten, cdc_replay_guard, cdc_target, cdc_unknown_tables
-from livetables.operators.joins import bounded_broadcast
+from livetables.operators.changes import cdc_flatten, cdc_replay_guard, cdc_split, cdc_target, cdc_unknown
 from livetables.sources.changelog import IDENTITY, cdc_stream
 
-# Identities per micro-batch up to which the batch keys are broadcast to find
-# rows already in the copy; above it the check is a shuffled anti join.
-MAX_BATCH_KEYS_BROADCAST = 2_000_000
 # Consecutive segments sharing one folder of the copy.
 SEGMENTS_PER_FOLDER = 1024
-# Folder groups a batch may touch for the check to prune by a literal list.
-MAX_PRUNED_GROUPS = 1000
+
+#: Known tables: a frame or list of (keyspace_name, table_name), or a function that
+#: returns one and is asked again for every batch.
+KnownTables = DataFrame | list[tuple] | Callable[[], DataFrame | list[tuple]]
+
+
+def _path(spark: SparkSession, path: str):
+    """A path and its file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop, fs = _path(spark, path)
+    return fs.exists(hadoop)
+
+
+def _marker(spark: SparkSession, path: str, value: str) -> str:
+    """The text kept at `path`, written there on the first call."""
+    if not path_exists(spark, path):
+        spark.createDataFrame([(value,)], "value string").coalesce(1).write.text(path)
+    return spark.read.text(path).first()[0]
 
 
 def run_id_for(spark: SparkSession, checkpoint: str) -> str:
     """The run id kept next to the stream's checkpoint (created once)."""
-    marker = f"{checkpoint.rstrip('/')}/_run_id"
-    try:
-        return spark.read.text(marker).first()[0]
-    except AnalysisException:
-        # a letter first: partition discovery must read it as text, never as
-        # a number (a hex string such as "12e45..." would parse as a double)
-        rid = "r" + uuid.uuid4().hex[:16]
-        spark.createDataFrame([(rid,)], "value string").coalesce(1).write.text(marker)
-        return spark.read.text(marker).first()[0]
+    # a letter first: partition discovery must read it as text, never as a number
+    return _marker(spark, f"{checkpoint.rstrip('/')}/_run_id", "r" + uuid.uuid4().hex[:16])
+
+
+def keep_layout(spark: SparkSession, target_path: str, segments_per_folder: int) -> None:
+    """Keep the folder layout with the copy; refuse another one."""
+    kept = int(_marker(spark, f"{target_path.rstrip('/')}/_segments_per_folder", str(segments_per_folder)))
+    if kept != segments_per_folder:
+        raise ValueError(f"{target_path} has {kept} segments per folder, not {segments_per_folder}")
 
 
 def batch_folder(target_path: str, run_id: str, batch_id: int) -> str:
@@ -72,47 +93,46 @@ def read_copy(spark: SparkSession, target_path: str) -> DataFrame:
     return spark.read.parquet(target_path).drop(*BOOKKEEPING)
 
 
-def unknown_tables_report(spark: SparkSession, report_path: str) -> DataFrame:
+def unknown_tables_report(spark: SparkSession, report_path: str,
+                          by: tuple[str, ...] = ("keyspace_name", "table_name")) -> DataFrame:
     """Each unknown table once, with its record count over all batches."""
-    rep = spark.read.parquet(report_path)
-    keys = [c for c in rep.columns if c not in ("n", "run_id", "batch_id")]
-    return rep.groupBy(*keys).agg(F.sum("n").alias("n"))
+    return (spark.read.parquet(report_path).where("unknown").groupBy(*by)
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 def _seg_group(segment: str, segments_per_folder: int):
     return F.floor(F.col(segment) / F.lit(segments_per_folder)).cast("bigint")
 
 
-def _existing_identities(spark: SparkSession, target_path: str, run_id: str, batch_id: int,
-                         batch: DataFrame, identity: tuple[str, ...],
-                         segments_per_folder: int, batch_rows: int) -> DataFrame | None:
-    try:
-        copy = spark.read.parquet(target_path)
-    except AnalysisException:
-        return None
+def unseen(batch: DataFrame, path: str, run_id: str, batch_id: int, identity: tuple[str, ...],
+           segments_per_folder: int) -> DataFrame:
+    """The batch's records whose identity isn't in the output at `path` (this batch's own folders aside)."""
+    spark = batch.sparkSession
+    hadoop, fs = _path(spark, path)
+    if not fs.exists(hadoop):
+        return batch
+    there = {s.getPath().getName() for s in fs.listStatus(hadoop)}
+    # few numbers: a batch holds consecutive segments
+    groups = [r.g for r in batch.select(_seg_group(identity[0], segments_per_folder).alias("g")).distinct().collect()]
+    folders = [f"{path.rstrip('/')}/seg_group={g}" for g in groups if f"seg_group={g}" in there]
+    if not folders:
+        return batch
     own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
-    copy = copy.where(~own)
-    groups = batch.select(_seg_group(identity[0], segments_per_folder).alias("g")).distinct()
-    # at most MAX_PRUNED_GROUPS + 1 small ints: the folders this batch touches
-    touched = [r.g for r in groups.limit(MAX_PRUNED_GROUPS + 1).collect()]
-    if len(touched) <= MAX_PRUNED_GROUPS:
-        copy = copy.where(F.col("seg_group").isin(touched))
-    keys = bounded_broadcast(batch.select(*identity), MAX_BATCH_KEYS_BROADCAST, known_rows=batch_rows)
-    # Rows of the copy that share an identity with this batch: a semi join
-    # that streams the pruned copy past the (broadcast) batch keys.
-    return copy.select(*identity).join(keys, list(identity), "left_semi")
+    schema = T.StructType([batch.schema[c] for c in identity]).add("run_id", T.StringType()).add("batch_id", T.LongType())
+    old = spark.read.schema(schema).option("basePath", path).parquet(*folders).where(~own).select(*identity)
+    return batch.join(old, list(identity), "left_anti")
 
 
 def cdc_append(rows: DataFrame, target_path: str, run_id: str, batch_id: int,
                segment: str = "segment", segments_per_folder: int = SEGMENTS_PER_FOLDER) -> None:
-    """Append one batch of flattened change rows to the copy in one bulk write.
+    """Append one batch of rows to an output in one bulk write.
 
     Dynamic partition overwrite replaces only this batch's folders
     (seg_group=*/run_id=<r>/batch_id=<n>), so a retried batch rewrites
     exactly what it wrote before and never adds rows twice.
     """
     out = rows.select("*", _seg_group(segment, segments_per_folder).alias("seg_group"),
-                      F.lit(run_id).alias("run_id"), F.lit(batch_id).alias("batch_id"))
+                      F.lit(run_id).alias("run_id"), F.lit(batch_id).cast("bigint").alias("batch_id"))
     # one task per folder (AQE splits a large one), not one file per task per folder
     out = out.hint("rebalance", "seg_group")
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -120,73 +140,79 @@ def cdc_append(rows: DataFrame, target_path: str, run_id: str, batch_id: int,
 
 
 def sync_batch(batch: DataFrame, batch_id: int, *, target_path: str, run_id: str,
-               cells_schema: str, identity: tuple[str, ...] = IDENTITY,
-               report_path: str | None = None, known_tables: DataFrame | None = None,
-               keyspace: str | None = None, table: str | None = None,
-               reject_path: str | None = None,
+               cells_schema: str, reject_path: str, identity: tuple[str, ...] = IDENTITY,
+               report_path: str | None = None, known_tables: KnownTables | None = None,
+               keyspace: str | None = None, table: str | None = None, keep_others: bool = False,
                segments_per_folder: int = SEGMENTS_PER_FOLDER) -> None:
-    """Apply one micro-batch of change records to the copy (idempotent)."""
-    spark = batch.sparkSession
-    batch = batch.persist()
-    dedup = None
+    """Apply one micro-batch of change records to the outputs (idempotent).
+
+    With `keep_others` every record of another table goes to the report, marked
+    `unknown` or not, so that no record of the batch is only in the log.
+    """
+    place = dict(run_id=run_id, batch_id=batch_id, segments_per_folder=segments_per_folder)
+    batch = cdc_replay_guard(batch).persist()
+    fresh = None
     try:
         if report_path is not None and known_tables is not None:
-            (cdc_unknown_tables(batch, known_tables).write.mode("overwrite")
-             .parquet(batch_folder(report_path, run_id, batch_id)))
+            known = known_tables() if callable(known_tables) else known_tables
+            others = cdc_unknown(batch, known).withColumn("unknown", F.lit(True))
+            if keep_others:
+                told = batch.join(others.select(*identity, "unknown"), list(identity), "left").where(
+                    F.col("unknown").isNotNull() | ~_is_table(keyspace, table))
+                others = told.select(*batch.columns, F.coalesce("unknown", F.lit(False)).alias("unknown"))
+            cdc_append(unseen(others, report_path, identity=identity, **place), report_path, segment=identity[0], **place)
         rows = batch if keyspace is None else cdc_target(batch, keyspace, table)
-        dedup = cdc_replay_guard(rows, identity).persist()
-        n = dedup.count()                 # fills the cache; the broadcast bound of the keys
-        if n == 0:
-            return
-        rows = dedup
-        present = _existing_identities(spark, target_path, run_id, batch_id, dedup, identity,
-                                       segments_per_folder, n)
-        if present is not None:
-            rows = rows.join(present, list(identity), "left_anti")
-        bad_cells = F.col("cells").isNotNull() & F.json_object_keys("cells").isNull()
-        if reject_path is not None:
-            (rows.where(bad_cells).write.mode("overwrite")
-             .parquet(batch_folder(reject_path, run_id, batch_id)))
-            rows = rows.where(~bad_cells)
-        flat = cdc_flatten(rows, cells_schema, keep=identity)
-        cdc_append(flat, target_path, run_id, batch_id, identity[0], segments_per_folder)
+        good, rejects = cdc_split(rows, cells_schema)
+        cdc_append(unseen(rejects, reject_path, identity=identity, **place), reject_path, segment=identity[0], **place)
+        fresh = unseen(good, target_path, identity=identity, **place).persist()
+        if not fresh.isEmpty():
+            # already judged: no second check of the cells
+            flat = cdc_flatten(fresh, cells_schema, keep=identity, strict=False)
+            cdc_append(flat, target_path, segment=identity[0], **place)
     finally:
-        if dedup is not None:
-            dedup.unpersist()
+        if fresh is not None:
+            fresh.unpersist()
         batch.unpersist()
 
 
+def _is_table(keyspace: str, table: str):
+    return F.coalesce((F.lower("keyspace_name") == keyspace.lower()) & (F.lower("table_name") == table.lower()), F.lit(False))
+
+
 def cdc_sync(spark: SparkSession, log_dir: str, target_path: str, checkpoint: str, *,
-             log_schema: str, cells_schema: str, keyspace: str, table: str,
+             log_schema: str, cells_schema: str, keyspace: str, table: str, reject_path: str,
              fmt: str = "parquet", trigger_seconds: float = 5.0, available_now: bool = False,
              max_files_per_trigger: int | None = None, report_path: str | None = None,
-             known_tables: DataFrame | None = None, reject_path: str | None = None,
+             known_tables: KnownTables | None = None,
              segments_per_folder: int = SEGMENTS_PER_FOLDER,
              clean_source: str | None = None,
              source_archive_dir: str | None = None) -> StreamingQuery:
     """Start the sync stream. `available_now=True` takes what is there and stops.
 
-    With `report_path` and `known_tables`, records of tables not in the list
-    are counted per batch into `report_path` (unknown-table report).
+    Records that don't fit the table go to `reject_path` with a reason. With
+    `report_path` and `known_tables` records of tables not in the list go to
+    `report_path` (see `unknown_tables_report`); a function as `known_tables`
+    is asked again for every batch, so tables that were made meanwhile count.
     `clean_source="delete"` (or "archive" with `source_archive_dir`) removes
-    change files once the batch that read them is committed, as for an
-    overflow folder that is emptied after a clean read.
+    change files once the batch that read them is committed. "delete" needs a
+    report: then records of all other tables are kept there, and what a file
+    held is in the copy, the rejects or the report before the file goes.
     """
+    if clean_source == "delete" and (report_path is None or known_tables is None):
+        raise ValueError("clean_source='delete' loses the records of other tables without report_path and known_tables")
+    keep_layout(spark, target_path, segments_per_folder)
     run_id = run_id_for(spark, checkpoint)
     src = cdc_stream(spark, log_dir, log_schema, fmt, max_files_per_trigger,
                      clean_source=clean_source, source_archive_dir=source_archive_dir)
     if report_path is None:
         # Without a report only the target table matters: filter before the batch.
         src = cdc_target(src, keyspace, table)
-        ks, tb = None, None
-    else:
-        ks, tb = keyspace, table
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         sync_batch(batch, batch_id, target_path=target_path, run_id=run_id,
-                   cells_schema=cells_schema, report_path=report_path,
-                   known_tables=known_tables, keyspace=ks, table=tb, reject_path=reject_path,
-                   segments_per_folder=segments_per_folder)
+                   cells_schema=cells_schema, reject_path=reject_path, report_path=report_path,
+                   known_tables=known_tables, keyspace=keyspace, table=table,
+                   keep_others=clean_source == "delete", segments_per_folder=segments_per_folder)
 
     writer = src.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = (writer.trigger(availableNow=True) if available_now

@@ -33,8 +33,9 @@ def ingest_batch(batch: DataFrame, batch_id: int, *, schema: str, good_path: str
     parsed = parse_messages(batch, schema, "value", reject_unknown_keys=reject_unknown_keys).persist()
     try:
         good, rejects = split_messages(parsed, schema)
-        good.write.mode("overwrite").parquet(batch_folder(good_path, run_id, batch_id))
-        rejects.write.mode("overwrite").parquet(batch_folder(reject_path, run_id, batch_id))
+        # merge small partitions: a batch leaves few files however many tasks parsed it
+        good.hint("rebalance").write.mode("overwrite").parquet(batch_folder(good_path, run_id, batch_id))
+        rejects.hint("rebalance").write.mode("overwrite").parquet(batch_folder(reject_path, run_id, batch_id))
     finally:
         parsed.unpersist()
 

@@ -60,6 +60,9 @@ def test_positions_and_unknown_tables(spark):
     assert sorted((r.table_name, r.n) for r in rep.collect()) == [("Mystery", 1), ("mystery", 1)]
 
 
+IN_SEGMENT = ("position", "row_no")
+
+
 def test_compact_bulk_copy_then_changes_one_row_per_key(spark):
     base = spark.createDataFrame([(1, "a", 10, 1.0), (2, "b", 20, 2.0), (3, "c", 30, 3.0)],
                                  "k int, name string, pos_in_copy int, v double").drop("pos_in_copy")
@@ -68,9 +71,9 @@ def test_compact_bulk_copy_then_changes_one_row_per_key(spark):
          (2, None, None, 8, 0, "delete"), (4, "d", 4.0, 9, 0, "upsert"),
          (4, "d", 4.0, 9, 0, "upsert")],        # replayed
         "k int, name string, v double, position bigint, row_no int, op string")
-    out = changes.cdc_compact(base, ch, keys=["k"], op_col="op")
+    out = changes.cdc_compact(base, ch, keys=["k"], op_col="op", order=IN_SEGMENT)
     assert sorted(out.collect()) == [(1, "a3", 101.0), (3, "c", 3.0), (4, "d", 4.0)]
-    no_ops = changes.cdc_compact(base, ch.drop("op"), keys=["k"])
+    no_ops = changes.cdc_compact(base, ch.drop("op"), keys=["k"], order=IN_SEGMENT)
     assert sorted(no_ops.collect())[1] == (2, None, None)     # key-only insert, as the feed wrote it
 
 
@@ -80,14 +83,14 @@ def test_compact_hot_key(spark):
         F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).cast("int").alias("k"),
         F.col("id").cast("double").alias("v"), F.col("id").alias("position"),
         F.lit(0).alias("row_no"))
-    out = changes.cdc_compact(None, ch, keys=["k"]).where("k = 1").collect()
+    out = changes.cdc_compact(None, ch, keys=["k"], order=IN_SEGMENT).where("k = 1").collect()
     assert out == [(1, 49998.0)]
 
 
 # --- stream ----------------------------------------------------------------
 
 EVENT_LOG_DDL = changelog.change_log_schema("user_id bigint", "event_id bigint")
-CELLS = "ts timestamp_ntz, value double"
+CELLS = "ts timestamp_ntz, value double, event_type string"
 
 
 def _event_log(spark):
@@ -112,6 +115,7 @@ def _same(a, b):
 
 
 def _run(spark, log_dir, target, ckpt, **kw):
+    kw.setdefault("reject_path", f"{target}-rejects")
     q = sync.cdc_sync(spark, log_dir, target, ckpt, log_schema=EVENT_LOG_DDL, cells_schema=CELLS,
                       keyspace="SHOP", table="Click", available_now=True, max_files_per_trigger=2,
                       **kw)
@@ -141,7 +145,8 @@ def test_stream_replays_shuffled_files_restart_and_retry(spark, scratch):
     batch = spark.read.schema(EVENT_LOG_DDL).parquet(log_dir)
     batch = batch.where(F.lower("table_name") == "click")
     for _ in range(2):
-        sync.sync_batch(batch, 999, target_path=target, run_id=run_id, cells_schema=CELLS)
+        sync.sync_batch(batch, 999, target_path=target, run_id=run_id, cells_schema=CELLS,
+                        reject_path=f"{target}-rejects")
     assert _same(_synced(spark, target), _expected(e))
     # a new checkpoint (batch ids restart at 0) never overwrites the old run
     _run(spark, log_dir, target, f"{scratch}/ckpt2")
@@ -193,15 +198,22 @@ def test_latest_raw_record_then_flatten(spark):
     assert sorted(flat.collect()) == [(1, 2001, "east", 7), (9, 2001, "west", 7)]
 
 
-def test_compact_keeps_unchanged_base_rows_and_bound_paths_agree(spark):
+def test_compact_keeps_unchanged_base_rows_and_join_plans_agree(spark):
+    from livetables.plans import inspect
     base = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, 3.0), (3, 3.5)], "k int, v double")
     ch = spark.createDataFrame([(1, 10.0, 5, 0), (1, 11.0, 6, 0), (4, 4.0, 1, 0)],
                                "k int, v double, position bigint, row_no int")
-    small = changes.cdc_compact(base, ch, keys=["k"])
-    big = changes.cdc_compact(base, ch, keys=["k"], max_rows=1)       # over the bound: shuffled
+    small = changes.cdc_compact(base, ch, keys=["k"], order=IN_SEGMENT)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = changes.cdc_compact(base, ch, keys=["k"], order=IN_SEGMENT)
+        big_rows, big_tree = sorted(big.collect()), inspect.tree(big)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     want = [(1, 11.0), (2, 2.0), (3, 3.0), (3, 3.5), (4, 4.0)]
-    assert sorted(small.collect()) == want and sorted(big.collect()) == want
-    from livetables.plans import inspect
+    assert sorted(small.collect()) == want and big_rows == want
+    assert "SortMergeJoin" in big_tree or "ShuffledHashJoin" in big_tree or "BroadcastHashJoin" in big_tree
     assert "BroadcastHashJoin" in inspect.tree(small) and "LeftAnti" in inspect.plan_text(small)
 
 
@@ -218,7 +230,14 @@ def test_stream_can_delete_files_after_a_clean_read(spark, scratch):
     import time
     e, log = _event_log(spark)
     log.repartition(3).write.parquet(f"{scratch}/log")
-    _run(spark, f"{scratch}/log", f"{scratch}/copy", f"{scratch}/ckpt", clean_source="delete")
+    import pytest
+    with pytest.raises(ValueError):          # records of other tables would be lost
+        _run(spark, f"{scratch}/log", f"{scratch}/copy", f"{scratch}/ckpt", clean_source="delete")
+    _run(spark, f"{scratch}/log", f"{scratch}/copy", f"{scratch}/ckpt", clean_source="delete",
+         report_path=f"{scratch}/report", known_tables=[("shop", "click"), ("shop", "view")])
+    kept = spark.read.parquet(f"{scratch}/report")
+    assert kept.count() == log.where("table_name <> 'click'").count()
+    assert kept.where("unknown").count() == log.where("table_name not in ('click', 'view')").count()
     assert _same(_synced(spark, f"{scratch}/copy"), _expected(e))
     deadline = time.time() + 30
     while glob.glob(f"{scratch}/log/*.parquet") and time.time() < deadline:
@@ -234,18 +253,93 @@ def test_run_ids_are_read_back_as_text(spark, scratch):
         assert rid.startswith("r") and not rid[1:].isdigit()
 
 
-def test_compact_one_per_key_shortcut_agrees(spark):
+def test_latest_then_compact(spark):
     log = _log(spark, [
         _rec(1, 10, 0, "airline", (2001, "west"), (7,), '{"delay": 5}'),
-        _rec(1, 12, 0, "airline", (2001, "west"), (7,), '{"delay": 9}'),
+        _rec(1, 5000, 0, "airline", (2001, "west"), (7,), '{"delay": 7}'),
+        _rec(2, 12, 0, "airline", (2001, "west"), (7,), '{"delay": 9}'),     # a later segment, at a lower position
         _rec(2, 3, 0, "airline", (2002, "east"), (8,), '{"delay": 1}'),
     ])
-    flat = changes.cdc_flatten(changes.cdc_latest(log, keys=["pk.year", "pk.region", "ck.flight"]),
-                               "delay int", keep=("position", "row_no"))
     base = spark.createDataFrame([(2001, "west", 7, 0), (2003, "north", 9, 4)],
                                  "year int, region string, flight int, delay int")
     keys = ["year", "region", "flight"]
-    a = changes.cdc_compact(base, flat, keys=keys)
-    b = changes.cdc_compact(base, flat, keys=keys, one_per_key=True)
-    assert sorted(a.collect()) == sorted(b.collect()) == [(2001, "west", 7, 9), (2002, "east", 8, 1),
-                                                          (2003, "north", 9, 4)]
+    want = [(2001, "west", 7, 9), (2002, "east", 8, 1), (2003, "north", 9, 4)]
+    latest = changes.cdc_latest(log, keys=["pk.year", "pk.region", "ck.flight"])
+    for rows in (log, latest):
+        flat = changes.cdc_flatten(rows, "delay int", keep=changelog.IDENTITY)
+        assert sorted(changes.cdc_compact(base, flat, keys=keys).collect()) == want
+
+
+def test_compact_merges_cells(spark):
+    base = spark.createDataFrame([(1, 10, "a"), (2, 20, "b"), (3, 30, "c"), (4, 40, "d")], "k int, x int, y string")
+    cells = [(1, 1, 1, '{"x": 11}'), (2, 0, 1, '{"y": "late"}'),                       # 1: one cell in each change
+             (1, 2, 2, '{"y": null}'), (1, 5, 2, '{}'),                           # 2: an explicit null, then a key-only change
+             (3, 1, 3, '{"x": 99}'), (4, 0, 9, '{"y": "new"}')]
+    log = spark.createDataFrame([(s, p, 0, "ks", "t", (k,), c, "upsert") for s, p, k, c in cells]
+                                + [(3, 0, 0, "ks", "t", (3,), "{}", "delete"), (9, 0, 0, "ks", "t", (4,), None, "delete")],
+                                "segment bigint, position bigint, row_no int, keyspace_name string, table_name string, "
+                                "pk struct<k:int>, cells string, op string").withColumn("ck", F.struct())
+    flat = changes.cdc_flatten(log, "x int, y string", keep=(*changelog.IDENTITY, "op"), present="held")
+    out = changes.cdc_compact(base, flat, keys=["k"], op_col="op", present_col="held")
+    assert sorted(out.collect(), key=lambda r: r.k) == [
+        (1, 11, "late"), (2, 20, None), (3, 99, None), (9, None, "new")]
+
+
+def test_order_columns_out_of_range_fail(spark):
+    import pytest
+    rows = spark.createDataFrame([(1, 2 ** 40, 0, 5)], "segment bigint, position bigint, row_no int, k int")
+    with pytest.raises(Exception, match="out of range"):
+        rows.select(changes.order_key()).collect()
+    top = spark.createDataFrame([(2 ** 63 - 1, 2 ** 32 - 1, 2 ** 31 - 1)], "segment bigint, position bigint, row_no int")
+    assert top.select(changes.order_key().alias("o")).first().o == (2 ** 63 - 1) * 10 ** 19 + (2 ** 32 - 1) * 2 ** 31 + 2 ** 31 - 1
+
+
+BAD = ['{broken', '{"ts": "no time"}', '{"speed": 1}', '{"value": 1} x', '{"value": 1, "value": 2}']
+
+
+def test_rejects_and_reports_do_not_grow_on_replay(spark, scratch):
+    e, log = _event_log(spark)
+    click = log.where("table_name = 'click'").limit(1)
+    bad = [click.withColumn("cells", F.lit(c)).withColumn("position", F.lit(10_000_000 + i)) for i, c in enumerate(BAD)]
+    everything = log
+    for b in bad:
+        everything = everything.unionByName(b)
+    for _ in range(2):                                       # the same records in new files, once per run
+        everything.write.mode("append").parquet(f"{scratch}/log")
+        _run(spark, f"{scratch}/log", f"{scratch}/copy", f"{scratch}/ckpt", reject_path=f"{scratch}/rej",
+             report_path=f"{scratch}/report", known_tables=lambda: [("shop", "click")])
+        rejects = spark.read.parquet(f"{scratch}/rej")
+        assert sorted(r.reject_reason for r in rejects.collect()) == [
+            "field of the wrong type: ts", "not a JSON object", "not a JSON object", "repeated field", "unknown field: speed"]
+        told = sync.unknown_tables_report(spark, f"{scratch}/report").drop("keyspace_name")
+        assert _same(told, e.where("event_type <> 'click'").groupBy(F.col("event_type").alias("table_name"))
+                     .agg(F.count(F.lit(1)).alias("n")))
+    assert _same(_synced(spark, f"{scratch}/copy"), _expected(e))
+
+
+def test_flatten_fails_on_what_does_not_fit(spark):
+    import pytest
+    log = _log(spark, [_rec(1, 10, 0, "airline", (2001, "west"), (7,), '{"delay": "late"}')])
+    with pytest.raises(Exception, match="wrong type: delay"):
+        changes.cdc_flatten(log, "delay int").collect()
+    good, rejects = changes.cdc_split(log, "delay int")
+    assert good.count() == 0 and rejects.collect()[0].reject_reason == "field of the wrong type: delay"
+
+
+def test_another_folder_layout_is_refused(spark, scratch):
+    import pytest
+    _, log = _event_log(spark)
+    log.write.parquet(f"{scratch}/log")
+    _run(spark, f"{scratch}/log", f"{scratch}/copy", f"{scratch}/ckpt", segments_per_folder=2)
+    with pytest.raises(ValueError, match="segments per folder"):
+        _run(spark, f"{scratch}/log", f"{scratch}/copy", f"{scratch}/ckpt", segments_per_folder=3)
+
+
+def test_only_touched_groups_are_opened(spark, scratch):
+    _, log = _event_log(spark)
+    log.write.parquet(f"{scratch}/log")
+    _run(spark, f"{scratch}/log", f"{scratch}/copy", f"{scratch}/ckpt", segments_per_folder=1)
+    batch = changes.cdc_target(log, "shop", "click").where("segment = 2")
+    left = sync.unseen(batch, f"{scratch}/copy", "r", 0, changelog.IDENTITY, 1)
+    assert left.count() == 0
+    assert all("seg_group=2/" in f for f in left.inputFiles() if "/copy/" in f)

