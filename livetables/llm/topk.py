@@ -4,19 +4,19 @@ A score is a sum over `lists` groups of dimensions; each group is a list of
 local scores. Local scores are shifted to be non-negative by the smallest one
 that the list has for the query.
 
-1. Gather: every block of candidates sends, per query and list, its `k` best
-   local scores. A candidate's gathered local scores add up to a lower bound of
-   its total; the k-th best bound t of a query is a safe cutoff.
+1. Gather: every block of candidates sends, per query, the `k` best entries of
+   each list, with their totals, and each list's smallest local score. The k-th
+   best total t of a query is a safe cutoff.
 2. Broadcast the cutoff, one number per query (it travels with the query block):
-   a candidate whose local scores are all below t / lists can't reach t. Each
-   block takes the others ("sufficient entries") and drops those whose known
-   local scores plus t / lists for each unknown list stay below t.
-3. Resolve the remaining scores exactly and keep the k best of each query.
+   a candidate whose shifted local scores are all below (t - sum of shifts) /
+   lists can't reach t. Each block collects the others, the sufficient entries.
+3. Resolve: their remaining scores are added exactly, totals below t are dropped,
+   and the k best of each query are kept.
 
 Plan. Candidates and queries are packed into blocks of integer matrices; pairs
 of a query block and a candidate block meet by an equi-join on both block
 numbers, so work is spread evenly whatever the values, and a task holds one
-pair of blocks. Queries are a stated set against all rows. Only bounds and
+pair of blocks. Queries are a stated set against all rows. Only gathered and
 resolved entries are shuffled, a few rows per query and block.
 
 Defined results: vectors that are null, empty or hold null or non-finite
@@ -74,21 +74,21 @@ def _pairs(queries: DataFrame, candidates: DataFrame, n_q: int, n_c: int) -> Dat
 
 
 def _local(row, dims: int, lists: int, step: int) -> Iterator[tuple]:
-    """Per few queries: their positions and ids, candidate ids, and local scores (list, query, candidate)."""
-    c_ids = np.frombuffer(row.c_ids, "<i8")
-    q_ids = np.frombuffer(row.q_ids, "<i8")
-    c = np.frombuffer(row.c_matrix, "<i4").reshape(-1, dims).astype("f8")
-    q = np.frombuffer(row.q_matrix, "<i4").reshape(-1, dims).astype("f8")
+    """Per few queries: their positions and ids, candidate ids, and a score matrix (query, candidate) for each list."""
+    c_ids, q_ids = np.frombuffer(row.c_ids, "<i8"), np.frombuffer(row.q_ids, "<i8")
+    c = np.frombuffer(row.c_matrix, "<i4").reshape(-1, dims)
+    q = np.frombuffer(row.q_matrix, "<i4").reshape(-1, dims)
+    # the narrowest floats that hold every sum of products exactly
+    largest = float(np.abs(c).max(initial=0)) * float(np.abs(q).max(initial=0)) * dims
+    c, q = (x.astype("f4" if largest < 2 ** 24 else "f8") for x in (c, q))
     cuts = np.linspace(0, dims, lists + 1).astype(int)
     for at in range(0, len(q_ids), step):
         part = q[at:at + step]
-        scores = np.stack([part[:, a:b] @ c[:, a:b].T for a, b in zip(cuts, cuts[1:])])
-        own = q_ids[at:at + step, None] == c_ids[None, :]
-        yield slice(at, at + step), q_ids[at:at + step], c_ids, scores, own
+        yield slice(at, at + step), q_ids[at:at + step], c_ids, [part[:, x:y] @ c[:, x:y].T for x, y in zip(cuts, cuts[1:])]
 
 
 def top_k(df: DataFrame, k: int, is_query: Column, *, id_col: str = "vec_id", vec_col: str = "embedding",
-          scale: float = 256.0, lists: int = 4, block_rows: int = 4096, step: int = 64) -> DataFrame:
+          scale: float = 256.0, lists: int = 4, block_rows: int = 4096, step: int = 32) -> DataFrame:
     """query_id, rank, <id_col>, score: the k best other rows of each query row, by integer inner product."""
     ship_package(df.sparkSession)
     vectors = written(integer_vectors(df, id_col, vec_col, scale), "topk-vectors")
@@ -107,35 +107,29 @@ def top_k(df: DataFrame, k: int, is_query: Column, *, id_col: str = "vec_id", ve
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
-                for _, q_ids, c_ids, scores, own in _local(row, dims, lists, step):
-                    scores = np.where(own[None], -np.inf, scores)
-                    take = min(k, len(c_ids))
-                    best = np.argpartition(-scores, take - 1, axis=2)[:, :, :take]
-                    least = np.where(own[None], np.inf, scores).min(axis=2)
-                    lst, q, _ = np.indices(best.shape)
-                    out = pd.DataFrame({"query_id": q_ids[q.ravel()], "list": lst.ravel().astype("i4"),
-                                        "id": c_ids[best.ravel()], "local": np.take_along_axis(scores, best, 2).ravel(),
-                                        "least": np.broadcast_to(least[:, :, None], best.shape).ravel()})
-                    yield out[np.isfinite(out["local"])]
+                for _, q_ids, c_ids, scores in _local(row, dims, lists, step):
+                    least = np.stack([s.min(axis=1) for s in scores], axis=1).astype("f8")
+                    take = min(k + 1, len(c_ids))              # the query itself may be among them
+                    best = np.concatenate([np.argpartition(-s, take - 1, axis=1)[:, :take] for s in scores], axis=1)
+                    total = sum(np.take_along_axis(s, best, 1).astype("f8") for s in scores)
+                    out = pd.DataFrame({"query_id": np.repeat(q_ids, best.shape[1]), "id": c_ids[best.ravel()], "total": total.ravel(),
+                                        "least": list(np.repeat(least, best.shape[1], axis=0))})
+                    yield out[out["query_id"] != out["id"]].drop_duplicates(["query_id", "id"])
     pairs = _pairs(queries, candidates, n_q + 1, n_c + 1)
-    gathered = written(pairs.mapInPandas(gather, "query_id long, list int, id long, local double, least double"), "topk-gathered")
-    least = gathered.groupBy("query_id", "list").agg(F.min("least").alias("least"))
-    bounds = (gathered.select("query_id", "list", "id", "local").join(least, ["query_id", "list"])
-              .groupBy("query_id", "id").agg(F.sum(F.col("local") - F.col("least")).alias("bound")))
-    by_bound = Window.partitionBy("query_id").orderBy(F.col("bound").desc())
-    cutoffs = (bounds.withColumn("r", F.row_number().over(by_bound)).where(F.col("r") <= k)
-               .groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("bound")).otherwise(F.lit(0.0)).alias("t")))
-    shifts = (least.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("list", "least"))).alias("l"))
-              .select("query_id", F.col("l.least").alias("least")))
+    gathered = written(pairs.mapInPandas(gather, "query_id long, id long, total double, least array<double>"), "topk-gathered")
+    by_total = Window.partitionBy("query_id").orderBy(F.col("total").desc())
+    cutoffs = (gathered.select("query_id", "total").withColumn("r", F.row_number().over(by_total)).where(F.col("r") <= k)
+               .groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("total")).alias("t")))
+    shifts = (gathered.groupBy("query_id").agg(*[F.min(F.col("least")[i]).alias(f"l{i}") for i in range(lists)])
+              .select("query_id", F.array(*[f"l{i}" for i in range(lists)]).alias("least")))
     # the cutoffs go out with the query blocks
-    block_of = queries.select("block", "ids")
 
     def ids_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
                 ids = np.frombuffer(row.ids, "<i8")
                 yield pd.DataFrame({"block": row.block, "at": np.arange(len(ids)), "query_id": ids})
-    told = (block_of.mapInPandas(ids_of, "block int, at long, query_id long")
+    told = (queries.select("block", "ids").mapInPandas(ids_of, "block int, at long, query_id long")
             .join(cutoffs, "query_id", "left").join(shifts, "query_id", "left"))
     packed = (told.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "t", "least"))).alias("x"))
               .select("block", F.col("x.t").alias("t"), F.col("x.least").alias("least")))
@@ -144,15 +138,16 @@ def top_k(df: DataFrame, k: int, is_query: Column, *, id_col: str = "vec_id", ve
     def resolve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
-                cutoff = np.array([np.inf if x is None or x != x else x for x in row.q_t], "f8")
-                shift = np.array([[0.0] * lists if x is None else x for x in row.q_least], "f8").T
-                for part, q_ids, c_ids, scores, own in _local(row, dims, lists, step):
-                    local, t = scores - shift[:, part, None], cutoff[part][None, :, None]
-                    known = local >= t / lists
-                    upper = np.where(known, local, t / lists).sum(axis=0)
-                    q, c = np.nonzero(known.any(axis=0) & (upper >= t[0]) & ~own)
-                    total = scores[:, q, c].sum(axis=0)
-                    enough = total - shift[:, part][:, q].sum(axis=0) >= cutoff[part][q]
+                cutoff = np.array([-np.inf if x is None or x != x else x for x in row.q_t], "f8")
+                shift = np.array([[0.0] * lists if x is None else x for x in row.q_least], "f8").reshape(-1, lists)
+                bar = shift + ((cutoff - shift.sum(axis=1)) / lists)[:, None] - 0.25        # scores are integers
+                for part, q_ids, c_ids, scores in _local(row, dims, lists, step):
+                    known = scores[0] >= bar[part, 0, None]
+                    for s, b in zip(scores[1:], bar[part].T[1:]):
+                        known |= s >= b[:, None]
+                    q, c = np.nonzero(known)
+                    total = sum(s[q, c].astype("f8") for s in scores)
+                    enough = (total >= cutoff[part][q]) & (q_ids[q] != c_ids[c])
                     yield pd.DataFrame({"query_id": q_ids[q[enough]], "id": c_ids[c[enough]], "score": total[enough].astype("i8")})
     found = _pairs(armed, candidates, n_q + 1, n_c + 1).mapInPandas(resolve, "query_id long, id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
