@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from livetables.operators import changes, contracts, feeds, flights, ticks
-from livetables.plans.loads import enforce_not_null, load_ticks, tick_query
+from livetables.plans.loads import TICK_TABLES, enforce_not_null, load_ticks, tick_query
 from livetables.session import scratch_path, session_key, unique_name
 from livetables.sinks import tables as sinks
 from livetables.sources import changelog, generators
@@ -270,8 +270,14 @@ def q_load_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     symbols = (events.where(F.col("event_id") < generators.LISTED_SYMBOLS)
                .select(generators.symbol_name("event_id").alias("value")))
     symbols.write.parquet(f"{path}/symbols")
-    load_ticks(spark, path, prefix="lt_staged_")
-    return (tick_query(spark, "last_quote_by_symbol", prefix="lt_staged_", day=SECOND_TICK_DAY, order="seq")
+    prefix = unique_name("lt_staged") + "_"          # a warehouse may hold what an earlier application left
+    load_ticks(spark, path, prefix=prefix)
+    key = (session_key(spark), "lt_staged")
+    for table_name in TICK_TABLES.values() if key in _LEFT else ():
+        sinks.drop_table(spark, _LEFT[key] + table_name)
+        sinks.drop_table(spark, f"{_LEFT[key]}STAGING_{table_name}")
+    _LEFT[key] = prefix
+    return (tick_query(spark, "last_quote_by_symbol", prefix=prefix, day=SECOND_TICK_DAY, order="seq")
             .withColumn("last_bid", F.round("last_bid", 6)))
 
 
