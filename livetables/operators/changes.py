@@ -145,9 +145,15 @@ def cdc_unknown_tables(log: DataFrame, known: DataFrame | list[tuple],
 
 def cdc_unknown(log: DataFrame, known: DataFrame | list[tuple],
                 by: tuple[str, ...] = ("keyspace_name", "table_name")) -> DataFrame:
-    """The records of tables not in `known`."""
+    """The records of tables not in `known`; a list is compared as literals, without a join."""
     if not isinstance(known, DataFrame):
-        known = log.sparkSession.createDataFrame(list(known), ", ".join(f"`{c}` string" for c in by))
+        named = F.lit(False)
+        for names in known:
+            same = F.lit(True)
+            for c, name in zip(by, names):
+                same = same & F.coalesce(F.lower(F.col(c)) == name.lower(), F.lit(False))
+            named = named | same
+        return log.where(~named)
     lk = known.select(*[F.lower(F.col(c)).alias(f"__k{i}") for i, c in enumerate(by)])
     cond = None
     for i, c in enumerate(by):
