@@ -41,6 +41,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of the table that `likely` broadcasts: 512 rows of 4 KB, whatever the input.
+_LIKELY_BITS = 1 << 24
+
+
+def likely(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """`df` without most rows whose id isn't in `ids` (one column): a cheap step before a join on the id.
+
+    The ids' hashes are marked in a bit table of fixed size (2 MB), which is
+    broadcast. Rows that are in `ids` always pass; with very many ids most others
+    pass too, and the join that follows does all the work.
+    """
+    place = F.pmod(F.xxhash64(F.col(ids.columns[0])), F.lit(_LIKELY_BITS)).cast("long")
+    # dealt out by bucket first: what is shuffled is a narrow row for each id, not a 4 KB row for each bucket and task
+    marks = (ids.select(F.bitmap_bucket_number(place).alias("__bucket"), F.bitmap_bit_position(place).alias("p"))
+             .repartition("__bucket").groupBy("__bucket").agg(F.bitmap_construct_agg("p").alias("__bits")))
+    own = F.pmod(F.xxhash64(F.col(id_col)), F.lit(_LIKELY_BITS)).cast("long")
+    bit = F.bitmap_bit_position(own)
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (bit % 8 + 1).cast("int"))) != 0
+    return (df.withColumn("__own", F.bitmap_bucket_number(own))
+            .join(F.broadcast(marks), F.col("__own") == F.col("__bucket")).where(hit).select(*df.columns))
+
+
 def col(name: str) -> Column:
     """A column by its exact name, dots and spaces included."""
     return F.col("`" + name.replace("`", "``") + "`")

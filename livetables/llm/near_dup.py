@@ -14,18 +14,21 @@ a text's weighted shingles; two texts agree on a sample with the probability of
 their weighted Jaccard similarity. Texts that agree on a whole band meet in its
 bucket. Texts with the same words are one node from the start.
 
-Links. Within a bucket no list of all pairs is made. In each of a few rounds
-every bucket picks a hub (the smallest, the largest, then a hashed choice) and
-the others are compared with it, unless both already belong to one class; what
-is linked is merged into classes. Then the members of a bucket that are still of
-different classes are compared with each other, as long as their total weights
-allow the threshold. So no link between candidates of different classes is left
-untested. Pairs are verified by the exact weighted Jaccard similarity of the
-whole texts.
+Links. Within a bucket no list of all pairs is made. Every bucket picks a hub
+(its smallest id) and the others are compared with it; what is linked is merged
+into classes. For the members of buckets that still hold several classes
+the weight of the shingles that no other of them has is counted: a text with much
+of its own can't reach the threshold with any, as its shared weight bounds every
+intersection. After another round, with the text that has the least of its own as
+the hub (the original of a group of copies rather than a copy), the members of a bucket that are still
+of different classes are compared with each other where their shared and total
+weights allow the threshold. So no link between candidates of different classes
+is left untested. Pairs are verified by the exact weighted Jaccard similarity of
+the whole texts.
 
 Plan. Texts are read in narrow passes (counting, signatures); signatures are
 16-byte text keys and one number per band. Only texts that share a bucket with
-another are shuffled. Joins on hubs and buckets aggregate by minimum or maximum,
+another are shuffled: a bit table of fixed size keeps the others out. Joins on hubs and buckets aggregate by minimum or maximum,
 so AQE can split a hot one. Classes and links stay distributed, and each step is
 written to the shared folder.
 
@@ -47,14 +50,14 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from livetables.llm.common import col, ship_package, text_or_empty, written
+from livetables.llm.common import col, likely, ship_package, text_or_empty, written
 from livetables.llm.components import components
 
 _WORD = re.compile(r"\w+")
-_SLOTS = 1 << 16                      # rows of the table of random numbers
+_SLOTS = 1 << 15                      # rows of the table of random numbers
 _BUCKET_BITS = 18                     # of the table of hashed counts
 
 
@@ -73,7 +76,7 @@ class _WordHashes(dict):
     """64-bit hashes of words, with a bounded memory."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 300_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -124,41 +127,49 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 @lru_cache(maxsize=1)
-def _draws(samples: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r, ln c and beta of consistent weighted sampling, a row per slot of shingle hashes."""
+def _draws(samples: int, seed: int) -> tuple[np.ndarray, ...]:
+    """r, ln c and beta of consistent weighted sampling, a row per slot of shingle hashes; ln a for weight 1."""
     rng = np.random.default_rng(seed)
     r = rng.gamma(2.0, 1.0, (_SLOTS, samples)).astype("f4")
     ln_c = np.log(rng.gamma(2.0, 1.0, (_SLOTS, samples))).astype("f4")
-    return r, ln_c, rng.random((_SLOTS, samples)).astype("f4")
+    beta = rng.random((_SLOTS, samples)).astype("f4")
+    beta[beta >= 1] = 0                                       # rounding to 32 bits may reach 1
+    return r, ln_c, beta, ln_c - r * (1 - beta)
 
 
 def sample(hashes: np.ndarray, weights: np.ndarray, samples: int, seed: int) -> np.ndarray:
     """The sampled (shingle, level) of each draw, as one 64-bit hash."""
-    r, ln_c, beta = _draws(samples, seed)
+    r, ln_c, beta, ln_a_of_1 = _draws(samples, seed)
     best = np.full(samples, np.inf, "f4")
     key, level = np.zeros(samples, np.uint64), np.zeros(samples, "f4")
+    each = np.arange(samples)
     for at in range(0, len(hashes), 4096):                    # bounded memory for the longest texts
-        own = hashes[at:at + 4096]
+        own, weight = hashes[at:at + 4096], weights[at:at + 4096]
         slot = (own & np.uint64(_SLOTS - 1)).astype(np.int64)
-        rs = r[slot]
-        t = np.floor(np.log(weights[at:at + 4096]).astype("f4")[:, None] / rs + beta[slot])
-        ln_a = ln_c[slot] - rs * (t - beta[slot] + 1)
+        ln_a = ln_a_of_1[slot]                                # weight 1, most shingles: level 0
+        t = np.zeros((1, samples), "f4")
+        other = np.flatnonzero(weight != 1)
+        if len(other):
+            s = slot[other]
+            t = np.zeros((len(own), samples), "f4")
+            t[other] = np.floor(np.log(weight[other]).astype("f4")[:, None] / r[s] + beta[s])
+            ln_a[other] = ln_c[s] - r[s] * (t[other] - beta[s] + 1)
         least = ln_a.argmin(axis=0)
-        value = ln_a[least, np.arange(samples)]
+        value = ln_a[least, each]
         better = value < best
         best[better] = value[better]
         key[better] = own[least[better]]
-        level[better] = t[least, np.arange(samples)][better]
+        level[better] = t[least if len(t) > 1 else 0, each][better]
     mixed = (key ^ level.astype(np.int64).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0x9E3779B97F4A7C15)
     return mixed ^ (mixed >> np.uint64(31))
 
 
-def _texts(batches: Iterator[pa.RecordBatch], step: int = 64) -> Iterator[tuple[pa.RecordBatch, list[list[str]]]]:
-    """A few rows and the words of their last column."""
+def _texts(batches: Iterator[pa.RecordBatch], step: int = 64) -> Iterator[tuple[pa.RecordBatch, Iterator[list[str]]]]:
+    """A few rows and the words of their last column, one text's at a time."""
     for batch in batches:
         for at in range(0, batch.num_rows, step):
             part = batch.slice(at, step)
-            yield part, [words_of(t) for t in part.column(part.num_columns - 1).to_pylist()]
+            yield part, (words_of(t) for t in part.column(part.num_columns - 1).to_pylist())
 
 
 def common_shingles(texts: DataFrame, p: Params) -> Weights:
@@ -166,12 +177,15 @@ def common_shingles(texts: DataFrame, p: Params) -> Weights:
     shift = np.uint64(64 - _BUCKET_BITS)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, total = np.zeros(1 << _BUCKET_BITS, np.int64), 0
+        counts, total, held = np.zeros(1 << _BUCKET_BITS, np.int64), 0, []
         for _, rows in _texts(batches):
             for words in rows:
                 found = shingles(words, p.words)[0]
                 total += len(found) > 0
-                np.add.at(counts, np.unique((found >> shift).astype(np.int64)), 1)
+                held.append((found >> shift).astype(np.int64))
+            # two shingles of a text in a bucket count twice: an upper bound, which is all that is asked
+            counts += np.bincount(np.concatenate(held), minlength=len(counts))
+            held.clear()
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, some], pa.int32()), pa.array(np.r_[total, counts[some]], pa.int64())],
                                          names=["bucket", "n"])
@@ -245,15 +259,34 @@ def verified(pairs: DataFrame, texts: DataFrame, weights: Weights, p: Params) ->
                     found, counts = shingles(words_of(b_text), p.words)
                     keep.append(similarity(last[1], (found, weights.of(found, counts))) >= p.threshold)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    of_b = pairs.join(texts.select(F.col("id").alias("b"), F.col("t").alias("b_text")), "b")
-    both = of_b.join(texts.select(F.col("id").alias("a"), F.col("t").alias("a_text")), "a")
+    of_b = pairs.join(likely(texts, "id", pairs.select("b")).select(F.col("id").alias("b"), F.col("t").alias("b_text")), "b")
+    both = of_b.join(likely(texts, "id", pairs.select("a")).select(F.col("id").alias("a"), F.col("t").alias("a_text")), "a")
     return both.select("a", "b", "a_text", "b_text").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _hub(choice: int) -> Column:
-    if choice < 2:
-        return (F.min, F.max)[choice]("node")
-    return F.min(F.struct(F.xxhash64("node", F.lit(choice)).alias("o"), "node"))["node"]
+def own_weight(nodes: DataFrame, texts: DataFrame, weights: Weights, p: Params) -> DataFrame:
+    """node, own: the weight of its shingles that no other of the nodes has (nodes without any are left out)."""
+    kind = nodes.schema["node"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, rows in _texts(batches):
+            made = [shingles(words, p.words) for words in rows]
+            size = [len(found) for found, _ in made]
+            if sum(size):
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(np.repeat(np.arange(len(size)), size))),
+                     pa.array(np.concatenate([f for f, _ in made]).view("i8"), pa.int64()),
+                     pa.array(np.concatenate([weights.of(f, c) for f, c in made]), pa.float64())], names=["node", "h", "w"])
+    some = _of(texts, nodes.select("node")).select(F.col("id").alias("node"), "t")
+    return (some.mapInArrow(run, f"node {kind}, h long, w double").groupBy("h")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("w").alias("w"))
+            .where("n = 1").groupBy("node").agg(F.sum("w").alias("own")))
+
+
+def _of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of some ids (a frame of one column, perhaps repeated)."""
+    # an inner join: a semi join would be pushed below the bit table, where it shuffles every text
+    return likely(texts, "id", ids).join(ids.select(F.col(ids.columns[0]).alias("id")).distinct(), "id")
 
 
 def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -267,7 +300,7 @@ def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
             .select("node", F.coalesce("to", "root").alias("root")))
 
 
-def classes_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: Params = Params(), *, star_rounds: int = 3) -> DataFrame:
+def classes_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: Params = Params(), *, star_rounds: int = 2) -> DataFrame:
     """One row per row of `df`: id, class_id (smallest id of its class; null without an id), kept."""
     ship_package(df.sparkSession)
     rows = df.select(col(id_col).alias("id"), text_or_empty(text_col).alias("t"))
@@ -278,11 +311,12 @@ def classes_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", p:
                                                              F.first("bands").alias("bands"))
     nodes = written(same, "near-nodes")
     spread = nodes.select("node", "total", F.posexplode("bands").alias("band", "hash"))
-    crowds = spread.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "hash")
-    members = written(spread.join(crowds, ["band", "hash"]), "near-buckets")
-    involved = members.select(F.col("node").alias("id")).distinct()
-    texts = written(rows.join(involved, "id", "left_semi"), "near-texts")
-    classes = written(members.select("node").distinct().select("node", F.col("node").alias("root")), "near-classes")
+    crowds = spread.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = spread.join(crowds, ["band", "hash"])
+    members = written(members.drop("n").withColumn("own", F.lit(0.0)), "near-buckets")
+    involved = members.select("node").distinct()
+    texts = written(_of(rows, involved), "near-texts")
+    classes = written(involved.select("node", F.col("node").alias("root")), "near-classes")
     tested = None
     for choice in range(star_rounds + 1):
         placed = members.join(classes, "node")
@@ -291,16 +325,31 @@ def classes_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", p:
         open_ = written(placed.join(mixed, ["band", "hash"]), "near-open")
         if open_.isEmpty():
             break
+        if choice:
+            # what a text shares with any other bounds its intersections: texts with too much of their own are out
+            own = own_weight(open_.select("node").distinct(), texts, weights, p)
+            open_ = written(open_.drop("own").join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0.0)))
+                            .where(F.col("total") - F.col("own") >= p.threshold * F.col("total") * (1 - 1e-9)), "near-shared")
+            members = open_.drop("root")
+        shared = F.least(F.col("total") - F.col("own"), F.col("a_total") - F.col("a_own"))
+        allowed = shared * (1 + 1e-9) >= p.threshold / (1 + p.threshold) * (F.col("total") + F.col("a_total"))
         if choice < star_rounds:
-            hubs = (open_.groupBy("band", "hash").agg(_hub(choice).alias("hub"))
-                    .join(classes.select(F.col("node").alias("hub"), F.col("root").alias("hub_root")), "hub"))
-            pairs = open_.join(hubs, ["band", "hash"]).where("root <> hub_root").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+            # the less a text has of its own, the likelier others were made from it
+            best = F.min(F.struct((F.col("own") / F.col("total")).alias("odd"), "node", "root", "total", "own"))
+            hubs = open_.groupBy("band", "hash").agg(best.alias("hub")).select(
+                "band", "hash", F.col("hub.node").alias("a"), F.col("hub.root").alias("a_root"),
+                F.col("hub.total").alias("a_total"), F.col("hub.own").alias("a_own"))
         else:
-            left = open_.select("band", "hash", F.col("node").alias("a"), F.col("root").alias("a_root"), F.col("total").alias("a_total"))
-            near = F.least("a_total", "total") >= p.threshold * F.greatest("a_total", "total")
-            pairs = (left.join(open_, ["band", "hash"]).where((F.col("a") < F.col("node")) & (F.col("a_root") != F.col("root")) & near)
-                     .select("a", F.col("node").alias("b")))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            # with all bands at hand a pair is made in the first bucket that its texts share, not in each
+            open_ = open_.join(nodes.select("node", "bands"), "node")
+            hubs = open_.select("band", "hash", F.col("node").alias("a"), F.col("root").alias("a_root"),
+                                F.col("total").alias("a_total"), F.col("own").alias("a_own"), F.col("bands").alias("a_bands"))
+        apart = (F.col("a_root") != F.col("root")) & allowed
+        if choice == star_rounds:
+            first = F.array_position(F.zip_with("a_bands", "bands", lambda x, y: x == y), True) == F.col("band") + 1
+            apart = apart & (F.col("a") < F.col("node")) & first
+        pairs = (open_.join(hubs, ["band", "hash"]).where(apart)
+                 .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "near-pairs")
