@@ -19,55 +19,102 @@ EncodeMany = Callable[[Sequence[str]], list[bytes]]
 _MARKS = ".,;:!?"
 
 
+class _Known(dict):
+    """Ids of pieces in two generations: what is still used moves on when the older one is dropped."""
+
+    def __init__(self) -> None:
+        self.older: dict[str, bytes] = {}
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            self.new.append(piece)
+            return b""
+        self[piece] = ids
+        return ids
+
+
 class WordCache:
-    """Ids of whole texts. Holds at most `max_words` pieces besides those of one call's texts."""
+    """Ids of whole texts.
+
+    Holds at most about 2 * `max_words` pieces. `encode_words` may encode words
+    of letters faster, each with the space before it; without it `encode_many` does.
+    """
 
-    def __init__(self, encode_many: EncodeMany, max_words: int = 700_000):
+    def __init__(self, encode_many: EncodeMany, encode_words: EncodeMany | None = None, max_words: int = 600_000):
         self.encode_many, self.max_words = encode_many, max_words
-        self.ids: dict[str, bytes] = {}         # words after a space, without it; line starts after a line break
+        self.encode_words = encode_words or (lambda words: encode_many([" " + w for w in words]))
+        self.ids = _Known()          # words after a space, without it; line starts after a line break
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each text."""
         if len(self.ids) > self.max_words:
-            self.ids.clear()
+            fresh = _Known()
+            fresh.older = dict(self.ids)
+            self.ids = fresh
         cut = [self._pieces(t) for t in texts]
-        self._learn(cut, texts)
-        look = self.ids.__getitem__
-        whole = iter(self.encode_many([t for t, pieces in zip(texts, cut) if pieces is None]))
-        return [next(whole) if pieces is None else b"".join(map(look, pieces)) for pieces in cut]
+        ids, new = self.ids, self.ids.new
+        out, again = [b""] * len(cut), []
+        for i, pieces in enumerate(cut):
+            if pieces is not None:
+                seen = len(new)
+                parts = list(map(ids.__getitem__, pieces))
+                if len(new) > seen:
+                    again.append((i, parts, new[seen:]))
+                else:
+                    out[i] = b"".join(parts)
+        if again:
+            self._learn(set(new))
+            new.clear()
+            for i, parts, missing in again:
+                at = -1
+                for piece in missing:                   # in the order of the text
+                    at = cut[i].index(piece, at + 1)
+                    parts[at] = ids[piece]
+                out[i] = b"".join(parts)
+        whole = [i for i, pieces in enumerate(cut) if pieces is None]
+        for i, ids in zip(whole, self.encode_many([texts[i] for i in whole]) if whole else ()):
+            out[i] = ids
+        return out
 
     @staticmethod
     def _pieces(text: str) -> list[str] | None:
         """A text's pieces; None if it can't be cut. Line starts keep their line break, the text's start a zero byte."""
-        out: list[str] = []
-        mark = "\0"
-        for line in text.split("\n"):
-            words = line.split(" ")
-            if not words[0] or words != line.split():       # white space other than single spaces
-                return None
-            words[0] = mark + words[0]
-            out += words
-            mark = "\n"
-        return None if "\0" in text else out
-
-    def _learn(self, cut: list[list[str] | None], texts: Sequence[str]) -> None:
-        new = set().union(*filter(None, cut)).difference(self.ids)
-        if not new:
-            return
-        # what to encode for a piece: a line break and a word, or a word with or without its space; marks apart
-        parts = {}
+        words, line = text.split(), text.replace("\n", " ")
+        if not words or line[0] == " " or line[-1] == " " or "  " in line:
+            return None
+        # printable: no white space but spaces, no zero byte; other texts are compared in full
+        if not line.isprintable() and (" ".join(words) != line or "\0" in line):
+            return None
+        words[0] = "\0" + words[0]
+        if "\n" in text:
+            at = 0
+            for line in text.split("\n")[:-1]:
+                at += line.count(" ") + 1
+                words[at] = "\n" + words[at]
+        return words
+
+    def _learn(self, new: set[str]) -> None:
+        ids, older = self.ids, self.ids.older
+        words, marked, others = set(), [], []
         for piece in new:
-            head = ["\n"] if piece[0] == "\n" else []
-            word = piece[1:] if piece[0] in "\n\0" else " " + piece
-            if word[-1] in _MARKS and word[:-1].strip().isalpha():
-                head += [word[:-1], word[-1]]
+            word = piece[:-1] if piece[-1] in _MARKS else piece
+            if word.isalpha():
+                if word not in ids and word not in older:
+                    words.add(word)
+                if word is not piece:
+                    marked.append(piece)
             else:
-                head.append(word)
-            parts[piece] = head
-        asked = list({p for ps in parts.values() for p in ps if p[0] != " " or p[1:] not in self.ids})
-        known = dict(zip(asked, self.encode_many(asked)))
-        for p in asked:
-            if p[0] == " " and len(p) > 1:
-                self.ids[p[1:]] = known[p]
-        for piece, ps in parts.items():
-            self.ids[piece] = b"".join([known[p] if p in known else self.ids[p[1:]] for p in ps])
+                others.append(piece)
+        if words:
+            ids.update(zip(words, self.encode_words(list(words))))
+        if marked:
+            marks = dict(zip(_MARKS, self.encode_many(list(_MARKS))))
+            for piece in marked:
+                ids[piece] = ids[piece[:-1]] + marks[piece[-1]]
+        if others:
+            # line breaks stand by themselves, and a word at the start of a line or text has no space
+            starts = {"\n": self.encode_many(["\n"])[0], "\0": b""}
+            made = self.encode_many([p[1:] if p[0] in starts else " " + p for p in others])
+            ids.update((p, starts.get(p[0], b"") + x) for p, x in zip(others, made))

@@ -73,7 +73,16 @@ def _encoder(path: str) -> WordCache:
     def encode_many(texts):
         made = model.encode_batch_fast(list(texts), add_special_tokens=False)
         return [struct.pack(f"<{len(e)}I", *e.ids) for e in made]
-    return WordCache(encode_many)
+
+    def encode_words(words):
+        # words of letters, each after a space, are one pre-token each: one text for all of them
+        made = model.encode("".join([" " + w for w in words]), add_special_tokens=False)
+        of = np.array(made.word_ids)
+        if len(of) == 0 or of[-1] + 1 != len(words):
+            return encode_many([" " + w for w in words])
+        packed, ends = struct.pack(f"<{len(of)}I", *made.ids), [*((np.flatnonzero(np.diff(of)) + 1) * 4).tolist(), 4 * len(of)]
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
+    return WordCache(encode_many, encode_words)
 
 
 def write_store(df: DataFrame, out: str, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text",
@@ -84,7 +93,7 @@ def write_store(df: DataFrame, out: str, tokenizer: str, *, id_col: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, shard, squeeze = _encoder(tokenizer), TaskContext.get().partitionId(), zstandard.ZstdCompressor(level=level)
-        chunk, start, held, docs, lengths = 0, 0, [], [], []
+        chunk, start, waiting, held, docs, lengths = 0, 0, 0, [], [], []
 
         def flush() -> pa.RecordBatch:
             nonlocal chunk, start
@@ -105,8 +114,10 @@ def write_store(df: DataFrame, out: str, tokenizer: str, *, id_col: str = "doc_i
                 part = batch.slice(at, 64)
                 for doc, ids in zip(part.column(0).to_pylist(), words.encode(part.column(1).to_pylist())):
                     ids += end
-                    if held and sum(lengths) + len(ids) // 4 > chunk_ids:
+                    if held and waiting + len(ids) // 4 > chunk_ids:
                         yield flush()
+                        waiting = 0
+                    waiting += len(ids) // 4
                     held.append(ids)
                     docs.append(doc)
                     lengths.append(len(ids) // 4)
@@ -129,7 +140,7 @@ def open_store(spark: SparkSession, path: str) -> DataFrame:
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     totals = (chunks.groupBy("shard").agg(F.sum("n_ids").alias("total"))
               .select("shard", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base")))
-    return chunks.join(totals, "shard")
+    return chunks.join(F.broadcast(totals), "shard")        # a row for each task that wrote a shard
 
 
 def chunk_ids_of(n_ids: int, block_ids: int, unit: str, blocks: list[int], planes: list[bytes]) -> np.ndarray:

@@ -63,9 +63,18 @@ def test_word_cache_is_bounded():
     codec = bpe.Codec(RANKS, public_tokenizers.PATTERN)
     codec.cache.max_words = 10
     for i in range(20):
-        text = " ".join(f"w{i}x{j}" for j in range(8))
+        text = " ".join(f"w{i}x{j}" for j in range(8)) + " always here"
         assert codec.encode([text]) == [packed(REFERENCE.encode_ordinary(text))]
-        assert len(codec.cache.ids) <= 10 + 16
+        assert len(codec.cache.ids) + len(codec.cache.ids.older) <= 2 * (10 + 24)
+    assert "here" in codec.cache.ids or "here" in codec.cache.ids.older
+
+
+def test_both_encoders_agree_through_the_cache():
+    words = token_store._encoder(JSON)
+    texts = [t or "" for t in TEXTS] + ["Ab ab AB. ab, ab\nab ab!", "ªº ǅ ʰ word", "x 一二 三", "mixed 12 abc1 d'ef g's"]
+    model = Tokenizer.from_file(JSON)
+    for group in (texts, texts[::-1], texts[:3]):
+        assert words.encode(group) == [packed(model.encode(t, add_special_tokens=False).ids) for t in group]
 
 
 @pytest.mark.parametrize("unit", ["byte", "bit"])
