@@ -15,8 +15,19 @@ from livetables.session import scratch_path, session_key
 _SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
 
 
+#: Rows of an Arrow batch. Spark's default suits narrow rows; 10,000 whole texts, or blocks
+#: of vectors, take hundreds of MB in the executor and again in its Python worker.
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "128"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Give Python workers this package, once per application (as --py-files would)."""
+    """Make a session ready for Python workers that handle whole texts.
+
+    They get this package, once per application (as --py-files would), and small
+    Arrow batches, unless the session has its own setting for those.
+    """
+    if spark.conf.get(_BATCH[0]) == _BATCH[1]:
+        spark.conf.set(_BATCH[0], _BATCH[2])
     key = session_key(spark)
     if key not in _SHIPPED:
         folder = tempfile.TemporaryDirectory()
