@@ -2,29 +2,32 @@
 
 Fit. A bounded sample of labelled rows (`max_examples`, by a hash of the id)
 gives the examples. Features are words and the 4- and 5-letter starts of longer
-words, each also as "at least 2" and "at least 4 times"; those whose share
-differs between the classes (chi-square of at least `min_chi2`, so high because
-many are tried; the `max_features` strongest) make the vocabulary. Document
-frequencies of the vocabulary are counted over all documents.
+words, each also as "at least 2" and "at least 4 times"; every feature of the
+sample is in the vocabulary. A feature weighs its idf times chi2 / (chi2 +
+`half_chi2`), where chi2 tells how much its share differs between the classes
+(high, because many are tried): rare and indifferent features count little, none
+is left out. Document frequencies are counted over all documents.
 
 Index. The examples' unit vectors are kept as posting lists by feature, cut into
-blocks of examples, with the largest weight of each (feature, block). For a text,
-the block maxima bound every block's best cosine; blocks are scored in order of
-their bounds until no other block can reach the k-th best, so the k nearest
-examples are exact.
+blocks of examples, with the largest weight of each (feature, block) that occurs.
+Features that at least 1 in `dense` examples have are kept as rows of a matrix
+instead, and multiplied for several texts at once. The products and the maxima of
+the rest bound every block's best cosine; blocks that can't reach the k-th best
+product are left out. Whatever rounding could still lift to the k-th place is
+added up again in full precision, so the k nearest examples are exact.
 
 Score. The neighbours vote with their cosines as weights, against `prior_votes`
 of the sample's share of toxic rows. An isotonic fit on the examples' own votes,
 each without itself, turns votes into probabilities. The neighbours are returned
 as evidence. A score is a function of the text and the fitted model only.
 
-Plan. The sample, the vocabulary and the index have fixed bounds, so they fit the
-driver and every worker at any size of the corpus. Two narrow passes over the
-documents, one counting frequencies (a row per feature and task is shuffled), one
-scoring; no text is shuffled.
+Plan. The vocabulary and the index are those of at most `max_examples` texts, so
+they don't grow with the corpus and are held by the driver and every worker. Two
+narrow passes over the documents, one counting frequencies (a row per feature and
+task is shuffled), one scoring; only the sample's texts are shuffled.
 
-Defined results: a null text counts as empty; texts without any vocabulary
-feature score what the examples without one are; labels that are null or whose
+Defined results: a null text counts as empty; texts without any feature of
+the sample score what the examples without neighbours are; labels that are null or whose
 id is null are not used, of contradicting labels of an id toxic counts; without
 labels every score is 0; repeated rows score alike; an empty table gives an
 empty result.
@@ -68,88 +71,147 @@ def feature_counts(text: str) -> Counter:
     return out
 
 
+def ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all [begin, end) one after the other, and the length of each."""
+    length = end - begin
+    ends = np.cumsum(length)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + length, length), length
+
+
 class Vocabulary:
-    """Feature numbers, with a bounded memory of which words hold which."""
+    """Feature numbers, with a bounded memory of which words hold which.
+
+    A repeat ("at least n times") only counts with its plain feature in `features`.
+    """
 
     def __init__(self, features: Sequence[str], max_words: int = 300_000):
         self.number = {f: i for i, f in enumerate(features)}
-        #: of a plain feature: its own number (or none), and those of its repeats
-        plain = {f.partition("#")[0] for f in features}
-        self.repeats = {f: [(n, self.number[g]) for n, g in ((1, f), *((n, f"{f}#{n}") for n in REPEATS)) if g in self.number]
-                        for f in plain}
-        self.words: dict[str, tuple[str, ...]] = {}
+        #: by number of a plain feature: its own number, and those of its repeats (or -1)
+        self.repeats = np.array([[i, *(self.number.get(f"{f}#{n}", -1) for n in REPEATS)] for f, i in self.number.items()],
+                                np.int32).reshape(-1, 1 + len(REPEATS))
+        self.words: dict[str, int] = {}
+        #: by number of a word: its features (or -1)
+        self.held = np.full((1024, 3), -1, np.int32)
         self.max_words = max_words
 
+    def _add(self, word: str) -> int:
+        at = self.words[word] = len(self.words)
+        if at == len(self.held):
+            self.held = np.concatenate([self.held, np.full_like(self.held, -1)])
+        own = [self.number.get(f, -1) for f in features_of(word)]
+        self.held[at] = own + [-1] * (3 - len(own))
+        return at
+
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Feature numbers (ascending) and how often the text has each."""
-        totals: dict[str, int] = {}
-        words = self.words
-        if len(words) > self.max_words:
-            words.clear()
-        for word, n in Counter(_WORD.findall(text.lower())).items():
-            own = words.get(word)
-            if own is None:
-                own = words[word] = tuple(f for f in features_of(word) if f in self.repeats)
-            for f in own:
-                totals[f] = totals.get(f, 0) + n
-        found = {i: n for f, n in totals.items() for least, i in self.repeats[f] if n >= least}
-        numbers = np.array(sorted(found), dtype=np.int64)
-        return numbers, np.array([found[i] for i in numbers.tolist()], dtype=np.float64)
+        if len(self.words) > self.max_words:
+            self.words.clear()
+        known, found = self.words.get, Counter(_WORD.findall(text.lower()))
+        at = [known(w) for w in found]
+        if None in at:
+            at = [self._add(w) if a is None else a for w, a in zip(found, at)]
+        held = self.held[np.array(at, np.int64)]
+        there = held >= 0
+        n = np.broadcast_to(np.fromiter(found.values(), np.float64, len(found))[:, None], held.shape)[there]
+        plain, place = np.unique(held[there], return_inverse=True)
+        totals = np.bincount(place, weights=n, minlength=len(plain))
+        numbers = self.repeats[plain]
+        there = (numbers >= 0) & (totals[:, None] >= np.array([1, *REPEATS]))
+        numbers, totals = numbers[there].astype(np.int64), np.broadcast_to(totals[:, None], numbers.shape)[there]
+        order = np.argsort(numbers)
+        return numbers[order], totals[order]
 
 
 @dataclass
 class BlockMaxIndex:
-    """Exact nearest neighbours by inner product of sparse non-negative vectors."""
-
-    ptr: np.ndarray          # [feature, block + 1]: where the postings of a feature in a block begin
-    rows: np.ndarray         # postings: number of the example
-    weights: np.ndarray      # postings: weight
-    top: np.ndarray          # [feature, block]: the largest weight
+    """Exact nearest neighbours by inner product of sparse non-negative vectors.
+
+    A cell is a feature outside the matrix and a block of examples that has it; cells
+    are in the order of features, then blocks, postings in the order of cells.
+    """
+
+    cells: np.ndarray        # [feature + 1]: where the cells of a feature begin
+    blocks: np.ndarray       # [cell]: number of the block
+    top: np.ndarray          # [cell]: the largest weight
+    ptr: np.ndarray          # [cell + 1]: where the postings of a cell begin
+    rows: np.ndarray         # [posting]: number of the example
+    weights: np.ndarray      # [posting]: weight
+    place: np.ndarray        # [feature]: its row of the matrix, or -1
+    begin: np.ndarray        # [example + 1]: where an example's own vector begins
+    own: np.ndarray          # features of the examples' vectors
+    own_weights: np.ndarray
     block: int
     size: int
+    matrix: np.ndarray | None = None         # [row, example], single precision; made where it is used
+    query: np.ndarray | None = None          # [feature]: zeros, room for a query
 
     @classmethod
-    def build(cls, vectors: Sequence[tuple[np.ndarray, np.ndarray]], n_features: int, block: int = 64) -> BlockMaxIndex:
-        size, blocks = len(vectors), max(1, -(-len(vectors) // block))
-        feature = np.concatenate([v[0] for v in vectors] or [np.zeros(0, np.int64)]).astype(np.int64)
-        weight = np.concatenate([v[1] for v in vectors] or [np.zeros(0)])
-        row = np.repeat(np.arange(size), [len(v[0]) for v in vectors])
-        order = np.lexsort((row, feature))
-        feature, weight, row = feature[order], weight[order], row[order]
-        cell = feature * blocks + row // block
-        ptr = np.searchsorted(cell, np.arange(n_features * blocks + 1))
-        top = np.zeros(n_features * blocks)
-        np.maximum.at(top, cell, weight)
-        at = np.arange(n_features)[:, None] * blocks + np.arange(blocks + 1)[None, :]
-        return cls(ptr[at], row, weight, top.reshape(n_features, blocks), block, size)
-
-    def _score(self, features: np.ndarray, query: np.ndarray, blocks: np.ndarray) -> np.ndarray:
-        """Scores of all examples; those outside `blocks` stay 0."""
-        begin = self.ptr[features[:, None], blocks[None, :]].ravel()
-        length = self.ptr[features[:, None], blocks[None, :] + 1].ravel() - begin
-        ends = np.cumsum(length)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + length, length)
-        weight = self.weights[at] * np.repeat(np.repeat(query, len(blocks)), length)
-        return np.bincount(self.rows[at], weights=weight, minlength=self.size)
+    def build(cls, vectors: Sequence[tuple[np.ndarray, np.ndarray]], n_features: int, block: int = 64, dense: int = 32) -> BlockMaxIndex:
+        own = np.concatenate([v[0] for v in vectors] or [np.zeros(0)]).astype(np.int32)
+        own_weights = np.concatenate([v[1] for v in vectors] or [np.zeros(0)])
+        length = [len(v[0]) for v in vectors]
+        row = np.repeat(np.arange(len(vectors), dtype=np.int32), length)
+        common = np.bincount(own, minlength=n_features) * dense >= max(1, len(vectors))
+        place = np.where(common, np.cumsum(common) - 1, -1)
+        rest = np.flatnonzero(place[own] < 0) if len(own) else np.zeros(0, np.int64)
+        rest = rest[np.argsort(own[rest], kind="stable")]          # rows ascend already
+        feature, weight, row = own[rest], own_weights[rest], row[rest]
+        cell = feature.astype(np.int64) * (len(vectors) // block + 1) + row // block
+        first = np.flatnonzero(np.diff(cell, prepend=-1))
+        top = np.maximum.reduceat(weight, first) if len(first) else weight
+        return cls(np.searchsorted(feature[first], np.arange(n_features + 1)), row[first] // block, top, np.append(first, len(row)),
+                   row, weight, place, np.append(0, np.cumsum(length, dtype=np.int64)), own, own_weights, block, len(vectors))
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "matrix": None, "query": None}
+
+    def _make_room(self) -> None:
+        # columns up to a whole number of blocks
+        self.matrix = np.zeros((self.place.max(initial=-1) + 1, -(-self.size // self.block) * self.block), "f4")
+        at = self.place[self.own]
+        self.matrix[at[at >= 0], np.repeat(np.arange(self.size), np.diff(self.begin))[at >= 0]] = self.own_weights[at >= 0]
+        self.query = np.zeros(len(self.place))
 
     def nearest(self, features: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and scores of the k best examples with a positive score; ties to the smaller number."""
-        if not len(features) or not self.size:
-            return np.zeros(0, np.int64), np.zeros(0)
-        bound = query @ self.top[features]
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        first = -(-k // self.block) + 1
-        scores = self._score(features, query, order[:first])
-        if len(order) > first:
-            least = np.partition(scores, -k)[-k] if self.size >= k else 0.0
-            # a block whose bound ties with the k-th best may hold a smaller number
-            rest = order[first:][bound[order[first:]] >= least * (1 - 1e-12)]
-            if len(rest):
-                scores += self._score(features, query, rest)
-        some = np.flatnonzero(scores > 0)
-        best = some[np.lexsort((some, -scores[some]))[:k]]
-        return best, scores[best]
+        return self.nearest_of([(features, query)], k)[0]
+
+    def nearest_of(self, queries: Sequence[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """`nearest` for each of several queries (features, weights)."""
+        if not self.size:
+            return [(np.zeros(0, np.int64), np.zeros(0)) for _ in queries]
+        if self.matrix is None:
+            self._make_room()
+        wide = np.zeros((len(queries), len(self.matrix)), "f4")
+        for line, (features, query) in zip(wide, queries):
+            at = self.place[features]
+            line[at[at >= 0]] = query[at >= 0]
+        scores = wide @ self.matrix
+        best = scores.reshape(len(queries), -1, self.block).max(axis=2)
+        return [self._nearest(*q, k, s, b) for q, s, b in zip(queries, scores, best)]
+
+    def _nearest(self, features: np.ndarray, query: np.ndarray, k: int, scores: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # all terms are >= 0, so the relative error of a sum is at most that of so many roundings
+        slack = 1 - 4 * (len(features) + 4) * 2.0 ** -24
+
+        def least() -> float:
+            return float(np.partition(scores, -k)[-k]) * slack if len(scores) >= k else 0.0
+        tail = self.place[features] < 0
+        cells, length = ranges(self.cells[features[tail]], self.cells[features[tail] + 1])
+        if len(cells):
+            of, share = self.blocks[cells], np.repeat(query[tail], length)
+            bound = best + np.bincount(of, weights=share * self.top[cells], minlength=len(best))
+            some = (bound >= least())[of]
+            postings, length = ranges(self.ptr[cells[some]], self.ptr[cells[some] + 1])
+            scores = scores + np.bincount(self.rows[postings], weights=self.weights[postings] * np.repeat(share[some], length), minlength=len(scores))
+        bar = least()
+        some = np.flatnonzero(scores >= bar if bar > 0 else scores > 0)
+        at, length = ranges(self.begin[some], self.begin[some + 1])
+        self.query[features] = query
+        exact = np.bincount(np.repeat(np.arange(len(some)), length), weights=self.query[self.own[at]] * self.own_weights[at], minlength=len(some))
+        self.query[features] = 0
+        order = np.lexsort((some, -exact))[:k]
+        return some[order], exact[order]
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, prior: float, weight: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
@@ -169,10 +231,10 @@ def isotonic(x: np.ndarray, y: np.ndarray, prior: float, weight: float = 1.0) ->
 
 @dataclass
 class Model:
-    """A fitted model; everything in it has a bounded size."""
+    """A fitted model; everything in it is bounded by the sample."""
 
     vocabulary: Vocabulary
-    idf: np.ndarray
+    weights: np.ndarray
     index: BlockMaxIndex
     labels: np.ndarray
     ids: list
@@ -183,7 +245,7 @@ class Model:
     levels: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     def vector(self, numbers: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return unit(counts, self.idf[numbers])
+        return unit(counts, self.weights[numbers])
 
     def vote(self, best: np.ndarray, cosines: np.ndarray) -> float:
         total = float(cosines.sum()) + self.prior_votes
@@ -195,14 +257,19 @@ class Model:
         return float(self.levels[max(0, np.searchsorted(self.points, vote, side="right") - 1)])
 
     def score(self, text: str) -> tuple[float, list[dict]]:
-        numbers, counts = self.vocabulary.counts(text)
-        best, cosines = self.index.nearest(numbers, self.vector(numbers, counts), self.k)
-        proof = [{"doc_id": self.ids[b], "cosine": float(c), "toxic": int(self.labels[b])} for b, c in zip(best[:3], cosines)]
-        return self.calibrated(self.vote(best, cosines)), proof
+        return self.scores([text])[0]
 
+    def scores(self, texts: Sequence[str]) -> list[tuple[float, list[dict]]]:
+        counted = [self.vocabulary.counts(t) for t in texts]
+        out = []
+        for best, cosines in self.index.nearest_of([(f, self.vector(f, c)) for f, c in counted], self.k):
+            proof = [{"doc_id": self.ids[b], "cosine": float(c), "toxic": int(self.labels[b])} for b, c in zip(best[:3], cosines)]
+            out.append((self.calibrated(self.vote(best, cosines)), proof))
+        return out
 
-def unit(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    weights = (1 + np.log(counts)) * idf if len(counts) else counts
+
+def unit(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    weights = (1 + np.log(counts)) * weights if len(counts) else counts
     length = math.sqrt(float(weights @ weights))
     return weights / length if length else weights
 
@@ -229,9 +296,16 @@ def _map_texts(df: DataFrame, make, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def significance(a: np.ndarray, b: np.ndarray, toxic: int, other: int, half_chi2: float) -> np.ndarray:
+    """Between 0 and 1, never 0: of features that `a` toxic and `b` other examples have."""
+    c, d = toxic - a, other - b
+    spread = (a + b) * (c + d) * float(toxic) * float(other)
+    chi2 = (toxic + other) * (a * d - b * c) ** 2 / np.where(spread > 0, spread, 1.0) + 0.1
+    return chi2 / (chi2 + half_chi2)
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        max_examples: int = 8192, max_features: int = 4096, min_chi2: float = 30.0, min_count: int = 5,
-        k: int = 15, prior_votes: float = 0.25) -> Model:
+        max_examples: int = 8192, half_chi2: float = 30.0, k: int = 15, prior_votes: float = 0.25) -> Model:
     """Learn from labelled rows outside the held-out fold; counts are over all `docs`."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -246,50 +320,48 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
                     names = list(feature_counts(t))
                     yield pa.RecordBatch.from_pydict({"f": pa.array(names, pa.string()), "y": pa.array([y] * len(names), pa.int32())})
         seen = (sample.select("t", "toxic").repartition(8).mapInArrow(explode, "f string, y int")
-                .groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("a")))
-        # chi-square of the 2 x 2 table (feature present or not, toxic or not)
-        a, b = F.col("a"), F.col("n") - F.col("a")
-        c, d = F.lit(n_toxic) - a, F.lit(n - n_toxic) - b
-        chi2 = (F.lit(float(n)) * (a * d - b * c) * (a * d - b * c)
-                / ((a + b).cast("double") * (c + d) * (a + c) * (b + d)))
-        chosen = (seen.withColumn("chi2", chi2).where((F.col("chi2") >= min_chi2) & (F.col("n") >= min_count))
-                  .orderBy(F.col("chi2").desc(), "f").limit(max_features).select("f").collect())
-        names = sorted(r["f"] for r in chosen)
-        rows = []
+                .groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("a")).toArrow().sort_by("f"))
+        names, size = seen["f"].to_pylist(), len(seen)
+        toxic = seen["a"].to_numpy().astype(np.float64)
+        significant = significance(toxic, seen["n"].to_numpy() - toxic, n_toxic, n - n_toxic, half_chi2)
         vocabulary = Vocabulary(names)
+        shared = spark.sparkContext.broadcast(vocabulary)          # the features of at most max_examples texts
 
         def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = Vocabulary(names)
             for batch in batches:
-                made = [own.counts(t) for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([m[0] for m in made], pa.list_(pa.int64())),
-                                                  pa.array([m[1] for m in made], pa.list_(pa.float64()))], names=["id", "toxic", "f", "c"])
-        rows = sample.mapInArrow(vectors, "id long, toxic int, f array<long>, c array<double>").collect()
+                made = [shared.value.counts(t) for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array([m[i].astype("<i4").tobytes() for m in made], pa.binary())
+                                                                                      for i in (0, 1))], names=["id", "toxic", "f", "c"])
+        rows = sample.mapInArrow(vectors, "id long, toxic int, f binary, c binary").toArrow()
     finally:
         sample.unpersist()
 
     def frequencies(texts: Iterator[str]) -> Iterator[pa.RecordBatch]:
-        own, total, counts = Vocabulary(names), 0, np.zeros(len(names), np.int64)
+        total, counts = 0, np.zeros(size, np.int64)
         for t in texts:
             total += 1
-            counts[own.counts(t)[0]] += 1
-        yield pa.RecordBatch.from_pydict({"f": pa.array([-1, *range(len(names))], pa.int32()), "n": pa.array([total, *counts.tolist()], pa.int64())})
+            counts[shared.value.counts(t)[0]] += 1
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_pydict({"f": pa.array([-1, *some.tolist()], pa.int32()), "n": pa.array([total, *counts[some].tolist()], pa.int64())})
     told = _map_texts(docs.select(text_or_empty(text_col).alias("t")), frequencies, "f int, n long")
-    df = {r["f"]: r["n"] for r in told.groupBy("f").agg(F.sum("n").alias("n")).collect()}
-    total = df.get(-1, 0)
-    idf = np.array([math.log(1 + total / (1 + df.get(i, 0))) for i in range(len(names))])
-
-    made = [(r["id"], r["toxic"], np.array(r["f"], np.int64), np.array(r["c"], np.float64)) for r in rows]
-    made = [(i, y, f, unit(c, idf[f])) for i, y, f, c in made]
+    told = told.groupBy("f").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(size + 1)
+    df[told["f"].to_numpy()] = told["n"].to_numpy()                 # the number of documents comes last, as -1
+    weights = np.log(1 + df[-1] / (1 + df[:-1])) * significant
+
+    made = []
+    for i, y, f, c in zip(*(rows[x].to_pylist() for x in ("id", "toxic", "f", "c"))):
+        f = np.frombuffer(f, "<i4").astype(np.int64)
+        made.append((i, y, f, unit(np.frombuffer(c, "<i4").astype(np.float64), weights[f])))
     # neighbours in the index share their strongest feature: tight block maxima
-    made.sort(key=lambda m: (int(m[2][np.argmax(m[3])]) if len(m[2]) else len(names), m[1], m[0]))
-    model = Model(vocabulary, idf, BlockMaxIndex.build([m[2:] for m in made], len(names)), np.array([m[1] for m in made], np.float64),
+    made.sort(key=lambda m: (int(m[2][np.argmax(m[3])]) if len(m[2]) else size, m[1], m[0]))
+    model = Model(vocabulary, weights, BlockMaxIndex.build([m[2:] for m in made], size), np.array([m[1] for m in made], np.float64),
                   [m[0] for m in made], n_toxic / n if n else 0.0, k, prior_votes)
     votes = []
-    for at, (_, _, f, w) in enumerate(made):
-        best, cosines = model.index.nearest(f, w, k + 1)
-        other = best != at
-        votes.append(model.vote(best[other][:k], cosines[other][:k]))
+    for first in range(0, len(made), 64):
+        for at, (best, cosines) in enumerate(model.index.nearest_of([m[2:] for m in made[first:first + 64]], k + 1), first):
+            other = best != at
+            votes.append(model.vote(best[other][:k], cosines[other][:k]))
     model.points, model.levels = isotonic(np.array(votes), model.labels, model.prior)
     return model
 
@@ -298,7 +370,7 @@ def score(df: DataFrame, model: Model, *, text_col: str = "text", columns: Seque
     """Per row of `df`: row (struct of `columns`, default all), score, evidence."""
     spark = df.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(model)          # bounded by max_examples and max_features
+    shared = spark.sparkContext.broadcast(model)          # the features and vectors of at most max_examples texts
     kept = F.struct(*[col(c) for c in (df.columns if columns is None else columns)])
     rows = df.select(kept.alias("row"), text_or_empty(text_col).alias("t"))
     schema = StructType([StructField("row", rows.schema["row"].dataType), StructField("score", DoubleType()),
@@ -310,7 +382,7 @@ def score(df: DataFrame, model: Model, *, text_col: str = "text", columns: Seque
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                made = [own.score(t) for t in part.column(1).to_pylist()]
+                made = own.scores(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([m[0] for m in made], pa.float64()),
                                                   pa.array([m[1] for m in made], proof)], names=["row", "score", "evidence"])
     return rows.mapInArrow(run, schema)

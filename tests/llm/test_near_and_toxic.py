@@ -158,3 +158,42 @@ def test_odd_rows_and_labels(spark):
     empty = toxicity.fit(df, labels.limit(0))
     assert {r.score for r in toxicity.score(df, empty).collect()} == {0.0}
     assert toxicity.score(df.limit(0), model).count() == 0
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(0, 10 ** 6), st.integers(1, 200), st.integers(1, 12), st.sampled_from([0, 4, 32]))
+def test_search_is_exact_with_and_without_a_matrix(seed, size, k, dense):
+    rng = np.random.default_rng(seed)
+    made = []
+    for _ in range(size):
+        f = np.unique((30 * rng.random(rng.integers(0, 9)) ** 3).astype(int))
+        made.append((f, rng.random(len(f)) + 0.01))
+    index = toxicity.BlockMaxIndex.build(made, 30, block=8, dense=dense)
+    asked = [(m[0], rng.random(len(m[0]))) for m in made[:20]]
+    for (f, q), (best, found) in zip(asked, index.nearest_of(asked, k)):
+        scores = np.array([sum(w * v for x, w in zip(*m) for y, v in zip(f, q) if x == y) for m in made])
+        want = np.sort(scores[scores > 0])[::-1][:k]
+        assert np.allclose(found, want) and np.allclose(scores[best], want)
+
+
+def test_every_feature_of_the_sample_has_a_weight(spark):
+    rows = [(i, f"word{i} common") for i in range(40)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0), 1) for i, _ in rows], "doc_id long, toxic int, quality int")
+    model = toxicity.fit(docs(spark, rows), labels)
+    for i, y in zip(model.ids, model.labels):
+        score, proof = model.score(f"word{i}")                     # seen once: below any floor of counts
+        assert proof[0]["doc_id"] == i and proof[0]["toxic"] == y
+    assert (model.weights > 0).all() and len(model.weights) > len(model.ids)
+
+
+def test_held_out_recall_of_each_language(spark):
+    for sf, least in (("sf0.001", 1.0), ("sf0.01", 0.9)):
+        d = f"/root/testdata/{sf}"
+        known = spark.read.parquet(f"{d}/labels.parquet").join(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang"), "doc_id")
+        labels = {r.doc_id: (r.toxic, r.lang) for r in known.collect()}
+        found = {}
+        for r in op4_tfidf_neighbours(spark, d).collect():
+            if r.held_out and labels.get(r.doc_id, (0,))[0]:
+                found.setdefault(labels[r.doc_id][1], []).append(r.predicted)
+        assert {"de", "en"} <= set(found)
+        assert all(np.mean(f) >= least for f in found.values()), (sf, found)

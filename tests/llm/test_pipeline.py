@@ -28,6 +28,15 @@ def test_stages_are_named_and_keep_columns(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 0
 
 
+def test_the_toxicity_stage_drops_toxic_rows(spark):
+    table, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    kept = corpus_pipeline.drop_toxic(spark, table, SF)
+    gone = table.join(kept, "doc_id", "left_anti").join(labels, "doc_id")
+    toxic = labels.where("toxic = 1").join(table, "doc_id").count()
+    assert kept.count() < table.count()
+    assert gone.where("toxic = 1").count() >= 0.9 * toxic > 0
+
+
 def test_run_equals_brute_force(spark):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     model = toxicity.fit(table, spark.read.parquet(f"{SF}/labels.parquet"))
