@@ -18,8 +18,8 @@ added up again in full precision, so the k nearest examples are exact.
 
 Score. The neighbours vote with their cosines as weights, against `prior_votes`
 of the sample's share of toxic rows. An isotonic fit on the examples' own votes,
-each without itself, turns votes into probabilities. The neighbours are returned
-as evidence. A score is a function of the text and the fitted model only.
+each without itself, turns votes into probabilities. All neighbours that
+voted are returned as evidence, best first. A score is a function of the text and the fitted model only.
 
 Plan. The vocabulary and the index are those of at most `max_examples` texts, so
 they don't grow with the corpus and are held by the driver and every worker. Two
@@ -263,7 +263,7 @@ class Model:
         counted = [self.vocabulary.counts(t) for t in texts]
         out = []
         for best, cosines in self.index.nearest_of([(f, self.vector(f, c)) for f, c in counted], self.k):
-            proof = [{"doc_id": self.ids[b], "cosine": float(c), "toxic": int(self.labels[b])} for b, c in zip(best[:3], cosines)]
+            proof = [{"doc_id": self.ids[b], "cosine": float(c), "toxic": int(self.labels[b])} for b, c in zip(best, cosines)]
             out.append((self.calibrated(self.vote(best, cosines)), proof))
         return out
 

@@ -197,3 +197,14 @@ def test_held_out_recall_of_each_language(spark):
                 found.setdefault(labels[r.doc_id][1], []).append(r.predicted)
         assert {"de", "en"} <= set(found)
         assert all(np.mean(f) >= least for f in found.values()), (sf, found)
+
+
+def test_scores_follow_from_their_evidence(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    model = toxicity.fit(table, spark.read.parquet(f"{SF}/labels.parquet"))
+    rows = toxicity.score(table.limit(100), model).collect()
+    assert max(len(r.evidence) for r in rows) == model.k
+    for r in rows:
+        total = sum(e.cosine for e in r.evidence) + model.prior_votes
+        vote = (sum(e.cosine * e.toxic for e in r.evidence) + model.prior_votes * model.prior) / total
+        assert any(abs(model.calibrated(v) - r.score) < 1e-9 for v in (vote, vote - 1e-9, vote + 1e-9))
