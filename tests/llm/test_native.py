@@ -132,6 +132,31 @@ def test_em_trusts_the_labeler_that_agrees():
     assert post[(1, 1, 0)] > 0.9 and post[(0, 0, 1)] < 0.1
 
 
+def test_the_regex_labeler_judges_the_span_not_its_origin(spark):
+    texts = ["a.b@mail.com .x@mail.com bob (at) mail (dot) com", "10.1.2.3 001.2.3.4 2001:db8:1:2:3:4:5:6",
+             "4111 1111 1111 1111; 4111.1111.1111.1111; 4111.1111.1111.1112", "+1 (988) 555-2485; (826) 555-4081; (126) 555-4081"]
+    rows = pii.candidates(people(spark, texts), "doc_id", "text").orderBy("id").collect()
+    votes = [sorted(((s.start, s.base, s.v_regex) for s in r.spans)) for r in rows]
+    assert [[v[1:] for v in line] for line in votes] == [
+        [(True, 1), (True, 0), (False, None)], [(True, 1), (True, 0), (False, None)],
+        [(True, 1), (False, 1), (False, 0)], [(True, 1), (False, None), (False, 0)]]
+
+
+def test_more_of_the_same_texts_give_the_same_spans(spark):
+    texts = [f"tel: +1 (988) 555-2{i:03}" if i % 3 else f"+44 20 7946 0{i:03}" for i in range(157)]
+    texts += ["see (826) 555-4081", "ask (826) 555-4082 there"] + [f"call (212) 555-01{i}" for i in range(10, 20)] + ["order no (212) 555-0177"] * 3
+    found = pii.candidates(people(spark, texts), "doc_id", "text").persist()
+    once, patterns = pii.fit(found), [((1, 1, 1), 100), ((1, 1, None), 55), ((1, 0, 0), 2), ((None, 1, None), 2), ((None, 1, 0), 3)]
+    for times in (10, 100, 300):
+        many = pii.fit(found.crossJoin(spark.range(times)))
+        assert all(many[k] == pytest.approx(once[k]) for k in once)
+        assert pii.fit_em([(v, n * times) for v, n in patterns]) == pytest.approx(pii.fit_em(patterns))
+    few, ten = ({r.doc_id: [tuple(s)[:4] for s in r.spans] for r in pii.personal_data(df).collect()}
+                for df in (people(spark, texts), people(spark, texts).crossJoin(spark.range(10)).drop("id")))
+    assert few == ten
+    assert all(few[i] for i in range(169))                     # the loose numbers are reported, cue or not
+
+
 # --- mixing ----------------------------------------------------------------
 
 def water_level(sizes, weights, most):
