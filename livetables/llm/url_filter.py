@@ -9,8 +9,11 @@ template the url falls under:
    - a labelled segment with few urls below it (`min_support`), or whose share of
      blocked urls does not differ from that of all its siblings (two-proportion
      z-test), is merged into the branch `*`;
-   - unlabelled segments with few urls share a branch of their own, `?`, so that
-     no label reaches urls that show no evidence.
+   - an unlabelled segment joins `*` if it is like the labelled segments there in
+     what needs no label: the same shape (letters alike), and shares of the shapes
+     that follow it which don't differ from theirs (two-proportion z-test each);
+   - other unlabelled segments with few urls share a branch of their own, `?`, so
+     that no label reaches urls that show no evidence.
 3. A template's purity is its share of blocked among labelled urls, smoothed by
    `prior_weight` urls of which the share `prior` is blocked. Purity of at least
    `reject_at` rejects the template, so one without labels is allowed.
@@ -63,26 +66,43 @@ def segments(path: Column, levels: int) -> Column:
     return F.when(F.size(parts) > levels, F.concat(F.slice(parts, 1, levels), F.array(F.lit("**")))).otherwise(parts)
 
 
+def shape(seg: Column) -> Column:
+    """What of a segment needs no label: runs of letters become `a`."""
+    return F.regexp_replace(seg, r"\p{L}+", "a")
+
+
 def path_templates(paths: DataFrame, levels: int, *, min_support: int, z: float) -> DataFrame:
     """host, key (segments), n, n_allow, n_block -> the same with `template`."""
     rows = paths.withColumn("template", F.lit(""))
-    lab, rate = F.col("c_block") + F.col("c_allow"), F.col("c_block") / (F.col("c_block") + F.col("c_allow"))
+    lab, n = F.col("c_block") + F.col("c_allow"), F.col("n")
+    rate, p = F.try_divide("c_block", lab), F.try_divide(F.col("p_block"), F.col("p_block") + F.col("p_allow"))
+    differs = F.coalesce((F.col("support") >= min_support) & (F.abs(rate - p) > z * F.sqrt(F.try_divide(p * (1 - p), lab))), F.lit(False))
+    # An unlabelled branch against the labelled ones in `*`, by the shapes that follow.
+    own, star = F.try_divide("own_next", F.col("support")), F.try_divide("star_next", F.col("star"))
+    both = F.try_divide(F.col("own_next") + F.col("star_next"), F.col("support") + F.col("star"))
+    apart = F.abs(own - star) > z * F.sqrt(both * (1 - both) * (F.try_divide(F.lit(1), F.col("support")) + F.try_divide(F.lit(1), F.col("star"))))
     for level in range(1, levels + 1):
-        seg = F.try_element_at(F.col("key"), F.lit(level))
+        after = F.coalesce(shape(F.try_element_at(F.col("key"), F.lit(level + 1))), F.lit("/"))
         siblings = Window.partitionBy("host", "template")
         child = Window.partitionBy("host", "template", "seg")
-        p = F.col("p_block") / (F.col("p_block") + F.col("p_allow"))
-        differs = F.abs(rate - p) > z * F.sqrt(p * (1 - p) / lab)
-        literal = (F.col("support") >= min_support) & ((lab == 0) | differs)
-        rows = (rows.withColumn("seg", seg)
+        alike = Window.partitionBy("host", "template", "shape")
+        in_star = F.when((lab > 0) & ~F.col("differs"), n).otherwise(0)
+        name = (F.when(lab > 0, F.when(F.col("differs"), F.col("seg")).otherwise(F.lit("*")))
+                .when(F.col("joins"), F.lit("*")).when(F.col("support") >= min_support, F.col("seg")).otherwise(F.lit("?")))
+        rows = (rows.withColumn("seg", F.try_element_at(F.col("key"), F.lit(level)))
+                .withColumn("shape", shape(F.col("seg"))).withColumn("next", after)
                 .withColumn("support", F.sum("n").over(child))
                 .withColumn("c_allow", F.sum("n_allow").over(child))
                 .withColumn("c_block", F.sum("n_block").over(child))
                 .withColumn("p_allow", F.sum("n_allow").over(siblings))
                 .withColumn("p_block", F.sum("n_block").over(siblings))
-                .withColumn("template", F.when(F.col("seg").isNull(), F.col("template")).otherwise(
-                    F.concat("template", F.lit("/"), F.when(F.coalesce(literal, F.lit(False)), F.col("seg"))
-                             .otherwise(F.when(lab == 0, F.lit("?")).otherwise(F.lit("*"))))))
+                .withColumn("differs", differs)
+                .withColumn("star", F.sum(in_star).over(alike))
+                .withColumn("star_next", F.sum(in_star).over(Window.partitionBy("host", "template", "shape", "next")))
+                .withColumn("own_next", F.sum("n").over(Window.partitionBy("host", "template", "seg", "next")))
+                .withColumn("joins", (F.col("star") > 0) & ~F.max(F.coalesce(apart, F.lit(True))).over(child))
+                .withColumn("template", F.when(F.col("seg").isNull(), F.col("template"))
+                            .otherwise(F.concat("template", F.lit("/"), name)))
                 .select("host", "key", "n", "n_allow", "n_block", "template"))
     return rows
 

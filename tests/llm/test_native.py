@@ -64,6 +64,21 @@ def test_branches_alike_are_merged(spark):
     assert got == {"/*/*"}
 
 
+def test_unlabelled_branches_join_the_labelled_ones_they_are_like(spark):
+    rules = [("x.org", "/es/", "block"), ("x.org", "/fr/", "block"), ("z.org", "/es/", "allow")]
+    urls = [f"http://x.org/{d}/{i}" for d in ("es", "fr", "en") for i in range(20)] + ["http://x.org/de/7"]
+    urls += [f"http://x.org/docs/guide/{d}.html" for d in "abcdefg"] + [f"http://x.org/v2/{i}" for i in range(6)]
+    urls += [f"http://z.org/{d}/{i}" for d in ("es", "en") for i in range(20)] + [f"http://y.org/en/{i}" for i in range(20)]
+    got = {urls[r.page_id]: r for r in url_filter.judge_urls(pages(spark, urls), rules).collect()}
+    for url in ("http://x.org/en/3", "http://x.org/de/7"):
+        assert (got[url].rule, got[url].template, got[url].verdict) == (None, "/*/*", "block")
+        assert got[url].purity == pytest.approx((40 + 4.0 * 0.2) / (40 + 4.0))
+    assert got["http://x.org/docs/guide/a.html"].verdict == "allow"      # other shapes follow
+    assert got["http://x.org/v2/1"].verdict == "allow"                   # another shape
+    assert got["http://z.org/en/3"].template == "/*/*" and got["http://z.org/en/3"].verdict == "allow"
+    assert got["http://y.org/en/3"].verdict == "allow"                   # labels stay on their host
+
+
 def test_no_pages(spark):
     assert url_filter.judge_urls(pages(spark, []), URL_RULES).count() == 0
 
