@@ -168,10 +168,17 @@ class BlockMaxIndex:
     def _make_room(self) -> None:
         # columns up to a whole number of blocks
         self.matrix = np.zeros((self.place.max(initial=-1) + 1, -(-self.size // self.block) * self.block), "f4")
-        at = self.place[self.own]
-        self.matrix[at[at >= 0], np.repeat(np.arange(self.size), np.diff(self.begin))[at >= 0]] = self.own_weights[at >= 0]
+        for line in range(self.size):                              # one by one: no large intermediate arrays
+            features, weights = self.vector(line)
+            at = self.place[features]
+            self.matrix[at[at >= 0], line] = weights[at >= 0]
         self.query = np.zeros(len(self.place))
 
+    def vector(self, line: int) -> tuple[np.ndarray, np.ndarray]:
+        """Features and weights of an example."""
+        at = slice(self.begin[line], self.begin[line + 1])
+        return self.own[at], self.own_weights[at]
+
     def nearest(self, features: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and scores of the k best examples with a positive score; ties to the smaller number."""
         return self.nearest_of([(features, query)], k)[0]
@@ -350,16 +357,19 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     weights = np.log(1 + df[-1] / (1 + df[:-1])) * significant
 
     made = []
-    for i, y, f, c in zip(*(rows[x].to_pylist() for x in ("id", "toxic", "f", "c"))):
-        f = np.frombuffer(f, "<i4").astype(np.int64)
-        made.append((i, y, f, unit(np.frombuffer(c, "<i4").astype(np.float64), weights[f])))
+    for batch in rows.to_batches():
+        for i, y, f, c in zip(*(batch.column(x).to_pylist() for x in ("id", "toxic", "f", "c"))):
+            f = np.frombuffer(f, "<i4")
+            made.append((i, y, f, unit(np.frombuffer(c, "<i4").astype(np.float64), weights[f])))
+    rows = seen = told = None                                       # the index needs the room
     # neighbours in the index share their strongest feature: tight block maxima
     made.sort(key=lambda m: (int(m[2][np.argmax(m[3])]) if len(m[2]) else size, m[1], m[0]))
     model = Model(vocabulary, weights, BlockMaxIndex.build([m[2:] for m in made], size), np.array([m[1] for m in made], np.float64),
                   [m[0] for m in made], n_toxic / n if n else 0.0, k, prior_votes)
-    votes = []
-    for first in range(0, len(made), 64):
-        for at, (best, cosines) in enumerate(model.index.nearest_of([m[2:] for m in made[first:first + 64]], k + 1), first):
+    made, votes = None, []
+    for first in range(0, len(model.ids), 64):
+        lines = range(first, min(first + 64, len(model.ids)))
+        for at, (best, cosines) in zip(lines, model.index.nearest_of([model.index.vector(i) for i in lines], k + 1)):
             other = best != at
             votes.append(model.vote(best[other][:k], cosines[other][:k]))
     model.points, model.levels = isotonic(np.array(votes), model.labels, model.prior)
