@@ -142,6 +142,7 @@ class BlockMaxIndex:
     own_weights: np.ndarray
     block: int
     size: int
+    dense: int
     matrix: np.ndarray | None = None         # [row, example], single precision; made where it is used
     query: np.ndarray | None = None          # [feature]: zeros, room for a query
 
@@ -149,21 +150,26 @@ class BlockMaxIndex:
     def build(cls, vectors: Sequence[tuple[np.ndarray, np.ndarray]], n_features: int, block: int = 64, dense: int = 32) -> BlockMaxIndex:
         own = np.concatenate([v[0] for v in vectors] or [np.zeros(0)]).astype(np.int32)
         own_weights = np.concatenate([v[1] for v in vectors] or [np.zeros(0)])
-        length = [len(v[0]) for v in vectors]
-        row = np.repeat(np.arange(len(vectors), dtype=np.int32), length)
-        common = np.bincount(own, minlength=n_features) * dense >= max(1, len(vectors))
+        return cls._of(own, own_weights, np.append(0, np.cumsum([len(v[0]) for v in vectors], dtype=np.int64)), n_features, block, dense)
+
+    @classmethod
+    def _of(cls, own: np.ndarray, own_weights: np.ndarray, begin: np.ndarray, n_features: int, block: int, dense: int) -> BlockMaxIndex:
+        size = len(begin) - 1
+        row = np.repeat(np.arange(size, dtype=np.int32), np.diff(begin))
+        common = np.bincount(own, minlength=n_features) * dense >= max(1, size)
         place = np.where(common, np.cumsum(common) - 1, -1)
         rest = np.flatnonzero(place[own] < 0) if len(own) else np.zeros(0, np.int64)
         rest = rest[np.argsort(own[rest], kind="stable")]          # rows ascend already
         feature, weight, row = own[rest], own_weights[rest], row[rest]
-        cell = feature.astype(np.int64) * (len(vectors) // block + 1) + row // block
+        cell = feature.astype(np.int64) * (size // block + 1) + row // block
         first = np.flatnonzero(np.diff(cell, prepend=-1))
         top = np.maximum.reduceat(weight, first) if len(first) else weight
         return cls(np.searchsorted(feature[first], np.arange(n_features + 1)), row[first] // block, top, np.append(first, len(row)),
-                   row, weight, place, np.append(0, np.cumsum(length, dtype=np.int64)), own, own_weights, block, len(vectors))
+                   row, weight, place, begin, own, own_weights, block, size, dense)
 
-    def __getstate__(self) -> dict:
-        return {**self.__dict__, "matrix": None, "query": None}
+    def __reduce__(self):
+        # the vectors travel, what follows from them is made again
+        return BlockMaxIndex._of, (self.own, self.own_weights, self.begin, len(self.place), self.block, self.dense)
 
     def _make_room(self) -> None:
         # columns up to a whole number of blocks
