@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from livetables.llm import bpe, chat_format, exact_dedup, mixing, near_dup, pii, token_store, topk, toxicity, url_filter
+from livetables.llm import (bpe, chat_format, collocations, exact_dedup, mixing, near_dup, pii, simhash, token_store, topk, toxicity,
+                            url_filter, whitening)
 from livetables.llm.common import hex_sha256, read
 from livetables.session import scratch_path
 
@@ -88,6 +89,19 @@ def op10_sentencepiece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.PATTERN)
 
 
+def op11_polynomial_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # what is asked for doesn't change when a constant is added to every x
+    return whitening.whiten(read(spark, sf_dir, "embeddings"), scale=64.0, components=16)
+
+
+def op12_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op13_prefix_free_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_templates": op1_url_templates,
     "op2_pii_weak_supervision": op2_pii_weak_supervision,
@@ -99,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fair_queue_mix": op8_fair_queue_mix,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sentencepiece_bpe": op10_sentencepiece_bpe,
+    "op11_polynomial_whitening": op11_polynomial_whitening,
+    "op12_golay_simhash": op12_golay_simhash,
+    "op13_prefix_free_phrases": op13_prefix_free_phrases,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -152,4 +169,5 @@ ORACLE_SQL: dict[str, str] = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM docs
     """,
+    "op13_prefix_free_phrases": collocations.ORACLE_SQL,
 }
