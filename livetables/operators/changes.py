@@ -6,6 +6,7 @@
 * cdc_flatten:        one row per change: simple cells, then partition key,
                       then clustering columns
 * cdc_positions:      furthest position per segment
+* cdc_gaps:           positions that a segment lacks, and how far it has none
 * cdc_unknown_tables: records whose table is not known, counted per table
 * cdc_latest:         newest raw record per key (before parsing cells)
 * cdc_compact:        bulk copy + change rows -> one row per key, newest wins,
@@ -15,6 +16,9 @@ Order. A position is a place inside its segment, so records are ordered by
 (segment, position, row_no). `order_key` makes one decimal of them: maxima of it
 are hash aggregates of a fixed width.
 
+Cells. A record's cells are parsed once, by `cdc_parse`; judging, flattening and the
+names of the cells that it holds all read the parsed map.
+
 Replay guard. A per-segment high-water mark is only right when one reader
 walks each segment in order; Spark reads files in no set order, so repeated
 records are dropped instead. A replay repeats a record as it was, so `distinct`
@@ -24,34 +28,43 @@ million times inside each task, before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from livetables.operators.feeds import object_faults, parse_object
+from livetables.operators.feeds import convert, object_faults, pinned_object
 from livetables.session import scratch_path
-from livetables.sources.changelog import IDENTITY, JSON_OPTIONS
+from livetables.sources.changelog import IDENTITY
 
-_DIGITS = 19          # of the largest bigint
+#: Decimal digits of an order of one, two or three columns; they add up to at most 38.
+ORDER_DIGITS = {1: (38,), 2: (19, 19), 3: (13, 15, 10)}
 
 
-def order_key(order: tuple[str, ...] = IDENTITY) -> Column:
-    """Up to three non-negative integer columns as one decimal that sorts like them.
+def order_key(order: tuple[str, ...] = IDENTITY, digits: tuple[int, ...] | None = None, wide: bool = False) -> Column:
+    """Up to three non-negative integer columns as one value that sorts like them.
 
-    The last two of three have to be below 2^32 and 2^31 (a position in a log
-    segment and a row number); larger ones fail the query, they never misorder.
+    A decimal with a fixed number of digits for each column (by default 13 for the
+    segment, as for a time in milliseconds, 15 for the position, 10 for the row
+    number), whose maxima are hash aggregates; a larger value fails the query, it
+    never misorders. `wide=True` holds any bigint in 8 bytes per column (sort aggregates).
     """
     if not 1 <= len(order) <= 3:
         raise ValueError("order by one to three columns")
-    cols = [F.col(c).cast("decimal(19,0)") for c in order]
-    if len(cols) == 3:
-        fine = F.col(order[1]).between(0, 2 ** 32 - 1) & F.col(order[2]).between(0, 2 ** 31 - 1)
-        pair = F.col(order[1]).cast("bigint") * F.lit(2 ** 31) + F.col(order[2]).cast("bigint")
-        cols = [cols[0], F.when(fine | F.col(order[1]).isNull() | F.col(order[2]).isNull(), pair)
-                .otherwise(F.raise_error(F.lit("order columns out of range"))).cast("decimal(19,0)")]
-    if len(cols) == 1:
-        return cols[0].cast("decimal(38,0)")
-    return (cols[0] * F.lit(str(10 ** _DIGITS)).cast("decimal(20,0)") + cols[1]).cast("decimal(38,0)")
+    digits = digits or ORDER_DIGITS[len(order)]
+    if len(digits) != len(order) or sum(digits) > 38:
+        raise ValueError("one number of digits per column, 38 in all")
+
+    def checked(c: str, fine: Column) -> Column:
+        return F.when(fine | F.col(c).isNull(), F.col(c)).otherwise(
+            F.raise_error(F.concat(F.lit(f"order column {c} out of range: "), F.col(c).cast("string"))))
+    if wide:
+        return F.to_binary(F.concat(*[F.lpad(F.hex(checked(c, F.col(c) >= 0).cast("bigint")), 16, "0") for c in order]), F.lit("hex"))
+    out = None
+    for c, d in zip(order, digits):
+        part = checked(c, (F.col(c) >= 0) & (F.col(c).cast("decimal(38,0)") < F.lit("1" + "0" * d).cast("decimal(38,0)")) if d < 38
+                       else F.col(c) >= 0).cast("decimal(38,0)")
+        out = part if out is None else (out * F.lit("1" + "0" * d).cast("decimal(38,0)") + part).cast("decimal(38,0)")
+    return out
 
 
 def cdc_target(log: DataFrame, keyspace: str, table: str, keyspace_col: str = "keyspace_name",
@@ -82,23 +95,31 @@ def _cells_and_keys(log: DataFrame, cells_schema: T.StructType | str, pk: str, c
     return T.StructType([f for f in st.fields if f.name not in keys]), keys
 
 
-def cdc_faults(log: DataFrame, cells_schema: T.StructType | str, pk: str = "pk", ck: str = "ck",
-               cells: str = "cells") -> Column:
-    """Why a record's cells don't fit the table; NULL if they do.
+#: The column of a parsed record: struct `m`, its cells as raw JSON texts (`cdc_parse`).
+PARSED = "__cells"
+
+
+def cdc_parse(log: DataFrame, cells_schema: T.StructType | str, pk: str = "pk", ck: str = "ck", cells: str = "cells") -> DataFrame:
+    """The records with their parsed cells and `reject_reason`: why they don't fit the table, NULL if they do.
 
-    Cells that aren't one JSON object, a value of the wrong type, a repeated
-    cell, or a cell that is neither a column (collections included) nor a key.
+    Reasons: cells that aren't one JSON object, a value of the wrong type, a
+    repeated cell, or a cell that is neither a column (collections included) nor a key.
     """
     st, keys = _cells_and_keys(log, cells_schema, pk, ck)
     known = T.StructType([*st.fields, *(T.StructField(k, T.StringType()) for k in sorted(keys))])
-    return F.when(F.col(cells).isNotNull(), object_faults(parse_object(F.col(cells)), known))
+    parsed = log.select("*", pinned_object(F.col(cells)).alias(PARSED))
+    return parsed.withColumn("reject_reason", F.when(F.col(cells).isNotNull(), object_faults(F.col(f"{PARSED}.m"), known)))
 
 
 def cdc_split(log: DataFrame, cells_schema: T.StructType | str, pk: str = "pk", ck: str = "ck",
-              cells: str = "cells") -> tuple[DataFrame, DataFrame]:
-    """(records that fit the table, the other records with `reject_reason`)."""
-    judged = log.withColumn("reject_reason", F.explode(F.array(cdc_faults(log, cells_schema, pk, ck, cells))))
-    return judged.where(F.col("reject_reason").isNull()).drop("reject_reason"), judged.where(F.col("reject_reason").isNotNull())
+              cells: str = "cells", keep_parsed: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(records that fit the table, the other records with `reject_reason`).
+
+    With `keep_parsed` the first keep their parsed cells, which `cdc_flatten` then reads.
+    """
+    judged = cdc_parse(log, cells_schema, pk, ck, cells)
+    good = judged.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    return (good if keep_parsed else good.drop(PARSED)), judged.where(F.col("reject_reason").isNotNull()).drop(PARSED)
 
 
 def cdc_flatten(log: DataFrame, cells_schema: T.StructType | str, pk: str = "pk", ck: str = "ck",
@@ -114,25 +135,61 @@ def cdc_flatten(log: DataFrame, cells_schema: T.StructType | str, pk: str = "pk"
     st, _ = _cells_and_keys(log, cells_schema, pk, ck)
     if drop_complex:
         st = simple_cells_schema(st)
-    text = F.col(cells)
     if strict:
-        fault = cdc_faults(log, cells_schema, pk, ck, cells)
-        text = F.when(fault.isNotNull(), F.raise_error(fault)).otherwise(text)
-    parsed = F.from_json(text, st, JSON_OPTIONS)
-    names = F.coalesce(F.json_object_keys(F.col(cells)), F.array().cast("array<string>"))
-    out = log.select(*keep, *([names.alias(present)] if present else []), parsed.alias("__cells"), pk, ck)
-    cols = ([F.col(c) for c in keep]
-            + [F.col(f"__cells.{f.name}").alias(f.name) for f in st.fields]
-            + [F.col(f"{pk}.{n}").alias(n) for n in _struct_fields(log, pk)]
-            + [F.col(f"{ck}.{n}").alias(n) for n in _struct_fields(log, ck)]
-            + ([F.col(present)] if present else []))
-    return out.select(*cols)
+        log = cdc_parse(log.drop(PARSED), cells_schema, pk, ck, cells)
+        fine = F.col("reject_reason").isNull()
+        log = log.where(F.when(fine, F.lit(True)).otherwise(F.raise_error(F.col("reject_reason")))).drop("reject_reason")
+    elif PARSED not in log.columns:
+        log = log.select("*", pinned_object(F.col(cells)).alias(PARSED))
+    held = F.col(f"{PARSED}.m")
+    names = F.coalesce(F.map_keys(held), F.array().cast("array<string>"))
+    return log.select(*keep, *[convert(held[f.name], f.dataType).alias(f.name) for f in st.fields],
+                      *[F.col(f"{pk}.{n}").alias(n) for n in _struct_fields(log, pk)],
+                      *[F.col(f"{ck}.{n}").alias(n) for n in _struct_fields(log, ck)],
+                      *([names.alias(present)] if present else []))
 
 
 def cdc_positions(log: DataFrame, segment: str = "segment", position: str = "position") -> DataFrame:
     return log.groupBy(segment).agg(F.max(position).alias("position"))
 
 
+def cdc_gaps(log: DataFrame, segment: str = "segment", position: str = "position", start: int | None = None,
+             block_bits: int = 16) -> DataFrame:
+    """segment, gap_free_to, gap_from, gap_to: a row per gap of consecutive missing positions; one with nulls if there is none.
+
+    `gap_free_to` is the last position before the segment's first gap. With `start`, positions
+    begin there (a later first one leaves a gap; earlier ones are left out), else at the segment's first.
+
+    Plan: a segment isn't sorted as a whole. Distinct positions are compared with the next one inside blocks of
+    2^block_bits positions; a block's first and last are one row of the next level, where blocks are compared
+    inside blocks of blocks. So every window has at most 2^block_bits rows, a segment with most of
+    the log is spread over its blocks, and the levels' number is that of a bigint's bits.
+    """
+    rows = log.where(F.col(position).isNotNull()).select(F.col(segment).alias("segment"), F.col(position).cast("bigint").alias("first")).distinct()
+    if start is not None:
+        before = log.select(F.col(segment).alias("segment")).distinct().select("segment", F.lit(start - 1).cast("bigint").alias("first"))
+        rows = rows.where(F.col("first") >= start).union(before)
+    level = rows.withColumn("last", F.col("first"))
+    # the last step joins the blocks of negative numbers (a start of 0 has -1 before it) and of all others
+    gaps, shifts = [], [*range(block_bits, 63, block_bits), 63, None]
+    for shift in shifts:
+        level = level.withColumn("block", F.lit(0).cast("bigint") if shift is None else F.shiftright("first", shift))
+        after = F.lead("first").over(Window.partitionBy("segment", "block").orderBy("first"))
+        gaps.append(level.withColumn("after", after).where(F.col("after") - F.col("last") > 1)
+                    .select("segment", (F.col("last") + 1).alias("gap_from"), (F.col("after") - 1).alias("gap_to")))
+        level = level.groupBy("segment", "block").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("block")
+    found = gaps[0]
+    for more in gaps[1:]:
+        found = found.union(more)
+    ends = level.groupBy("segment").agg(F.max("last").alias("end"))
+    first_gap = found.groupBy("segment").agg((F.min("gap_from") - 1).alias("sound"))
+    first_gap = first_gap.withColumnRenamed("segment", "of")
+    told = (ends.join(first_gap, F.col("segment").eqNullSafe(F.col("of")), "left")
+            .select(F.col("segment").alias("s"), F.coalesce("sound", "end").alias("gap_free_to")))
+    return (told.join(found, F.col("s").eqNullSafe(F.col("segment")), "left")
+            .select(F.col("s").alias("segment"), "gap_free_to", "gap_from", "gap_to"))
+
+
 def cdc_unknown_tables(log: DataFrame, known: DataFrame | list[tuple],
                        by: tuple[str, ...] = ("keyspace_name", "table_name")) -> DataFrame:
     """Count records per table for tables not in `known` (same columns as `by`).

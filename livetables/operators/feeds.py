@@ -9,15 +9,17 @@ string ("12") and an integer with a zero fraction (12.0); a boolean is `true` or
 `false`. Text with quotes or apostrophes is data, never pasted into SQL.
 
 Plan: the document is parsed once, into map<string,string> (non-string values
-keep their raw JSON text), wrapped in an object whose last field is the digest of
+keep their raw JSON text), wrapped in an object whose last field is a salted hash of
 the message: only a message that is one whole JSON value leaves that field in
-place. Keys, conversions and the reason read that map. Wrapping the map in a
-one-element `explode` pins it in its own operator, so the filter that splits good
-rows from rejects does not parse again. Parallelism is the input's.
+place. The map is the output of a generator (`pinned_object`), an operator of its own, so
+keys, conversions, the reason and later filters read it and never parse again.
+Parallelism is the input's.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,12 +29,16 @@ def _schema(schema: T.StructType | str) -> T.StructType:
     return T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def parse_object(text: Column) -> Column:
-    """A JSON object as map<string,string>; NULL if the text is not exactly one object."""
-    mark = F.md5(text)
+def pinned_object(text: Column) -> Column:
+    """A generator: struct `m`, the JSON object as map<string,string>; NULL if the text is not exactly one object.
+
+    Select it under an alias and read `alias.m`: the text is parsed once per row, whatever uses the map.
+    """
+    salt = F.lit(uuid.uuid4().hex)                   # a text can't foresee it
+    mark = F.xxhash64(salt, text).cast("string")
     wrapped = F.concat(F.lit('{"m":'), text, F.lit(',"e":"'), mark, F.lit('"}'))
     parsed = F.from_json(wrapped, "m map<string,string>, e string")
-    return F.when(parsed["e"] == mark, parsed["m"])
+    return F.explode_outer(F.filter(F.array(parsed), lambda p: p["e"] == mark))
 
 
 def fits(raw: Column, dtype: T.DataType) -> Column:
@@ -87,8 +93,8 @@ def parse_messages(df: DataFrame, schema: T.StructType | str, value_col: str = "
     """All messages with parsed fields plus a `reject_reason` (NULL = good)."""
     st = _schema(schema)
     v = F.col(value_col)
-    rows = df.select(*keep, v.alias("__message"), F.explode(F.array(parse_object(v))).alias("__map"))
-    m = F.col("__map")
+    rows = df.select(*keep, v.alias("__message"), pinned_object(v).alias("__object"))
+    m = F.col("__object.m")
     values = [convert(m[f.name], f.dataType).alias(f.name) for f in st.fields]
     reason = F.when(F.col("__message").isNull(), F.lit("empty message")).otherwise(object_faults(m, st, reject_unknown_keys))
     return rows.select(*keep, "__message", F.struct(*values).alias("__parsed"), reason.alias("reject_reason"))

@@ -28,7 +28,7 @@ from livetables.sinks.tables import bulk_copy
 from livetables.sources.generators import generate_to
 from livetables.sources.tables import read_format
 from livetables.streaming.cdc_sync import cdc_sync
-from livetables.streaming.json_feed import json_feed, message_stream, run_for
+from livetables.streaming.json_feed import MessageCap, json_feed, message_stream, run_for
 
 TICK_QUERIES = ("last_quote_by_symbol", "last_price_by_symbol_exchange", "hourly_avg_size")
 
@@ -102,6 +102,7 @@ def main(argv: list[str] | None = None) -> None:
     jf.add_argument("--option", action="append", default=[], help="source option k=v")
     jf.add_argument("--timeout", type=float, default=50_000.0)
     jf.add_argument("--max-batches", type=int, default=None)
+    jf.add_argument("--max-messages", type=int, default=None)
 
     args = p.parse_args(argv)
     spark = _session(args)
@@ -134,9 +135,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "json-feed":
         source = message_stream(spark, args.source_format, None if args.source_dir == "-" else args.source_dir,
                                 **dict(o.split("=", 1) for o in args.option))
-        q = json_feed(spark, source, args.schema,
-                      args.good, args.rejects, args.checkpoint)
-        run_for(q, args.timeout, args.max_batches)
+        cap = MessageCap(args.max_messages) if args.max_messages else None
+        q = json_feed(spark, source, args.schema, args.good, args.rejects, args.checkpoint, cap=cap)
+        run_for(q, args.timeout, args.max_batches, cap=cap)
 
 
 if __name__ == "__main__":

@@ -23,14 +23,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from livetables.operators import changes, contracts, feeds, flights, ticks
+from livetables.operators import changes, compact_files, contracts, feeds, flights, ticks
 from livetables.plans.loads import TICK_TABLES, enforce_not_null, load_ticks, tick_query
 from livetables.session import scratch_path, session_key, unique_name
+from livetables.sinks import generations
 from livetables.sinks import tables as sinks
 from livetables.sources import changelog, generators
 from livetables.sources import tables as sources
-from livetables.streaming.cdc_sync import cdc_sync, read_copy, unknown_tables_report
+from livetables.streaming import handover
+from livetables.streaming.cdc_sync import cdc_sync, fold, read_copy, unknown_tables_report
 from livetables.streaming.json_feed import json_feed, message_stream
+from livetables.streaming.live_rollups import Greatest, Last, Total, live_rollup, read_rollup
 
 TICK_DAY = "2024-01-02"
 # Days that generated ticks are spread over (10,000 ids a day), and the second of them.
@@ -254,6 +257,14 @@ def q_csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.csv_import(spark, path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in c.schema.fields))
 
 
+def q_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`csv_text` with files that many tasks read: fields with line breaks are put together across byte ranges."""
+    c = table(spark, sf_dir, "conversations")
+    path = scratch_path(spark, "conversations_csv")
+    sinks.csv_export(c, path)
+    return sources.csv_import_split(spark, path, c.schema)
+
+
 def _tick_id():
     """Ids far enough apart that even the small tables reach several days."""
     return F.col("event_id") * TICK_ID_STEP
@@ -292,21 +303,28 @@ def q_sql_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       path=_path(sf_dir, "part"))
 
 
+def _files_mark(spark: SparkSession, path: str) -> tuple:
+    """What tells one state of a folder's files from another; their contents are not read."""
+    files = spark.read.format("binaryFile").load(path)
+    mark = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), F.sum(mark)).first())
+
+
 def bucketed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events in a table bucketed on the symbol (the reference's partitioned fact).
 
-    Loaded once and loaded anew when the source's row count (from its footers) has changed.
+    Loaded once and loaded anew when the source's files (names, lengths, times) have changed.
     """
     key = (session_key(spark), sf_dir)
-    rows = spark.read.parquet(_path(sf_dir, "events")).count()
-    if key not in _BUCKETED or _BUCKETED[key][0] != rows or not spark.catalog.tableExists(_BUCKETED[key][1]):
+    files = _files_mark(spark, _path(sf_dir, "events"))
+    if key not in _BUCKETED or _BUCKETED[key][0] != files or not spark.catalog.tableExists(_BUCKETED[key][1]):
         if key in _BUCKETED:
             sinks.drop_table(spark, _BUCKETED[key][1])
         e = spark.read.parquet(_path(sf_dir, "events"))
         name = unique_name("lt_quotes_bucketed")
-        sinks.create_table(spark, name, e.schema, bucket_by="user_id", buckets=sinks.buckets_for(rows))
+        sinks.create_table(spark, name, e.schema, bucket_by="user_id", buckets=sinks.buckets_for(e.count()))
         sinks.append(e, name)
-        _BUCKETED[key] = rows, name
+        _BUCKETED[key] = files, name
     return spark.table(_BUCKETED[key][1])
 
 
@@ -378,8 +396,8 @@ def q_json_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_json_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages as text files taken by the live feed: good rows and counted rejects, read back."""
     run = scratch_path(spark, "json_feed")
-    feed_messages(table(spark, sf_dir, "events")).select("value").repartition(3).write.text(f"{run}/in")
-    q = json_feed(spark, message_stream(spark, "text", f"{run}/in", max_files_per_trigger=2), FEED_SCHEMA,
+    feed_messages(table(spark, sf_dir, "events")).select("value").write.option("maxRecordsPerFile", ROWS_PER_FILE).text(f"{run}/in")
+    q = json_feed(spark, message_stream(spark, "text", f"{run}/in", max_files_per_trigger=FILES_PER_BATCH), FEED_SCHEMA,
                   f"{run}/good", f"{run}/rejects", f"{run}/ckpt", available_now=True)
     q.awaitTermination()
     good = spark.read.parquet(f"{run}/good").select(F.lit("good").alias("reason"), "event_id")
@@ -474,6 +492,15 @@ def q_cdc_compact_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.cdc_compact(o, rows, keys=["o_orderkey"], op_col="op", present_col="held")
 
 
+#: Files of a stream's input hold so many records at most; a batch takes so many files.
+ROWS_PER_FILE = 1_000_000
+FILES_PER_BATCH = 1000
+
+
+def _log_files(log: DataFrame, path: str) -> None:
+    log.write.mode("append").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
+
+
 def q_stream_cdc_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change-log stream over the events' log: several files, delivered twice, stopped in the middle
     and started again from its checkpoint; the copy, read back."""
@@ -484,12 +511,12 @@ def q_stream_cdc_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     def sync() -> None:
         q = cdc_sync(spark, f"{run}/log", f"{run}/copy", f"{run}/ckpt", log_schema=schema, cells_schema=EVENT_CELLS,
                      keyspace=KEYSPACE, table="CLICK", reject_path=f"{run}/rejects", report_path=f"{run}/report",
-                     known_tables=[(KEYSPACE, "click"), (KEYSPACE, "view")], available_now=True, max_files_per_trigger=2)
+                     known_tables=[(KEYSPACE, "click"), (KEYSPACE, "view")], available_now=True, max_files_per_trigger=FILES_PER_BATCH)
         q.awaitTermination()
     half = F.col("position") % 2 == 0
-    log.where(half).repartition(2).write.mode("append").parquet(f"{run}/log")
+    _log_files(log.where(half), f"{run}/log")
     sync()
-    log.repartition(2).write.mode("append").parquet(f"{run}/log")       # the rest, and the first half again
+    _log_files(log, f"{run}/log")       # the rest, and the first half again
     sync()
     copy = read_copy(spark, f"{run}/copy").select(F.lit("copy").alias("kind"), "event_id", "user_id", "ts", "value")
     told = unknown_tables_report(spark, f"{run}/report").select(
@@ -498,6 +525,115 @@ def q_stream_cdc_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copy.unionByName(told)
 
 
+def q_stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change-log stream with its copy folded while it runs: a third of the log, then two thirds and a fold,
+    then all of it once more from a new checkpoint (every record known, from folded files or from folders), and a last fold."""
+    run = scratch_path(spark, "cdc_fold")
+    log = events_change_log(table(spark, sf_dir, "events"))
+    schema = changelog.change_log_schema("user_id bigint", "event_id bigint")
+
+    def sync(checkpoint: str) -> None:
+        cdc_sync(spark, f"{run}/log", f"{run}/copy", f"{run}/{checkpoint}", log_schema=schema, cells_schema=EVENT_CELLS, keyspace=KEYSPACE,
+                 table="CLICK", reject_path=f"{run}/rejects", available_now=True, max_files_per_trigger=FILES_PER_BATCH).awaitTermination()
+    for third in range(3):
+        _log_files(log.where(F.col("position") % 3 == third), f"{run}/log")
+        sync("first")
+        fold(spark, f"{run}/copy")
+    sync("second")
+    fold(spark, f"{run}/copy")
+    return read_copy(spark, f"{run}/copy").select("event_id", "user_id", "ts", "value")
+
+
+def q_live_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last quote and price and the hourly totals of every day, kept current by three streams over five
+    arrivals of events (each spread over all days and out of order)."""
+    run = scratch_path(spark, "live_rollups")
+    e = table(spark, sf_dir, "events")
+    kinds = {
+        "quote": (["user_id"], {"x": Last("value", "event_id"), "top": Greatest("value")}),
+        "price": (["user_id", "event_type"], {"x": Last("value", "event_id"), "top": Greatest("value")}),
+        "size": (["user_id", "hr"], {"x": Total("value", 2)}),
+    }
+    for fifth in range(5):
+        e.where(F.col("event_id") % 5 == fifth).write.mode("append").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{run}/in")
+        running = []
+        for kind, (keys, measures) in kinds.items():
+            rows = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(f"{run}/in").withColumn("hr", F.hour("ts"))
+            running.append(live_rollup(spark, rows, f"{run}/{kind}", f"{run}/{kind}-checkpoint", day=F.col("ts"), keys=keys, measures=measures,
+                                       available_now=True))
+        for q in running:
+            q.awaitTermination()
+    out = [read_rollup(spark, f"{run}/{kind}").select(
+        F.lit(kind).alias("kind"), "day", "user_id", (F.col(keys[1]).cast("string") if keys[1:] else F.lit(None).cast("string")).alias("part"),
+        F.col("x").cast("double").alias("x"), (F.col("x__n") if kind == "size" else F.lit(None).cast("long")).alias("n"),
+        (F.lit(None).cast("double") if kind == "size" else F.col("top")).alias("top")) for kind, (keys, _) in kinds.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def q_cdc_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per segment of the events' log: how far it has no gap, and the gaps."""
+    return changes.cdc_gaps(events_change_log(table(spark, sf_dir, "events")), start=0)
+
+
+ORDER_COLUMNS = ("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority", "o_custkey")
+
+
+def _flat_order_changes(log: DataFrame) -> DataFrame:
+    return changes.cdc_flatten(log, ORDER_CELLS, keep=(*changelog.IDENTITY, "op"), present="held")
+
+
+class _Killed(Exception):
+    """Stands for a process that dies."""
+
+
+def q_bulk_then_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders copied in chunks while its changes land, killed inside a chunk and resumed, then handed over to the feed.
+
+    The live table is orders with the changes of the log so far. Two segments of the log
+    land while the first chunk is read, the others while the second is.
+    """
+    o = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    run = scratch_path(spark, "bulk_then_feed")
+    log = _flat_order_changes(order_changes(o))
+    log.write.parquet(f"{run}/log")
+    log = spark.read.schema(log.schema).parquet(f"{run}/log")
+    changes.cdc_compact(o, log, ["o_orderkey"], op_col="op", present_col="held").write.parquet(f"{run}/now")
+    moment = {"reads": 0}
+
+    def seen() -> DataFrame:
+        """The log so far; chunks ask before and after they read the table."""
+        return log.where(F.col("segment") <= (0 if moment["reads"] < 2 else 2 if moment["reads"] < 4 else 4))
+
+    def live() -> DataFrame:
+        moment["reads"] += 1                         # for the chunks' bounds, the first chunk, the second (killed), the second again, ...
+        if moment["reads"] == 3:
+            raise _Killed
+        return o if moment["reads"] <= 2 else spark.read.schema(o.schema).parquet(f"{run}/now")
+
+    def copy() -> None:
+        handover.copy_in_chunks(spark, live, seen, f"{run}/copy", key="o_orderkey", rows_per_chunk=max(1, o.count() // 4))
+    try:
+        copy()
+    except _Killed:
+        copy()
+    return handover.handed_over(spark, f"{run}/copy", log, keys=["o_orderkey"], op_col="op", present_col="held").select(*ORDER_COLUMNS)
+
+
+def q_cdc_compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as generations of files: the changes of the smaller half of the keys, then all others, each
+    rewriting only the files that hold a changed key."""
+    o = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    base = scratch_path(spark, "orders_base")
+    compact_files.write_base(o, base, ["o_orderkey"])
+    log = order_changes(o)
+    middle = o.agg(F.percentile_approx("o_orderkey", 0.5)).first()[0]
+    first = F.abs(F.col("o_orderkey")) <= F.lit(middle)
+    flat = _flat_order_changes(log)
+    for part in (flat.where(first), flat.where(~first)):
+        compact_files.cdc_compact_files(spark, base, part, ["o_orderkey"], op_col="op", present_col="held")
+    return generations.read_generation(spark, base)
+
+
 def q_changelog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change log written as JSON files and scanned: one row per record, cells read back."""
     path = scratch_path(spark, "change_log")
@@ -520,6 +656,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "varchar_schema": q_varchar_schema,
     "allow_existing": q_allow_existing,
     "csv_text": q_csv_text,
+    "csv_split": q_csv_split,
     "load_ticks": q_load_ticks,
     "gen_days": q_gen_days,
     "json_checked": q_json_checked,
@@ -547,4 +684,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cdc_positions": q_cdc_positions,
     "cdc_unknown_tables": q_cdc_unknown_tables,
     "cdc_compact": q_cdc_compact,
+    "bulk_then_feed": q_bulk_then_feed,
+    "cdc_compact_files": q_cdc_compact_files,
+    "cdc_gaps": q_cdc_gaps,
+    "stream_fold": q_stream_fold,
+    "live_rollups": q_live_rollups,
 }

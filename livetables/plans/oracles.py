@@ -169,6 +169,7 @@ ORACLE_SQL.update({
     "varchar_schema": "select * from customer",
     "allow_existing": "select * from nation",
     "csv_text": "select * from conversations",
+    "csv_split": "select * from conversations",
     "delay_limit": ("select least(20, count(distinct p.p_name)) as n from lineitem l, part p "
                     "where l.l_partkey = p.p_partkey and l.l_returnflag like '%A%' and l.l_tax > 0"),
     "gen_days": (f"select cast(date '{generators.BASE_DAY}' + cast(event_id * {TICK_ID_STEP} // {generators.ROWS_PER_DAY_STEP} % {TICK_DAYS} as int) "
@@ -190,4 +191,22 @@ ORACLE_SQL.update({
     "cdc_compact": ("select user_id, event_type, event_id, value from (select user_id, event_type, "
                     "event_id, value, row_number() over (partition by user_id, event_type "
                     "order by event_id desc) as rn from events) t where rn = 1"),
+    "cdc_gaps": """
+        with positions as (select distinct user_id % 4 as segment, event_id as position from events),
+        started as (select segment, position from positions where position >= 0 union select distinct segment, -1 from positions),
+        following as (select segment, position, lead(position) over (partition by segment order by position) as after from started),
+        gaps as (select segment, position + 1 as gap_from, after - 1 as gap_to from following where after - position > 1),
+        ends as (select segment, max(position) as last from started group by segment),
+        sound as (select segment, min(gap_from) - 1 as upto from gaps group by segment)
+        select e.segment, coalesce(s.upto, e.last) as gap_free_to, g.gap_from, g.gap_to
+        from ends e left join sound s using (segment) left join gaps g using (segment)""",
+    "live_rollups": """
+        select 'quote' as kind, ts::date as day, user_id, null::varchar as part, max_by(value, event_id) as x, null::bigint as n, max(value) as top
+        from events group by ts::date, user_id
+        union all select 'price', ts::date, user_id, event_type, max_by(value, event_id), null, max(value) from events group by ts::date, user_id, event_type
+        union all select 'size', ts::date, user_id, hour(ts)::varchar, sum(value::decimal(18,2))::double, count(value), null
+        from events group by ts::date, user_id, hour(ts)""",
+    "bulk_then_feed": _COMPACT_CELLS,
+    "cdc_compact_files": _COMPACT_CELLS,
+    "stream_fold": "select event_id, user_id, ts, value from events where event_type = 'click'",
 })

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # CSV and JSON cut timestamps to milliseconds by default; six fraction digits
 # make a write/read round trip exact.
@@ -87,3 +89,62 @@ def csv_import(spark: SparkSession, path: str, schema: str, header: bool = True,
     opts = {**CSV_OPTIONS, "header": str(header).lower(), "multiLine": "true", "mode": "FAILFAST"}
     opts.update(options)
     return spark.read.schema(schema).options(**opts).csv(path)
+
+
+def csv_records(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    """The records of CSV files as text (column `value`), line breaks in quoted fields included; files are split.
+    With `header` the first record of each file is left out.
+
+    A byte range of a file can't tell by itself whether it begins inside a quoted
+    field. But quotes come in pairs, so it does if the number of quotes before it is odd:
+
+    1. Lines are read by Spark's text source, which splits files; each line knows its file and range.
+    2. The quotes of each range are counted (one narrow pass, one row per range), and a running
+       sum over a file's ranges gives the parity at each range's start.
+    3. Inside a range a running sum over its lines tells which lines begin a record; lines of a record are joined.
+    4. What a range holds of a record that began before it is one fragment per range. Fragments are
+       joined with the record's beginning in an exchange of their own.
+
+    Windows and groups are a range's lines, so the size of a file doesn't matter; a
+    record as large as several ranges is put together in one task, as it has to become one value.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("line"))                     # ascends inside a range
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    ranges = lines.groupBy("file", "at").agg((F.sum(quotes) % 2).alias("odd"))
+    before = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(F.col("file").alias("__file"), F.col("at").alias("__at"),
+                           (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2).alias("inside"))
+    own = Window.partitionBy("file", "at").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("file", "at").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = lines.join(ranges, (F.col("file") == F.col("__file")) & (F.col("at") == F.col("__at"))).drop("__file", "__at")
+    placed = placed.withColumn("begins", ((F.coalesce(F.sum(quotes).over(own), F.lit(0)) + F.col("inside")) % 2 == 0).cast("int"))
+    numbered = placed.withColumn("record", F.sum("begins").over(upto))        # 0: of a record that began before the range
+
+    def joined(column: str):
+        parts = F.array_sort(F.collect_list(F.struct("line", column)))
+        return F.array_join(F.transform(parts, lambda p: p[column]), "\n")
+    records = numbered.groupBy("file", "at", "record").agg(joined("value").alias("value"), F.min("line").alias("line"))
+    last = F.max("record").over(Window.partitionBy("file", "at"))
+    records = (records.withColumn("open", (F.col("record") == last) & (F.col("record") > 0))
+               .withColumn("first", (F.col("at") == 0) & (F.col("record") == 1) & F.lit(header)))
+    # fragments go to the last record that began before them: the open one of the nearest earlier range that has any
+    borders = records.where((F.col("record") == 0) | F.col("open"))
+    back = Window.partitionBy("file").orderBy("at", "record")
+    group = F.sum((F.col("record") > 0).cast("int")).over(back)
+    ends = borders.select("file", "at", "record").withColumn("group", group)
+    ends = ends.select(F.col("file").alias("__file"), F.col("at").alias("__at"), F.col("record").alias("__record"), "group")
+    crossing = (borders.join(ends, (F.col("file") == F.col("__file")) & (F.col("at") == F.col("__at")) & (F.col("record") == F.col("__record")))
+                .groupBy("file", "group").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "record", "value"))),
+                                                                       lambda p: p["value"]), "\n").alias("value"), F.max("first").alias("first")))
+    whole = records.where((F.col("record") > 0) & ~F.col("open")).select("value", "first")
+    return whole.unionByName(crossing.select("value", "first")).where(~F.col("first")).select("value")
+
+
+def csv_import_split(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """Like `csv_import` of files with a header, but one file is read by many tasks (see `csv_records`)."""
+    st = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
+    rows = csv_records(spark, path).where(F.col("value") != "")
+    columns = ", ".join(f"{quote_name(f.name)} {f.dataType.simpleString()}" for f in st.fields)
+    return rows.select(F.from_csv("value", columns, {**CSV_OPTIONS, "mode": "FAILFAST"}).alias("row")).select("row.*")

@@ -26,6 +26,8 @@ time, so one group holds consecutive segments). The number is kept with the copy
 another one is refused, as it would look for old records in the wrong folders.
 The "already present" check opens only the folders of the groups that the batch
 touches: neither listing nor reading grows with the stream's other batches.
+`fold` puts finished batch folders into larger files behind a pointer that is replaced in one step
+(`sinks.generations`), so a group's listing doesn't grow with its age either.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from livetables.operators.changes import cdc_flatten, cdc_replay_guard, cdc_split, cdc_target, cdc_unknown
+from livetables.sinks import generations
 from livetables.sources.changelog import IDENTITY, cdc_stream
 
 # Consecutive segments sharing one folder of the copy.
@@ -88,9 +91,90 @@ def batch_folder(target_path: str, run_id: str, batch_id: int) -> str:
 BOOKKEEPING = ("seg_group", "run_id", "batch_id")
 
 
-def read_copy(spark: SparkSession, target_path: str) -> DataFrame:
-    """The synced rows (bookkeeping partition columns dropped)."""
-    return spark.read.parquet(target_path).drop(*BOOKKEEPING)
+def folded_path(target_path: str) -> str:
+    """Where the folded batches of an output are kept (see `fold`); hidden from a reader of the output's folders."""
+    return f"{target_path.rstrip('/')}/_folded"
+
+
+def _batches(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
+    """(seg_group folder, run id, batch id) of the batch folders at `path`."""
+    hadoop, fs = _path(spark, path)
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(hadoop, "seg_group=*/run_id=*/batch_id=*"))
+    out = []
+    for status in found or []:
+        group, run, batch = str(status.getPath().toString()).split("/")[-3:]
+        out.append((group, run.removeprefix("run_id="), int(batch.removeprefix("batch_id="))))
+    return out
+
+
+def _folded(spark: SparkSession, target_path: str) -> tuple[int | None, dict[str, int]]:
+    """(current generation, last folded batch per run)."""
+    number = generations.current(spark, folded_path(target_path))
+    return number, generations.note(spark, folded_path(target_path), number)["folded"] if number is not None else {}
+
+
+def read_copy(spark: SparkSession, target_path: str, bookkeeping: bool = False) -> DataFrame:
+    """The synced rows (bookkeeping partition columns dropped): the folded ones and the batches since.
+
+    The generation of folded rows is taken once; batches that it holds are not
+    read again, whether or not their folders are still there.
+    """
+    number, folded = _folded(spark, target_path)
+    if number is None:
+        rows = spark.read.parquet(target_path)
+        return rows if bookkeeping else rows.drop(*BOOKKEEPING)
+    rows = generations.read_generation(spark, folded_path(target_path), number)
+    later = sorted({f"{target_path.rstrip('/')}/{g}/run_id={run}/batch_id={batch}" for g, run, batch in _batches(spark, target_path)
+                    if batch > folded.get(run, -1)})
+    if later:
+        new = spark.read.schema(rows.schema).option("basePath", target_path).parquet(*later)
+        rows = rows.unionByName(new)
+    return rows if bookkeeping else rows.drop(*BOOKKEEPING)
+
+
+def fold(spark: SparkSession, target_path: str, *, upto: dict[str, int] | None = None, keep: int = 2) -> int | None:
+    """Fold the batch folders of an output into its next generation; its number, or None if there is nothing to fold.
+
+    Takes, per run, the batches up to `upto` (by default all but the run's
+    newest, which a retry might still write). Only they are read and written: earlier folded files are
+    listed again as they are. Readers see the change in one step. Folders whose rows every kept
+    generation (`keep`) holds are removed, so neither listing nor lookup grows with the number of batches;
+    a read has to end before `keep` more folds are made.
+    """
+    root, store = target_path.rstrip("/"), folded_path(target_path)
+    there = _batches(spark, target_path)
+    number, folded = _folded(spark, target_path)
+    if upto is None:
+        newest: dict[str, int] = {}
+        for _, run, batch in there:
+            newest[run] = max(newest.get(run, -1), batch)
+        upto = {run: batch - 1 for run, batch in newest.items()}
+    upto = {run: max(batch, folded.get(run, -1)) for run, batch in upto.items()}
+    todo = [(g, run, batch) for g, run, batch in there if folded.get(run, -1) < batch <= upto.get(run, -1)]
+    published = None
+    if todo:
+        rows = spark.read.option("basePath", root).parquet(*[f"{root}/{g}/run_id={run}/batch_id={batch}" for g, run, batch in todo])
+        rows = rows.select(*[c for c in rows.columns if c not in BOOKKEEPING], F.col("seg_group").cast("bigint"),
+                           F.col("run_id").cast("string"), F.col("batch_id").cast("bigint"))
+        folder = generations.new_folder(store)
+        # one folder per group, as the lookup of known records opens folders by group
+        out = rows.withColumn("group", F.col("seg_group")).hint("rebalance", "group")
+        out.write.partitionBy("group").parquet(folder)
+        names = T.StructType(rows.schema.fields)
+        listed = (spark.read.schema(names).parquet(folder).groupBy(generations.file_name().alias("file"))
+                  .agg(F.count(F.lit(1)).alias("rows"), F.first("seg_group").alias("seg_group")))
+        if number is not None:
+            listed = listed.unionByName(generations.manifest(spark, store, number))
+        published = generations.publish(spark, store, listed, names, number, writer="fold", notes={"folded": {**folded, **upto}})
+    now = generations.current(spark, store)
+    if now is not None and now - keep + 1 >= 0:
+        held = generations.note(spark, store, now - keep + 1)["folded"]
+        hadoop, fs = _path(spark, root)
+        for g, run, batch in there:
+            if batch <= held.get(run, -1):
+                fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{g}/run_id={run}/batch_id={batch}"), True)
+        generations.remove_old(spark, store, keep)
+    return published
 
 
 def unknown_tables_report(spark: SparkSession, report_path: str,
@@ -115,10 +199,18 @@ def unseen(batch: DataFrame, path: str, run_id: str, batch_id: int, identity: tu
     # few numbers: a batch holds consecutive segments
     groups = [r.g for r in batch.select(_seg_group(identity[0], segments_per_folder).alias("g")).distinct().collect()]
     folders = [f"{path.rstrip('/')}/seg_group={g}" for g in groups if f"seg_group={g}" in there]
+    own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
+    keys = T.StructType([batch.schema[c] for c in identity])
+    schema = T.StructType(keys.fields).add("run_id", T.StringType()).add("batch_id", T.LongType())
+    number, _ = _folded(spark, path)
+    if number is not None and groups:
+        # a group's folded files; rows folded from folders that are still there are merely found twice
+        store = folded_path(path)
+        files = [r["file"] for r in generations.manifest(spark, store, number).where(F.col("seg_group").isin(groups)).select("file").collect()]
+        if files:
+            batch = batch.join(generations.read_files(spark, store, files, keys), list(identity), "left_anti")
     if not folders:
         return batch
-    own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
-    schema = T.StructType([batch.schema[c] for c in identity]).add("run_id", T.StringType()).add("batch_id", T.LongType())
     old = spark.read.schema(schema).option("basePath", path).parquet(*folders).where(~own).select(*identity)
     return batch.join(old, list(identity), "left_anti")
 
@@ -162,7 +254,7 @@ def sync_batch(batch: DataFrame, batch_id: int, *, target_path: str, run_id: str
                 others = told.select(*batch.columns, F.coalesce("unknown", F.lit(False)).alias("unknown"))
             cdc_append(unseen(others, report_path, identity=identity, **place), report_path, segment=identity[0], **place)
         rows = batch if keyspace is None else cdc_target(batch, keyspace, table)
-        good, rejects = cdc_split(rows, cells_schema)
+        good, rejects = cdc_split(rows, cells_schema, keep_parsed=True)
         cdc_append(unseen(rejects, reject_path, identity=identity, **place), reject_path, segment=identity[0], **place)
         fresh = unseen(good, target_path, identity=identity, **place).persist()
         if not fresh.isEmpty():

@@ -287,11 +287,55 @@ def test_compact_merges_cells(spark):
 
 def test_order_columns_out_of_range_fail(spark):
     import pytest
-    rows = spark.createDataFrame([(1, 2 ** 40, 0, 5)], "segment bigint, position bigint, row_no int, k int")
-    with pytest.raises(Exception, match="out of range"):
+    rows = spark.createDataFrame([(1, 10 ** 15, 0, 5)], "segment bigint, position bigint, row_no int, k int")
+    with pytest.raises(Exception, match="order column position out of range: 1000000000000000"):
         rows.select(changes.order_key()).collect()
-    top = spark.createDataFrame([(2 ** 63 - 1, 2 ** 32 - 1, 2 ** 31 - 1)], "segment bigint, position bigint, row_no int")
-    assert top.select(changes.order_key().alias("o")).first().o == (2 ** 63 - 1) * 10 ** 19 + (2 ** 32 - 1) * 2 ** 31 + 2 ** 31 - 1
+    with pytest.raises(Exception, match="out of range"):
+        rows.select(changes.order_key(("k",), wide=True), changes.order_key((("segment"),), digits=(0,))).collect()
+    top = spark.createDataFrame([(10 ** 13 - 1, 10 ** 15 - 1, 2 ** 31 - 1)], "segment bigint, position bigint, row_no int")
+    assert top.select(changes.order_key().alias("o")).first().o == 10 ** 38 - 10 ** 10 + 2 ** 31 - 1
+
+
+def test_orders_past_32_bits_sort_like_their_columns(spark):
+    big = 2 ** 63 - 1
+    cells = [(s, p, r) for s in (0, 1, big) for p in (0, 2 ** 31, 2 ** 32, 5_000_000_000, big) for r in (0, 1, 2 ** 31 - 1)]
+    rows = spark.createDataFrame(cells, "segment bigint, position bigint, row_no int")
+    assert [tuple(r) for r in rows.orderBy(changes.order_key(wide=True)).collect()] == sorted(cells)
+    some = [c for c in cells if big not in c]
+    rows = spark.createDataFrame(some, "segment bigint, position bigint, row_no int")
+    assert [tuple(r) for r in rows.orderBy(changes.order_key()).collect()] == sorted(some)
+
+
+def test_compaction_with_positions_past_32_bits(spark):
+    log = spark.createDataFrame([(1, 4_000_000_000, 0, 1, 10), (1, 5_000_000_000, 0, 1, 20), (1, 4_999_999_999, 7, 1, 30)],
+                                "segment bigint, position bigint, row_no int, k int, v int")
+    assert [tuple(r) for r in changes.cdc_compact(None, log, ["k"]).collect()] == [(1, 20)]
+
+
+def test_gaps(spark):
+    rows = ([(1, p) for p in (5, 6, 7, 7, 10, 11, 2 ** 20, 2 ** 62)] + [(2, p) for p in range(100)] + [(3, 9)] + [(None, 1), (None, 4)]
+            + [(4, None), (5, 65_535), (5, 65_536), (5, 65_538)])
+    df = spark.createDataFrame(rows, "segment bigint, position bigint")
+    got = sorted((tuple(r) for r in changes.cdc_gaps(df).collect()), key=repr)
+    assert got == sorted([(1, 7, 8, 9), (1, 7, 12, 2 ** 20 - 1), (1, 7, 2 ** 20 + 1, 2 ** 62 - 1), (2, 99, None, None), (3, 9, None, None),
+                          (None, 1, 2, 3), (5, 65_536, 65_537, 65_537)], key=repr)
+    got = sorted((tuple(r) for r in changes.cdc_gaps(df.where("segment in (2, 3, 4)"), start=9, block_bits=20).collect()))
+    assert got == [(2, 99, None, None), (3, 9, None, None), (4, 8, None, None)]
+    assert changes.cdc_gaps(df.limit(0)).collect() == []
+
+
+def test_gaps_of_random_positions(spark):
+    for seed in range(3):
+        rng = random.Random(seed)
+        rows = [(s, p) for s in range(3) for p in rng.sample(range(2000), rng.choice([1, 50, 1500]))]
+        got = sorted(tuple(r) for r in changes.cdc_gaps(spark.createDataFrame(rows, "segment bigint, position bigint"), block_bits=7).collect()
+                     if r.gap_from is not None)
+        want = []
+        for s in range(3):
+            own = sorted(p for t, p in rows if t == s)
+            holes = [(a + 1, b - 1) for a, b in zip(own, own[1:]) if b - a > 1]
+            want += [(s, holes[0][0] - 1, a, b) for a, b in holes]
+        assert got == sorted(want)
 
 
 BAD = ['{broken', '{"ts": "no time"}', '{"speed": 1}', '{"value": 1} x', '{"value": 1, "value": 2}']

@@ -75,6 +75,27 @@ def test_run_for_stops_after_max_batches(spark, scratch):
     assert spark.read.parquet(f"{scratch}/good").count() == 1
 
 
+def test_message_cap_ends_a_session_and_the_next_goes_on(spark, scratch):
+    src = f"{scratch}/in"
+    os.makedirs(src)
+    for i in range(10):
+        with open(f"{src}/{i}.json", "w") as f:
+            f.write("".join(f'{{"flight": "UA{i}{j}", "alt": {j}}}\n' for j in range(4)) + "broken\n")
+
+    def session(limit):
+        cap = json_feed.MessageCap(limit)
+        msgs = json_feed.message_stream(spark, "text", src, max_files_per_trigger=1)
+        q = json_feed.json_feed(spark, msgs, SCHEMA, f"{scratch}/good", f"{scratch}/rej", f"{scratch}/ckpt", trigger_seconds=0.1, cap=cap)
+        json_feed.run_for(q, timeout_s=120, cap=cap, poll_s=0.2)
+        assert not q.isActive
+        return cap.taken, spark.read.parquet(f"{scratch}/good").count(), spark.read.parquet(f"{scratch}/rej").count()
+    assert session(12) == (15, 12, 3)                  # five messages a file, good and bad ones count
+    assert session(5) == (5, 16, 4)
+    assert session(26) == (30, 40, 10)
+    flights = [r.flight for r in spark.read.parquet(f"{scratch}/good").collect()]
+    assert len(set(flights)) == 40
+
+
 def test_nested_values_and_booleans(spark):
     cases = [('{"a": {"x": 1}}', None), ('{"a": {"x": "foo"}}', "a"), ('{"l": [1, 2]}', None), ('{"l": [1, "q"]}', "l"),
              ('{"b": true}', None), ('{"b": "yes"}', "b"), ('{"n": 12.0}', None), ('{"n": "12"}', None), ('{"a": null}', None),

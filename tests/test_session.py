@@ -15,7 +15,7 @@ def test_cluster_profile_applies_sql_settings_only(spark):
     try:
         session.apply_conf(spark)
         assert spark.conf.get("spark.sql.shuffle.partitions") == "20000"
-        assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+        assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == session.CLUSTER_CONF["spark.sql.autoBroadcastJoinThreshold"]
     finally:
         for k, v in before.items():
             if v is None:
