@@ -8,6 +8,8 @@ sample is in the vocabulary. A feature weighs its idf times chi2 / (chi2 +
 (high, because many are tried): rare and indifferent features count little, none
 is left out. Document frequencies are counted over all documents.
 
+Features are known by 64-bit hashes; two that share one would count as one.
+
 Index. The examples' unit vectors are kept as posting lists by feature, cut into
 blocks of examples, with the largest weight of each (feature, block) that occurs.
 Features that at least 1 in `dense` examples have are kept as rows of a matrix
@@ -19,12 +21,15 @@ added up again in full precision, so the k nearest examples are exact.
 Score. The neighbours vote with their cosines as weights, against `prior_votes`
 of the sample's share of toxic rows. An isotonic fit on the examples' own votes,
 each without itself, turns votes into probabilities. All neighbours that
-voted are returned as evidence, best first. A score is a function of the text and the fitted model only.
+voted are returned as evidence, best first; between equal cosines a hash of the example's id decides,
+never its label. A score is a function of the text and the fitted model only.
 
 Plan. The vocabulary and the index are those of at most `max_examples` texts, so
-they don't grow with the corpus and are held by the driver and every worker. Two
+they don't grow with the corpus. The driver holds hashes and vectors; index and matrix are
+made in the workers, where the examples' own votes are taken too. Two
 narrow passes over the documents, one counting frequencies (a row per feature and
-task is shuffled), one scoring; only the sample's texts are shuffled.
+task is shuffled), one scoring; only the labelled texts are shuffled, and which of them
+are the sample is decided on ids and hashes.
 
 Defined results: a null text counts as empty; texts without any feature of
 the sample score what the examples without neighbours are; labels that are null or whose
@@ -43,15 +48,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from livetables.llm.common import col, ship_package, text_or_empty
+from livetables.llm.common import col, ship_package, text_or_empty, written
 
 _WORD = re.compile(r"\w+")
 REPEATS = (2, 4)
 EVIDENCE = "array<struct<doc_id:long,cosine:double,toxic:int>>"
+_STEP = 64                                # texts handled at a time
 
 
 def features_of(word: str) -> list[str]:
@@ -59,16 +66,22 @@ def features_of(word: str) -> list[str]:
     return [word, *("^" + word[:n] for n in (4, 5) if len(word) > n)]
 
 
-def feature_counts(text: str) -> Counter:
-    out: Counter = Counter()
+def repeated(features: np.ndarray, n: int) -> np.ndarray:
+    """The features "at least n times" of some features (64-bit hashes)."""
+    with np.errstate(over="ignore"):
+        mixed = (features ^ np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def feature_hashes(text: str) -> np.ndarray:
+    """All features of a text, as 64-bit hashes (ascending)."""
+    counts: Counter = Counter()
     for word, n in Counter(_WORD.findall(text.lower())).items():
         for f in features_of(word):
-            out[f] += n
-    for f, n in list(out.items()):
-        for least in REPEATS:
-            if n >= least:
-                out[f"{f}#{least}"] = n
-    return out
+            counts[f] += n
+    plain = np.fromiter((xxhash.xxh64_intdigest(f) for f in counts), np.uint64, len(counts))
+    totals = np.fromiter(counts.values(), np.int64, len(counts))
+    return np.unique(np.concatenate([plain, *(repeated(plain[totals >= n], n) for n in REPEATS)]))
 
 
 def ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,47 +92,96 @@ def ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Vocabulary:
-    """Feature numbers, with a bounded memory of which words hold which.
+    """Numbers of features, which are known by ascending 64-bit hashes, with a bounded memory of which words hold which.
 
-    A repeat ("at least n times") only counts with its plain feature in `features`.
+    A repeat ("at least n times") only counts with its plain feature.
     """
 
-    def __init__(self, features: Sequence[str], max_words: int = 300_000):
-        self.number = {f: i for i, f in enumerate(features)}
-        #: by number of a plain feature: its own number, and those of its repeats (or -1)
-        self.repeats = np.array([[i, *(self.number.get(f"{f}#{n}", -1) for n in REPEATS)] for f, i in self.number.items()],
-                                np.int32).reshape(-1, 1 + len(REPEATS))
+    def __init__(self, hashes: np.ndarray, max_words: int = 300_000):
+        self.hashes, self.max_words = hashes, max_words
+        #: by number of a plain feature: those of its repeats (or -1)
+        self.repeats = np.stack([self.find(repeated(hashes, n)) for n in REPEATS], axis=1)
         self.words: dict[str, int] = {}
         #: by number of a word: its features (or -1)
         self.held = np.full((1024, 3), -1, np.int32)
-        self.max_words = max_words
 
-    def _add(self, word: str) -> int:
-        at = self.words[word] = len(self.words)
-        if at == len(self.held):
+    def __reduce__(self):
+        return Vocabulary, (self.hashes, self.max_words)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.full(len(hashes), -1, np.int32)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1).astype(np.int32)
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+    def _learn(self, words: Sequence[str]) -> None:
+        first = len(self.words)
+        self.words.update((w, first + i) for i, w in enumerate(words))
+        while len(self.words) > len(self.held):
             self.held = np.concatenate([self.held, np.full_like(self.held, -1)])
-        own = [self.number.get(f, -1) for f in features_of(word)]
-        self.held[at] = own + [-1] * (3 - len(own))
-        return at
-
-    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Feature numbers (ascending) and how often the text has each."""
+        own = [features_of(w) for w in words]
+        found = self.find(np.fromiter((xxhash.xxh64_intdigest(f) for o in own for f in o), np.uint64))
+        line = np.repeat(np.arange(len(own)), [len(o) for o in own])
+        self.held[first:len(self.words)] = -1
+        self.held[first + line, np.concatenate([np.arange(len(o)) for o in own])] = found
+
+    def counts_of(self, texts: Sequence[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text: feature numbers and how often it has each."""
         if len(self.words) > self.max_words:
             self.words.clear()
-        known, found = self.words.get, Counter(_WORD.findall(text.lower()))
-        at = [known(w) for w in found]
-        if None in at:
-            at = [self._add(w) if a is None else a for w, a in zip(found, at)]
-        held = self.held[np.array(at, np.int64)]
+        found = [Counter(_WORD.findall(t.lower())) for t in texts]
+        new = list({w: None for f in found for w in f if w not in self.words})
+        if new:
+            self._learn(new)
+        known, distinct, size = self.words, [len(f) for f in found], max(1, len(self.hashes))
+        held = self.held[np.fromiter((known[w] for f in found for w in f), np.int64, sum(distinct))]
         there = held >= 0
-        n = np.broadcast_to(np.fromiter(found.values(), np.float64, len(found))[:, None], held.shape)[there]
-        plain, place = np.unique(held[there], return_inverse=True)
-        totals = np.bincount(place, weights=n, minlength=len(plain))
-        numbers = self.repeats[plain]
-        there = (numbers >= 0) & (totals[:, None] >= np.array([1, *REPEATS]))
-        numbers, totals = numbers[there].astype(np.int64), np.broadcast_to(totals[:, None], numbers.shape)[there]
-        order = np.argsort(numbers)
-        return numbers[order], totals[order]
+        line = np.broadcast_to(np.repeat(np.arange(len(found)), distinct)[:, None], held.shape)[there]
+        n = np.broadcast_to(np.fromiter((c for f in found for c in f.values()), np.int64, sum(distinct))[:, None], held.shape)[there]
+        key = line * size + held[there]
+        order = np.argsort(key)
+        key = key[order]
+        start = np.flatnonzero(np.diff(key, prepend=-1))
+        totals = np.add.reduceat(n[order], start) if len(start) else n
+        line, numbers = np.divmod(key[start], size)
+        parts = [(line, numbers, totals)]
+        for j, least in enumerate(REPEATS):
+            more = np.flatnonzero((totals >= least) & (self.repeats[numbers, j] >= 0))
+            parts.append((line[more], self.repeats[numbers[more], j].astype(np.int64), totals[more]))
+        line, numbers, totals = (np.concatenate(p) for p in zip(*parts))
+        order = np.argsort(line, kind="stable")
+        ends = np.searchsorted(line[order], np.arange(len(found) + 1))
+        numbers, totals = numbers[order], totals[order].astype(np.float64)
+        return [(numbers[x:y], totals[x:y]) for x, y in zip(ends[:-1], ends[1:])]
+
+
+@dataclass
+class Examples:
+    """The examples' vectors one after the other; their index is made where it is first asked."""
+
+    own: np.ndarray
+    own_weights: np.ndarray
+    begin: np.ndarray
+    size: int                 # of the vocabulary
+    block: int = 1024
+    dense: int = 32
+    made: "BlockMaxIndex | None" = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "made": None}
+
+    def index(self) -> "BlockMaxIndex":
+        if self.made is None:
+            self.made = BlockMaxIndex._of(self.own, self.own_weights, self.begin, self.size, self.block, self.dense)
+        return self.made
+
+    def vector(self, line: int) -> tuple[np.ndarray, np.ndarray]:
+        """Features and weights of an example."""
+        at = slice(self.begin[line], self.begin[line + 1])
+        return self.own[at], self.own_weights[at]
+
+    def nearest_of(self, queries: Sequence[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        return self.index().nearest_of(queries, k)
 
 
 @dataclass
@@ -167,10 +229,6 @@ class BlockMaxIndex:
         return cls(np.searchsorted(feature[first], np.arange(n_features + 1)), row[first] // block, top, np.append(first, len(row)),
                    row, weight, place, begin, own, own_weights, block, size, dense)
 
-    def __reduce__(self):
-        # the vectors travel, what follows from them is made again
-        return BlockMaxIndex._of, (self.own, self.own_weights, self.begin, len(self.place), self.block, self.dense)
-
     def _make_room(self) -> None:
         # columns up to a whole number of blocks
         self.matrix = np.zeros((self.place.max(initial=-1) + 1, -(-self.size // self.block) * self.block), "f4")
@@ -248,7 +306,7 @@ class Model:
 
     vocabulary: Vocabulary
     weights: np.ndarray
-    index: BlockMaxIndex
+    index: Examples
     labels: np.ndarray
     ids: list
     prior: float
@@ -256,6 +314,11 @@ class Model:
     prior_votes: float
     points: np.ndarray = field(default_factory=lambda: np.zeros(0))
     levels: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    #: the model without points and levels, as it was sent to the executors
+    shared: object = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "shared": None}
 
     def vector(self, numbers: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return unit(counts, self.weights[numbers])
@@ -273,7 +336,7 @@ class Model:
         return self.scores([text])[0]
 
     def scores(self, texts: Sequence[str]) -> list[tuple[float, list[dict]]]:
-        counted = [self.vocabulary.counts(t) for t in texts]
+        counted = self.vocabulary.counts_of(texts)
         out = []
         for best, cosines in self.index.nearest_of([(f, self.vector(f, c)) for f, c in counted], self.k):
             proof = [{"doc_id": self.ids[b], "cosine": float(c), "toxic": int(self.labels[b])} for b, c in zip(best, cosines)]
@@ -292,20 +355,26 @@ def held_out(id_col: str, folds: int = 4, fold: int = 2) -> Column:
 
 
 def _examples(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, bound: int) -> DataFrame:
-    """id, t, toxic of at most `bound` labelled rows outside the held-out fold, by a hash of their ids."""
+    """id, t, toxic of at most `bound` labelled texts outside the held-out fold, by a hash of their ids.
+
+    Rows are chosen by id and text hash; texts go to no task that sorts or bounds.
+    """
     known = (labels.where(col(id_col).isNotNull() & col(label_col).isNotNull() & ~held_out(id_col))
              .groupBy(col(id_col).alias("id")).agg(F.max(col(label_col)).cast("int").alias("toxic")))
     mixed = F.md5(F.col("id").cast("string").cast("binary"))
     chosen = F.broadcast(known.orderBy(mixed, "id").limit(bound))        # at most `bound` narrow rows
     texts = docs.select(col(id_col).alias("doc"), text_or_empty(text_col).alias("t"))
-    return (texts.join(chosen, texts["doc"] == chosen["id"]).select("id", "t", "toxic")
-            .orderBy(mixed, "id", F.md5(F.col("t").cast("binary"))).limit(bound))
+    texts = texts.join(chosen, texts["doc"] == chosen["id"]).select("id", "t", "toxic", F.md5(F.col("t").cast("binary")).alias("h"))
+    texts = written(texts.groupBy("id", "h").agg(F.first("t").alias("t"), F.max("toxic").alias("toxic")), "toxicity-labelled")
+    kept = texts.select(F.col("id").alias("i"), F.col("h").alias("k")).orderBy(F.md5(F.col("i").cast("string").cast("binary")), "i", "k").limit(bound)
+    kept = F.broadcast(kept)                                              # at most `bound` narrow rows
+    return texts.join(kept, (F.col("id") == F.col("i")) & (F.col("h") == F.col("k"))).select("id", "t", "toxic")
 
 
 def _map_texts(df: DataFrame, make, schema: str) -> DataFrame:
-    """`make(texts)` of each task's texts, as Arrow batches of `schema`."""
+    """`make(lists of texts)` of each task's texts, as Arrow batches of `schema`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from make(t for b in batches for at in range(0, b.num_rows, 64) for t in b.slice(at, 64).column(0).to_pylist())
+        yield from make(b.slice(at, _STEP).column(0).to_pylist() for b in batches for at in range(0, b.num_rows, _STEP))
     return df.mapInArrow(run, schema)
 
 
@@ -322,63 +391,82 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     """Learn from labelled rows outside the held-out fold; counts are over all `docs`."""
     spark = docs.sparkSession
     ship_package(spark)
-    sample = _examples(docs, labels, id_col, text_col, label_col, max_examples).persist()
-    try:
-        totals = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-        n, n_toxic = int(totals[0]), int(totals[1])
-
-        def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    names = list(feature_counts(t))
-                    yield pa.RecordBatch.from_pydict({"f": pa.array(names, pa.string()), "y": pa.array([y] * len(names), pa.int32())})
-        seen = (sample.select("t", "toxic").repartition(8).mapInArrow(explode, "f string, y int")
-                .groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("a")).toArrow().sort_by("f"))
-        names, size = seen["f"].to_pylist(), len(seen)
-        toxic = seen["a"].to_numpy().astype(np.float64)
-        significant = significance(toxic, seen["n"].to_numpy() - toxic, n_toxic, n - n_toxic, half_chi2)
-        vocabulary = Vocabulary(names)
-        shared = spark.sparkContext.broadcast(vocabulary)          # the features of at most max_examples texts
-
-        def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                made = [shared.value.counts(t) for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array([m[i].astype("<i4").tobytes() for m in made], pa.binary())
-                                                                                      for i in (0, 1))], names=["id", "toxic", "f", "c"])
-        rows = sample.mapInArrow(vectors, "id long, toxic int, f binary, c binary").toArrow()
-    finally:
-        sample.unpersist()
-
-    def frequencies(texts: Iterator[str]) -> Iterator[pa.RecordBatch]:
+    sample = written(_examples(docs, labels, id_col, text_col, label_col, max_examples), "toxicity-examples")
+    totals = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    n, n_toxic = int(totals[0]), int(totals[1])
+    tasks = max(1, min(n // 64, 4 * spark.sparkContext.defaultParallelism))
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = feature_hashes(t)
+                yield pa.RecordBatch.from_pydict({"f": pa.array(found.view(np.int64)), "y": pa.array(np.full(len(found), y, np.int32))})
+    seen = (sample.select("t", "toxic").repartition(tasks).mapInArrow(explode, "f long, y int")
+            .groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("a")).toArrow())      # features of at most max_examples texts
+    hashes = seen["f"].to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    hashes, toxic = hashes[order], seen["a"].to_numpy()[order].astype(np.float64)
+    significant = significance(toxic, seen["n"].to_numpy()[order] - toxic, n_toxic, n - n_toxic, half_chi2)
+    seen, size = None, len(hashes)
+    shared = spark.sparkContext.broadcast(Vocabulary(hashes))          # 8 bytes for each of these features
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, _STEP):
+                part = batch.slice(at, _STEP)
+                made = shared.value.counts_of(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), *(pa.array([m[i].astype("<i4").tobytes() for m in made], pa.binary())
+                                                                                    for i in (0, 1))], names=["id", "toxic", "f", "c"])
+    rows = sample.repartition(tasks).mapInArrow(vectors, "id long, toxic int, f binary, c binary").toArrow()
+
+    def frequencies(texts: Iterator[list[str]]) -> Iterator[pa.RecordBatch]:
         total, counts = 0, np.zeros(size, np.int64)
-        for t in texts:
-            total += 1
-            counts[shared.value.counts(t)[0]] += 1
+        for some in texts:
+            total += len(some)
+            counts += np.bincount(np.concatenate([f for f, _ in shared.value.counts_of(some)]), minlength=size)
         some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_pydict({"f": pa.array([-1, *some.tolist()], pa.int32()), "n": pa.array([total, *counts[some].tolist()], pa.int64())})
+        yield pa.RecordBatch.from_pydict({"f": pa.array(np.append(-1, some), pa.int32()), "n": pa.array(np.append(total, counts[some]), pa.int64())})
     told = _map_texts(docs.select(text_or_empty(text_col).alias("t")), frequencies, "f int, n long")
     told = told.groupBy("f").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(size + 1)
     df[told["f"].to_numpy()] = told["n"].to_numpy()                 # the number of documents comes last, as -1
     weights = np.log(1 + df[-1] / (1 + df[:-1])) * significant
+    told = df = toxic = significant = None
 
     made = []
     for batch in rows.to_batches():
         for i, y, f, c in zip(*(batch.column(x).to_pylist() for x in ("id", "toxic", "f", "c"))):
             f = np.frombuffer(f, "<i4")
             made.append((i, y, f, unit(np.frombuffer(c, "<i4").astype(np.float64), weights[f])))
-    rows = seen = told = None                                       # the index needs the room
-    # neighbours in the index share their strongest feature: tight block maxima
-    made.sort(key=lambda m: (int(m[2][np.argmax(m[3])]) if len(m[2]) else size, m[1], m[0]))
-    model = Model(vocabulary, weights, BlockMaxIndex.build([m[2:] for m in made], size), np.array([m[1] for m in made], np.float64),
-                  [m[0] for m in made], n_toxic / n if n else 0.0, k, prior_votes)
-    made, votes = None, []
-    for first in range(0, len(model.ids), 64):
-        lines = range(first, min(first + 64, len(model.ids)))
-        for at, (best, cosines) in zip(lines, model.index.nearest_of([model.index.vector(i) for i in lines], k + 1)):
-            other = best != at
-            votes.append(model.vote(best[other][:k], cosines[other][:k]))
-    model.points, model.levels = isotonic(np.array(votes), model.labels, model.prior)
+    rows = None
+    # neighbours in the index share their strongest feature: tight block maxima. Among them a hash of the id
+    # decides, and so it does between equal cosines: a label never does
+    made.sort(key=lambda m: (int(m[2][np.argmax(m[3])]) if len(m[2]) else size, xxhash.xxh64_intdigest(str(m[0])), m[0], m[2].tobytes()))
+    parts = [np.concatenate([m[2] for m in made] or [np.zeros(0, np.int32)]).astype(np.int32), np.concatenate([m[3] for m in made] or [np.zeros(0)])]
+    begin = np.append(0, np.cumsum([len(m[2]) for m in made], dtype=np.int64))
+    ids, known = [m[0] for m in made], np.array([m[1] for m in made], np.float64)
+    made = None
+    index = Examples(parts[0], parts[1], begin, size)
+    model = Model(Vocabulary(hashes), weights, index, known, ids, n_toxic / n if n else 0.0, k, prior_votes)
+    shared.unpersist()
+    model.shared = spark.sparkContext.broadcast(model)              # the vectors of at most max_examples texts
+
+    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
+        for batch in batches:
+            lines, out = batch.column(0).to_pylist(), []
+            for at in range(0, len(lines), _STEP):
+                some = lines[at:at + _STEP]
+                for line, (best, cosines) in zip(some, own.index.nearest_of([own.index.vector(i) for i in some], k + 1)):
+                    other = best != line
+                    out.append(own.vote(best[other][:k], cosines[other][:k]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["id", "vote"])
+    sent = model.shared
+    told = spark.range(0, len(ids), 1, tasks).mapInArrow(votes, "id long, vote double").toArrow() if ids else None
+    if told is not None:
+        made = np.zeros(len(ids))
+        made[told["id"].to_numpy()] = told["vote"].to_numpy()
+        model.points, model.levels = isotonic(made, known, model.prior)
     return model
 
 
@@ -386,7 +474,8 @@ def score(df: DataFrame, model: Model, *, text_col: str = "text", columns: Seque
     """Per row of `df`: row (struct of `columns`, default all), score, evidence."""
     spark = df.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(model)          # the features and vectors of at most max_examples texts
+    shared = model.shared or spark.sparkContext.broadcast(model)          # the features and vectors of at most max_examples texts
+    points, levels = model.points, model.levels
     kept = F.struct(*[col(c) for c in (df.columns if columns is None else columns)])
     rows = df.select(kept.alias("row"), text_or_empty(text_col).alias("t"))
     schema = StructType([StructField("row", rows.schema["row"].dataType), StructField("score", DoubleType()),
@@ -395,9 +484,10 @@ def score(df: DataFrame, model: Model, *, text_col: str = "text", columns: Seque
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
+        own.points, own.levels = points, levels
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+            for at in range(0, batch.num_rows, _STEP):
+                part = batch.slice(at, _STEP)
                 made = own.scores(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([m[0] for m in made], pa.float64()),
                                                   pa.array([m[1] for m in made], proof)], names=["row", "score", "evidence"])

@@ -208,3 +208,51 @@ def test_scores_follow_from_their_evidence(spark):
         total = sum(e.cosine for e in r.evidence) + model.prior_votes
         vote = (sum(e.cosine * e.toxic for e in r.evidence) + model.prior_votes * model.prior) / total
         assert any(abs(model.calibrated(v) - r.score) < 1e-9 for v in (vote, vote - 1e-9, vote + 1e-9))
+
+
+def test_evidence_is_the_true_nearest_and_no_label_breaks_ties(spark):
+    """The 15 neighbours against plain cosines over all examples, with the weights written out."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(60)] + ["langeswort", "langeswahl"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 30)))) for i in range(150)]
+    rows += [(1000 + i, "the very same text") for i in range(400)]
+    toxic = {i: int(rng.random() < 0.3) for i, _ in rows[:150]} | {1000 + i: i % 2 for i in range(400)}
+    labels = spark.createDataFrame([(i, y, 1) for i, y in toxic.items()], "doc_id long, toxic int, quality int")
+    model = toxicity.fit(docs(spark, rows), labels)
+    kept = {i: t for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert sorted(model.ids) == sorted(kept)
+
+    def features(text):
+        plain = {}
+        for w in text.split():
+            for f in [w] + ["^" + w[:n] for n in (4, 5) if len(w) > n]:
+                plain[f] = plain.get(f, 0) + 1
+        return {**plain, **{f"{f}#{n}": c for f, c in plain.items() for n in (2, 4) if c >= n}}
+    made = {i: features(t) for i, t in rows}
+    known = {f for i in kept for f in made[i]}
+    df = {f: sum(f in m for m in made.values()) for f in known}
+    n_toxic = sum(toxic[i] for i in kept)
+    weight = {}
+    for f in known:
+        a = sum(toxic[i] for i in kept if f in made[i])
+        b = sum(f in made[i] for i in kept) - a
+        c, d = n_toxic - a, len(kept) - n_toxic - b
+        spread = (a + b) * (c + d) * n_toxic * (len(kept) - n_toxic)
+        chi2 = (len(kept) * (a * d - b * c) ** 2 / spread if spread else 0.0) + 0.1
+        weight[f] = np.log(1 + len(rows) / (1 + df[f])) * chi2 / (chi2 + 30)
+
+    def vector(m):
+        v = {f: (1 + np.log(c)) * weight[f] for f, c in m.items() if f in known}
+        length = np.sqrt(sum(x * x for x in v.values()))
+        return {f: x / length for f, x in v.items()}
+    examples = {i: vector(made[i]) for i in kept}
+    asked = rows[:40] + [rows[150]]
+    scored = {r.doc_id: r.evidence for r in toxicity.score(docs(spark, asked), model).select("row.doc_id", "evidence").collect()}
+    for i, _ in asked:
+        q = vector(made[i])
+        cosines = {j: sum(x * e.get(f, 0.0) for f, x in q.items()) for j, e in examples.items()}
+        best = sorted((c for c in cosines.values() if c > 1e-12), reverse=True)[:15]
+        assert np.allclose([e.cosine for e in scored[i]], best)
+        assert all(np.isclose(cosines[e.doc_id], e.cosine) and e.toxic == toxic[e.doc_id] for e in scored[i])
+    among = [e.toxic for e in scored[1000]]
+    assert len(among) == 15 and 2 <= sum(among) <= 13              # half of the equal texts are toxic
