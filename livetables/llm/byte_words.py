@@ -126,9 +126,11 @@ def xxh64(data: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int | np.n
 
 def spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
     """The byte ranges (which may overlap) as an Arrow string array."""
-    length = end - begin
-    offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(length)])
+    length = (end - begin).astype(np.int32)
+    offsets = np.append(0, np.cumsum(length, dtype=np.int64))
     if offsets[-1] > 2 ** 31 - 1:
         raise ValueError("more than 2 GB in one batch")
-    places = np.arange(offsets[-1]) + np.repeat(begin - offsets[:-1], length)
-    return pa.StringArray.from_buffers(len(length), pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data[places].tobytes()))
+    offsets = offsets.astype(np.int32)
+    places = np.repeat((begin - offsets[:-1]).astype(np.int32 if len(data) < 2 ** 31 else np.int64), length)
+    places += np.arange(offsets[-1], dtype=places.dtype)
+    return pa.StringArray.from_buffers(len(length), pa.py_buffer(offsets), pa.py_buffer(data.take(places)))

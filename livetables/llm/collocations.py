@@ -44,12 +44,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from livetables.llm.byte_words import byte_table, spans, words_of, xxh64
+from livetables.llm.byte_words import buffers, byte_table, spans, words_of, xxh64
 from livetables.llm.common import col, ship_package, text_or_empty, written
 
 _BREAKS = byte_table(b".,;:!?\x0a\x0b\x0c\x0d")
 _BETWEEN = _BREAKS | byte_table(b"\x20\x09")
-_CHUNK_BETWEEN = byte_table(b"\x20\x0a")
 _BLOCK = 1 << 15                       # bits of a row of the bit table
 COUNTS = "lang string, phrase string, f long"
 
@@ -111,33 +110,37 @@ def _bit_table(counts: DataFrame, bits: int) -> np.ndarray:
     return table
 
 
-def _counted(chunks: DataFrame, size: int, max_words: int, parts: np.ndarray | None, bits: int, least: int) -> DataFrame:
+def _counted(chunks: DataFrame, size: int, parts: np.ndarray | None, bits: int, least: int) -> DataFrame:
     """lang, phrase, f of the phrases of `size` words with at least `least` occurrences; `parts`: bits of those of size - 1."""
     shared = chunks.sparkSession.sparkContext.broadcast(parts)        # bits / 8 bytes
-    overlap = max_words - 1
 
     def count(part: pa.RecordBatch) -> pa.RecordBatch:
-        words = words_of(part.column(1), _CHUNK_BETWEEN)
-        first = words.first
+        raw, offsets = buffers(part.column(1))
+        data = np.append(raw, np.zeros(8, np.uint8))                    # room for reading eight bytes at a time
+        end = np.flatnonzero((raw == 32) | (raw == 10))                 # one after each word
+        begin = np.append(0, end + 1)[:-1]
+        first = np.searchsorted(end, offsets)
         chunk = np.repeat(np.arange(part.num_rows), np.diff(first))
         counted = part.column(2).to_numpy(zero_copy_only=False)
         at = np.arange(len(chunk))
         at = at[(at - first[chunk] < counted[chunk]) & (at + size <= first[chunk + 1])]
-        broken = np.append(0, np.cumsum(words.raw[words.old_end] == 10)) if len(chunk) else np.zeros(1, np.int64)
-        at = at[broken[at + size - 1] == broken[at]]
+        if size > 1:
+            broken = np.append(0, np.cumsum(raw[end] == 10))
+            at = at[broken[at + size - 1] == broken[at]]
         table = shared.value
         if table is not None and len(at):
             langs = part.column(0).dictionary_encode()
             seeds = np.array([xxhash.xxh64_intdigest(x, 42) for x in langs.dictionary.to_pylist()], np.uint64)
             seeds = seeds[langs.indices.to_numpy(zero_copy_only=False)]
-            # the parts: each part that begins at a kept phrase or at the word after
-            begins = np.unique(np.concatenate([at, at + 1]))
-            place = (xxh64(words.data, words.begin[begins], words.end[begins + size - 2], seeds[chunk[begins]]) & np.uint64(bits - 1)).astype(np.int64)
+            # the parts begin at a kept phrase or at the word after
             enough = np.zeros(len(chunk) + 1, bool)
+            enough[at] = enough[at + 1] = True
+            begins = np.flatnonzero(enough)
+            place = (xxh64(data, begin[begins], end[begins + size - 2], seeds[chunk[begins]]) & np.uint64(bits - 1)).astype(np.int64)
             enough[begins] = table[place >> 3] >> (place & 7).astype(np.uint8) & 1 != 0
             at = at[enough[at] & enough[at + 1]]
         own = pa.array(chunk[at])
-        return pa.RecordBatch.from_arrays([part.column(0).take(own), spans(words.data, words.begin[at], words.end[at + size - 1]),
+        return pa.RecordBatch.from_arrays([part.column(0).take(own), spans(data, begin[at], end[at + size - 1]),
                                            part.column(3).take(own)], names=["lang", "phrase", "f"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,9 +165,9 @@ def collocations(df: DataFrame, *, text_col: str = "text", lang_col: str = "lang
     spark = df.sparkSession
     chunks = parse(df, text_col=text_col, lang_col=lang_col, max_words=max_words, chunk_words=chunk_words)
     totals = chunks.groupBy("lang").agg(F.sum(F.col("words") * F.col("n")).alias("n"))
-    levels = {1: _counted(chunks, 1, max_words, None, bits, least)}
+    levels = {1: _counted(chunks, 1, None, bits, least)}
     for size in range(2, max_words + 1):
-        levels[size] = _counted(chunks, size, max_words, _bit_table(levels[size - 1], bits), bits, least)
+        levels[size] = _counted(chunks, size, _bit_table(levels[size - 1], bits), bits, least)
 
     def lookup(size: int, name: str) -> DataFrame:
         return levels[size].select("lang", F.col("phrase").alias(f"{name}_part"), F.col("f").alias(name))
