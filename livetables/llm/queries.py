@@ -121,15 +121,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op7_threshold_topk": """
         WITH vectors AS (
-            SELECT vec_id, min(list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT)) AS v
+            SELECT row_number() OVER () AS key, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-            GROUP BY vec_id),
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         scores AS (
-            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
-            FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
-        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+            SELECT q.key, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+            FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.key <> c.key),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY score DESC, vec_id) AS rank FROM scores)
         SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
     "op8_fair_queue_mix": r"""

@@ -20,10 +20,12 @@ pair of blocks. Queries are a stated set against all rows. Only gathered and
 resolved entries are shuffled, a few rows per query and block.
 
 Defined results: vectors that are null, empty or hold null or non-finite
-components take no part; shorter vectors count as padded with zeros; of rows
-that repeat an id the smallest vector stands; ties go to the smaller id; fewer
+components take no part; shorter vectors count as padded with zeros; rows that repeat
+an id are candidates each, and queries each, for every row but themselves; ties go to the smaller id; fewer
 than k candidates give fewer rows; an empty table gives an empty result.
-Components must stay below 2^20 in absolute value so that sums are exact.
+Scores are exact integers whatever the components: past 2^53 the phases work with
+rounded scores and a margin for their error, and what they find is added up in whole
+numbers. A component or score that a long can't hold is an error that says so.
 """
 
 from __future__ import annotations
@@ -38,28 +40,32 @@ from pyspark.sql import functions as F
 from livetables.llm.common import col, ship_package, written
 
 
-def integer_vectors(df: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
-    """id, v (array of long): floor(scale * component), valid vectors only, one row per id."""
+def integer_vectors(df: DataFrame, id_col: str, vec_col: str, scale: float, is_query: Column) -> DataFrame:
+    """key (of the row), id, asked, v (array of long): floor(scale * component), valid vectors only."""
     v = col(vec_col)
     fine = v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x.cast("double"))
                                                      & (F.abs(x.cast("double")) < float("inf")))
-    ints = F.transform(v, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
-    return (df.where(fine & col(id_col).isNotNull()).select(col(id_col).cast("long").alias("id"), ints.alias("v"))
-            .groupBy("id").agg(F.min("v").alias("v")))
 
+    def whole(x: Column) -> Column:
+        y = F.lit(float(scale)) * x.cast("double")
+        return F.when(F.abs(y) < 2.0 ** 63, F.floor(y)).otherwise(F.raise_error(F.concat(F.lit("a long can't hold the component "), x.cast("string"))))
+    return (df.where(fine & col(id_col).isNotNull())
+            .select(F.monotonically_increasing_id().alias("key"), col(id_col).cast("long").alias("id"),
+                    F.coalesce(is_query, F.lit(False)).alias("asked"), F.transform(v, whole).alias("v")))
 
-def _blocks(vectors: DataFrame, rows: int, dims: int, name: str) -> DataFrame:
-    """block, ids (bytes), matrix (bytes of float64-exact int32 rows); about `rows` vectors a block."""
+
+def _blocks(vectors: DataFrame, rows: int, dims: int, kind: str, name: str) -> DataFrame:
+    """block, ids (bytes of the keys), matrix (bytes of integer rows); about `rows` vectors a block."""
     n = vectors.count()
     count = max(1, -(-n // rows))
-    placed = vectors.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(count)).cast("int"))
+    placed = vectors.select("key", "v", F.pmod(F.xxhash64("key"), F.lit(count)).cast("int").alias("block"))
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("id")
-        matrix = np.zeros((len(group), dims), "<i4")
+        group = group.sort_values("key")
+        matrix = np.zeros((len(group), dims), kind)
         for i, v in enumerate(group["v"]):
             matrix[i, :len(v)] = v
-        return pd.DataFrame({"block": [int(group["block"].iloc[0])], "ids": [group["id"].to_numpy("<i8").tobytes()],
+        return pd.DataFrame({"block": [int(group["block"].iloc[0])], "ids": [group["key"].to_numpy("<i8").tobytes()],
                              "matrix": [matrix.tobytes()]})
     return written(placed.groupBy("block").applyInPandas(pack, "block int, ids binary, matrix binary"), name)
 
@@ -73,33 +79,49 @@ def _pairs(queries: DataFrame, candidates: DataFrame, n_q: int, n_c: int) -> Dat
     return q.join(c, ["qb", "cb"]).drop("qb", "cb")
 
 
-def _local(row, dims: int, lists: int, step: int) -> Iterator[tuple]:
-    """Per few queries: their positions and ids, candidate ids, and a score matrix (query, candidate) for each list."""
+def _local(row, dims: int, kind: str, lists: int, step: int) -> Iterator[tuple]:
+    """Per few queries: their positions and ids, candidate ids, a score matrix (query, candidate) for each list, and
+    a margin: how far a total of these scores can be from the true one (0 where all are exact)."""
     c_ids, q_ids = np.frombuffer(row.c_ids, "<i8"), np.frombuffer(row.q_ids, "<i8")
-    c = np.frombuffer(row.c_matrix, "<i4").reshape(-1, dims)
-    q = np.frombuffer(row.q_matrix, "<i4").reshape(-1, dims)
+    c = np.frombuffer(row.c_matrix, kind).reshape(-1, dims)
+    q = np.frombuffer(row.q_matrix, kind).reshape(-1, dims)
     # the narrowest floats that hold every sum of products exactly
-    largest = float(np.abs(c).max(initial=0)) * float(np.abs(q).max(initial=0)) * dims
+    largest = _largest(c) * _largest(q) * dims
     c, q = (x.astype("f4" if largest < 2 ** 24 else "f8") for x in (c, q))
+    margin = 0.0 if largest < 2 ** 53 else largest * (dims + lists + 4) * 2.0 ** -52
     cuts = np.linspace(0, dims, lists + 1).astype(int)
     for at in range(0, len(q_ids), step):
         part = q[at:at + step]
-        yield slice(at, at + step), q_ids[at:at + step], c_ids, [part[:, x:y] @ c[:, x:y].T for x, y in zip(cuts, cuts[1:])]
+        yield slice(at, at + step), q_ids[at:at + step], c_ids, [part[:, x:y] @ c[:, x:y].T for x, y in zip(cuts, cuts[1:])], margin
+
+
+def _largest(x: np.ndarray) -> float:
+    return max(float(x.max(initial=0)), -float(x.min(initial=0)))
+
+
+def _whole(row, dims: int, kind: str, q: np.ndarray, c: np.ndarray) -> list[int]:
+    """Exact inner products of some pairs (places in the blocks)."""
+    a = np.frombuffer(row.q_matrix, kind).reshape(-1, dims)[q].astype(object)
+    b = np.frombuffer(row.c_matrix, kind).reshape(-1, dims)[c].astype(object)
+    out = (a * b).sum(axis=1).tolist() if len(a) else []
+    if any(abs(x) >= 1 << 63 for x in out):
+        raise ValueError(f"a long can't hold the score {max(out, key=abs)}")
+    return out
 
 
 def top_k(df: DataFrame, k: int, is_query: Column, *, id_col: str = "vec_id", vec_col: str = "embedding",
           scale: float = 256.0, lists: int = 4, block_rows: int = 4096, step: int = 32) -> DataFrame:
     """query_id, rank, <id_col>, score: the k best other rows of each query row, by integer inner product."""
     ship_package(df.sparkSession)
-    vectors = written(integer_vectors(df, id_col, vec_col, scale), "topk-vectors")
-    dims = vectors.agg(F.max(F.size("v"))).first()[0]
+    vectors = written(integer_vectors(df, id_col, vec_col, scale, is_query), "topk-vectors")
+    dims, low, high = vectors.agg(F.max(F.size("v")), F.min(F.array_min("v")), F.max(F.array_max("v"))).first()
     none = "query_id long, rank int, " + f"`{id_col}` long, score long"
     if not dims:
         return df.sparkSession.createDataFrame([], none)
     lists = min(lists, dims)
-    candidates = _blocks(vectors, block_rows, dims, "topk-candidates")
-    asked = vectors.join(df.where(is_query).select(col(id_col).cast("long").alias("id")).distinct(), "id", "left_semi")
-    queries = _blocks(asked, block_rows, dims, "topk-queries")
+    kind = "<i4" if -2 ** 31 <= low and high < 2 ** 31 else "<i8"
+    candidates = _blocks(vectors, block_rows, dims, kind, "topk-candidates")
+    queries = _blocks(vectors.where("asked"), block_rows, dims, kind, "topk-queries")
     n_c, n_q = (b.agg(F.max("block")).first()[0] for b in (candidates, queries))
     if n_q is None:
         return df.sparkSession.createDataFrame([], none)
@@ -107,11 +129,12 @@ def top_k(df: DataFrame, k: int, is_query: Column, *, id_col: str = "vec_id", ve
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
-                for _, q_ids, c_ids, scores in _local(row, dims, lists, step):
+                for _, q_ids, c_ids, scores, margin in _local(row, dims, kind, lists, step):
                     least = np.stack([s.min(axis=1) for s in scores], axis=1).astype("f8")
                     take = min(k + 1, len(c_ids))              # the query itself may be among them
                     best = np.concatenate([np.argpartition(-s, take - 1, axis=1)[:, :take] for s in scores], axis=1)
-                    total = sum(np.take_along_axis(s, best, 1).astype("f8") for s in scores)
+                    total = sum(np.take_along_axis(s, best, 1).astype("f8") for s in scores) - margin      # never above the true one
+                    least -= margin
                     out = pd.DataFrame({"query_id": np.repeat(q_ids, best.shape[1]), "id": c_ids[best.ravel()], "total": total.ravel(),
                                         "least": list(np.repeat(least, best.shape[1], axis=0))})
                     yield out[out["query_id"] != out["id"]].drop_duplicates(["query_id", "id"])
@@ -141,15 +164,19 @@ def top_k(df: DataFrame, k: int, is_query: Column, *, id_col: str = "vec_id", ve
                 cutoff = np.array([-np.inf if x is None or x != x else x for x in row.q_t], "f8")
                 shift = np.array([[0.0] * lists if x is None else x for x in row.q_least], "f8").reshape(-1, lists)
                 bar = shift + ((cutoff - shift.sum(axis=1)) / lists)[:, None] - 0.25        # scores are integers
-                for part, q_ids, c_ids, scores in _local(row, dims, lists, step):
-                    known = scores[0] >= bar[part, 0, None]
+                for part, q_ids, c_ids, scores, margin in _local(row, dims, kind, lists, step):
+                    known = scores[0] >= bar[part, 0, None] - margin
                     for s, b in zip(scores[1:], bar[part].T[1:]):
-                        known |= s >= b[:, None]
+                        known |= s >= b[:, None] - margin
                     q, c = np.nonzero(known)
                     total = sum(s[q, c].astype("f8") for s in scores)
-                    enough = (total >= cutoff[part][q]) & (q_ids[q] != c_ids[c])
-                    yield pd.DataFrame({"query_id": q_ids[q[enough]], "id": c_ids[c[enough]], "score": total[enough].astype("i8")})
+                    enough = (total >= cutoff[part][q] - margin) & (q_ids[q] != c_ids[c])
+                    q, c, total = q[enough], c[enough], total[enough]
+                    score = np.array(_whole(row, dims, kind, q + part.start, c), "i8") if margin else total.astype("i8")
+                    yield pd.DataFrame({"query_id": q_ids[q], "id": c_ids[c], "score": score})
     found = _pairs(armed, candidates, n_q + 1, n_c + 1).mapInPandas(resolve, "query_id long, id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", F.col("id").alias(id_col), "score"))
+    found = found.join(vectors.select(F.col("key").alias("id"), F.col("id").alias("name")), "id")
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "name", "id")
+    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    names = vectors.where("asked").select(F.col("key").alias("query_id"), F.col("id").alias("of"))
+    return best.join(names, "query_id").select(F.col("of").alias("query_id"), "rank", F.col("name").alias(id_col), "score")

@@ -4,6 +4,7 @@ import hashlib
 import math
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -62,18 +63,15 @@ def test_escapes_are_reversible(spark, texts):
 
 
 def brute(rows, k, step):
-    valid = {}
-    for i, v, *_ in rows:
-        if i is None or not v or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        ints = [math.floor(256 * x) for x in v]
-        valid[i] = min(valid.get(i, ints), ints)
-    out = set()
-    for q, v in valid.items():
+    """Sorted results over rows, each for itself."""
+    valid = [(i, [math.floor(256 * x) for x in v]) for i, v, *_ in rows
+             if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for at, (q, v) in enumerate(valid):
         if q % step == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in valid.items() if i != q)
-            out |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])}
-    return out
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for other, (i, w) in enumerate(valid) if other != at)
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
+    return sorted(out)
 
 
 VEC = "vec_id long, embedding array<float>, block string, score string"
@@ -88,13 +86,36 @@ def test_topk_equals_brute_force(spark):
     df = spark.createDataFrame(rows, VEC)
     for lists, size in ((4, 40), (1, 1000), (5, 7)):
         got = topk.top_k(df, 5, F.col("vec_id") % 10 == 0, lists=lists, block_rows=size, step=3)
-        assert {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()} == brute(rows, 5, 10)
+        assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == brute(rows, 5, 10)
 
 
 def test_topk_of_few_or_no_rows(spark):
     rows = [(0, [0.5, 0.25], "b", "s"), (1, [0.5, 1.0], "b", "s"), (10, None, "b", "s")]
     got = topk.top_k(spark.createDataFrame(rows, VEC), 5, F.col("vec_id") % 10 == 0)
-    assert {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()} == brute(rows, 5, 10)
+    assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == brute(rows, 5, 10)
     assert topk.top_k(spark.createDataFrame([], VEC), 5, F.col("vec_id") % 10 == 0).count() == 0
     assert topk.top_k(spark.createDataFrame(rows[1:], VEC), 5, F.col("vec_id") % 10 == 0).count() == 0
     assert topk.top_k(spark.createDataFrame(rows[:1], VEC), 5, F.col("vec_id") % 10 == 0).count() == 0
+
+
+def test_topk_rows_that_repeat_an_id_all_count(spark):
+    rows = [(0, [1.0, 1.0], "b", "s"), (1, [1.0, 0.0], "b", "s"), (1, [9.0, 9.0], "b", "s"), (2, [2.0, 0.0], "b", "s"), (0, [1.0, 2.0], "b", "s"),
+            (0, [1.0, 1.0], "b", "s")]
+    got = topk.top_k(spark.createDataFrame(rows, VEC), 5, F.col("vec_id") % 10 == 0)
+    got = sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect())
+    assert got == brute(rows, 5, 10) and (0, 1, 1, 256 * 256 * 27) in got
+
+
+def test_topk_of_large_components_is_exact(spark):
+    rng = np.random.default_rng(8)
+    schema = VEC.replace("float", "double")
+    for size in (1e5, 1e8, 3e6 * 2.0 ** 8):
+        rows = [(i, [float(x) for x in rng.integers(-size, size, 3)], "b", "s") for i in range(60)]
+        rows += [(100 + i, [rows[0][1][0] + i / 256, *rows[0][1][1:]], "b", "s") for i in range(10)]       # scores that differ little
+        got = topk.top_k(spark.createDataFrame(rows, schema), 5, F.col("vec_id") % 10 == 0, block_rows=20)
+        want = brute(rows, 5, 10)
+        if max(abs(w[3]) for w in want) < 2 ** 63:
+            assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == want
+    for bad in (1e17, 1e12):
+        with pytest.raises(Exception, match="a long can't hold"):
+            topk.top_k(spark.createDataFrame([(0, [bad], "b", "s"), (1, [bad], "b", "s")], schema), 5, F.col("vec_id") % 10 == 0).collect()
