@@ -10,7 +10,8 @@ join that carries the texts.
 
 Defined results: a null text counts as empty; empty texts are equal; a null id
 is kept only if no row of its group has an id; rows that repeat an id and its
-text are one document, so both say `kept` and `keep_rows` returns one of them;
+text are one document, so both say `kept` and `keep_rows` returns one of them (if other columns
+differ, the one with the smallest digest of all columns, so that reruns agree);
 an empty table gives an empty result.
 """
 
@@ -77,5 +78,4 @@ def keep_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     hashed = rows.withColumn("h", md5_128(F.col("t"))).withColumn("sha", hex_sha256(F.col("t"))).drop("t")
     return (hashed.join(staying, (hashed["h"] == staying["h"]) & (hashed["sha"] == staying["sha"])
                         & hashed["id"].eqNullSafe(staying["k"]), "inner")
-            .select(hashed["h"], hashed["sha"], "id", "row")
-            .dropDuplicates(["h", "sha", "id"]).select("row.*"))
+            .groupBy(hashed["h"], hashed["sha"], "id").agg(F.min_by("row", F.md5(F.to_json("row"))).alias("row")).select("row.*"))

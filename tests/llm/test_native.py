@@ -252,3 +252,65 @@ def test_one_row_of_each_text_stays(spark):
     assert sorted(((r.text or "")[:3], r.doc_id) for r in kept.collect() if r.doc_id) == [("", 4), ("a", 2), ("a ", 8), ("b", 5), ("zzz", 7)]
     assert sorted((r.text or "")[:3] for r in kept.collect()) == ["", "a", "a ", "b", "c", "zzz"]
     assert exact_dedup.keep_rows(df.limit(0)).count() == 0
+
+
+def test_rows_that_repeat_an_id_and_text_give_one_row_whatever_their_order(spark):
+    rows = [(5, "q", f"source{i}") for i in range(6)] + [(None, "z", "a"), (None, "z", "b"), (None, "z", None)]
+    found = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+        found.add(tuple(sorted(map(tuple, exact_dedup.keep_rows(df).collect()), key=repr)))
+    assert len(found) == 1 and sorted(r[1] for r in found.pop()) == ["q", "z"]
+
+
+def test_credentials_in_quotes_and_very_long_ones(spark):
+    import random as r
+    rng = r.Random(1)
+    hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(n)) for n in [40] * 60 + [200, 5000]]
+    forms = ['token = "{}"', "api_key: '{}'", "mein Passwort={}", "contraseña = {}"]
+    texts = ["x. " + forms[i % 4].format(h) + " und so weiter" for i, h in enumerate(hexes)]
+    texts += ['token = "required"', "token: none", "password = example_example", "das Passwort: geheimnis und mehr", "no token here"] * 3
+    rows = {x.doc_id: x.spans for x in pii.personal_data(people(spark, texts)).collect()}
+    for i, h in enumerate(hexes):
+        found = [texts[i][s.start:s.end] for s in rows[i] if s.kind == "credential"]
+        assert len(found) == 1 and h in found[0], (texts[i][:80], found)
+    assert not any(s.kind == "credential" for i in range(len(hexes), len(texts)) for s in rows[i])
+
+
+def test_registered_query_finds_the_tables_credentials(spark):
+    from livetables.llm.queries import QUERIES
+    d = "/root/testdata/sf0.01"
+    texts = {x.doc_id: x.text or "" for x in spark.read.parquet(f"{d}/documents.parquet").collect()}
+    holds = {i for i, t in texts.items() if re.search(r'token = "[0-9a-f]{20,}"', t)}
+    found = {x.doc_id for x in QUERIES["op2_pii_weak_supervision"](spark, d).collect() if "credential" in x.spans}
+    assert len(holds) > 5 and len(holds & found) >= 0.9 * len(holds) and len(found - holds) <= 2
+
+
+def test_em_equals_a_plain_version_on_rows():
+    """EM on counted vote patterns against the same steps over one entry per span."""
+    rng = random.Random(2)
+    rows = []
+    for _ in range(300):
+        real = rng.random() < 0.4
+        rows.append(tuple(None if rng.random() < 0.2 else int(rng.random() < (p if real else q)) for p, q in ((0.9, 0.1), (0.7, 0.2), (0.8, 0.4), (0.6, 0.3))))
+    counts = {}
+    for x in rows:
+        counts[x] = counts.get(x, 0) + 1
+    post = dict(zip(counts, pii.fit_em(list(counts.items()))))
+    unit, hit, false, prior = pii.SMOOTHING * len(rows), [0.8] * 4, [0.3] * 4, 0.5
+    for _ in range(50):
+        own = []
+        for x in rows:
+            a, b = prior, 1 - prior
+            for j, v in enumerate(x):
+                if v is not None:
+                    a *= hit[j] if v else 1 - hit[j]
+                    b *= false[j] if v else 1 - false[j]
+            own.append(a / (a + b))
+        prior = (sum(own) + unit) / (len(rows) + 2 * unit)
+        for j in range(4):
+            for table, share, ahead in ((hit, own, 0.8), (false, [1 - p for p in own], 0.3)):
+                table[j] = ((sum(w for w, x in zip(share, rows) if x[j] == 1) + 4 * unit * ahead)
+                            / (sum(w for w, x in zip(share, rows) if x[j] is not None) + 4 * unit))
+    assert all(abs(post[x] - p) < 1e-9 for x, p in zip(rows, own))
