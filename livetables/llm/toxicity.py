@@ -45,6 +45,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -91,6 +92,18 @@ def ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + length, length), length
 
 
+class _Words(dict):
+    """Numbers of words, in the order in which they are first asked for; `new` are those since the last look."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        at = self[word] = len(self)
+        self.new.append(word)
+        return at
+
+
 class Vocabulary:
     """Numbers of features, which are known by ascending 64-bit hashes, with a bounded memory of which words hold which.
 
@@ -101,7 +114,7 @@ class Vocabulary:
         self.hashes, self.max_words = hashes, max_words
         #: by number of a plain feature: those of its repeats (or -1)
         self.repeats = np.stack([self.find(repeated(hashes, n)) for n in REPEATS], axis=1)
-        self.words: dict[str, int] = {}
+        self.words = _Words()
         #: by number of a word: its features (or -1)
         self.held = np.full((1024, 3), -1, np.int32)
 
@@ -114,30 +127,32 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1).astype(np.int32)
         return np.where(self.hashes[at] == hashes, at, -1)
 
-    def _learn(self, words: Sequence[str]) -> None:
-        first = len(self.words)
-        self.words.update((w, first + i) for i, w in enumerate(words))
-        while len(self.words) > len(self.held):
+    def _learn(self) -> None:
+        words, last = self.words.new, len(self.words)
+        first = last - len(words)
+        while last > len(self.held):
             self.held = np.concatenate([self.held, np.full_like(self.held, -1)])
-        own = [features_of(w) for w in words]
-        found = self.find(np.fromiter((xxhash.xxh64_intdigest(f) for o in own for f in o), np.uint64))
-        line = np.repeat(np.arange(len(own)), [len(o) for o in own])
-        self.held[first:len(self.words)] = -1
-        self.held[first + line, np.concatenate([np.arange(len(o)) for o in own])] = found
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        self.held[first:last] = -1
+        forms = [words, *(["^" + w[:n] for w in words if len(w) > n] for n in (4, 5))]           # as `features_of`
+        for j, (some, least) in enumerate(zip(forms, (0, 4, 5))):
+            found = self.find(np.fromiter(map(xxhash.xxh64_intdigest, some), np.uint64, len(some)))
+            self.held[first + np.flatnonzero(length > least), j] = found
+        words.clear()
 
     def counts_of(self, texts: Sequence[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text: feature numbers and how often it has each."""
         if len(self.words) > self.max_words:
             self.words.clear()
         found = [Counter(_WORD.findall(t.lower())) for t in texts]
-        new = list({w: None for f in found for w in f if w not in self.words})
-        if new:
-            self._learn(new)
-        known, distinct, size = self.words, [len(f) for f in found], max(1, len(self.hashes))
-        held = self.held[np.fromiter((known[w] for f in found for w in f), np.int64, sum(distinct))]
+        distinct, size = [len(f) for f in found], max(1, len(self.hashes))
+        at = np.fromiter(map(self.words.__getitem__, chain.from_iterable(found)), np.int64, sum(distinct))
+        if self.words.new:
+            self._learn()
+        held = self.held[at]
         there = held >= 0
         line = np.broadcast_to(np.repeat(np.arange(len(found)), distinct)[:, None], held.shape)[there]
-        n = np.broadcast_to(np.fromiter((c for f in found for c in f.values()), np.int64, sum(distinct))[:, None], held.shape)[there]
+        n = np.broadcast_to(np.fromiter(chain.from_iterable(f.values() for f in found), np.int64, sum(distinct))[:, None], held.shape)[there]
         key = line * size + held[there]
         order = np.argsort(key)
         key = key[order]
