@@ -105,10 +105,14 @@ def cdc_parse(log: DataFrame, cells_schema: T.StructType | str, pk: str = "pk",
     Reasons: cells that aren't one JSON object, a value of the wrong type, a
     repeated cell, or a cell that is neither a column (collections included) nor a key.
     """
+    parsed = log.select("*", pinned_object(F.col(cells)).alias(PARSED))
+    return parsed.select("*", F.explode(F.array(_cell_faults(log, cells_schema, pk, ck, cells))).alias("reject_reason"))
+
+
+def _cell_faults(log: DataFrame, cells_schema: T.StructType | str, pk: str, ck: str, cells: str, converted: dict[str, Column] | None = None) -> Column:
     st, keys = _cells_and_keys(log, cells_schema, pk, ck)
     known = T.StructType([*st.fields, *(T.StructField(k, T.StringType()) for k in sorted(keys))])
-    parsed = log.select("*", pinned_object(F.col(cells)).alias(PARSED))
-    return parsed.withColumn("reject_reason", F.when(F.col(cells).isNotNull(), object_faults(F.col(f"{PARSED}.m"), known)))
+    return F.when(F.col(cells).isNotNull(), object_faults(F.col(f"{PARSED}.m"), known, converted=converted))
 
 
 def cdc_split(log: DataFrame, cells_schema: T.StructType | str, pk: str = "pk", ck: str = "ck",
@@ -135,15 +139,18 @@ def cdc_flatten(log: DataFrame, cells_schema: T.StructType | str, pk: str = "pk"
     st, _ = _cells_and_keys(log, cells_schema, pk, ck)
     if drop_complex:
         st = simple_cells_schema(st)
-    if strict:
-        log = cdc_parse(log.drop(PARSED), cells_schema, pk, ck, cells)
-        fine = F.col("reject_reason").isNull()
-        log = log.where(F.when(fine, F.lit(True)).otherwise(F.raise_error(F.col("reject_reason")))).drop("reject_reason")
-    elif PARSED not in log.columns:
-        log = log.select("*", pinned_object(F.col(cells)).alias(PARSED))
+    if strict or PARSED not in log.columns:
+        log = log.drop(PARSED).select("*", pinned_object(F.col(cells)).alias(PARSED))
     held = F.col(f"{PARSED}.m")
+    # converted once, too: what judges them and what selects them read the same values
+    values = F.struct(F.lit(None).alias("none"), *[convert(held[f.name], f.dataType).alias(f.name) for f in st.fields])
+    log = log.select("*", F.explode(F.array(values)).alias("__values"))
+    if strict:
+        fault = _cell_faults(log, cells_schema, pk, ck, cells, {f.name: F.col("__values")[f.name] for f in st.fields})
+        log = log.select("*", F.explode(F.array(fault)).alias("__fault"))
+        log = log.where(F.when(F.col("__fault").isNull(), F.lit(True)).otherwise(F.raise_error(F.col("__fault"))))
     names = F.coalesce(F.map_keys(held), F.array().cast("array<string>"))
-    return log.select(*keep, *[convert(held[f.name], f.dataType).alias(f.name) for f in st.fields],
+    return log.select(*keep, *[F.col("__values")[f.name].alias(f.name) for f in st.fields],
                       *[F.col(f"{pk}.{n}").alias(n) for n in _struct_fields(log, pk)],
                       *[F.col(f"{ck}.{n}").alias(n) for n in _struct_fields(log, ck)],
                       *([names.alias(present)] if present else []))

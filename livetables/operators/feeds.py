@@ -73,10 +73,12 @@ def convert(raw: Column, dtype: T.DataType) -> Column:
     return raw.try_cast(dtype)
 
 
-def object_faults(fields: Column, schema: T.StructType, reject_unknown_keys: bool = True) -> Column:
-    """Why a parsed object does not fit the columns; NULL if it does."""
-    keys = F.map_keys(fields)
-    wrong = [F.when(fields[f.name].isNotNull() & convert(fields[f.name], f.dataType).isNull(), F.lit(f.name)) for f in schema.fields]
+def object_faults(fields: Column, schema: T.StructType, reject_unknown_keys: bool = True,
+                  converted: dict[str, Column] | None = None) -> Column:
+    """Why a parsed object does not fit the columns; NULL if it does. `converted`: values that are at hand already."""
+    keys, known = F.map_keys(fields), converted or {}
+    wrong = [F.when(fields[f.name].isNotNull() & known.get(f.name, convert(fields[f.name], f.dataType)).isNull(), F.lit(f.name))
+             for f in schema.fields]
     wrong = F.array_join(F.array(*wrong).cast("array<string>"), ",") if wrong else F.lit("")
     unknown = F.array_except(keys, F.array(*[F.lit(f.name) for f in schema.fields]).cast("array<string>"))
     reason = (F.when(fields.isNull(), F.lit("not a JSON object"))
