@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from livetables.operators import changes, compact_files, contracts, feeds, flights, ticks
-from livetables.plans.loads import TICK_TABLES, enforce_not_null, load_ticks, tick_query
+from livetables.plans.loads import TICK_COMPRESSION, TICK_TABLES, enforce_not_null, load_ticks, tick_query
 from livetables.session import scratch_path, session_key, unique_name
 from livetables.sinks import generations
 from livetables.sinks import tables as sinks
@@ -274,10 +274,10 @@ def q_load_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staged load of generated ticks (one quote and trade per event, several days, staged in
     folders by day), then the last-quote rollup of the second day on the loaded tables."""
     events = table(spark, sf_dir, "events")
-    ids = events.select(_tick_id().alias("id"))
+    ids = generators.dealt_by_day(events.select(_tick_id().alias("id")), days=TICK_DAYS)
     path = scratch_path(spark, "staged_ticks")
-    generators.quotes_from_ids(ids, days=TICK_DAYS).write.partitionBy("date").parquet(f"{path}/quotes")
-    generators.trades_from_ids(ids, days=TICK_DAYS).write.partitionBy("date").parquet(f"{path}/trades")
+    for name, make in (("quotes", generators.quotes_from_ids), ("trades", generators.trades_from_ids)):
+        make(ids, days=TICK_DAYS).write.partitionBy("date").options(**TICK_COMPRESSION).parquet(f"{path}/{name}")
     symbols = (events.where(F.col("event_id") < generators.LISTED_SYMBOLS)
                .select(generators.symbol_name("event_id").alias("value")))
     symbols.write.parquet(f"{path}/symbols")

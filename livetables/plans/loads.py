@@ -20,6 +20,8 @@ from livetables.sources import generators
 from livetables.sources.tables import external_table, read_default
 
 TICK_TABLES = {"trades": "TRADES", "quotes": "QUOTES", "symbols": "S"}
+# Ticks are wide texts that differ in a few characters: files by zstd take well under half of Spark's default.
+TICK_COMPRESSION = {"compression": "zstd"}
 
 
 def enforce_not_null(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -64,7 +66,7 @@ def load_ticks(spark: SparkSession, path: str, provider: str = "column", prefix:
         create_table(spark, names[k], schema,
                      bucket_by="sym" if bucket_by_symbol else None,
                      buckets=(buckets or buckets_for(dfs[k].count())) if bucket_by_symbol else None,
-                     partition_by="date" if day_partitions else None)
+                     partition_by="date" if day_partitions else None, options=TICK_COMPRESSION)
     create_table(spark, names["symbols"], as_varchar(dfs["symbols"].schema))
     for k in ("trades", "quotes", "symbols"):
         df = dfs[k]

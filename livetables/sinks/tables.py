@@ -32,7 +32,8 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType | str, *,
                  fmt: str = "parquet", bucket_by: str | list[str] | None = None,
                  buckets: int | None = None, sort_by: str | list[str] | None = None,
                  partition_by: str | list[str] | None = None,
-                 if_not_exists: bool = False, properties: dict[str, str] | None = None) -> DataFrame:
+                 if_not_exists: bool = False, properties: dict[str, str] | None = None,
+                 options: dict[str, str] | None = None) -> DataFrame:
     """Create an empty table from a schema and return it.
 
     * bucket_by + buckets: bucketed (co-located) fact.
@@ -41,9 +42,12 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType | str, *,
       load's parallelism, so the number does not shape the write.
     * if_not_exists: the allow-existing flag; otherwise an existing table
       is an error.
+    * options: of the format, for every write to the table (`compression`).
     """
     cols = schema if isinstance(schema, str) else schema_ddl(schema)
     clauses = [f"USING {fmt}"]
+    if options:
+        clauses.append("OPTIONS (" + ", ".join(f"{sql_string(k)} = {sql_string(v)}" for k, v in options.items()) + ")")
     if partition_by:
         pcols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
         clauses.append("PARTITIONED BY (" + ", ".join(quote_name(c) for c in pcols) + ")")

@@ -78,6 +78,16 @@ def _day(id_col: Column, days: int) -> Column:
     return F.date_add(F.lit(BASE_DAY).cast("date"), step.cast("int")).cast("string")
 
 
+def dealt_by_day(ids: DataFrame, id_col: str = "id", days: int = 1, per_task: int = 250_000) -> DataFrame:
+    """The same ids, dealt to tasks by day and id, about `per_task` to each.
+
+    A write by day sorts each task's wide rows, which is done in memory for so
+    many; the ids that are dealt out are narrow. A task holds one day, or few.
+    """
+    tasks = max(1, -(-ids.count() // per_task))
+    return ids.repartitionByRange(tasks, _day(F.col(id_col), days), F.col(id_col))
+
+
 def quotes_from_ids(ids: DataFrame, id_col: str = "id", days: int = 1,
                     keep_id: bool = True) -> DataFrame:
     """One quote per id: sym, ex, bid, time, date, comment1..comment15.

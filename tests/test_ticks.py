@@ -203,3 +203,30 @@ def test_day_partitioned_load_prunes_folders(spark, scratch):
     df = res["last_quote_by_symbol"]
     assert "PartitionFilters: [isnotnull(date" in inspect.plan_text(df)
     assert df.count() > 0
+
+
+def test_loaded_ticks_and_their_staging_are_compact_files(spark, scratch):
+    import glob
+    import pyarrow.parquet as pq
+    from livetables.plans import catalog
+    spark.range(0, 6000, 1, 3).select(F.col("id").alias("event_id")).write.parquet(f"{scratch}/sf/events.parquet")
+    before = set(glob.glob(f"{catalog.scratch_path(spark, 'x').rsplit('/', 1)[0].removeprefix('file:')}/staged_ticks-*"))
+    assert catalog.q_load_ticks(spark, f"{scratch}/sf").count() > 0
+    prefix = catalog._LEFT[catalog.session_key(spark), "lt_staged"]
+    files = [f.removeprefix("file:") for t in ("QUOTES", "TRADES") for f in spark.table(prefix + t).inputFiles()]
+    staged = set(glob.glob(f"{catalog.scratch_path(spark, 'x').rsplit('/', 1)[0].removeprefix('file:')}/staged_ticks-*")) - before
+    files += [f for d in staged for k in ("quotes", "trades") for f in glob.glob(f"{d}/{k}/*/*.parquet")]
+    assert staged and {pq.ParquetFile(f).metadata.row_group(0).column(5).compression for f in files} == {"ZSTD"}
+    assert spark.table(prefix + "QUOTES").count() == spark.table(prefix + "TRADES").count() == 6000
+
+
+def test_ids_are_dealt_by_day_to_tasks_of_bounded_size(spark):
+    ids = spark.range(0, 100_000, 1, 2)
+    dealt = generators.dealt_by_day(ids, days=4, per_task=5000)
+    rows = dealt.select("id", F.spark_partition_id().alias("p")).collect()
+    assert sorted(r.id for r in rows) == list(range(100_000))
+    size, days = {}, {}
+    for r in rows:
+        size[r.p] = size.get(r.p, 0) + 1
+        days.setdefault(r.p, set()).add(r.id // 10_000 % 4)
+    assert len(size) == 20 and max(size.values()) < 10_000 and max(map(len, days.values())) <= 2
