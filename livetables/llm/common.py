@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
@@ -75,6 +76,16 @@ def likely(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
             .join(F.broadcast(marks), F.col("__own") == F.col("__bucket")).where(hit).select(*df.columns))
 
 
+def give_back() -> None:
+    """Hand memory that Python has freed back to the system, where the C library can do so.
+
+    Small freed objects otherwise stay with the driver's process, beside what the JVM takes in later steps.
+    """
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def col(name: str) -> Column:
     """A column by its exact name, dots and spaces included."""
     return F.col("`" + name.replace("`", "``") + "`")

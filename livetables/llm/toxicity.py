@@ -54,7 +54,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from livetables.llm.common import col, ship_package, text_or_empty, written
+from livetables.llm.common import col, give_back, ship_package, text_or_empty, written
 
 _WORD = re.compile(r"\w+")
 REPEATS = (2, 4)
@@ -482,6 +482,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         made = np.zeros(len(ids))
         made[told["id"].to_numpy()] = told["vote"].to_numpy()
         model.points, model.levels = isotonic(made, known, model.prior)
+    give_back()
     return model
 
 

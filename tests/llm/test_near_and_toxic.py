@@ -256,3 +256,12 @@ def test_evidence_is_the_true_nearest_and_no_label_breaks_ties(spark):
         assert all(np.isclose(cosines[e.doc_id], e.cosine) and e.toxic == toxic[e.doc_id] for e in scored[i])
     among = [e.toxic for e in scored[1000]]
     assert len(among) == 15 and 2 <= sum(among) <= 13              # half of the equal texts are toxic
+
+
+def test_fitting_hands_freed_memory_back(spark, monkeypatch):
+    """What fitting frees doesn't stay with the driver, beside what later steps take."""
+    calls = []
+    monkeypatch.setattr(toxicity, "give_back", lambda: calls.append(1))
+    rows = [(i, f"word{i} common") for i in range(40)]
+    toxicity.fit(docs(spark, rows), spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int"))
+    assert calls
