@@ -13,10 +13,13 @@ Features are known by 64-bit hashes; two that share one would count as one.
 Index. The examples' unit vectors are kept as posting lists by feature, cut into
 blocks of examples, with the largest weight of each (feature, block) that occurs.
 Features that at least 1 in `dense` examples have are kept as rows of a matrix
-instead, and multiplied for several texts at once. The products and the maxima of
-the rest bound every block's best cosine; blocks that can't reach the k-th best
-product are left out. Whatever rounding could still lift to the k-th place is
-added up again in full precision, so the k nearest examples are exact.
+instead, and multiplied for several texts at once. The features that cost most for
+the little they weigh, together at most the share `light` of all squared weights, are in
+neither: the products of their parts' lengths bound what they add to a cosine.
+The products, the maxima of the rest and these bounds bound every block's best cosine; blocks that
+can't reach the k-th best product are left out. The k best examples so far are added up over
+all features, and then whatever their bound could still lift to the k-th place, in full
+precision, so the k nearest examples are exact.
 
 Score. The neighbours vote with their cosines as weights, against `prior_votes`
 of the sample's share of toxic rows. An isotonic fit on the examples' own votes,
@@ -92,6 +95,18 @@ def ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + length, length), length
 
 
+def piece(x: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All [begin, end) (one at least) of an array, one after the other."""
+    return np.concatenate([x[a:b] for a, b in zip(begin.tolist(), end.tolist())])
+
+
+def reached(scores: np.ndarray, k: int, group: int = 64) -> float:
+    """A value that at least `k` of the scores reach, close to the k-th largest; 0 for fewer scores."""
+    if len(scores) % group == 0 and len(scores) >= 4 * k * group:
+        scores = scores.reshape(-1, group).max(axis=1)
+    return float(np.partition(scores, -k)[-k]) if len(scores) >= k else 0.0
+
+
 class _Words(dict):
     """Numbers of words, in the order in which they are first asked for; `new` are those since the last look."""
 
@@ -179,7 +194,8 @@ class Examples:
     begin: np.ndarray
     size: int                 # of the vocabulary
     block: int = 1024
-    dense: int = 32
+    dense: int = 16
+    light: float = 0.006
     made: "BlockMaxIndex | None" = None
 
     def __getstate__(self) -> dict:
@@ -187,7 +203,7 @@ class Examples:
 
     def index(self) -> "BlockMaxIndex":
         if self.made is None:
-            self.made = BlockMaxIndex._of(self.own, self.own_weights, self.begin, self.size, self.block, self.dense)
+            self.made = BlockMaxIndex._of(self.own, self.own_weights, self.begin, self.size, self.block, self.dense, self.light)
         return self.made
 
     def vector(self, line: int) -> tuple[np.ndarray, np.ndarray]:
@@ -203,7 +219,7 @@ class Examples:
 class BlockMaxIndex:
     """Exact nearest neighbours by inner product of sparse non-negative vectors.
 
-    A cell is a feature outside the matrix and a block of examples that has it; cells
+    A cell is a feature in the posting lists and a block of examples that has it; cells
     are in the order of features, then blocks, postings in the order of cells.
     """
 
@@ -211,9 +227,10 @@ class BlockMaxIndex:
     blocks: np.ndarray       # [cell]: number of the block
     top: np.ndarray          # [cell]: the largest weight
     ptr: np.ndarray          # [cell + 1]: where the postings of a cell begin
-    rows: np.ndarray         # [posting]: number of the example
-    weights: np.ndarray      # [posting]: weight
-    place: np.ndarray        # [feature]: its row of the matrix, or -1
+    postings: np.ndarray     # [posting]: number of the example, weight
+    place: np.ndarray        # [feature]: its row of the matrix, -1 in the posting lists, -2 if it is light
+    light: np.ndarray        # [example]: length of its vector's light part
+    light_top: np.ndarray    # [block]: the largest of them
     begin: np.ndarray        # [example + 1]: where an example's own vector begins
     own: np.ndarray          # features of the examples' vectors
     own_weights: np.ndarray
@@ -222,27 +239,44 @@ class BlockMaxIndex:
     dense: int
     matrix: np.ndarray | None = None         # [row, example], single precision; made where it is used
     query: np.ndarray | None = None          # [feature]: zeros, room for a query
+    asked: np.ndarray | None = None          # [feature]: false, room for the features of a query
 
     @classmethod
-    def build(cls, vectors: Sequence[tuple[np.ndarray, np.ndarray]], n_features: int, block: int = 64, dense: int = 32) -> BlockMaxIndex:
+    def build(cls, vectors: Sequence[tuple[np.ndarray, np.ndarray]], n_features: int, block: int = 64, dense: int = 16,
+              light: float = 0.006) -> BlockMaxIndex:
         own = np.concatenate([v[0] for v in vectors] or [np.zeros(0)]).astype(np.int32)
         own_weights = np.concatenate([v[1] for v in vectors] or [np.zeros(0)])
-        return cls._of(own, own_weights, np.append(0, np.cumsum([len(v[0]) for v in vectors], dtype=np.int64)), n_features, block, dense)
+        return cls._of(own, own_weights, np.append(0, np.cumsum([len(v[0]) for v in vectors], dtype=np.int64)), n_features, block, dense, light)
 
     @classmethod
-    def _of(cls, own: np.ndarray, own_weights: np.ndarray, begin: np.ndarray, n_features: int, block: int, dense: int) -> BlockMaxIndex:
+    def _of(cls, own: np.ndarray, own_weights: np.ndarray, begin: np.ndarray, n_features: int, block: int, dense: int,
+            light: float) -> BlockMaxIndex:
         size = len(begin) - 1
         row = np.repeat(np.arange(size, dtype=np.int32), np.diff(begin))
-        common = np.bincount(own, minlength=n_features) * dense >= max(1, size)
-        place = np.where(common, np.cumsum(common) - 1, -1)
-        rest = np.flatnonzero(place[own] < 0) if len(own) else np.zeros(0, np.int64)
+        having = np.bincount(own, minlength=n_features)
+        common = having * dense >= max(1, size)
+        # what a feature costs a text like the examples: its postings, or the dearer row of the matrix
+        cost = np.minimum(having.astype(np.float64) ** 2 / max(1, size), size / dense ** 2 if dense else np.inf)
+        squares = np.bincount(own, weights=own_weights * own_weights, minlength=n_features)
+        cheap = np.argsort(squares / np.maximum(cost, 1e-300), kind="stable")
+        slight = np.zeros(n_features, bool)
+        slight[cheap[np.cumsum(squares[cheap]) <= light * squares.sum()]] = True
+        common &= ~slight
+        place = np.where(slight, -2, np.where(common, np.cumsum(common) - 1, -1)).astype(np.int32)
+        small = slight[own] if len(own) else np.zeros(0, bool)
+        lengths = np.sqrt(np.bincount(row[small], weights=own_weights[small] ** 2, minlength=size))
+        tops = np.maximum.reduceat(lengths, np.arange(0, size, block)) if size else lengths
+        rest = np.flatnonzero(place[own] == -1) if len(own) else np.zeros(0, np.int64)
         rest = rest[np.argsort(own[rest], kind="stable")]          # rows ascend already
         feature, weight, row = own[rest], own_weights[rest], row[rest]
+        postings = np.empty(len(row), [("row", "i4"), ("weight", "f4")])
+        # weights rounded once more than in exact sums: `slack` allows for it
+        postings["row"], postings["weight"] = row, weight
         cell = feature.astype(np.int64) * (size // block + 1) + row // block
         first = np.flatnonzero(np.diff(cell, prepend=-1))
-        top = np.maximum.reduceat(weight, first) if len(first) else weight
+        top = np.maximum.reduceat(postings["weight"], first) if len(first) else weight
         return cls(np.searchsorted(feature[first], np.arange(n_features + 1)), row[first] // block, top, np.append(first, len(row)),
-                   row, weight, place, begin, own, own_weights, block, size, dense)
+                   postings, place, lengths, tops, begin, own, own_weights, block, size, dense)
 
     def _make_room(self) -> None:
         # columns up to a whole number of blocks
@@ -251,7 +285,7 @@ class BlockMaxIndex:
             features, weights = self.vector(line)
             at = self.place[features]
             self.matrix[at[at >= 0], line] = weights[at >= 0]
-        self.query = np.zeros(len(self.place))
+        self.query, self.asked = np.zeros(len(self.place)), np.zeros(len(self.place), bool)
 
     def vector(self, line: int) -> tuple[np.ndarray, np.ndarray]:
         """Features and weights of an example."""
@@ -268,37 +302,69 @@ class BlockMaxIndex:
             return [(np.zeros(0, np.int64), np.zeros(0)) for _ in queries]
         if self.matrix is None:
             self._make_room()
+        starts = np.append(0, np.cumsum([len(q[0]) for q in queries]))
+        line = np.repeat(np.arange(len(queries)), np.diff(starts))
+        features, weights = (np.concatenate([q[i] for q in queries]) for i in (0, 1))
+        place = self.place[features]
         wide = np.zeros((len(queries), len(self.matrix)), "f4")
-        for line, (features, query) in zip(wide, queries):
-            at = self.place[features]
-            line[at[at >= 0]] = query[at >= 0]
+        wide[line[place >= 0], place[place >= 0]] = weights[place >= 0]
         scores = wide @ self.matrix
-        best = scores.reshape(len(queries), -1, self.block).max(axis=2)
-        return [self._nearest(*q, k, s, b) for q, s, b in zip(queries, scores, best)]
-
-    def _nearest(self, features: np.ndarray, query: np.ndarray, k: int, scores: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        # all terms are >= 0, so the relative error of a sum is at most that of so many roundings
-        slack = 1 - 4 * (len(features) + 4) * 2.0 ** -24
-
-        def least() -> float:
-            return float(np.partition(scores, -k)[-k]) * slack if len(scores) >= k else 0.0
-        tail = self.place[features] < 0
+        light = np.sqrt(np.bincount(line[place == -2], weights=weights[place == -2] ** 2, minlength=len(queries)))
+        # the blocks' bounds, of all queries in one go
+        count = scores.shape[1] // self.block
+        tail = np.flatnonzero(place == -1)
         cells, length = ranges(self.cells[features[tail]], self.cells[features[tail] + 1])
-        if len(cells):
-            of, share = self.blocks[cells], np.repeat(query[tail], length)
-            bound = best + np.bincount(of, weights=share * self.top[cells], minlength=len(best))
-            some = (bound >= least())[of]
-            postings, length = ranges(self.ptr[cells[some]], self.ptr[cells[some] + 1])
-            scores = scores + np.bincount(self.rows[postings], weights=self.weights[postings] * np.repeat(share[some], length), minlength=len(scores))
-        bar = least()
-        some = np.flatnonzero(scores >= bar if bar > 0 else scores > 0)
-        at, length = ranges(self.begin[some], self.begin[some + 1])
-        self.query[features] = query
-        exact = np.bincount(np.repeat(np.arange(len(some)), length), weights=self.query[self.own[at]] * self.own_weights[at], minlength=len(some))
-        self.query[features] = 0
+        of = np.repeat(line[tail] * count, length) + self.blocks[cells]
+        bound = np.bincount(of, weights=np.repeat(weights[tail], length) * self.top[cells], minlength=len(queries) * count)
+        bound = bound.reshape(-1, count) + scores.reshape(len(queries), -1, self.block).max(axis=2) + light[:, None] * self.light_top
+        found = []
+        for i, (own, query) in enumerate(queries):
+            # all terms are >= 0, so the relative error of a sum is at most that of so many roundings
+            slack = 1 - 4 * (len(own) + 4) * 2.0 ** -24
+            kept = bound[i] >= reached(scores[i], k) * slack
+            some = tail[slice(*np.searchsorted(tail, starts[i:i + 2]))]
+            found.append(self._nearest(own, query, k, scores[i], light[i], slack, kept, features[some], weights[some]))
+        return found
+
+    def _nearest(self, features: np.ndarray, query: np.ndarray, k: int, scores: np.ndarray, light: float, slack: float,
+                 kept: np.ndarray, tail: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One query's: `scores` by the matrix, `light` the length of its light part, `kept` blocks, `tail` features and their weights."""
+        begin, end = self.cells[tail], self.cells[tail + 1]
+        if not kept.all():
+            cells, length = ranges(begin, end)
+            some = kept[self.blocks[cells]]
+            begin, end, share = cells[some], cells[some] + 1, np.repeat(share, length)[some]
+        begin, end = self.ptr[begin], self.ptr[end]
+        if len(begin):
+            found = piece(self.postings.view("i8"), begin, end).view(self.postings.dtype)
+            scores = scores + np.bincount(found["row"], weights=found["weight"] * np.repeat(share, end - begin), minlength=len(scores))
+        upper = scores[:self.size] + light * self.light
+        self.query[features], self.asked[features] = query, True
+        best, most, bar = np.zeros(0, np.int64), np.zeros(0), 0.0
+        if self.size >= k:
+            best = np.flatnonzero(scores[:self.size] >= reached(scores, k))
+            best = best[np.argpartition(scores[best], -k)[-k:]]
+            most = self._exact(best)
+            bar = float(most.min()) * slack                   # no example whose bound is below it is among the k best
+        rest = upper >= bar if bar > 0 else upper > 0
+        rest[best] = False
+        rest = np.flatnonzero(rest)
+        some, exact = np.concatenate([best, rest]), np.concatenate([most, self._exact(rest)])
+        self.query[features], self.asked[features] = 0, False
+        some, exact = some[exact > 0], exact[exact > 0]
         order = np.lexsort((some, -exact))[:k]
         return some[order], exact[order]
 
+    def _exact(self, some: np.ndarray) -> np.ndarray:
+        """Products of some examples with `query`, over all features."""
+        if not len(some):
+            return np.zeros(0)
+        begin, end = self.begin[some], self.begin[some + 1]
+        own, weights = piece(self.own, begin, end), piece(self.own_weights, begin, end)
+        shared = np.flatnonzero(self.asked[own])              # by a small table first
+        line = np.repeat(np.arange(len(some)), end - begin)[shared]
+        return np.bincount(line, weights=self.query[own[shared]] * weights[shared], minlength=len(some))
+
 
 def isotonic(x: np.ndarray, y: np.ndarray, prior: float, weight: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
     """Step points and levels of the non-decreasing fit of y on x; each level leans on `weight` rows of `prior`."""

@@ -258,6 +258,30 @@ def test_evidence_is_the_true_nearest_and_no_label_breaks_ties(spark):
     assert len(among) == 15 and 2 <= sum(among) <= 13              # half of the equal texts are toxic
 
 
+@settings(max_examples=20, deadline=None)
+@given(st.integers(0, 10 ** 6), st.integers(1, 15), st.sampled_from([0.0, 0.05, 0.4, 1.0]), st.sampled_from([0, 4, 16]))
+def test_search_is_exact_with_light_features_left_out(seed, k, light, dense):
+    """Common features of little weight are in neither matrix nor postings; their bound keeps the k best exact."""
+    rng = np.random.default_rng(seed)
+    weight = np.where(np.arange(300) < 100, 0.02, 1.0)
+    made = []
+    for _ in range(700):
+        f = np.unique(np.concatenate([rng.integers(0, 100, 40), 100 + (200 * rng.random(4) ** 2).astype(int)]))
+        made.append((f, (rng.random(len(f)) + 0.1) * weight[f]))
+    index = toxicity.BlockMaxIndex.build(made, 300, block=64, dense=dense, light=light)
+    asked = made[:20] + [(f[:30], w[:30]) for f, w in made[20:40]] + [(np.array([299]), np.ones(1)), (np.zeros(0, np.int64), np.zeros(0))]
+    found = index.nearest_of(asked, k)
+    if light and dense:
+        assert (index.place == -2).any() and len(index.matrix) < sum(np.bincount(np.concatenate([f for f, _ in made])) * dense >= 700)
+    table = np.zeros((700, 300))
+    for row, (f, w) in zip(table, made):
+        row[f] = w
+    for (f, q), (best, scores) in zip(asked, found):
+        all_ = table[:, f.astype(int)] @ q
+        want = np.sort(all_[all_ > 0])[::-1][:k]
+        assert np.allclose(scores, want) and np.allclose(all_[best], want)
+
+
 def test_fitting_hands_freed_memory_back(spark, monkeypatch):
     """What fitting frees doesn't stay with the driver, beside what later steps take."""
     calls = []
