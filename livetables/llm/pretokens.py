@@ -101,7 +101,7 @@ class WordCache:
         for piece in new:
             word = piece[:-1] if piece[-1] in _MARKS else piece
             if word.isalpha():
-                if word not in ids and word not in older:
+                if word is piece or word not in ids and word not in older:           # a new piece is in neither
                     words.add(word)
                 if word is not piece:
                     marked.append(piece)

@@ -107,3 +107,19 @@ def test_store_of_an_empty_table_and_null_ids(spark):
     token_store.write_store(rows, path, JSON)
     got = [(r.doc_id, r.start, len(r.ids)) for r in token_store.read_store(spark, path).orderBy("start").collect()]
     assert got == [(None, 0, 1), (None, 1, 2), (1, 3, 2)]
+
+
+def test_a_word_of_the_older_generation_serves_its_marked_form():
+    """A word that only the older generation holds is not encoded again for its marked form."""
+    from livetables.llm.pretokens import WordCache
+
+    asked = []
+
+    def encode_many(texts):
+        asked.append(list(texts))
+        return [t.encode() for t in texts]
+    cache = WordCache(encode_many, max_words=3)
+    texts = ["one two three four five", "one two, three", "five. five five, two"]
+    for t in texts * 2:
+        assert cache.encode([t, t]) == [t.encode()] * 2
+    assert sum(" four" in x for x in asked) <= 2
