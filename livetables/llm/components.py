@@ -12,8 +12,9 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node goes to the smallest of the node's neighbourhood."""
     both = edges.union(edges.select("b", "a"))
     least = both.groupBy(F.col("a").alias("n")).agg(F.min(F.least("a", "b")).alias("m"))
+    # at most a row for each edge and end; what repeats goes with the small star's
     moved = both.join(least, both["a"] == least["n"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return moved.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -24,8 +25,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether every edge (larger, smaller) points from a node to its root: one for each node, none from a root."""
+    ends = edges.select(F.col("a").alias("n"), F.col("b").alias("root")).union(edges.select(F.col("b").alias("n"), F.col("b").alias("root")))
+    return ends.groupBy("n").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -33,15 +36,11 @@ def components(links: DataFrame) -> DataFrame:
 
     The steps only aggregate by minimum and join, so a node with very many links
     is split by AQE; their number grows with the logarithm of the graph's width.
+    Links are read several times, so they should be `written`.
     """
-    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-                    "links")
-    mark = _mark(edges)
-    while True:
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    while not _settled(edges):
         edges = written(_small_star(_large_star(edges)), "links")
-        before, mark = mark, _mark(edges)
-        if mark == before:
-            break
     # settled: every edge points from a node to its root
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()

@@ -189,15 +189,15 @@ def common_shingles(texts: DataFrame, p: Params) -> Weights:
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, some], pa.int32()), pa.array(np.r_[total, counts[some]], pa.int64())],
                                          names=["bucket", "n"])
-    totals = written(texts.mapInArrow(hashed, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")), "shingle-buckets")
-    total = totals.where("bucket = -1").agg(F.sum("n")).first()[0] or 0
+    # at most a row for each bucket of the table, whatever the input
+    told = texts.mapInArrow(hashed, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros((1 << _BUCKET_BITS) + 1, np.int64)
+    counts[told["bucket"].to_numpy()] = told["n"].to_numpy()        # the number of documents comes last, as -1
+    total = int(counts[-1])
     least = max(2.0, p.common * total)
-    # at most (distinct shingles per text) / common buckets reach the share
-    heavy = [r["bucket"] for r in totals.where((F.col("bucket") >= 0) & (F.col("n") >= least)).select("bucket").collect()]
-    if not heavy:
+    mask = counts[:-1] >= least
+    if not mask.any():
         return Weights(np.zeros(0, np.uint64), np.zeros(0))
-    mask = np.zeros(1 << _BUCKET_BITS, bool)
-    mask[heavy] = True
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -242,26 +242,39 @@ def signatures(rows: DataFrame, weights: Weights, p: Params) -> DataFrame:
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, key binary, total double, bands array<long>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, weights: Weights, p: Params) -> DataFrame:
-    """Pairs (a, b) of ids whose texts reach the threshold."""
-    kind = pairs.schema["a"].dataType.simpleString()
+class _Shingled:
+    """Weighted shingles of texts, with a bounded memory: the pairs of a group have the same few texts many times."""
+
+    def __init__(self, weights: Weights, words: int, most: int = 1_000_000):
+        self.weights, self.words, self.most = weights, words, most
+        self.known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        self.held = 0
+
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        made = self.known.get(text)
+        if made is None:
+            found, counts = shingles(words_of(text), self.words)
+            made = found, self.weights.of(found, counts)
+            if self.held > self.most:
+                self.known.clear()
+                self.held = 0
+            self.known[text] = made
+            self.held += len(found) + 64
+        return made
+
 
+def verified(pairs: DataFrame, texts: DataFrame, weights: Weights, p: Params) -> DataFrame:
+    """The pairs (a, b, perhaps more columns) of ids whose texts reach the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, None)                              # rows come sorted by a
+        known = _Shingled(weights, p.words)
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                keep = []
-                for a, a_text, b_text in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist()):
-                    if last[0] != a:
-                        found, counts = shingles(words_of(a_text), p.words)
-                        last = (a, (found, weights.of(found, counts)))
-                    found, counts = shingles(words_of(b_text), p.words)
-                    keep.append(similarity(last[1], (found, weights.of(found, counts))) >= p.threshold)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                keep = [similarity(known.of(a), known.of(b)) >= p.threshold for a, b in zip(*(c.to_pylist() for c in part.columns[-2:]))]
+                yield part.select(part.schema.names[:-2]).filter(pa.array(keep, pa.bool_()))
     of_b = pairs.join(likely(texts, "id", pairs.select("b")).select(F.col("id").alias("b"), F.col("t").alias("b_text")), "b")
     both = of_b.join(likely(texts, "id", pairs.select("a")).select(F.col("id").alias("a"), F.col("t").alias("a_text")), "a")
-    return both.select("a", "b", "a_text", "b_text").mapInArrow(run, f"a {kind}, b {kind}")
+    return both.select(*pairs.columns, "a_text", "b_text").mapInArrow(run, pairs.schema)
 
 
 def own_weight(nodes: DataFrame, texts: DataFrame, weights: Weights, p: Params) -> DataFrame:
@@ -290,12 +303,8 @@ def _of(texts: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, root) with the classes that links connect made one."""
-    ends = links
-    for end in ("a", "b"):
-        ends = (ends.join(classes.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end).drop(end)
-                .withColumnRenamed(f"{end}_root", end))
-    new = components(ends)
+    """(node, root) with the classes that links (of roots) connect made one."""
+    new = components(links)
     return (classes.join(new.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
             .select("node", F.coalesce("to", "root").alias("root")))
 
@@ -314,20 +323,22 @@ def classes_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", p:
     crowds = spread.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = spread.join(crowds, ["band", "hash"])
     members = written(members.drop("n").withColumn("own", F.lit(0.0)), "near-buckets")
-    involved = members.select("node").distinct()
-    texts = written(_of(rows, involved), "near-texts")
-    classes = written(involved.select("node", F.col("node").alias("root")), "near-classes")
+    texts = written(_of(rows, members.select("node")), "near-texts")
+    classes = members.select("node", F.col("node").alias("root")).distinct()
     tested = None
     for choice in range(star_rounds + 1):
-        placed = members.join(classes, "node")
-        mixed = (placed.groupBy("band", "hash").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-                 .where("low <> high").select("band", "hash"))
-        open_ = written(placed.join(mixed, ["band", "hash"]), "near-open")
+        if choice:
+            placed = members.join(classes, "node")
+            mixed = (placed.groupBy("band", "hash").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+                     .where("low <> high").select("band", "hash"))
+            open_ = written(placed.join(mixed, ["band", "hash"]), "near-open")
+        else:
+            open_ = members.withColumn("root", F.col("node"))     # at first each is a class of its own
         if open_.isEmpty():
             break
         if choice:
             # what a text shares with any other bounds its intersections: texts with too much of their own are out
-            own = own_weight(open_.select("node").distinct(), texts, weights, p)
+            own = own_weight(open_.select("node"), texts, weights, p)
             open_ = written(open_.drop("own").join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0.0)))
                             .where(F.col("total") - F.col("own") >= p.threshold * F.col("total") * (1 - 1e-9)), "near-shared")
             members = open_.drop("root")
@@ -349,12 +360,13 @@ def classes_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", p:
             first = F.array_position(F.zip_with("a_bands", "bands", lambda x, y: x == y), True) == F.col("band") + 1
             apart = apart & (F.col("a") < F.col("node")) & first
         pairs = (open_.join(hubs, ["band", "hash"]).where(apart)
-                 .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
+                 .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"),
+                         F.least("a_root", "root").alias("low"), F.greatest("a_root", "root").alias("high")).distinct())
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "near-pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        links = written(verified(pairs, texts, weights, p), "near-links")
+        tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
+        links = written(verified(pairs, texts, weights, p).select(F.col("low").alias("a"), F.col("high").alias("b")), "near-links")
         if not links.isEmpty():
             classes = written(_merged(classes, links), "near-classes")
     named = nodes.select("key", "node").join(classes.where("node <> root"), "node", "left").select("key", F.coalesce("root", "node").alias("class_id"))

@@ -115,6 +115,30 @@ def test_components_of_a_path_a_star_and_a_cycle(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_settled_components_take_no_step(spark, monkeypatch):
+    from livetables.llm import components as module
+
+    steps = []
+    monkeypatch.setattr(module, "written", lambda df, name: steps.append(name) or df)
+    stars = spark.createDataFrame([(0, 3), (4, 0), (4, 0), (7, 9)], "a long, b long")
+    assert {r.node: r.root for r in components(stars).collect()} == {0: 0, 3: 0, 4: 0, 7: 7, 9: 7}
+    assert steps == []
+    path = spark.createDataFrame([(0, 1), (1, 2)], "a long, b long")
+    assert {r.node: r.root for r in components(path).collect()} == {0: 0, 1: 0, 2: 0}
+    assert len(steps) == 1                                    # not one more to see that nothing changes
+
+
+def test_a_text_of_many_pairs_is_cut_once(monkeypatch):
+    asked = []
+    monkeypatch.setattr(near_dup, "words_of", lambda t: asked.append(t) or t.split())
+    known = near_dup._Shingled(near_dup.Weights(np.zeros(0, np.uint64), np.zeros(0)), 2, most=150)
+    first = known.of("a b c")
+    assert known.of("a b c") is first and asked == ["a b c"]
+    for i in range(6):                                        # bounded: forgets, and makes the same again
+        known.of(f"a b {i}")
+    assert len(known.known) < 5 and np.array_equal(known.of("a b c")[0], first[0])
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(0, 10 ** 6), st.integers(1, 200), st.integers(1, 12))
 def test_block_max_search_is_exact(seed, size, k):
