@@ -52,6 +52,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,7 +63,7 @@ from livetables.llm.common import col, give_back, ship_package, text_or_empty, w
 _WORD = re.compile(r"\w+")
 REPEATS = (2, 4)
 EVIDENCE = "array<struct<doc_id:long,cosine:double,toxic:int>>"
-_STEP = 64                                # texts handled at a time
+_STEP = 128                               # texts handled at a time
 
 
 def features_of(word: str) -> list[str]:
@@ -100,6 +101,20 @@ def piece(x: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.concatenate([x[a:b] for a, b in zip(begin.tolist(), end.tolist())])
 
 
+def strings(texts: pa.Array) -> list[str]:
+    """A list of the texts, none of them null (one by one, Arrow's own takes several times as long)."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
+def hashed(features: Sequence[str]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, features), np.uint64, len(features))
+
+
+def slack(n: int) -> float:
+    """What a bar loses for the roundings of a query of `n` features: all terms are >= 0, so a sum's relative error is at most theirs."""
+    return 1 - 4 * (n + 4) * 2.0 ** -24
+
+
 def reached(scores: np.ndarray, k: int, group: int = 64) -> float:
     """A value that at least `k` of the scores reach, close to the k-th largest; 0 for fewer scores."""
     if len(scores) % group == 0 and len(scores) >= 4 * k * group:
@@ -107,68 +122,97 @@ def reached(scores: np.ndarray, k: int, group: int = 64) -> float:
     return float(np.partition(scores, -k)[-k]) if len(scores) >= k else 0.0
 
 
-class _Words(dict):
-    """Numbers of words, in the order in which they are first asked for; `new` are those since the last look."""
+class _Starts(dict):
+    """Numbers of starts of words, in the order in which they are first asked for; `new` are those since the last look."""
 
     def __init__(self) -> None:
         self.new: list[str] = []
 
-    def __missing__(self, word: str) -> int:
-        at = self[word] = len(self)
-        self.new.append(word)
+    def __missing__(self, start: str) -> int:
+        at = self[start] = len(self)
+        self.new.append(start)
         return at
 
 
 class Vocabulary:
-    """Numbers of features, which are known by ascending 64-bit hashes, with a bounded memory of which words hold which.
+    """Numbers of features, which are known by ascending 64-bit hashes, with a bounded memory of which starts hold which.
 
     A repeat ("at least n times") only counts with its plain feature.
     """
 
-    def __init__(self, hashes: np.ndarray, max_words: int = 300_000):
-        self.hashes, self.max_words = hashes, max_words
+    def __init__(self, hashes: np.ndarray, max_starts: int = 200_000):
+        self.hashes, self.max_starts = hashes, max_starts
+        #: by a hash's first bits (more values than there are features): where hashes that begin so do
+        bits = len(hashes).bit_length() + 1
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(hashes >> self.shift, np.arange(2 ** bits + 1, dtype=np.uint64)).astype(np.int32)
         #: by number of a plain feature: those of its repeats (or -1)
         self.repeats = np.stack([self.find(repeated(hashes, n)) for n in REPEATS], axis=1)
-        self.words = _Words()
-        #: by number of a word: its features (or -1)
-        self.held = np.full((1024, 3), -1, np.int32)
+        self.starts = _Starts()
+        #: by number of a start: its feature (or -1)
+        self.started = np.zeros(0, np.int32)
 
     def __reduce__(self):
-        return Vocabulary, (self.hashes, self.max_words)
+        return Vocabulary, (self.hashes, self.max_starts)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.full(len(hashes), -1, np.int32)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1).astype(np.int32)
-        return np.where(self.hashes[at] == hashes, at, -1)
-
-    def _learn(self) -> None:
-        words, last = self.words.new, len(self.words)
-        first = last - len(words)
-        while last > len(self.held):
-            self.held = np.concatenate([self.held, np.full_like(self.held, -1)])
-        length = np.fromiter(map(len, words), np.int64, len(words))
-        self.held[first:last] = -1
-        forms = [words, *(["^" + w[:n] for w in words if len(w) > n] for n in (4, 5))]           # as `features_of`
-        for j, (some, least) in enumerate(zip(forms, (0, 4, 5))):
-            found = self.find(np.fromiter(map(xxhash.xxh64_intdigest, some), np.uint64, len(some)))
-            self.held[first + np.flatnonzero(length > least), j] = found
-        words.clear()
+        """The numbers of features by their hashes, -1 for others."""
+        found = np.full(len(hashes), -1, np.int32)
+        head = (hashes >> self.shift).astype(np.int64)
+        at, end = self.first[head], self.first[head + 1]
+        live = np.flatnonzero(at < end)
+        while len(live):
+            hit = self.hashes[at[live]] == hashes[live]
+            found[live[hit]] = at[live[hit]]
+            live = live[~hit]
+            at[live] += 1
+            live = live[at[live] < end[live]]
+        return found
 
-    def counts_of(self, texts: Sequence[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each text: feature numbers and how often it has each."""
-        if len(self.words) > self.max_words:
-            self.words.clear()
-        found = [Counter(_WORD.findall(t.lower())) for t in texts]
-        distinct, size = [len(f) for f in found], max(1, len(self.hashes))
-        at = np.fromiter(map(self.words.__getitem__, chain.from_iterable(found)), np.int64, sum(distinct))
-        if self.words.new:
-            self._learn()
-        held = self.held[at]
+    def held(self, words: list[str]) -> np.ndarray:
+        """The features of each word as `features_of` has them (or -1)."""
+        held = np.full((len(words), 3), -1, np.int32)
+        held[:, 0] = self.find(hashed(words))
+        if len(self.starts) > self.max_starts:
+            self.starts, self.started = _Starts(), self.started[:0]
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        numbers = [np.array([self.starts[w[:n]] for w in words if len(w) > n], np.int64) for n in (4, 5)]
+        new = self.starts.new
+        self.started = np.append(self.started, self.find(hashed(["^" + w for w in new])))
+        new.clear()
+        for j, (some, n) in enumerate(zip(numbers, (4, 5)), 1):
+            held[length > n, j] = self.started[some]
+        return held
+
+    def counted(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The texts' features: number of the text, of the feature, and how often the text has it."""
+        # cut at white space, which no word holds; what differs of that is looked at word by word
+        cut = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.large_string()))
+        tokens = cut.values.dictionary_encode()
+        words, size = strings(tokens.dictionary), max(1, len(self.hashes))
+        key = np.repeat(np.arange(len(texts)) * max(1, len(words)), np.diff(cut.offsets.to_numpy())) + tokens.indices.to_numpy()
+        key = np.sort(key)
+        start = np.flatnonzero(np.diff(key, prepend=-1))
+        (line, at), n = np.divmod(key[start], max(1, len(words))), np.diff(start, append=len(key))
+        more = {}
+        for i in [i for i, w in enumerate(words) if not w.isalnum()]:
+            token = words[i]
+            if token[:-1].isalnum() and token[-1] != "_":
+                words[i] = token[:-1]
+            else:
+                # the first word takes the token's place (without any: an empty one, no feature), the others come behind
+                words[i], *others = _WORD.findall(token) or [""]
+                if others:
+                    more[i] = others
+        if more:
+            extra = [(p, w) for p in np.flatnonzero(np.isin(at, list(more))).tolist() for w in more[int(at[p])]]
+            p, first = np.array([p for p, _ in extra]), len(words)
+            words += [w for _, w in extra]
+            line, n, at = np.append(line, line[p]), np.append(n, n[p]), np.append(at, np.arange(first, len(words)))
+        held = self.held(words)[at]
         there = held >= 0
-        line = np.broadcast_to(np.repeat(np.arange(len(found)), distinct)[:, None], held.shape)[there]
-        n = np.broadcast_to(np.fromiter(chain.from_iterable(f.values() for f in found), np.int64, sum(distinct))[:, None], held.shape)[there]
-        key = line * size + held[there]
+        key = ((line * size)[:, None] + held)[there]
+        n = np.broadcast_to(n[:, None], held.shape)[there]
         order = np.argsort(key)
         key = key[order]
         start = np.flatnonzero(np.diff(key, prepend=-1))
@@ -176,11 +220,17 @@ class Vocabulary:
         line, numbers = np.divmod(key[start], size)
         parts = [(line, numbers, totals)]
         for j, least in enumerate(REPEATS):
-            more = np.flatnonzero((totals >= least) & (self.repeats[numbers, j] >= 0))
+            more = np.flatnonzero(totals >= least)
+            more = more[self.repeats[numbers[more], j] >= 0]
             parts.append((line[more], self.repeats[numbers[more], j].astype(np.int64), totals[more]))
         line, numbers, totals = (np.concatenate(p) for p in zip(*parts))
+        return line, numbers, totals
+
+    def counts_of(self, texts: Sequence[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text: feature numbers and how often it has each."""
+        line, numbers, totals = self.counted(texts)
         order = np.argsort(line, kind="stable")
-        ends = np.searchsorted(line[order], np.arange(len(found) + 1))
+        ends = np.searchsorted(line[order], np.arange(len(texts) + 1))
         numbers, totals = numbers[order], totals[order].astype(np.float64)
         return [(numbers[x:y], totals[x:y]) for x, y in zip(ends[:-1], ends[1:])]
 
@@ -240,6 +290,8 @@ class BlockMaxIndex:
     matrix: np.ndarray | None = None         # [row, example], single precision; made where it is used
     query: np.ndarray | None = None          # [feature]: zeros, room for a query
     asked: np.ndarray | None = None          # [feature]: false, room for the features of a query
+    light_most: float = 0.0                  # the largest of `light`
+    idle: int = 0                            # how often in a row the bounds have left out next to nothing
 
     @classmethod
     def build(cls, vectors: Sequence[tuple[np.ndarray, np.ndarray]], n_features: int, block: int = 64, dense: int = 16,
@@ -270,7 +322,7 @@ class BlockMaxIndex:
         rest = rest[np.argsort(own[rest], kind="stable")]          # rows ascend already
         feature, weight, row = own[rest], own_weights[rest], row[rest]
         postings = np.empty(len(row), [("row", "i4"), ("weight", "f4")])
-        # weights rounded once more than in exact sums: `slack` allows for it
+        # weights and products rounded once more than in exact sums: `slack` allows for it
         postings["row"], postings["weight"] = row, weight
         cell = feature.astype(np.int64) * (size // block + 1) + row // block
         first = np.flatnonzero(np.diff(cell, prepend=-1))
@@ -286,6 +338,7 @@ class BlockMaxIndex:
             at = self.place[features]
             self.matrix[at[at >= 0], line] = weights[at >= 0]
         self.query, self.asked = np.zeros(len(self.place)), np.zeros(len(self.place), bool)
+        self.light_most = float(self.light_top.max(initial=0.0))
 
     def vector(self, line: int) -> tuple[np.ndarray, np.ndarray]:
         """Features and weights of an example."""
@@ -310,46 +363,59 @@ class BlockMaxIndex:
         wide[line[place >= 0], place[place >= 0]] = weights[place >= 0]
         scores = wide @ self.matrix
         light = np.sqrt(np.bincount(line[place == -2], weights=weights[place == -2] ** 2, minlength=len(queries)))
-        # the blocks' bounds, of all queries in one go
-        count = scores.shape[1] // self.block
         tail = np.flatnonzero(place == -1)
-        cells, length = ranges(self.cells[features[tail]], self.cells[features[tail] + 1])
-        of = np.repeat(line[tail] * count, length) + self.blocks[cells]
-        bound = np.bincount(of, weights=np.repeat(weights[tail], length) * self.top[cells], minlength=len(queries) * count)
-        bound = bound.reshape(-1, count) + scores.reshape(len(queries), -1, self.block).max(axis=2) + light[:, None] * self.light_top
+        kept = self._kept(queries, scores, light, line[tail], features[tail], weights[tail], k)
+        weights = weights.astype("f4")
         found = []
         for i, (own, query) in enumerate(queries):
-            # all terms are >= 0, so the relative error of a sum is at most that of so many roundings
-            slack = 1 - 4 * (len(own) + 4) * 2.0 ** -24
-            kept = bound[i] >= reached(scores[i], k) * slack
             some = tail[slice(*np.searchsorted(tail, starts[i:i + 2]))]
-            found.append(self._nearest(own, query, k, scores[i], light[i], slack, kept, features[some], weights[some]))
+            found.append(self._nearest(own, query, k, scores[i], light[i], None if kept is None else kept[i], features[some], weights[some]))
         return found
 
-    def _nearest(self, features: np.ndarray, query: np.ndarray, k: int, scores: np.ndarray, light: float, slack: float,
-                 kept: np.ndarray, tail: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _kept(self, queries: Sequence[tuple[np.ndarray, np.ndarray]], scores: np.ndarray, light: np.ndarray, line: np.ndarray,
+              features: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray | None:
+        """Which blocks may hold a query's best examples, by the bounds of all queries in one go; None for all.
+
+        Bounds that leave out next to nothing are asked for less and less often: they only save time.
+        """
+        if self.idle and self.idle & (self.idle - 1) and self.idle % 64:
+            self.idle += 1
+            return None
+        count = scores.shape[1] // self.block
+        cells, length = ranges(self.cells[features], self.cells[features + 1])
+        of = np.repeat(line * count, length) + self.blocks[cells]
+        bound = np.bincount(of, weights=np.repeat(weights, length) * self.top[cells], minlength=len(queries) * count)
+        bound = bound.reshape(-1, count) + scores.reshape(len(queries), -1, self.block).max(axis=2) + light[:, None] * self.light_top
+        kept = np.array([b >= reached(s, k) * slack(len(q[0])) for b, s, q in zip(bound, scores, queries)])
+        self.idle = 0 if kept.mean() < 0.9 else self.idle + 1
+        return kept
+
+    def _nearest(self, features: np.ndarray, query: np.ndarray, k: int, scores: np.ndarray, light: float,
+                 kept: np.ndarray | None, tail: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One query's: `scores` by the matrix, `light` the length of its light part, `kept` blocks, `tail` features and their weights."""
         begin, end = self.cells[tail], self.cells[tail + 1]
-        if not kept.all():
+        if kept is not None and not kept.all():
             cells, length = ranges(begin, end)
             some = kept[self.blocks[cells]]
             begin, end, share = cells[some], cells[some] + 1, np.repeat(share, length)[some]
         begin, end = self.ptr[begin], self.ptr[end]
         if len(begin):
-            found = piece(self.postings.view("i8"), begin, end).view(self.postings.dtype)
-            scores = scores + np.bincount(found["row"], weights=found["weight"] * np.repeat(share, end - begin), minlength=len(scores))
-        upper = scores[:self.size] + light * self.light
-        self.query[features], self.asked[features] = query, True
-        best, most, bar = np.zeros(0, np.int64), np.zeros(0), 0.0
+            found = piece(self.postings.view("i8"), begin, end)
+            weight = found.view("f4")[1::2] * np.repeat(share, end - begin)
+            scores = scores + np.bincount(found & 0xffffffff, weights=weight, minlength=len(scores))
+        scores = scores[:self.size]
+        # light parts only add: what the k-th best has without them, no example whose bound is below it is among the k best
+        bar = 0.0
         if self.size >= k:
-            best = np.flatnonzero(scores[:self.size] >= reached(scores, k))
-            best = best[np.argpartition(scores[best], -k)[-k:]]
-            most = self._exact(best)
-            bar = float(most.min()) * slack                   # no example whose bound is below it is among the k best
-        rest = upper >= bar if bar > 0 else upper > 0
-        rest[best] = False
-        rest = np.flatnonzero(rest)
-        some, exact = np.concatenate([best, rest]), np.concatenate([most, self._exact(rest)])
+            best = scores[scores >= reached(scores, k)]
+            bar = float(np.partition(best, -k)[-k]) * slack(len(features))
+        if bar > 0:
+            some = np.flatnonzero(scores >= bar - light * self.light_most)
+            some = some[scores[some] + light * self.light[some] >= bar]
+        else:
+            some = np.flatnonzero(scores + light * self.light > 0)
+        self.query[features], self.asked[features] = query, True
+        exact = self._exact(some)
         self.query[features], self.asked[features] = 0, False
         some, exact = some[exact > 0], exact[exact > 0]
         order = np.lexsort((some, -exact))[:k]
@@ -501,10 +567,14 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     rows = sample.repartition(tasks).mapInArrow(vectors, "id long, toxic int, f binary, c binary").toArrow()
 
     def frequencies(texts: Iterator[list[str]]) -> Iterator[pa.RecordBatch]:
-        total, counts = 0, np.zeros(size, np.int64)
-        for some in texts:
-            total += len(some)
-            counts += np.bincount(np.concatenate([f for f, _ in shared.value.counts_of(some)]), minlength=size)
+        total, counts, held = 0, np.zeros(size, np.int64), []
+        for some in chain(texts, [None]):
+            if held and (some is None or len(held) == 16):
+                counts += np.bincount(np.concatenate(held), minlength=size)
+                held.clear()
+            if some is not None:
+                total += len(some)
+                held.append(shared.value.counted(some)[1])
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"f": pa.array(np.append(-1, some), pa.int32()), "n": pa.array(np.append(total, counts[some]), pa.int64())})
     told = _map_texts(docs.select(text_or_empty(text_col).alias("t")), frequencies, "f int, n long")

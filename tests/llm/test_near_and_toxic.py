@@ -1,9 +1,12 @@
 """Near duplicates and toxicity against brute force and held-out labels."""
 
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -313,3 +316,41 @@ def test_fitting_hands_freed_memory_back(spark, monkeypatch):
     rows = [(i, f"word{i} common") for i in range(40)]
     toxicity.fit(docs(spark, rows), spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int"))
     assert calls
+
+
+def test_features_of_many_texts_at_once_equal_a_plain_count():
+    texts = ["", "  ", "a b a", "word, Word. WORD! under_score_ _lead __ x_", "foo-bar/foo(bar)foo", "nbsp between lines\x1fand\x85more",
+             "ΟΔΟΣ: ΟΔΟΣ, ΣΑΣ", "İstanbul İ İi", "éàü ÉÀÜ éàüöß", "*** -- !!", "١٢٣ ①② x²", "one\n\ntwo\r\nthree\tfour", "same " * 9, "a-b a-b c.d.e"]
+    hashes = np.unique(np.concatenate([toxicity.feature_hashes(t) for t in texts]))
+    vocabulary = toxicity.Vocabulary(hashes, max_starts=3)
+    for batch in (texts, texts[::-1], texts[3:5], []):
+        for t, (numbers, counts) in zip(batch, vocabulary.counts_of(batch)):
+            plain = Counter()
+            for word, n in Counter(re.findall(r"\w+", t.lower())).items():
+                for f in toxicity.features_of(word):
+                    plain[xxhash.xxh64_intdigest(f)] += n
+            want = dict(plain)
+            for h, n in plain.items():
+                want.update((int(toxicity.repeated(np.array([h], np.uint64), r)[0]), n) for r in toxicity.REPEATS if n >= r)
+            assert dict(zip(hashes[numbers].tolist(), counts.tolist())) == want, t
+
+
+def test_bounds_that_leave_out_nothing_are_asked_for_less_often():
+    rng = np.random.default_rng(5)
+    made = []
+    for _ in range(96):                                    # every block is like every other
+        f = np.sort(rng.choice(40, 12, replace=False)).astype(np.int32)
+        w = rng.random(12) + 0.1
+        made.append((f, w / np.sqrt(w @ w)))
+    index = toxicity.BlockMaxIndex.build(made, 40, block=16, dense=4, light=0.01)
+    asked = []
+    for at in range(40):
+        asked.append(index.idle)
+        for (f, w), (best, cosines) in zip(made[at:at + 4], index.nearest_of(made[at:at + 4], 60)):
+            dense = np.zeros(40)
+            dense[f] = w
+            exact = np.array([dense[g] @ v for g, v in made])
+            order = np.lexsort((np.arange(96), -exact))[:60]
+            assert best.tolist() == order[:len(best)].tolist() and np.allclose(cosines, exact[order[:len(best)]])
+            assert not exact[order[len(best):]].any()
+    assert asked[-1] > 30
