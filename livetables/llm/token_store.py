@@ -74,15 +74,46 @@ def _encoder(path: str) -> WordCache:
         made = model.encode_batch_fast(list(texts), add_special_tokens=False)
         return [struct.pack(f"<{len(e)}I", *e.ids) for e in made]
 
+    # the first token of a word after a space, and no other, begins with the space
+    known = model.get_vocab()
+    spaced = np.zeros(max(known.values(), default=0) + 1, bool)
+    spaced[[i for token, i in known.items() if token.startswith("\u0120")]] = True
+    line_break = known.get("\u010a", -1)
+
     def encode_words(words):
         # words of letters, each after a space, are one pre-token each: one text for all of them
-        made = model.encode("".join([" " + w for w in words]), add_special_tokens=False)
-        of = np.array(made.word_ids)
-        if len(of) == 0 or of[-1] + 1 != len(words):
+        made = np.array(model.encode_batch_fast(["".join([" " + w for w in words])], add_special_tokens=False)[0].ids, "<u4")
+        starts = np.flatnonzero(spaced[made])
+        if len(starts) != len(words) or starts[0]:
             return encode_many([" " + w for w in words])
-        packed, ends = struct.pack(f"<{len(of)}I", *made.ids), [*((np.flatnonzero(np.diff(of)) + 1) * 4).tolist(), 4 * len(of)]
-        return [packed[a:b] for a, b in zip([0, *ends], ends)]
-    return WordCache(encode_many, encode_words)
+        packed, ends = made.tobytes(), [*(starts * 4).tolist(), 4 * len(made)]
+        return [packed[a:b] for a, b in zip(ends, ends[1:])]
+
+    def encode_lines(words):
+        # a line break before each is a token of its own
+        made = np.array(model.encode_batch_fast(["".join(["\n" + w for w in words])], add_special_tokens=False)[0].ids, "<u4")
+        starts = np.flatnonzero(made == line_break) if line_break >= 0 else made[:0]
+        if len(starts) != len(words) or starts[0]:
+            return encode_many(words)
+        packed, ends = made.tobytes(), [*(starts * 4).tolist(), 4 * len(made)]
+        return [packed[a + 4:b] for a, b in zip(ends, ends[1:])]
+    return WordCache(encode_many, encode_words, encode_lines=encode_lines)
+
+
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 512, size: int = 1 << 21) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of consecutive rows, many at a time, as long as they are not large."""
+    docs, texts, held = [], [], 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, 64):
+            part = batch.slice(at, 64)
+            docs += part.column(0).to_pylist()
+            texts += part.column(1).to_pylist()
+            held += part.nbytes
+            if len(docs) >= rows or held >= size:
+                yield docs, texts
+                docs, texts, held = [], [], 0
+    if docs:
+        yield docs, texts
 
 
 def write_store(df: DataFrame, out: str, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text",
@@ -109,18 +140,16 @@ def write_store(df: DataFrame, out: str, tokenizer: str, *, id_col: str = "doc_i
             for x in (held, docs, lengths):
                 x.clear()
             return pa.RecordBatch.from_pydict(row, schema=_ARROW)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                for doc, ids in zip(part.column(0).to_pylist(), words.encode(part.column(1).to_pylist())):
-                    ids += end
-                    if held and waiting + len(ids) // 4 > chunk_ids:
-                        yield flush()
-                        waiting = 0
-                    waiting += len(ids) // 4
-                    held.append(ids)
-                    docs.append(doc)
-                    lengths.append(len(ids) // 4)
+        for some, texts in _parts(batches):
+            for doc, ids in zip(some, words.encode(texts)):
+                ids += end
+                if held and waiting + len(ids) // 4 > chunk_ids:
+                    yield flush()
+                    waiting = 0
+                waiting += len(ids) // 4
+                held.append(ids)
+                docs.append(doc)
+                lengths.append(len(ids) // 4)
         if held:
             yield flush()
     ship_package(df.sparkSession)

@@ -123,3 +123,36 @@ def test_a_word_of_the_older_generation_serves_its_marked_form():
     for t in texts * 2:
         assert cache.encode([t, t]) == [t.encode()] * 2
     assert sum(" four" in x for x in asked) <= 2
+
+
+def test_words_are_encoded_without_their_marks_and_once_for_many_texts():
+    from tokenizers import Tokenizer
+
+    from livetables.llm.pretokens import WordCache
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    asked = []
+
+    def ids(text):
+        return np.array(model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def encode(texts):
+        asked.extend(texts)
+        return [ids(t) for t in texts]
+    cache = WordCache(encode)
+    texts = ["Ab cd%%%, cd.\nEf!! gh's it's' x_ _y a'b'' ***\nAb (ü) ü)\"", "cd&&& cd%%%, Ab", "Ef", "\nno", "two  spaces", "n\n\nn", "", "é́ ß. 1%% x1%%",
+             "\0a b", "tab\tb", "o'\n'o a\\ b` c~^ d-", "cd <cd> [cd]", "cd's. cd'", "  a", "a b c"]
+    assert cache.encode(texts * 3) == [ids(t) for t in texts] * 3
+    assert " cd" in asked and not {" cd%%%,", " cd.", " cd&&&", "Ef!!"} & set(asked)
+    pieces = [a for a in asked if a.startswith(" ")]
+    assert len(pieces) == len(set(pieces))
+    asked.clear()
+    assert cache.encode(texts[:2]) == [ids(t) for t in texts[:2]] and not asked
+
+
+def test_joined_words_equal_words_alone():
+    from livetables.llm.token_store import _encoder
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    cache = _encoder(path)
+    words = ["a", "the", "Überfluß", "ééé", "日本語", "x" * 300, "ΟΔΟΣ", "s", "ll", "ǅ", "ª"]
+    assert cache.encode_words(words) == cache.encode_many([" " + w for w in words])
+    assert cache.encode_lines(words) == cache.encode_many(words)
