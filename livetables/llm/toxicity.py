@@ -8,7 +8,7 @@ sample is in the vocabulary. A feature weighs its idf times chi2 / (chi2 +
 (high, because many are tried): rare and indifferent features count little, none
 is left out. Document frequencies are counted over all documents.
 
-Features are known by 64-bit hashes; two that share one would count as one.
+Features are known by 64-bit hashes; two that share one would count as one. Their numbers fall with their frequency.
 
 Index. The examples' unit vectors are kept as posting lists by feature, cut into
 blocks of examples, with the largest weight of each (feature, block) that occurs.
@@ -64,6 +64,9 @@ _WORD = re.compile(r"\w+")
 REPEATS = (2, 4)
 EVIDENCE = "array<struct<doc_id:long,cosine:double,toxic:int>>"
 _STEP = 128                               # texts handled at a time
+_ENTRIES = 1 << 20                        # entries of vectors looked at together
+_ROW = 8                                  # postings of a feature are kept in rows of that many
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not (c.isalnum() or c == "_"))      # in no word
 
 
 def features_of(word: str) -> list[str]:
@@ -101,12 +104,19 @@ def piece(x: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.concatenate([x[a:b] for a, b in zip(begin.tolist(), end.tolist())])
 
 
+def ordered(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and their numbers (both >= 0), by ascending key: sorted as one, which takes a fraction of an `argsort`."""
+    bits = int(n.max(initial=0)).bit_length()
+    both = np.sort(key << bits | n)
+    return both >> bits, both & ((1 << bits) - 1)
+
+
 def strings(texts: pa.Array) -> list[str]:
     """A list of the texts, none of them null (one by one, Arrow's own takes several times as long)."""
     return texts.to_numpy(zero_copy_only=False).tolist()
 
 
-def hashed(features: Sequence[str]) -> np.ndarray:
+def hashed(features: Sequence[str] | Sequence[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, features), np.uint64, len(features))
 
 
@@ -140,20 +150,23 @@ class Vocabulary:
     A repeat ("at least n times") only counts with its plain feature.
     """
 
-    def __init__(self, hashes: np.ndarray, max_starts: int = 200_000):
+    def __init__(self, hashes: np.ndarray, max_starts: int = 200_000, numbers: np.ndarray | None = None):
+        """`numbers`: those of the features, in the order of their hashes by default."""
         self.hashes, self.max_starts = hashes, max_starts
+        self.numbers = np.arange(len(hashes), dtype=np.int32) if numbers is None else numbers
         #: by a hash's first bits (more values than there are features): where hashes that begin so do
         bits = len(hashes).bit_length() + 1
         self.shift = np.uint64(64 - bits)
         self.first = np.searchsorted(hashes >> self.shift, np.arange(2 ** bits + 1, dtype=np.uint64)).astype(np.int32)
         #: by number of a plain feature: those of its repeats (or -1)
-        self.repeats = np.stack([self.find(repeated(hashes, n)) for n in REPEATS], axis=1)
+        by_number = hashes[np.argsort(self.numbers)]
+        self.repeats = np.stack([self.find(repeated(by_number, n)) for n in REPEATS], axis=1)
         self.starts = _Starts()
         #: by number of a start: its feature (or -1)
         self.started = np.zeros(0, np.int32)
 
     def __reduce__(self):
-        return Vocabulary, (self.hashes, self.max_starts)
+        return Vocabulary, (self.hashes, self.max_starts, self.numbers)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The numbers of features by their hashes, -1 for others."""
@@ -163,75 +176,70 @@ class Vocabulary:
         live = np.flatnonzero(at < end)
         while len(live):
             hit = self.hashes[at[live]] == hashes[live]
-            found[live[hit]] = at[live[hit]]
+            found[live[hit]] = self.numbers[at[live[hit]]]
             live = live[~hit]
             at[live] += 1
             live = live[at[live] < end[live]]
         return found
 
-    def held(self, words: list[str]) -> np.ndarray:
+    def held(self, words: pa.Array) -> np.ndarray:
         """The features of each word as `features_of` has them (or -1)."""
         held = np.full((len(words), 3), -1, np.int32)
-        held[:, 0] = self.find(hashed(words))
+        held[:, 0] = self.find(hashed(strings(words.view(pa.large_binary()))))
         if len(self.starts) > self.max_starts:
             self.starts, self.started = _Starts(), self.started[:0]
-        length = np.fromiter(map(len, words), np.int64, len(words))
-        numbers = [np.array([self.starts[w[:n]] for w in words if len(w) > n], np.int64) for n in (4, 5)]
+        length = pc.utf8_length(words).to_numpy()
+        cut = [pc.utf8_slice_codeunits(words.filter(pa.array(length > n)), 0, n).dictionary_encode() for n in (4, 5)]
+        numbers = [np.array([self.starts[w] for w in strings(c.dictionary)], np.int64) for c in cut]
         new = self.starts.new
         self.started = np.append(self.started, self.find(hashed(["^" + w for w in new])))
         new.clear()
-        for j, (some, n) in enumerate(zip(numbers, (4, 5)), 1):
-            held[length > n, j] = self.started[some]
+        for j, (some, c, n) in enumerate(zip(numbers, cut, (4, 5)), 1):
+            held[length > n, j] = self.started[some][c.indices.to_numpy()]
         return held
 
     def counted(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The texts' features: number of the text, of the feature, and how often the text has it."""
-        # cut at white space, which no word holds; what differs of that is looked at word by word
-        cut = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.large_string()))
+        """The texts' features, ascending: number of the text, of the feature, and how often the text has it."""
+        # cut at white space, which no word holds, and without the marks around; what differs of that is looked at token by token
+        cut, size = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.large_string())), max(1, len(self.hashes))
         tokens = cut.values.dictionary_encode()
-        words, size = strings(tokens.dictionary), max(1, len(self.hashes))
-        key = np.repeat(np.arange(len(texts)) * max(1, len(words)), np.diff(cut.offsets.to_numpy())) + tokens.indices.to_numpy()
-        key = np.sort(key)
-        start = np.flatnonzero(np.diff(key, prepend=-1))
-        (line, at), n = np.divmod(key[start], max(1, len(words))), np.diff(start, append=len(key))
-        more = {}
-        for i in [i for i, w in enumerate(words) if not w.isalnum()]:
-            token = words[i]
-            if token[:-1].isalnum() and token[-1] != "_":
-                words[i] = token[:-1]
-            else:
-                # the first word takes the token's place (without any: an empty one, no feature), the others come behind
-                words[i], *others = _WORD.findall(token) or [""]
-                if others:
-                    more[i] = others
-        if more:
-            extra = [(p, w) for p in np.flatnonzero(np.isin(at, list(more))).tolist() for w in more[int(at[p])]]
-            p, first = np.array([p for p, _ in extra]), len(words)
-            words += [w for _, w in extra]
-            line, n, at = np.append(line, line[p]), np.append(n, n[p]), np.append(at, np.arange(first, len(words)))
-        held = self.held(words)[at]
+        core = pc.ascii_trim(tokens.dictionary, _MARKS).dictionary_encode()
+        at = core.indices.to_numpy()[tokens.indices.to_numpy()]
+        plain = pc.ascii_is_alnum(core.dictionary)
+        words, is_word = core.dictionary.filter(plain), plain.to_numpy(zero_copy_only=False)
+        of, other = np.flatnonzero(is_word), np.flatnonzero(~is_word)
+        found = [[t] if t.isalnum() else _WORD.findall(t) for t in strings(core.dictionary.filter(pc.invert(plain)))]
+        words = pa.concat_arrays([words, pa.array(list(chain.from_iterable(found)), pa.large_string())])
+        of = np.append(of, np.repeat(other, [len(f) for f in found]).astype(of.dtype))
+        held = self.held(words)
+        # each core's features, one core's after the other's
         there = held >= 0
-        key = ((line * size)[:, None] + held)[there]
-        n = np.broadcast_to(n[:, None], held.shape)[there]
-        order = np.argsort(key)
-        key = key[order]
+        of = np.repeat(of, there.sum(axis=1))
+        order = np.argsort(of, kind="stable")
+        features, ends = held[there][order], np.append(0, np.cumsum(np.bincount(of, minlength=len(core.dictionary))))
+        many = len(core.dictionary) + 1
+        key = np.sort(np.repeat(np.arange(len(texts)) * many, np.diff(cut.offsets.to_numpy())) + at)
         start = np.flatnonzero(np.diff(key, prepend=-1))
-        totals = np.add.reduceat(n[order], start) if len(start) else n
+        (line, at), n = np.divmod(key[start], many), np.diff(start, append=len(key))
+        own, length = ranges(ends[at], ends[at + 1])
+        key, n = ordered(np.repeat(line * size, length) + features[own], np.repeat(n, length))
+        start = np.flatnonzero(np.diff(key, prepend=-1))
+        totals = np.add.reduceat(n, start) if len(start) else n
         line, numbers = np.divmod(key[start], size)
-        parts = [(line, numbers, totals)]
+        keys, many = [key[start]], [totals]
         for j, least in enumerate(REPEATS):
             more = np.flatnonzero(totals >= least)
-            more = more[self.repeats[numbers[more], j] >= 0]
-            parts.append((line[more], self.repeats[numbers[more], j].astype(np.int64), totals[more]))
-        line, numbers, totals = (np.concatenate(p) for p in zip(*parts))
-        return line, numbers, totals
+            repeat = self.repeats[numbers[more], j]
+            more, repeat = more[repeat >= 0], repeat[repeat >= 0]
+            keys.append(line[more] * size + repeat)
+            many.append(totals[more])
+        key, totals = ordered(np.concatenate(keys), np.concatenate(many))
+        return *np.divmod(key, size), totals
 
     def counts_of(self, texts: Sequence[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text: feature numbers and how often it has each."""
         line, numbers, totals = self.counted(texts)
-        order = np.argsort(line, kind="stable")
-        ends = np.searchsorted(line[order], np.arange(len(texts) + 1))
-        numbers, totals = numbers[order], totals[order].astype(np.float64)
+        ends, totals = np.searchsorted(line, np.arange(len(texts) + 1)).tolist(), totals.astype(np.float64)
         return [(numbers[x:y], totals[x:y]) for x, y in zip(ends[:-1], ends[1:])]
 
 
@@ -276,8 +284,8 @@ class BlockMaxIndex:
     cells: np.ndarray        # [feature + 1]: where the cells of a feature begin
     blocks: np.ndarray       # [cell]: number of the block
     top: np.ndarray          # [cell]: the largest weight
-    ptr: np.ndarray          # [cell + 1]: where the postings of a cell begin
-    postings: np.ndarray     # [posting]: number of the example, weight
+    ptr: np.ndarray          # [cell + 1]: where the postings of a cell begin; those of a feature fill whole rows
+    postings: np.ndarray     # [posting]: weight in single precision, the number of the example in its last bits (`number`)
     place: np.ndarray        # [feature]: its row of the matrix, -1 in the posting lists, -2 if it is light
     light: np.ndarray        # [example]: length of its vector's light part
     light_top: np.ndarray    # [block]: the largest of them
@@ -287,9 +295,9 @@ class BlockMaxIndex:
     block: int
     size: int
     dense: int
+    number: int              # the bits of a posting that are the number of the example
     matrix: np.ndarray | None = None         # [row, example], single precision; made where it is used
-    query: np.ndarray | None = None          # [feature]: zeros, room for a query
-    asked: np.ndarray | None = None          # [feature]: false, room for the features of a query
+    asked: np.ndarray | None = None          # [feature]: zeros, room for where in a query a feature is (from 1)
     light_most: float = 0.0                  # the largest of `light`
     idle: int = 0                            # how often in a row the bounds have left out next to nothing
 
@@ -304,31 +312,53 @@ class BlockMaxIndex:
     def _of(cls, own: np.ndarray, own_weights: np.ndarray, begin: np.ndarray, n_features: int, block: int, dense: int,
             light: float) -> BlockMaxIndex:
         size = len(begin) - 1
-        row = np.repeat(np.arange(size, dtype=np.int32), np.diff(begin))
-        having = np.bincount(own, minlength=n_features)
+        having, squares = np.zeros(n_features, np.int64), np.zeros(n_features)
+        for at in range(0, len(own), _ENTRIES):                    # some at a time: no large intermediate arrays
+            some, weight = own[at:at + _ENTRIES], own_weights[at:at + _ENTRIES]
+            having += np.bincount(some, minlength=n_features)
+            squares += np.bincount(some, weights=weight * weight, minlength=n_features)
         common = having * dense >= max(1, size)
         # what a feature costs a text like the examples: its postings, or the dearer row of the matrix
         cost = np.minimum(having.astype(np.float64) ** 2 / max(1, size), size / dense ** 2 if dense else np.inf)
-        squares = np.bincount(own, weights=own_weights * own_weights, minlength=n_features)
         cheap = np.argsort(squares / np.maximum(cost, 1e-300), kind="stable")
         slight = np.zeros(n_features, bool)
         slight[cheap[np.cumsum(squares[cheap]) <= light * squares.sum()]] = True
         common &= ~slight
         place = np.where(slight, -2, np.where(common, np.cumsum(common) - 1, -1)).astype(np.int32)
-        small = slight[own] if len(own) else np.zeros(0, bool)
-        lengths = np.sqrt(np.bincount(row[small], weights=own_weights[small] ** 2, minlength=size))
+        number = (1 << max(0, size - 1).bit_length()) - 1
+        lengths, cells, parts = np.zeros(size), [], []
+        for line in range(0, size, block):
+            ends = begin[line:line + block + 1]
+            some, weight = own[ends[0]:ends[-1]], own_weights[ends[0]:ends[-1]]
+            row, at = np.repeat(np.arange(len(ends) - 1, dtype=np.int32), np.diff(ends)), place[some]
+            small = at == -2
+            lengths[line:line + block] = np.sqrt(np.bincount(row[small], weights=weight[small] ** 2, minlength=len(ends) - 1))
+            rest = np.flatnonzero(at == -1)
+            rest = rest[np.argsort(some[rest], kind="stable")]     # rows ascend already
+            feature, weight = some[rest], weight[rest].astype("f4")
+            first = np.flatnonzero(np.diff(feature, prepend=-1))
+            cells.append((feature[first], np.diff(first, append=len(feature)), np.maximum.reduceat(weight, first) if len(first) else weight))
+            # weights and products rounded more than in exact sums: `slack` allows for it
+            parts.append(weight.view("u4") & np.uint32(~number & 0xffffffff) | (row[rest] + line).astype("u4"))
         tops = np.maximum.reduceat(lengths, np.arange(0, size, block)) if size else lengths
-        rest = np.flatnonzero(place[own] == -1) if len(own) else np.zeros(0, np.int64)
-        rest = rest[np.argsort(own[rest], kind="stable")]          # rows ascend already
-        feature, weight, row = own[rest], own_weights[rest], row[rest]
-        postings = np.empty(len(row), [("row", "i4"), ("weight", "f4")])
-        # weights and products rounded once more than in exact sums: `slack` allows for it
-        postings["row"], postings["weight"] = row, weight
-        cell = feature.astype(np.int64) * (size // block + 1) + row // block
-        first = np.flatnonzero(np.diff(cell, prepend=-1))
-        top = np.maximum.reduceat(postings["weight"], first) if len(first) else weight
-        return cls(np.searchsorted(feature[first], np.arange(n_features + 1)), row[first] // block, top, np.append(first, len(row)),
-                   postings, place, lengths, tops, begin, own, own_weights, block, size, dense)
+        feature, length, top = (np.concatenate([c[i] for c in cells] or [np.zeros(0, np.int64)]) for i in range(3))
+        blocks = np.repeat(np.arange(len(cells), dtype=np.int32), [len(c[0]) for c in cells])
+        order = np.argsort(feature, kind="stable")                 # blocks ascend already
+        cell = np.searchsorted(feature[order], np.arange(n_features + 1))
+        ptr = np.append(0, np.cumsum(length[order]))
+        # a feature's postings fill whole rows, with zeros behind
+        many = np.diff(ptr[cell])
+        more = np.repeat(np.cumsum(-many % _ROW) - (-many % _ROW), np.diff(cell))
+        ptr += np.append(more, np.sum(-many % _ROW))
+        start = np.empty(len(order), np.int64)
+        start[order] = ptr[:-1]
+        postings, at = np.zeros(ptr[-1], "u4"), 0
+        for (_, many, _), part in zip(cells, parts):
+            some = start[at:at + len(many)]
+            postings[ranges(some, some + many)[0]] = part
+            at += len(many)
+        return cls(cell, blocks[order], top[order], ptr,
+                   postings, place, lengths, tops, begin, own, own_weights, block, size, dense, number)
 
     def _make_room(self) -> None:
         # columns up to a whole number of blocks
@@ -337,7 +367,7 @@ class BlockMaxIndex:
             features, weights = self.vector(line)
             at = self.place[features]
             self.matrix[at[at >= 0], line] = weights[at >= 0]
-        self.query, self.asked = np.zeros(len(self.place)), np.zeros(len(self.place), bool)
+        self.asked = np.zeros(len(self.place), np.int32)
         self.light_most = float(self.light_top.max(initial=0.0))
 
     def vector(self, line: int) -> tuple[np.ndarray, np.ndarray]:
@@ -397,39 +427,42 @@ class BlockMaxIndex:
         if kept is not None and not kept.all():
             cells, length = ranges(begin, end)
             some = kept[self.blocks[cells]]
-            begin, end, share = cells[some], cells[some] + 1, np.repeat(share, length)[some]
-        begin, end = self.ptr[begin], self.ptr[end]
-        if len(begin):
-            found = piece(self.postings.view("i8"), begin, end)
-            weight = found.view("f4")[1::2] * np.repeat(share, end - begin)
-            scores = scores + np.bincount(found & 0xffffffff, weights=weight, minlength=len(scores))
+            begin, end, share = self.ptr[cells[some]], self.ptr[cells[some] + 1], np.repeat(share, length)[some]
+            found, share = piece(self.postings, begin, end) if len(begin) else self.postings[:0], np.repeat(share, end - begin)
+        else:
+            rows, length = ranges(self.ptr[begin] // _ROW, self.ptr[end] // _ROW)
+            found, share = self.postings.reshape(-1, _ROW).take(rows, axis=0), np.repeat(share, length)[:, None]
+        if len(found):
+            weight = (found.view("f4") * share).ravel()
+            scores = scores + np.bincount((found & np.uint32(self.number)).ravel(), weights=weight, minlength=len(scores))
         scores = scores[:self.size]
         # light parts only add: what the k-th best has without them, no example whose bound is below it is among the k best
         bar = 0.0
         if self.size >= k:
             best = scores[scores >= reached(scores, k)]
-            bar = float(np.partition(best, -k)[-k]) * slack(len(features))
+            bar = float(np.partition(best, -k)[-k]) * (slack(len(features)) - (self.number + 1) * 2.0 ** -22)
         if bar > 0:
             some = np.flatnonzero(scores >= bar - light * self.light_most)
             some = some[scores[some] + light * self.light[some] >= bar]
         else:
             some = np.flatnonzero(scores + light * self.light > 0)
-        self.query[features], self.asked[features] = query, True
-        exact = self._exact(some)
-        self.query[features], self.asked[features] = 0, False
+        self.asked[features] = np.arange(1, len(features) + 1)
+        exact = self._exact(some, query)
+        self.asked[features] = 0
         some, exact = some[exact > 0], exact[exact > 0]
         order = np.lexsort((some, -exact))[:k]
         return some[order], exact[order]
 
-    def _exact(self, some: np.ndarray) -> np.ndarray:
-        """Products of some examples with `query`, over all features."""
+    def _exact(self, some: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Products of some examples with a query's weights, whose features are `asked`, over all features."""
         if not len(some):
             return np.zeros(0)
         begin, end = self.begin[some], self.begin[some + 1]
-        own, weights = piece(self.own, begin, end), piece(self.own_weights, begin, end)
-        shared = np.flatnonzero(self.asked[own])              # by a small table first
-        line = np.repeat(np.arange(len(some)), end - begin)[shared]
-        return np.bincount(line, weights=self.query[own[shared]] * weights[shared], minlength=len(some))
+        at = self.asked.take(piece(self.own, begin, end))
+        shared, ends = np.flatnonzero(at != 0), np.cumsum(end - begin)
+        length = np.diff(np.searchsorted(shared, ends), prepend=0)
+        weights = self.own_weights[shared + np.repeat(end - ends, length)]
+        return np.bincount(np.repeat(np.arange(len(some)), length), weights=query[at[shared] - 1] * weights, minlength=len(some))
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, prior: float, weight: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
@@ -482,13 +515,24 @@ class Model:
     def score(self, text: str) -> tuple[float, list[dict]]:
         return self.scores([text])[0]
 
+    def nearest(self, counted: Sequence[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text's features: numbers and cosines of its neighbours."""
+        return [found for at in range(0, len(counted), 2 * _STEP)
+                for found in self.index.nearest_of([(f, self.vector(f, c)) for f, c in counted[at:at + 2 * _STEP]], self.k)]
+
     def scores(self, texts: Sequence[str]) -> list[tuple[float, list[dict]]]:
-        counted = self.vocabulary.counts_of(texts)
-        out = []
-        for best, cosines in self.index.nearest_of([(f, self.vector(f, c)) for f, c in counted], self.k):
-            proof = [{"doc_id": self.ids[b], "cosine": float(c), "toxic": int(self.labels[b])} for b, c in zip(best, cosines)]
-            out.append((self.calibrated(self.vote(best, cosines)), proof))
-        return out
+        return list(zip(*(column.to_pylist() for column in self.columns(self.vocabulary.counts_of(texts)))))
+
+    def columns(self, counted: Sequence[tuple[np.ndarray, np.ndarray]]) -> tuple[pa.Array, pa.Array]:
+        """Scores and evidence for each text's features."""
+        found = self.nearest(counted)
+        best, cosines = (np.concatenate([f[i] for f in found] or [np.zeros(0)]) for i in (0, 1))
+        best = best.astype(np.int64)
+        ids = np.array(self.ids, np.int64)
+        proof = pa.StructArray.from_arrays([pa.array(ids[best]), pa.array(cosines), pa.array(self.labels[best].astype(np.int32))],
+                                           names=["doc_id", "cosine", "toxic"])
+        ends = np.append(0, np.cumsum([len(b) for b, _ in found])).astype(np.int32)
+        return pa.array([self.calibrated(self.vote(*f)) for f in found], pa.float64()), pa.ListArray.from_arrays(pa.array(ends), proof)
 
 
 def unit(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -518,11 +562,16 @@ def _examples(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     return texts.join(kept, (F.col("id") == F.col("i")) & (F.col("h") == F.col("k"))).select("id", "t", "toxic")
 
 
-def _map_texts(df: DataFrame, make, schema: str) -> DataFrame:
-    """`make(lists of texts)` of each task's texts, as Arrow batches of `schema`."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from make(b.slice(at, _STEP).column(0).to_pylist() for b in batches for at in range(0, b.num_rows, _STEP))
-    return df.mapInArrow(run, schema)
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 4 * _STEP, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches of at least `rows` rows or `size` bytes, but for the last one; of at most `rows` rows more than one needs for that."""
+    held: list[pa.RecordBatch] = []
+    for part in (b.slice(at, _STEP) for b in batches for at in range(0, b.num_rows, _STEP)):
+        held.append(part)
+        if sum(h.num_rows for h in held) >= rows or sum(h.nbytes for h in held) >= size:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
 
 
 def significance(a: np.ndarray, b: np.ndarray, toxic: int, other: int, half_chi2: float) -> np.ndarray:
@@ -553,9 +602,14 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     hashes = seen["f"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     hashes, toxic = hashes[order], seen["a"].to_numpy()[order].astype(np.float64)
-    significant = significance(toxic, seen["n"].to_numpy()[order] - toxic, n_toxic, n - n_toxic, half_chi2)
-    seen, size = None, len(hashes)
-    shared = spark.sparkContext.broadcast(Vocabulary(hashes))          # 8 bytes for each of these features
+    having, size = seen["n"].to_numpy()[order], len(hashes)
+    # numbered by falling frequency: what most entries of vectors need lies close together in tables
+    order = np.argsort(-having, kind="stable")
+    numbers = np.empty(size, np.int32)
+    numbers[order] = np.arange(size)
+    significant = significance(toxic, having - toxic, n_toxic, n - n_toxic, half_chi2)[order]
+    seen = having = None
+    shared = spark.sparkContext.broadcast(Vocabulary(hashes, numbers=numbers))          # 8 bytes for each of these features
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -566,18 +620,14 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
                                                                                     for i in (0, 1))], names=["id", "toxic", "f", "c"])
     rows = sample.repartition(tasks).mapInArrow(vectors, "id long, toxic int, f binary, c binary").toArrow()
 
-    def frequencies(texts: Iterator[list[str]]) -> Iterator[pa.RecordBatch]:
-        total, counts, held = 0, np.zeros(size, np.int64), []
-        for some in chain(texts, [None]):
-            if held and (some is None or len(held) == 16):
-                counts += np.bincount(np.concatenate(held), minlength=size)
-                held.clear()
-            if some is not None:
-                total += len(some)
-                held.append(shared.value.counted(some)[1])
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, counts = 0, np.zeros(size, np.int64)
+        for batch in _gathered(batches):
+            total += batch.num_rows
+            counts += np.bincount(shared.value.counted(strings(batch.column(0)))[1], minlength=size)
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"f": pa.array(np.append(-1, some), pa.int32()), "n": pa.array(np.append(total, counts[some]), pa.int64())})
-    told = _map_texts(docs.select(text_or_empty(text_col).alias("t")), frequencies, "f int, n long")
+    told = docs.select(text_or_empty(text_col).alias("t")).mapInArrow(frequencies, "f int, n long")
     told = told.groupBy("f").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(size + 1)
     df[told["f"].to_numpy()] = told["n"].to_numpy()                 # the number of documents comes last, as -1
@@ -592,13 +642,14 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     rows = None
     # neighbours in the index share their strongest feature: tight block maxima. Among them a hash of the id
     # decides, and so it does between equal cosines: a label never does
-    made.sort(key=lambda m: (int(m[2][np.argmax(m[3])]) if len(m[2]) else size, xxhash.xxh64_intdigest(str(m[0])), m[0], m[2].tobytes()))
+    made.sort(key=lambda m: (int(order[m[2][np.argmax(m[3])]]) if len(m[2]) else size, xxhash.xxh64_intdigest(str(m[0])), m[0], m[2].tobytes()))
     parts = [np.concatenate([m[2] for m in made] or [np.zeros(0, np.int32)]).astype(np.int32), np.concatenate([m[3] for m in made] or [np.zeros(0)])]
     begin = np.append(0, np.cumsum([len(m[2]) for m in made], dtype=np.int64))
     ids, known = [m[0] for m in made], np.array([m[1] for m in made], np.float64)
     made = None
     index = Examples(parts[0], parts[1], begin, size)
-    model = Model(Vocabulary(hashes), weights, index, known, ids, n_toxic / n if n else 0.0, k, prior_votes)
+    parts = None
+    model = Model(Vocabulary(hashes, numbers=numbers), weights, index, known, ids, n_toxic / n if n else 0.0, k, prior_votes)
     shared.unpersist()
     model.shared = spark.sparkContext.broadcast(model)              # the vectors of at most max_examples texts
 
@@ -632,15 +683,11 @@ def score(df: DataFrame, model: Model, *, text_col: str = "text", columns: Seque
     rows = df.select(kept.alias("row"), text_or_empty(text_col).alias("t"))
     schema = StructType([StructField("row", rows.schema["row"].dataType), StructField("score", DoubleType()),
                          *StructType.fromDDL(f"evidence {EVIDENCE}").fields])
-    proof = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         own.points, own.levels = points, levels
-        for batch in batches:
-            for at in range(0, batch.num_rows, _STEP):
-                part = batch.slice(at, _STEP)
-                made = own.scores(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([m[0] for m in made], pa.float64()),
-                                                  pa.array([m[1] for m in made], proof)], names=["row", "score", "evidence"])
+        for part in _gathered(batches):
+            found, proof = own.columns(own.vocabulary.counts_of(strings(part.column(1))))
+            yield pa.RecordBatch.from_arrays([part.column(0), found, proof], names=["row", "score", "evidence"])
     return rows.mapInArrow(run, schema)

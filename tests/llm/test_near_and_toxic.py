@@ -354,3 +354,29 @@ def test_bounds_that_leave_out_nothing_are_asked_for_less_often():
             assert best.tolist() == order[:len(best)].tolist() and np.allclose(cosines, exact[order[:len(best)]])
             assert not exact[order[len(best):]].any()
     assert asked[-1] > 30
+
+
+def test_features_have_the_given_numbers_and_ascend():
+    """By falling frequency in a fitted model; a text's features, repeats too, come in that order."""
+    texts = ["same same same same word, other words", "Wörterbuch (wörterbuch) foo-bar under_score", "", "other same"]
+    hashes = np.unique(np.concatenate([toxicity.feature_hashes(t) for t in texts]))
+    numbers = np.random.default_rng(0).permutation(len(hashes)).astype(np.int32)
+    plain, numbered = toxicity.Vocabulary(hashes), toxicity.Vocabulary(hashes, numbers=numbers)
+    for (f, n), (g, m) in zip(plain.counts_of(texts), numbered.counts_of(texts)):
+        assert dict(zip(numbers[f].tolist(), n.tolist())) == dict(zip(g.tolist(), m.tolist()))
+        assert (np.diff(f) > 0).all() and (np.diff(g) > 0).all()
+    assert len(plain.counts_of(texts)[0][0]) > 10
+
+
+def test_postings_lie_in_rows_and_few_small_batches_are_made():
+    import pyarrow as pa
+    rng = np.random.default_rng(2)
+    made = [(np.unique(rng.integers(0, 50, 9)).astype(np.int32), np.ones(0)) for _ in range(100)]
+    made = [(f, rng.random(len(f)) + 0.1) for f, _ in made]
+    index = toxicity.BlockMaxIndex.build(made, 50, block=16, dense=0, light=0.0)
+    assert index.postings.dtype == np.uint32 and (index.ptr[index.cells] % 8 == 0).all()
+    assert np.count_nonzero(index.postings) == sum(len(f) for f, _ in made)
+    batch = pa.RecordBatch.from_pydict({"t": ["x"] * 100})
+    assert [b.num_rows for b in toxicity._gathered(iter([batch] * 8))] == [600, 200]
+    long = pa.RecordBatch.from_pydict({"t": ["x" * 100_000] * 100})
+    assert max(b.nbytes for b in toxicity._gathered(iter([long] * 3))) < 15 << 20
