@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,8 +80,9 @@ def likely(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
 def give_back() -> None:
     """Hand memory that Python has freed back to the system, where the C library can do so.
 
-    Small freed objects otherwise stay with the driver's process, beside what the JVM takes in later steps.
+    Small freed objects otherwise stay with the process, beside what the JVM takes in later steps; so does what Arrow holds ready.
     """
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)

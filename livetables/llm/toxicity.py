@@ -243,12 +243,28 @@ class Vocabulary:
         return [(numbers[x:y], totals[x:y]) for x, y in zip(ends[:-1], ends[1:])]
 
 
+@dataclass
+class Entries:
+    """Weights of vectors' entries before they are divided by the vectors' lengths: few bytes an entry, worked out when asked for."""
+
+    own: np.ndarray           # [entry]: feature
+    counts: np.ndarray        # [entry]: how often the text has it
+    weights: np.ndarray       # [feature]
+
+    @classmethod
+    def of(cls, own: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> Entries:
+        return cls(own, counts.astype(np.min_scalar_type(int(counts.max(initial=0)))), weights)
+
+    def __getitem__(self, at: slice | np.ndarray) -> np.ndarray:
+        return (1 + np.log(self.counts[at].astype(np.float64))) * self.weights[self.own[at]]
+
+
 @dataclass
 class Examples:
     """The examples' vectors one after the other; their index is made where it is first asked."""
 
-    own: np.ndarray
-    own_weights: np.ndarray
+    entries: Entries
+    lengths: np.ndarray       # [example]: its vector's
     begin: np.ndarray
     size: int                 # of the vocabulary
     block: int = 1024
@@ -261,14 +277,10 @@ class Examples:
 
     def index(self) -> "BlockMaxIndex":
         if self.made is None:
-            self.made = BlockMaxIndex._of(self.own, self.own_weights, self.begin, self.size, self.block, self.dense, self.light)
+            self.made = BlockMaxIndex._of(self.entries.own, self.entries, self.lengths, self.begin, self.size, self.block, self.dense, self.light)
+            give_back()
         return self.made
 
-    def vector(self, line: int) -> tuple[np.ndarray, np.ndarray]:
-        """Features and weights of an example."""
-        at = slice(self.begin[line], self.begin[line + 1])
-        return self.own[at], self.own_weights[at]
-
     def nearest_of(self, queries: Sequence[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         return self.index().nearest_of(queries, k)
 
@@ -291,7 +303,8 @@ class BlockMaxIndex:
     light_top: np.ndarray    # [block]: the largest of them
     begin: np.ndarray        # [example + 1]: where an example's own vector begins
     own: np.ndarray          # features of the examples' vectors
-    own_weights: np.ndarray
+    own_weights: np.ndarray | Entries        # their weights, to be divided by `lengths`
+    lengths: np.ndarray      # [example]: its vector's
     block: int
     size: int
     dense: int
@@ -306,15 +319,19 @@ class BlockMaxIndex:
               light: float = 0.006) -> BlockMaxIndex:
         own = np.concatenate([v[0] for v in vectors] or [np.zeros(0)]).astype(np.int32)
         own_weights = np.concatenate([v[1] for v in vectors] or [np.zeros(0)])
-        return cls._of(own, own_weights, np.append(0, np.cumsum([len(v[0]) for v in vectors], dtype=np.int64)), n_features, block, dense, light)
+        begin = np.append(0, np.cumsum([len(v[0]) for v in vectors], dtype=np.int64))
+        return cls._of(own, own_weights, np.ones(len(vectors)), begin, n_features, block, dense, light)
 
     @classmethod
-    def _of(cls, own: np.ndarray, own_weights: np.ndarray, begin: np.ndarray, n_features: int, block: int, dense: int,
-            light: float) -> BlockMaxIndex:
+    def _of(cls, own: np.ndarray, own_weights: np.ndarray | Entries, lengths: np.ndarray, begin: np.ndarray, n_features: int,
+            block: int, dense: int, light: float) -> BlockMaxIndex:
         size = len(begin) - 1
         having, squares = np.zeros(n_features, np.int64), np.zeros(n_features)
-        for at in range(0, len(own), _ENTRIES):                    # some at a time: no large intermediate arrays
-            some, weight = own[at:at + _ENTRIES], own_weights[at:at + _ENTRIES]
+        step = max(1, min(block, _ENTRIES * size // max(1, len(own))))
+        for line in range(0, size, step):                          # some at a time: no large intermediate arrays
+            ends = begin[line:line + step + 1]
+            some = own[ends[0]:ends[-1]]
+            weight = own_weights[ends[0]:ends[-1]] / np.repeat(lengths[line:line + step], np.diff(ends))
             having += np.bincount(some, minlength=n_features)
             squares += np.bincount(some, weights=weight * weight, minlength=n_features)
         common = having * dense >= max(1, size)
@@ -326,13 +343,14 @@ class BlockMaxIndex:
         common &= ~slight
         place = np.where(slight, -2, np.where(common, np.cumsum(common) - 1, -1)).astype(np.int32)
         number = (1 << max(0, size - 1).bit_length()) - 1
-        lengths, cells, parts = np.zeros(size), [], []
+        slights, cells, parts = np.zeros(size), [], []
         for line in range(0, size, block):
             ends = begin[line:line + block + 1]
-            some, weight = own[ends[0]:ends[-1]], own_weights[ends[0]:ends[-1]]
+            some = own[ends[0]:ends[-1]]
+            weight = own_weights[ends[0]:ends[-1]] / np.repeat(lengths[line:line + block], np.diff(ends))
             row, at = np.repeat(np.arange(len(ends) - 1, dtype=np.int32), np.diff(ends)), place[some]
             small = at == -2
-            lengths[line:line + block] = np.sqrt(np.bincount(row[small], weights=weight[small] ** 2, minlength=len(ends) - 1))
+            slights[line:line + block] = np.sqrt(np.bincount(row[small], weights=weight[small] ** 2, minlength=len(ends) - 1))
             rest = np.flatnonzero(at == -1)
             rest = rest[np.argsort(some[rest], kind="stable")]     # rows ascend already
             feature, weight = some[rest], weight[rest].astype("f4")
@@ -340,7 +358,7 @@ class BlockMaxIndex:
             cells.append((feature[first], np.diff(first, append=len(feature)), np.maximum.reduceat(weight, first) if len(first) else weight))
             # weights and products rounded more than in exact sums: `slack` allows for it
             parts.append(weight.view("u4") & np.uint32(~number & 0xffffffff) | (row[rest] + line).astype("u4"))
-        tops = np.maximum.reduceat(lengths, np.arange(0, size, block)) if size else lengths
+        tops = np.maximum.reduceat(slights, np.arange(0, size, block)) if size else slights
         feature, length, top = (np.concatenate([c[i] for c in cells] or [np.zeros(0, np.int64)]) for i in range(3))
         blocks = np.repeat(np.arange(len(cells), dtype=np.int32), [len(c[0]) for c in cells])
         order = np.argsort(feature, kind="stable")                 # blocks ascend already
@@ -358,7 +376,7 @@ class BlockMaxIndex:
             postings[ranges(some, some + many)[0]] = part
             at += len(many)
         return cls(cell, blocks[order], top[order], ptr,
-                   postings, place, lengths, tops, begin, own, own_weights, block, size, dense, number)
+                   postings, place, slights, tops, begin, own, own_weights, lengths, block, size, dense, number)
 
     def _make_room(self) -> None:
         # columns up to a whole number of blocks
@@ -373,7 +391,7 @@ class BlockMaxIndex:
     def vector(self, line: int) -> tuple[np.ndarray, np.ndarray]:
         """Features and weights of an example."""
         at = slice(self.begin[line], self.begin[line + 1])
-        return self.own[at], self.own_weights[at]
+        return self.own[at], self.own_weights[at] / self.lengths[line]
 
     def nearest(self, features: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and scores of the k best examples with a positive score; ties to the smaller number."""
@@ -462,7 +480,8 @@ class BlockMaxIndex:
         shared, ends = np.flatnonzero(at != 0), np.cumsum(end - begin)
         length = np.diff(np.searchsorted(shared, ends), prepend=0)
         weights = self.own_weights[shared + np.repeat(end - ends, length)]
-        return np.bincount(np.repeat(np.arange(len(some)), length), weights=query[at[shared] - 1] * weights, minlength=len(some))
+        line = np.repeat(np.arange(len(some)), length)
+        return np.bincount(line, weights=query[at[shared] - 1] * (weights / self.lengths[some][line]), minlength=len(some))
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, prior: float, weight: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
@@ -517,8 +536,8 @@ class Model:
 
     def nearest(self, counted: Sequence[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text's features: numbers and cosines of its neighbours."""
-        return [found for at in range(0, len(counted), 2 * _STEP)
-                for found in self.index.nearest_of([(f, self.vector(f, c)) for f, c in counted[at:at + 2 * _STEP]], self.k)]
+        return [found for at in range(0, len(counted), _STEP)
+                for found in self.index.nearest_of([(f, self.vector(f, c)) for f, c in counted[at:at + _STEP]], self.k)]
 
     def scores(self, texts: Sequence[str]) -> list[tuple[float, list[dict]]]:
         return list(zip(*(column.to_pylist() for column in self.columns(self.vocabulary.counts_of(texts)))))
@@ -562,7 +581,7 @@ def _examples(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     return texts.join(kept, (F.col("id") == F.col("i")) & (F.col("h") == F.col("k"))).select("id", "t", "toxic")
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 4 * _STEP, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 2 * _STEP, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Batches of at least `rows` rows or `size` bytes, but for the last one; of at most `rows` rows more than one needs for that."""
     held: list[pa.RecordBatch] = []
     for part in (b.slice(at, _STEP) for b in batches for at in range(0, b.num_rows, _STEP)):
@@ -638,17 +657,20 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     for batch in rows.to_batches():
         for i, y, f, c in zip(*(batch.column(x).to_pylist() for x in ("id", "toxic", "f", "c"))):
             f = np.frombuffer(f, "<i4")
-            made.append((i, y, f, unit(np.frombuffer(c, "<i4").astype(np.float64), weights[f])))
+            c = np.frombuffer(c, "<i4")
+            w = unit(c.astype(np.float64), weights[f])
+            made.append((i, y, f, c, int(f[np.argmax(w)]) if len(f) else -1))
     rows = None
     # neighbours in the index share their strongest feature: tight block maxima. Among them a hash of the id
     # decides, and so it does between equal cosines: a label never does
-    made.sort(key=lambda m: (int(order[m[2][np.argmax(m[3])]]) if len(m[2]) else size, xxhash.xxh64_intdigest(str(m[0])), m[0], m[2].tobytes()))
-    parts = [np.concatenate([m[2] for m in made] or [np.zeros(0, np.int32)]).astype(np.int32), np.concatenate([m[3] for m in made] or [np.zeros(0)])]
+    made.sort(key=lambda m: (int(order[m[4]]) if len(m[2]) else size, xxhash.xxh64_intdigest(str(m[0])), m[0], m[2].tobytes()))
+    own, counts = (np.concatenate([m[i] for m in made] or [np.zeros(0, np.int32)]).astype(np.int32) for i in (2, 3))
+    lengths = np.array([math.sqrt(float(w @ w)) or 1.0 for m in made for w in [(1 + np.log(m[3].astype(np.float64))) * weights[m[2]]]])
     begin = np.append(0, np.cumsum([len(m[2]) for m in made], dtype=np.int64))
     ids, known = [m[0] for m in made], np.array([m[1] for m in made], np.float64)
     made = None
-    index = Examples(parts[0], parts[1], begin, size)
-    parts = None
+    index = Examples(Entries.of(own, counts, weights), lengths, begin, size)
+    own = counts = None
     model = Model(Vocabulary(hashes, numbers=numbers), weights, index, known, ids, n_toxic / n if n else 0.0, k, prior_votes)
     shared.unpersist()
     model.shared = spark.sparkContext.broadcast(model)              # the vectors of at most max_examples texts
@@ -659,7 +681,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
             lines, out = batch.column(0).to_pylist(), []
             for at in range(0, len(lines), _STEP):
                 some = lines[at:at + _STEP]
-                for line, (best, cosines) in zip(some, own.index.nearest_of([own.index.vector(i) for i in some], k + 1)):
+                for line, (best, cosines) in zip(some, own.index.nearest_of([own.index.index().vector(i) for i in some], k + 1)):
                     other = best != line
                     out.append(own.vote(best[other][:k], cosines[other][:k]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["id", "vote"])
