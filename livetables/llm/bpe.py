@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from livetables.llm.common import col, ship_package, text_or_empty
+from livetables.llm.common import col, giving_back, ship_package, text_or_empty
 from livetables.llm.pretokens import WordCache
 
 
@@ -170,7 +170,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id"
             yield pa.RecordBatch.from_pydict(columns)
     ship_package(df.sparkSession)
     rows = df.select(col(id_col), text_or_empty(text_col).alias("t"))
-    return rows.mapInArrow(run, StructType([
+    return rows.mapInArrow(lambda batches: giving_back(run(batches)), StructType([
         StructField(id_col, rows.schema[0].dataType), StructField("n_tokens", LongType()),
         StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType()),
         *[StructField("ids", ArrayType(IntegerType()))] * with_ids]))

@@ -6,6 +6,7 @@ import ctypes
 import os
 import shutil
 import tempfile
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -88,6 +89,12 @@ def give_back() -> None:
         trim(0)
 
 
+def giving_back(batches: Iterator) -> Iterator:
+    """A task's batches; behind the last one `give_back` leaves the worker, which is used again, no larger than it need be."""
+    yield from batches
+    give_back()
+
+
 def col(name: str) -> Column:
     """A column by its exact name, dots and spaces included."""
     return F.col("`" + name.replace("`", "``") + "`")

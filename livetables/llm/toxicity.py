@@ -58,7 +58,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from livetables.llm.common import col, give_back, ship_package, text_or_empty, written
+from livetables.llm.common import col, give_back, giving_back, ship_package, text_or_empty, written
 
 _WORD = re.compile(r"\w+")
 REPEATS = (2, 4)
@@ -712,4 +712,4 @@ def score(df: DataFrame, model: Model, *, text_col: str = "text", columns: Seque
         for part in _gathered(batches):
             found, proof = own.columns(own.vocabulary.counts_of(strings(part.column(1))))
             yield pa.RecordBatch.from_arrays([part.column(0), found, proof], names=["row", "score", "evidence"])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lambda batches: giving_back(run(batches)), schema)

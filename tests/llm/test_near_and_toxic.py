@@ -396,3 +396,12 @@ def test_examples_are_sent_as_counts_not_as_weights():
         assert features.tolist() == f.tolist() and np.allclose(own, toxicity.unit(c.astype(float), weights[f]))
         best, cosines = index.nearest(f, own, 1)
         assert best.tolist() == [line] and np.isclose(cosines[0], 1)
+
+
+def test_a_task_hands_memory_back_behind_its_last_batch(monkeypatch):
+    from livetables.llm import common
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    batches = common.giving_back(iter([1, 2]))
+    assert [next(batches), next(batches)] == [1, 2] and not calls
+    assert not list(batches) and calls == [1]
